@@ -24,6 +24,7 @@ def get_session(app: str = "lodestack", cpus: str | int = "*", partitions: int =
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     spark = SparkSession.builder.master(f"local[{cpus}]").appName(app).config(map=settings).getOrCreate()
