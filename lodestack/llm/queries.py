@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import media, packing, token_files
+from lodestack.llm import langid, line_dedup, media, mixing, packing, token_files
 from lodestack.llm.tokens import vocabulary
 from lodestack.session import materialize, scratch_dir, share_code
 
@@ -14,11 +14,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return share_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = materialize(media.encode_media(_table(spark, sf_dir, "documents")), "media")
     return media.decode_media(stored).select(
@@ -41,5 +56,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_checksums(token_files.read_tokens(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op8_media, op9_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_packing, op5_language_id, op7_mixing, op8_media, op9_token_files)}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mixing": mixing.SQL}
