@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import langid, line_dedup, media, mixing, packing, token_files
+from lodestack.llm import jaccard_join, langid, line_dedup, media, mixing, packing, substring, token_files
 from lodestack.llm.tokens import vocabulary
 from lodestack.session import materialize, scratch_dir, share_code
 
@@ -19,6 +19,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -56,5 +60,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_checksums(token_files.read_tokens(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_packing, op5_language_id, op7_mixing, op8_media, op9_token_files)}
-ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mixing": mixing.SQL}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=13)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op7_mixing, op8_media, op9_token_files, op10_substring_dedup)}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL}

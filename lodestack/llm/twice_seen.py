@@ -5,7 +5,8 @@ its rows; filters are merged piece by piece (a key that is in two tasks' once-se
 merged twice-seen one). Keys that occur once mostly fail the twice-seen filter; no key that repeats does.
 
 The filters have BITS_PER_KEY bits a key, up to MAX_BITS (16 MB packed, and 256 MB unpacked in the
-task that fills it). With more keys they let more through, which costs what follows but changes no result.
+task that fills it). With more keys they use fewer probes and let more through, which costs what
+follows but changes no result.
 """
 
 from __future__ import annotations
@@ -18,30 +19,51 @@ from lodestack.llm.words import mix
 
 BITS_PER_KEY = 8
 MAX_BITS = 1 << 27
-PROBES = 4
 #: Bits of a piece of a filter.
 PIECE = 1 << 19
+_ONCE = pa.schema([("piece", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
+_TWICE = pa.schema([("piece", pa.int32()), ("twice", pa.binary())])
 
 
-def _probes(batch: pa.RecordBatch, bits: int) -> np.ndarray:
-    """The positions of each key of a batch, one row for each probe."""
-    k1 = batch.column("k1").to_numpy().view(np.uint64)
-    k2 = batch.column("k2").to_numpy().view(np.uint64) if "k2" in batch.schema.names else mix(k1)
-    step = k2 | np.uint64(1)
-    return np.stack([(k1 + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)]).astype(np.int64)
+class Shape:
+    """Bits of a filter for about n keys, and how many of them a key sets."""
 
+    def __init__(self, n: int, max_bits: int = MAX_BITS) -> None:
+        self.bits = min(max_bits, max(1 << 16, 1 << (BITS_PER_KEY * max(1, n) - 1).bit_length()))
+        self.probes = min(4, max(1, round(0.7 * self.bits / max(1, n))))
 
-def _packed(bits: np.ndarray) -> bytes:
-    """A piece as a bitmap, or as its positions where these are shorter."""
-    positions = np.flatnonzero(bits).astype(np.uint32)
-    return b"p" + positions.tobytes() if 4 * len(positions) < len(bits) // 8 else b"b" + np.packbits(bits).tobytes()
+    def places(self, k1: np.ndarray, k2: np.ndarray | None = None) -> np.ndarray:
+        """The positions of each key, one row for each probe."""
+        k1 = k1.view(np.uint64)
+        step = (mix(k1) if k2 is None else k2.view(np.uint64)) | np.uint64(1)
+        return np.stack([(k1 + np.uint64(i) * step) & np.uint64(self.bits - 1) for i in range(self.probes)]).astype(np.int64)
 
 
-def _unpacked(raw: bytes, size: int) -> np.ndarray:
+class TwiceSeen:
+    """The twice-seen filter, packed."""
+
+    def __init__(self, shape: Shape, packed: np.ndarray) -> None:
+        self.shape, self.packed = shape, packed
+
+    def holds(self, k1: np.ndarray, k2: np.ndarray | None = None) -> np.ndarray:
+        """False only for keys that were not seen twice."""
+        where = self.shape.places(k1, k2)
+        return ((self.packed[where >> 3] >> (7 - (where & 7)).astype(np.uint8)) & 1).astype(bool).all(axis=0)
+
+
+def _encoded(bits: np.ndarray) -> bytes:
+    """A piece as gaps between its positions where these are short, else as a bitmap."""
+    gaps = np.diff(np.flatnonzero(bits), prepend=0)
+    if 2 * len(gaps) < len(bits) // 8 and (not len(gaps) or gaps.max() < 1 << 16):
+        return b"g" + gaps.astype("<u2").tobytes()
+    return b"b" + np.packbits(bits).tobytes()
+
+
+def _decoded(raw: bytes, size: int) -> np.ndarray:
     if raw[:1] == b"b":
         return np.unpackbits(np.frombuffer(raw, np.uint8, offset=1)).astype(bool)
     bits = np.zeros(size, bool)
-    bits[np.frombuffer(raw, np.uint32, offset=1)] = True
+    bits[np.cumsum(np.frombuffer(raw, "<u2", offset=1).astype(np.int64))] = True
     return bits
 
 
@@ -55,43 +77,47 @@ class _Pair:
         self.twice |= twice | (self.once & once)
         self.once |= once
 
+    def add(self, where: np.ndarray, k1: np.ndarray) -> None:
+        again = self.once[where].all(axis=0)  # all their bits are set already
+        _, first, counts = np.unique(k1, return_index=True, return_counts=True)
+        again[first[counts > 1]] = True  # and those that repeat in these rows
+        self.twice[where[:, again].ravel()] = True
+        self.once[where.ravel()] = True
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray | None]:
+    return batch.column("k1").to_numpy(), batch.column("k2").to_numpy() if "k2" in batch.schema.names else None
+
 
-def twice_seen(keys: DataFrame, bits: int) -> np.ndarray:
-    """The packed twice-seen filter of a table of keys."""
-    piece = min(PIECE, bits)
+def twice_seen(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> TwiceSeen:
+    """The twice-seen filter of a table of about n keys."""
+    shape = Shape(n, max_bits)
+    bits, piece = shape.bits, min(PIECE, shape.bits)
 
     def fill(batches):
         own = None
         for batch in batches:
-            if own is None:
-                own = _Pair(bits)
-            where = _probes(batch, bits)
-            # Keys of this batch that were seen before: all their bits are set already.
-            again = own.once[where].all(axis=0)
-            _, first, counts = np.unique(where[0] * np.int64(PROBES) + (where[1] & 3), return_index=True, return_counts=True)
-            again[first[counts > 1]] = True  # and those that repeat in it
-            own.twice[where[:, again].ravel()] = True
-            own.once[where.ravel()] = True
-        if own is not None:
-            for at in range(0, bits, piece):
-                once = own.once[at : at + piece]
-                if once.any():
-                    yield pa.RecordBatch.from_pydict({"piece": [at // piece], "once": [_packed(once)], "twice": [_packed(own.twice[at : at + piece])]}, schema=pa.schema([("piece", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())]))
+            own = own or _Pair(bits)
+            k1, k2 = _columns(batch)
+            own.add(shape.places(k1, k2), k1)
+        for at in range(0, bits if own else 0, piece):
+            once = own.once[at : at + piece]
+            if once.any():
+                yield pa.RecordBatch.from_pydict({"piece": [at // piece], "once": [_encoded(once)], "twice": [_encoded(own.twice[at : at + piece])]}, schema=_ONCE)
 
     def merge(batches):
         held: dict[int, _Pair] = {}
         for batch in batches:
             for k, once, twice in zip(*(batch.column(i) for i in range(3)), strict=True):
-                held.setdefault(k.as_py(), _Pair(piece)).merge(_unpacked(once.as_py(), piece), _unpacked(twice.as_py(), piece))
+                held.setdefault(k.as_py(), _Pair(piece)).merge(_decoded(once.as_py(), piece), _decoded(twice.as_py(), piece))
         for k, pair in held.items():
-            yield pa.RecordBatch.from_pydict({"piece": [k], "twice": [np.packbits(pair.twice).tobytes()]}, schema=pa.schema([("piece", pa.int32()), ("twice", pa.binary())]))
+            yield pa.RecordBatch.from_pydict({"piece": [k], "twice": [np.packbits(pair.twice).tobytes()]}, schema=_TWICE)
 
     filled = keys.select(*[c for c in ("k1", "k2") if c in keys.columns]).mapInArrow(fill, "piece int, once binary, twice binary")
-    merged = filled.repartition("piece").mapInArrow(merge, "piece int, twice binary")
-    out = np.zeros(bits // 8, np.uint8)
-    for row in merged.collect():  # bits / 8 bytes in all
-        out[row["piece"] * piece // 8 : (row["piece"] + 1) * piece // 8] = np.frombuffer(row["twice"], np.uint8)
-    return out
+    packed = np.zeros(bits // 8, np.uint8)
+    for row in filled.repartition("piece").mapInArrow(merge, "piece int, twice binary").collect():  # bits / 8 bytes in all
+        packed[row["piece"] * piece // 8 : (row["piece"] + 1) * piece // 8] = np.frombuffer(row["twice"], np.uint8)
+    return TwiceSeen(shape, packed)
 
 
 def suspected(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
@@ -99,13 +125,10 @@ def suspected(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
 
     ``keys`` is read twice, so it should be a written table, or cheap.
     """
-    bits = min(max_bits, max(1 << 16, 1 << (BITS_PER_KEY * max(1, n) - 1).bit_length()))
-    seen = keys.sparkSession.sparkContext.broadcast(twice_seen(keys, bits))
+    seen = keys.sparkSession.sparkContext.broadcast(twice_seen(keys, n, max_bits))
 
     def rows(batches):
         for batch in batches:
-            where, held = _probes(batch, bits), seen.value
-            keep = ((held[where >> 3] >> (7 - (where & 7)).astype(np.uint8)) & 1).astype(bool).all(axis=0)
-            yield batch.filter(pa.array(keep))
+            yield batch.filter(pa.array(seen.value.holds(*_columns(batch))))
 
     return keys.mapInArrow(rows, keys.schema)
