@@ -8,18 +8,27 @@ needs to be encoded once while it is in the cache.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 
-#: Words kept in each of the two generations of a worker's cache (about 150 bytes each).
-CACHED_WORDS = 400_000
+#: Words kept in a worker's cache, which starts anew when it is full (about 150 bytes each).
+CACHED_WORDS = 1_000_000
 #: Longer words are encoded each time.
 CACHED_BYTES = 48
 _MARKS = b".,;:!?"
+#: Letters that the vocabulary's normalizer leaves alone and its split pattern never parts.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follow from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 class WordEncoder:
@@ -30,59 +39,56 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _ask(self, words: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.model = self.library.model
+        self.letters = _byte_letters()
+        self.cache: dict[bytes, bytes] = {}
 
-    def _learn(self, words: set[bytes], held: dict[bytes, bytes]) -> None:
-        """Adds the ids of ``words`` to ``held``. A tail of marks after a letter or digit is a token of its own."""
+    def _ask(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids by the library: its whole pipeline, or for words of plain letters the model alone."""
+        found, others = {}, []
+        for w in words:
+            text = w.decode().lower()
+            if _PLAIN.fullmatch(text):
+                text = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+                found[w] = struct.pack(f"<{len(t := self.model.tokenize(text))}I", *[x.id for x in t])
+            else:
+                others.append(w)
+        for w, x in zip(others, self.library.encode_batch_fast([w.decode() for w in others], add_special_tokens=False), strict=True):
+            found[w] = struct.pack(f"<{len(x.ids)}I", *x.ids)
+        return found
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of ``words``. A tail of marks after a letter or digit is a token of its own."""
         parts: dict[bytes, tuple[bytes, bytes]] = {}
         for w in words:
             stem = w.rstrip(_MARKS)
             if stem and len(stem) < len(w) and stem[-1:].isalnum():
                 parts[w] = stem, w[len(stem) :]
         need = {p for w in words for p in parts.get(w, (w,))}
-        known: dict[bytes, bytes] = {}
-        for p in need:
-            ids = self.new.get(p) or self.old.get(p)
-            if ids is not None:
-                known[p] = ids
-        ask = [p for p in need if p not in known]
-        fresh = dict(zip(ask, self._ask(ask), strict=True)) if ask else {}
-        known |= fresh
-        for w in words:
-            held[w] = b"".join(known[p] for p in parts.get(w, (w,)))
-        if len(self.new) > CACHED_WORDS:
-            self.old, self.new = self.new, {}
-        self.new.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_BYTES)
-        self.new.update((w, held[w]) for w in words if len(w) <= CACHED_BYTES)
+        known = {p: self.cache[p] for p in need if p in self.cache}
+        known |= self._ask([p for p in need if p not in known])
+        learned = {w: b"".join([known[p] for p in parts[w]]) if w in parts else known[w] for w in words}
+        if len(self.cache) > CACHED_WORDS:
+            self.cache.clear()
+        for held in (known, learned):
+            self.cache.update((p, ids) for p, ids in held.items() if len(p) <= CACHED_BYTES)
+        return learned
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers, for texts in UTF-8."""
-        split = []
+        split, found, missing = [], [], set()
         for text in texts:
             # ASCII capitals may be lowered beforehand, unless that could make a special token
             # of a text or let a combining mark join what it would not have joined.
             plain = b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text
-            split.append((text.lower() if plain else text).split())
-        held: dict[bytes, bytes] = {}
-        missing = set()
-        for words in split:
-            for w in set(words):
-                if w not in held:
-                    ids = self.new.get(w)
-                    if ids is None:
-                        ids = self.old.get(w)
-                    if ids is None:
-                        missing.add(w)
-                    else:
-                        held[w] = ids
-        if missing:
-            self._learn(missing, held)
-        return [b"".join([held[w] for w in words]) for words in split]
+            words = (text.lower() if plain else text).split()
+            ids = list(map(self.cache.get, words))
+            if None in ids:
+                missing.update([w for w, x in zip(words, ids, strict=True) if x is None])
+            split.append(words)
+            found.append(ids)
+        learned = self._learn(missing) if missing else {}
+        return [b"".join([learned[w] if x is None else x for w, x in zip(words, ids, strict=True)] if learned and None in ids else ids) for words, ids in zip(split, found, strict=True)]
 
 
 @lru_cache(maxsize=2)
