@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import jaccard_join, langid, line_dedup, media, mixing, packing, substring, token_files
+from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, media, mixing, packing, substring, token_files
 from lodestack.llm.tokens import vocabulary
 from lodestack.session import materialize, scratch_dir, share_code
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return share_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -34,6 +38,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), every=20, n=20)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -65,5 +73,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op7_mixing, op8_media, op9_token_files, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup)}
 ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL}
