@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +24,23 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+MODULES = ("intake", "structure", "extraction", "claims", "publishing", "evaluation", "streams")
+
+
+def _load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"lodestack.plans.{name}")
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return _QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return _SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _QUERIES["contradiction_candidates"](spark, sf_dir)
+    return queries()["supersession"](spark, sf_dir)
