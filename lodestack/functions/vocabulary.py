@@ -95,12 +95,12 @@ BULLETIN_KEYWORDS = (
     ("bulletin", ("service bulletin", "bulletin", "field notice", "notice", "advisory")),
     ("revision_notes", ("revision", "release note", "change log", "history", "supersession")),
 )
-#: The orders of the four lists in the contexts of a document.
-CONTEXTS = {
-    "operational": OPERATIONAL_KEYWORDS + DRAWING_KEYWORDS + BULLETIN_KEYWORDS + MANUAL_KEYWORDS,
-    "drawing": DRAWING_KEYWORDS + OPERATIONAL_KEYWORDS + BULLETIN_KEYWORDS + MANUAL_KEYWORDS,
-    "bulletin": BULLETIN_KEYWORDS + DRAWING_KEYWORDS + OPERATIONAL_KEYWORDS + MANUAL_KEYWORDS,
-    "manual": MANUAL_KEYWORDS + OPERATIONAL_KEYWORDS + BULLETIN_KEYWORDS + DRAWING_KEYWORDS,
+#: The orders in which the four lists are tried, by the context of a document.
+CONTEXT_ORDERS = {
+    "operational": ("operational", "drawing", "bulletin", "manual"),
+    "drawing": ("drawing", "operational", "bulletin", "manual"),
+    "bulletin": ("bulletin", "drawing", "operational", "manual"),
+    "manual": ("manual", "operational", "bulletin", "drawing"),
 }
 # Document types of the contexts (all others are manuals).
 CONTEXT_TYPES = {

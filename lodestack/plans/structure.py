@@ -1 +1,227 @@
-"""Queries."""
+"""Queries on text items, sections and pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestack.functions import duck
+from lodestack.functions import strings as S
+from lodestack.functions import vocabulary as V
+from lodestack.operators import structure as O
+from lodestack.plans.registry import query
+from lodestack.plans.views import ITEMS, MANIFESTS, items, manifests, table
+
+
+@query(f"WITH {ITEMS} SELECT doc_id, idx, label, text, level, page FROM items")
+def text_items(spark, sf_dir):
+    return items(spark, sf_dir)
+
+
+@query(f"""WITH {ITEMS}, headings AS (SELECT * FROM items WHERE level IS NOT NULL)
+  SELECT h.doc_id, h.idx, h.level, (SELECT max(p.idx) FROM headings p WHERE p.doc_id = h.doc_id AND p.idx < h.idx AND p.level < h.level) AS parent_idx FROM headings h""")
+def heading_tree(spark, sf_dir):
+    return O.heading_parents(items(spark, sf_dir).where("level IS NOT NULL")).select("doc_id", "idx", "level", "parent_idx")
+
+
+_PAGED = f"""{ITEMS}, paged AS (SELECT doc_id, idx, label, text, level, coalesce(
+    last_value(page IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    first_value(page IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+    least(5, (row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1) * 5 // count(*) OVER (PARTITION BY doc_id) + 1))::BIGINT AS page FROM items)"""
+
+
+def _paged(spark, sf_dir):
+    return O.infer_pages(items(spark, sf_dir), F.lit(5))
+
+
+@query(f"WITH {_PAGED} SELECT doc_id, idx, page FROM paged")
+def page_infer(spark, sf_dir):
+    return _paged(spark, sf_dir).select("doc_id", "idx", "page")
+
+
+@query(f"WITH {_PAGED} SELECT doc_id, page, count(*) AS items, sum(length(text))::BIGINT AS chars, count(*) FILTER (WHERE level IS NOT NULL) AS headings FROM paged GROUP BY doc_id, page")
+def page_map(spark, sf_dir):
+    return _paged(spark, sf_dir).groupBy("doc_id", "page").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length("text")).alias("chars"), F.count("level").alias("headings"))
+
+
+_SECTIONED = f"""{_PAGED}, opened AS (SELECT *, label = 'section_header' AS opens FROM paged),
+numbered AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS section_no FROM opened),
+sections AS (SELECT doc_id, section_no, max(text) FILTER (WHERE opens) AS title, max(page) FILTER (WHERE opens) AS heading_page, max(level) FILTER (WHERE opens) AS level,
+  count(*) FILTER (WHERE NOT opens) AS items, coalesce(min(page) FILTER (WHERE NOT opens), max(page) FILTER (WHERE opens)) AS page_from,
+  coalesce(max(page) FILTER (WHERE NOT opens), max(page) FILTER (WHERE opens)) AS page_to,
+  coalesce(string_agg(text, chr(10) || chr(10) ORDER BY idx) FILTER (WHERE NOT opens), '') AS content FROM numbered WHERE section_no > 0 GROUP BY doc_id, section_no)"""
+
+
+def sections_of(spark, sf_dir):
+    return O.section_rows(O.sections(_paged(spark, sf_dir)))
+
+
+@query(f"WITH {_SECTIONED} SELECT doc_id, section_no, title, items, page_from, page_to, sha256(content) AS content_hash FROM sections")
+def sections(spark, sf_dir):
+    return sections_of(spark, sf_dir).select("doc_id", "section_no", "title", "items", "page_from", "page_to", F.sha2("content", 256).alias("content_hash"))
+
+
+@query(f"""WITH {_SECTIONED}, tables AS (SELECT doc_id, idx AS table_no, CASE WHEN idx % 5 <> 0 THEN page + idx % 2 END AS page FROM paged WHERE idx % 8 = 3),
+  bounds AS (SELECT doc_id, section_no, heading_page AS start, lead(heading_page) OVER (PARTITION BY doc_id ORDER BY section_no) AS stop FROM sections)
+  SELECT t.doc_id, table_no, min(section_no) AS section_no FROM tables t JOIN bounds b ON t.doc_id = b.doc_id AND b.start <= t.page AND (b.stop IS NULL OR t.page < b.stop) GROUP BY ALL""")
+def section_tables(spark, sf_dir):
+    paged = _paged(spark, sf_dir)
+    tables = paged.where("idx % 8 = 3").select("doc_id", F.col("idx").alias("table_no"), F.when(F.col("idx") % 5 != 0, F.col("page") + F.col("idx") % 2).alias("page"))
+    return O.place_tables(tables, sections_of(spark, sf_dir))
+
+
+@query(f"""WITH {_SECTIONED}, parents AS (SELECT s.doc_id, s.section_no, (SELECT max(p.section_no) FROM sections p WHERE p.doc_id = s.doc_id AND p.section_no < s.section_no AND p.level < s.level) AS parent FROM sections s)
+  SELECT p.doc_id, p.section_no, p.parent, s.title AS parent_title FROM parents p LEFT JOIN sections s ON s.doc_id = p.doc_id AND s.section_no = p.parent""")
+def section_parent(spark, sf_dir):
+    own = sections_of(spark, sf_dir).select("doc_id", "section_no", "title", "level")
+    found = O.heading_parents(own.withColumnRenamed("section_no", "idx")).select("doc_id", F.col("idx").alias("section_no"), F.col("parent_idx").alias("parent"))
+    titles = own.select("doc_id", F.col("section_no").alias("parent"), F.col("title").alias("parent_title"))
+    return found.join(titles, ["doc_id", "parent"], "left").select("doc_id", "section_no", "parent", "parent_title")
+
+
+def _chain(haystacks, keywords):
+    return "CASE " + " ".join(f"WHEN {' OR '.join(f'contains({h}, {w!r})' for w in words for h in haystacks)} THEN '{kind}'" for kind, words in keywords) + " END"
+
+
+_LISTS = {"manual": V.MANUAL_KEYWORDS, "operational": V.OPERATIONAL_KEYWORDS, "drawing": V.DRAWING_KEYWORDS, "bulletin": V.BULLETIN_KEYWORDS}
+
+
+def _tried(*haystacks):
+    return "CASE context " + " ".join(f"WHEN '{name}' THEN {_chain(haystacks, sum((_LISTS[x] for x in order), ()))}" for name, order in V.CONTEXT_ORDERS.items()) + " END"
+
+
+def _list(values):
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
+_CLASSIFIED = f"""{_SECTIONED}, {MANIFESTS}, prepared AS (
+  SELECT s.doc_id, s.section_no, s.title, s.content, {duck.classifier_text('title')} AS plain, {duck.classifier_text('substr(content, 1, 500)')} AS inside, {duck.slug('document_type')} AS kind, document_class
+  FROM sections s JOIN manifests USING (doc_id)),
+stripped AS (SELECT *, trim(regexp_replace(plain, '^(?:step\\s+)?\\d+(?:\\.\\d+)*[).:\\-]?\\s*', '')) AS short,
+  CASE WHEN kind IN {_list(V.CONTEXT_TYPES['operational'])} OR lower(document_class) = 'operational' THEN 'operational' WHEN kind IN {_list(V.CONTEXT_TYPES['drawing'])} THEN 'drawing'
+    WHEN kind IN {_list(V.CONTEXT_TYPES['bulletin'])} THEN 'bulletin' ELSE 'manual' END AS context,
+  CASE kind {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in V.DEFAULT_SECTION_TYPES.items())} END AS usual FROM prepared),
+hinted AS (SELECT *, {' OR '.join(f"starts_with(short, '{p}')" for p in O.PROCEDURAL_STARTS)} AS procedural FROM stripped),
+classified AS (SELECT doc_id, section_no, title, content, CASE WHEN plain IN {_list(V.ADMONITIONS)} OR short IN {_list(V.ADMONITIONS)} THEN 'safety' ELSE coalesce(
+  {_tried('plain', 'short')},
+  CASE WHEN plain NOT IN ('overview', 'notes', 'instructions') THEN usual END,
+  CASE WHEN plain NOT IN {_list(O.NEUTRAL_TITLES)} AND (regexp_matches(plain, '^(?:step\\s+)?\\d') OR procedural OR (plain <> short AND short <> '')
+    OR (len(list_filter(string_split(short, ' '), lambda w: w <> '')) <= 4 AND short NOT IN {_list(O.NEUTRAL_TITLES)})) THEN {_tried('inside')} END,
+  CASE WHEN regexp_matches(trim(title), '^(?i:step\\s+)?\\d') OR procedural THEN 'workflow' END, 'other') END AS section_type FROM hinted)"""
+
+
+def classified_sections(spark, sf_dir):
+    return O.classify(sections_of(spark, sf_dir).join(manifests(spark, sf_dir).select("doc_id", "document_type", "document_class"), "doc_id"))
+
+
+@query(f"WITH {_CLASSIFIED} SELECT doc_id, section_no, section_type FROM classified")
+def section_classify(spark, sf_dir):
+    return classified_sections(spark, sf_dir).select("doc_id", "section_no", "section_type")
+
+
+@query(f"""WITH {ITEMS}, given AS (SELECT doc_id, idx, CASE WHEN idx % 6 = 2 THEN (doc_id + idx) % 9 END AS g FROM items),
+  runs AS (SELECT doc_id, idx, nullif(g, 0) AS g, count(nullif(g, 0)) OVER (PARTITION BY doc_id ORDER BY idx ROWS UNBOUNDED PRECEDING) AS run FROM given)
+  SELECT doc_id, idx, (coalesce(first_value(g) OVER (PARTITION BY doc_id, run ORDER BY idx), 1) + row_number() OVER (PARTITION BY doc_id, run ORDER BY idx) - 1)::BIGINT AS step FROM runs""")
+def section_steps(spark, sf_dir):
+    own = items(spark, sf_dir)
+    line = F.when(F.col("idx") % 6 == 2, F.concat(F.lit("Step "), ((F.col("doc_id") + F.col("idx")) % 9).cast("string"), F.lit(". do it"))).otherwise(F.lit("go on"))
+    return O.steps(own.withColumn("line", line)).select("doc_id", "idx", "step")
+
+
+@query(f"""WITH {ITEMS}, labelled AS (SELECT doc_id, idx, regexp_matches(trim(text), '(?i)^(figure|fig\\.?|diagram|drawing|wiring diagram|schematic|p&id)[A-Za-z0-9.\\- ]*$') AS is_label FROM items)
+  SELECT doc_id, idx, is_label, sum(CASE WHEN is_label THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx ROWS UNBOUNDED PRECEDING)::BIGINT AS figure_no FROM labelled""")
+def section_figures(spark, sf_dir):
+    return O.figures(items(spark, sf_dir)).select("doc_id", "idx", "is_label", "figure_no")
+
+
+SECTION_ID = f"'d' || doc_id || '--' || substr({duck.slug('title')}, 1, 80) || '--' || substr(sha256('d' || doc_id || chr(10) || trim(title) || chr(10) || regexp_replace(content, '^\\s+|\\s+$', '', 'g')), 1, 12)"
+
+
+@query(f"WITH {_SECTIONED} SELECT doc_id, section_no, {SECTION_ID} AS section_id FROM sections")
+def section_ids(spark, sf_dir):
+    s = sections_of(spark, sf_dir)
+    return s.select("doc_id", "section_no", O.section_id(F.concat(F.lit("d"), s.doc_id.cast("string")), s.title, s.content).alias("section_id"))
+
+
+@query(f"""WITH {_SECTIONED}, titled AS (SELECT doc_id, section_no, CASE WHEN section_no % 7 = 0 THEN '  ' WHEN section_no % 7 = 1 THEN 'Contents 1-1 1-2 A-3 4 5 6 7 8 9 10 11 12 13 14 of this long manual on all parts and their uses and tables' ELSE title END AS title FROM sections),
+  plain AS (SELECT doc_id, section_no, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS t FROM titled)
+  SELECT doc_id, section_no, CASE WHEN t = '' THEN 'empty_title' ELSE array_to_string(list_sort(list_filter([
+    CASE WHEN regexp_full_match(t, '[A-Za-z]') THEN 'single_letter_title' END,
+    CASE WHEN regexp_full_match(t, '(?:\\d+|(?:\\d+\\.)+|\\d+\\.)') THEN 'numeric_fragment_title' END,
+    CASE WHEN {duck.fold('t')} IN {_list(V.CARRYOVER_TITLES)} THEN 'generic_carryover_title' END,
+    CASE WHEN length(t) >= 80 AND len(string_split(t, ' ')) >= 12 AND len(regexp_extract_all(t, '(?:\\b[A-Z]-\\d+\\b|\\b\\d+-\\d+\\b|\\b\\d+\\b)')) >= 6 THEN 'toc_fragment_title' END], lambda r: r IS NOT NULL)), ',') END AS reasons FROM plain""")
+def reviewability(spark, sf_dir):
+    s = sections_of(spark, sf_dir)
+    n = F.col("section_no") % 7
+    title = F.when(n == 0, "  ").when(n == 1, "Contents 1-1 1-2 A-3 4 5 6 7 8 9 10 11 12 13 14 of this long manual on all parts and their uses and tables").otherwise(F.col("title"))
+    return s.select("doc_id", "section_no", F.array_join(O.reviewability(title), ",").alias("reasons"))
+
+
+_PAGES = f"""{_PAGED}, pages_of AS (SELECT doc_id, page, sum(length(regexp_replace(text, '\\s', '', 'g')))::DOUBLE / 93.5 AS density, (doc_id + page) % 5 <> 0 AS has_text, (doc_id + page) % 2 = 0 AS has_vector FROM paged GROUP BY doc_id, page),
+counted AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS page_count FROM pages_of)"""
+
+
+@query(f"""WITH {_PAGES} SELECT doc_id, page, CASE WHEN doc_id % 6 = 0 THEN 'bypass' WHEN has_vector AND NOT has_text THEN 'vector'
+    WHEN NOT has_text OR (CASE WHEN page_count >= 25 THEN 200.0 ELSE density END) < 5.0 THEN 'ocr' ELSE 'keep' END AS decision,
+  round(least(density / 20.0, 1.0), 3) AS confidence FROM counted""")
+def ocr_decision(spark, sf_dir):
+    paged = _paged(spark, sf_dir)
+    n = F.col("doc_id") + F.col("page")
+    by_page = paged.groupBy("doc_id", "page").agg((F.sum(F.length(F.regexp_replace("text", r"(?U)\s", ""))) / 93.5).alias("density"))
+    counts = by_page.groupBy("doc_id").agg(F.count(F.lit(1)).alias("page_count"))
+    known = by_page.join(counts, "doc_id")
+    decision = O.ocr_decision(n % 5 != 0, n % 2 == 0, F.col("density"), F.col("page_count"), F.col("doc_id") % 6 == 0, threshold=5.0, target=200.0)
+    return known.select("doc_id", "page", decision.alias("decision"), O.ocr_confidence(F.col("density"), 20.0).alias("confidence"))
+
+
+@query(f"""WITH {_PAGED}, counts AS (SELECT doc_id, count(level) AS headings, count(*) FILTER (WHERE label = 'section_header') + doc_id % 3 AS candidates,
+    count(*) FILTER (WHERE idx % 8 = 3) AS tables, count(*) FILTER (WHERE idx % 8 = 3 AND idx % 5 <> 0) AS good_tables,
+    sum(length(regexp_replace(text, '\\s', '', 'g'))) AS markdown_chars, sum(length(text)) AS text_chars, least(max(level), 2) AS depth, min(level) AS min_level, max(level) AS max_level,
+    count(DISTINCT page) AS mapped_pages, max(page) + doc_id % 2 AS page_count FROM paged GROUP BY doc_id),
+  scored AS (SELECT doc_id, CASE WHEN candidates = 0 THEN CASE WHEN headings = 0 THEN 100.0 ELSE 0.0 END ELSE least(headings / candidates, 1.0) * 100 END AS h,
+    CASE WHEN tables = 0 THEN 100.0 ELSE good_tables / tables * 100 END AS t, CASE WHEN text_chars = 0 THEN 0.0 ELSE least(markdown_chars / text_chars, 1.0) * 100 END AS x,
+    (least(depth / 3, 1.0) * 0.6::DOUBLE + least((max_level - min_level + 1) / 3, 1.0) * 0.4::DOUBLE) * 100 AS d, least(mapped_pages / page_count, 1.0) * 100 AS p FROM counts)
+  SELECT doc_id, round(h::DOUBLE, 6) AS heading_coverage, round(t::DOUBLE, 6) AS table_rate, round(x::DOUBLE, 6) AS text_completeness, round(d::DOUBLE, 6) AS structure_depth, round(p::DOUBLE, 6) AS page_coverage,
+    round(h::DOUBLE * 0.25::DOUBLE + t::DOUBLE * 0.2::DOUBLE + x::DOUBLE * 0.25::DOUBLE + d::DOUBLE * 0.15::DOUBLE + p::DOUBLE * 0.15::DOUBLE, 2) AS overall FROM scored""")
+def parse_quality(spark, sf_dir):
+    i = F.col("idx")
+    chars = F.length(F.regexp_replace("text", r"(?U)\s", ""))
+    counts = (
+        _paged(spark, sf_dir)
+        .groupBy("doc_id")
+        .agg(
+            F.count("level").alias("headings"),
+            (F.count(F.when(F.col("label") == "section_header", 1)) + F.col("doc_id") % 3).alias("candidates"),
+            F.count(F.when(i % 8 == 3, 1)).alias("tables"),
+            F.count(F.when((i % 8 == 3) & (i % 5 != 0), 1)).alias("good_tables"),
+            F.sum(chars).alias("markdown_chars"),
+            F.sum(F.length("text")).alias("text_chars"),
+            F.least(F.max("level"), F.lit(2)).alias("depth"),
+            F.min("level").alias("min_level"),
+            F.max("level").alias("max_level"),
+            F.count_distinct("page").alias("mapped_pages"),
+            (F.max("page") + F.col("doc_id") % 2).alias("page_count"),
+        )
+    )
+    scores = ["heading_coverage", "table_rate", "text_completeness", "structure_depth", "page_coverage"]
+    return O.quality(counts).select("doc_id", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in scores], F.col("overall").cast("double").alias("overall"))
+
+
+@query("""WITH runs AS (SELECT doc_id, p AS parser, (doc_id * 7 + p * 13) % 5 * 10 AS score FROM documents, (SELECT unnest([0, 1]) AS p))
+  SELECT doc_id, CASE WHEN max(score) FILTER (WHERE parser = 1) > max(score) FILTER (WHERE parser = 0) THEN 'fallback' ELSE 'primary' END AS chosen, max(score) AS score FROM runs GROUP BY doc_id""")
+def parse_select(spark, sf_dir):
+    p = F.explode(F.array(F.lit(0), F.lit(1)))
+    runs = table(spark, sf_dir, "documents").select("doc_id", p.alias("parser")).withColumn("score", (F.col("doc_id") * 7 + F.col("parser") * 13) % 5 * 10)
+    best = F.max(F.struct("score", (1 - F.col("parser")).alias("is_primary")))
+    return runs.groupBy("doc_id").agg(best.alias("best")).select("doc_id", F.when(F.col("best.is_primary") == 1, "primary").otherwise("fallback").alias("chosen"), F.col("best.score").alias("score"))
+
+
+@query("""WITH titles AS (SELECT page_id, 0 AS ord, 'title' AS label, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS raw FROM pages),
+  heads AS (SELECT page_id, 1 AS ord, 'section_header' AS label, unnest(regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1)) AS raw FROM pages),
+  paras AS (SELECT page_id, 2 AS ord, 'text' AS label, unnest(regexp_extract_all(html, '(?s)<p>([^<]*)</p>', 1)) AS raw FROM pages)
+  SELECT page_id, label, count(*) AS items, sum(length(raw))::BIGINT AS chars FROM (SELECT * FROM titles UNION ALL SELECT * FROM heads UNION ALL SELECT * FROM paras) GROUP BY page_id, label""")
+def html_to_items(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    kinds = (("title", r"(?s)<title>(.*?)</title>"), ("section_header", r"(?s)<h1>(.*?)</h1>"), ("text", r"(?s)<p>([^<]*)</p>"))
+    found = F.array(*[F.struct(F.lit(label).alias("label"), F.regexp_extract_all("html", F.lit(pattern)).alias("raws")) for label, pattern in kinds])
+    rows = pages.select("page_id", F.explode(found).alias("kind")).select("page_id", F.col("kind.label").alias("label"), F.explode("kind.raws").alias("raw"))
+    return rows.groupBy("page_id", "label").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length("raw")).alias("chars"))
