@@ -1 +1,103 @@
-"""Queries."""
+"""Queries on claims."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestack.functions import duck
+from lodestack.functions import strings as S
+from lodestack.functions import vocabulary as V
+from lodestack.operators import claims as O
+from lodestack.operators import intake
+from lodestack.plans.intake import PRECEDENCE, REVISION_NUMBER, REVISION_TIER
+from lodestack.plans.registry import query
+from lodestack.plans.views import REVISIONS, pick, table
+
+_SUPPLIERS = f"""suppliers AS (SELECT s_suppkey, {duck.pick(V.DOCUMENT_TYPES, 's_suppkey * 5')} AS document_type, {duck.pick(V.DOCUMENT_CLASSES, 's_suppkey // 2')} AS document_class,
+    {duck.pick(REVISIONS, 's_suppkey')} AS revision, CASE WHEN s_suppkey % 3 <> 0 THEN DATE '2021-01-01' + (s_suppkey % 90)::INTEGER END AS date FROM supplier),
+sources AS (SELECT *, {PRECEDENCE} AS level, {REVISION_TIER} AS tier, {REVISION_NUMBER} AS number FROM suppliers),
+claims AS (SELECT 'c' || l_orderkey || '-' || l_suppkey AS claim_id, l_partkey AS part, round(l_discount * 100)::INTEGER AS value, l_suppkey AS s, sources.* FROM lineitem JOIN sources ON l_suppkey = s_suppkey WHERE l_linenumber = 1),
+pairs AS (SELECT a.claim_id AS a_id, b.claim_id AS b_id, a.part, a.level AS al, b.level AS bl, lower(a.document_type) = lower(b.document_type) AS same_type, a.tier AS ta, b.tier AS tb, a.number AS an, b.number AS bn, a.date AS ad, b.date AS bd,
+    a.value AS av, b.value AS bv FROM claims a JOIN claims b ON a.part = b.part AND a.claim_id < b.claim_id AND a.value <> b.value AND (a.s % 4 = 0 OR b.s % 4 = 0 OR a.s % 2 = b.s % 2))"""
+_A_WINS = """CASE WHEN al < bl THEN true WHEN al > bl THEN false WHEN same_type AND ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn) THEN ta > tb OR (ta = tb AND an > bn)
+  WHEN same_type AND ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd THEN ad > bd ELSE true END"""
+_HOW = """CASE WHEN al <> bl THEN 'high' WHEN same_type AND ((ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn)) OR (ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd)) THEN 'medium' ELSE 'low' END"""
+
+
+def spec_claims(spark, sf_dir):
+    k = F.col("s_suppkey")
+    sources = table(spark, sf_dir, "supplier").select(
+        k.alias("source"),
+        pick(V.DOCUMENT_TYPES, k * 5).alias("document_type"),
+        pick(V.DOCUMENT_CLASSES, F.floor(k / 2)).alias("document_class"),
+        pick(REVISIONS, k).alias("revision"),
+        F.when(k % 3 != 0, F.date_add(F.lit("2021-01-01").cast("date"), (k % 90).cast("int"))).alias("date"),
+    )
+    sources = sources.withColumn("level", intake.precedence(F.col("document_type"), F.col("document_class"), F.col("revision")))
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    models = F.when(F.col("l_suppkey") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array((F.col("l_suppkey") % 2).cast("string")))
+    own = lines.select(
+        F.concat(F.lit("c"), "l_orderkey", F.lit("-"), "l_suppkey").alias("claim_id"),
+        F.lit("spec_value").alias("claim_type"),
+        F.col("l_partkey").cast("string").alias("subject"),
+        F.lit("m").alias("manufacturer"),
+        F.lit("f").alias("family"),
+        models.alias("models"),
+        F.lit(None).cast("string").alias("scope_revision"),
+        F.round(F.col("l_discount") * 100).cast("int").cast("string").alias("signature"),
+        F.col("l_suppkey").alias("source"),
+    )
+    return own.join(sources, "source")
+
+
+@query(f"WITH {_SUPPLIERS} SELECT part::VARCHAR AS subject, a_id, b_id, av::VARCHAR AS a_value, bv::VARCHAR AS b_value FROM pairs")
+def contradictions_spec(spark, sf_dir):
+    p = O.comparable_pairs(spec_claims(spark, sf_dir))
+    return p.select("subject", F.col("a_claim_id").alias("a_id"), F.col("b_claim_id").alias("b_id"), F.col("a_signature").alias("a_value"), F.col("b_signature").alias("b_value"))
+
+
+@query(f"""WITH {_SUPPLIERS} SELECT part::VARCHAR AS subject, CASE WHEN {_A_WINS} THEN a_id ELSE b_id END AS superseding, CASE WHEN {_A_WINS} THEN b_id ELSE a_id END AS superseded, {_HOW} AS confidence FROM pairs""")
+def supersession(spark, sf_dir):
+    return O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))).select("subject", "superseding", "superseded", "confidence")
+
+
+@query(f"""WITH {_SUPPLIERS} SELECT a_id || '||' || b_id AS candidate_key, {_HOW} = 'low' OR al = bl AS unresolved, CASE (an + bn + part) % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' ELSE 'unreviewed' END AS review_status FROM pairs WHERE part % 2 = 0 AND an IS NOT NULL AND bn IS NOT NULL""")
+def review_merge(spark, sf_dir):
+    number = lambda p: S.revision_key(F.col(f"{p}_revision"))["n"]
+    pairs = O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))).where((F.col("subject").cast("long") % 2 == 0) & number("a").isNotNull() & number("b").isNotNull())
+    key = F.concat_ws("||", "a_claim_id", "b_claim_id")
+    unresolved = (F.col("confidence") == "low") | (F.col("a_level") == F.col("b_level"))
+    entries = pairs.select(key.alias("candidate_key"), unresolved.alias("unresolved"))
+    n = (number("a") + number("b") + F.col("subject").cast("long")) % 5
+    saved = pairs.select(key.alias("candidate_key"), F.when(n == 0, "accepted").when(n == 1, "rejected").when(n == 2, "odd").alias("saved_status"))
+    return O.merge_reviews(entries, saved).select("candidate_key", "unresolved", "review_status")
+
+
+_TEXTS = """texts AS (SELECT item_id, item_id % 10 AS subject, CASE WHEN item_id % 3 = 0 THEN 'Never ' ELSE '' END || array_to_string(string_split(text, ' ')[1:8], ' ') || CASE WHEN item_id % 2 = 0 THEN ' valve pump seal check open close turn' ELSE ' valve pump' END AS body FROM benchmark)"""
+
+
+@query(f"""WITH {_TEXTS}, tokened AS (SELECT *, {duck.tokens('body')} AS t FROM texts),
+  pairs AS (SELECT a.item_id AS a_id, b.item_id AS b_id, len(list_intersect(a.t, b.t))::DOUBLE / greatest(len(list_distinct(list_concat(a.t, b.t))), 1) AS share, list_has_any(a.t, ['no', 'not', 'never', 'without', 'avoid']) AS an, list_has_any(b.t, ['no', 'not', 'never', 'without', 'avoid']) AS bn
+    FROM tokened a JOIN tokened b ON a.subject = b.subject AND a.item_id < b.item_id)
+  SELECT a_id, b_id, an <> bn OR share >= 0.35 AS contradicts FROM pairs""")
+def contradictions_text(spark, sf_dir):
+    i = F.col("item_id")
+    words = F.array_join(F.slice(F.split("text", " "), 1, 8), " ")
+    body = F.concat(F.when(i % 3 == 0, "Never ").otherwise(""), words, F.when(i % 2 == 0, " valve pump seal check open close turn").otherwise(" valve pump"))
+    texts = table(spark, sf_dir, "benchmark").select("item_id", (i % 10).alias("subject"), body.alias("body"))
+    a, b = (texts.select("subject", F.col("item_id").alias(f"{p}_id"), F.col("body").alias(f"{p}_body")) for p in "ab")
+    return a.join(b, "subject").where("a_id < b_id").select("a_id", "b_id", O.text_contradicts(F.col("a_body"), F.col("b_body")).alias("contradicts"))
+
+
+@query(f"""WITH procedures AS (SELECT conv_id, 'r' || conv_id AS record_id, 'Replace the Seal ' || conv_id AS title FROM conversations GROUP BY conv_id),
+  steps AS (SELECT p.record_id, p.title, c.turn + 1 AS n, coalesce(c.text, '') AS instruction FROM procedures p JOIN conversations c USING (conv_id) WHERE c.role = 'user'),
+  warnings AS (SELECT p.record_id, p.title, row_number() OVER (PARTITION BY conv_id ORDER BY c.turn) AS i, CASE WHEN c.turn % 4 = 1 THEN 'Größe & Maß' END AS context, coalesce(c.text, '') AS body FROM procedures p JOIN conversations c USING (conv_id) WHERE c.role <> 'user')
+  SELECT record_id || '::step-' || lpad(n::VARCHAR, 3, '0') AS claim_id, 'procedure_step' AS claim_type, {duck.slug('title')} || '::step-' || lpad(n::VARCHAR, 3, '0') AS subject, sha256({duck.fold('instruction')}) AS signature FROM steps
+  UNION ALL SELECT record_id || '::warning-' || lpad(i::VARCHAR, 3, '0'), 'warning', {duck.slug('coalesce(context, title)')}, sha256('danger|' || {duck.fold('body')}) FROM warnings""")
+def claims_expand(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").withColumn("body", F.coalesce("text", F.lit("")))
+    step = F.when(F.col("role") == "user", F.struct((F.col("turn") + 1).alias("step_number"), F.col("body").alias("instruction")))
+    warning = F.when(F.col("role") != "user", F.struct("turn", F.lit("Danger").alias("severity"), F.col("body").alias("text"), F.when(F.col("turn") % 4 == 1, "Größe & Maß").alias("context")))
+    procedures = turns.groupBy("conv_id").agg(F.collect_list(step).alias("steps"), F.array_sort(F.collect_list(warning)).alias("warnings"))
+    named = procedures.select(F.concat(F.lit("r"), "conv_id").alias("record_id"), F.concat(F.lit("Replace the Seal "), "conv_id").alias("title"), "steps", "warnings")
+    return O.expand_procedures(named).withColumn("signature", F.sha2("signature", 256))

@@ -1 +1,43 @@
-"""Queries."""
+"""Queries that score results."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestack.operators import evaluation as O
+from lodestack.plans.registry import query
+from lodestack.plans.views import table
+
+
+@query("""WITH scored AS (SELECT lang, (doc_id * 37 % 1000)::DOUBLE / 1000 AS c FROM documents)
+  SELECT lang, count(*) AS records, min(c) AS least, max(c) AS greatest, round(avg(c), 3) AS mean, count(*) FILTER (WHERE c < 0.5) AS low, count(*) FILTER (WHERE c >= 0.5 AND c < 0.8) AS medium, count(*) FILTER (WHERE c >= 0.8) AS high FROM scored GROUP BY lang""")
+def confidence_dist(spark, sf_dir):
+    scored = table(spark, sf_dir, "documents").select("lang", ((F.col("doc_id") * 37 % 1000).cast("double") / 1000).alias("c"))
+    return O.confidence_distribution(scored, "lang", "c")
+
+
+@query("""WITH truth AS (SELECT source, doc_id, quality = 1 AS expected, n_chars > 1500 AS actual FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+  counted AS (SELECT source, count(*) FILTER (WHERE expected AND actual) AS hits, count(*) FILTER (WHERE expected) AS expected, count(*) FILTER (WHERE actual) AS actual FROM truth GROUP BY source)
+  SELECT source, hits, expected, actual, round(CASE WHEN expected = 0 AND actual = 0 THEN 100.0::DOUBLE WHEN hits = 0 THEN 0.0::DOUBLE ELSE 200.0::DOUBLE * hits / (expected + actual) END, 6) AS f1,
+    round(CASE WHEN expected = 0 THEN CASE WHEN actual = 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END ELSE greatest(0.0::DOUBLE, 1 - abs(expected - actual)::DOUBLE / greatest(expected, 1)) * 100 END, 6) AS count_accuracy FROM counted""")
+def eval_extraction(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    truth = docs.join(labels, "doc_id").where("quality IS NOT NULL").select("source", (F.col("quality") == 1).alias("e"), (F.col("n_chars") > 1500).alias("a"))
+    counted = truth.groupBy("source").agg(F.count(F.when(F.col("e") & F.col("a"), 1)).alias("hits"), F.count(F.when(F.col("e"), 1)).alias("expected"), F.count(F.when(F.col("a"), 1)).alias("actual"))
+    e, a = F.col("expected"), F.col("actual")
+    return counted.withColumn("f1", F.round(O.f1(F.col("hits"), e, a), 6)).withColumn("count_accuracy", F.round(O.count_accuracy(e, a), 6))
+
+
+@query("""WITH e AS (SELECT lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars) AS place FROM documents WHERE doc_id % 3 = 0), a AS (SELECT lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars) AS place FROM documents WHERE doc_id % 4 = 0)
+  SELECT e.lang, e.place, e.n_chars AS expected, a.n_chars AS actual FROM e LEFT JOIN a ON e.lang = a.lang AND e.place = a.place""")
+def eval_zip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return O.zip_sorted(docs.where("doc_id % 3 = 0"), docs.where("doc_id % 4 = 0"), "lang", "n_chars").withColumn("place", F.col("place").cast("long"))
+
+
+@query()
+def eval_parser(spark, sf_dir):
+    d = F.col("doc_id")
+    cells = F.slice(F.split("text", " "), 1, 4)
+    rows = table(spark, sf_dir, "documents").select((d % 20).alias("fixture"), F.when(d % 2 == 0, "expected").otherwise("actual").alias("role"), d.alias("ordinal"), (d % 3).alias("rows"), (d % 2 * 0 + 2).alias("columns"), cells.alias("cells"))
+    return O.match_tables(rows)

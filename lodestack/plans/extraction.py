@@ -1 +1,190 @@
-"""Queries."""
+"""Queries on work items, batches, budgets, costs and results."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestack.functions import vocabulary as V
+from lodestack.operators import extraction as O
+from lodestack.operators import structure
+from lodestack.plans.registry import query
+from lodestack.plans.structure import _CLASSIFIED, SECTION_ID, classified_sections
+from lodestack.plans.views import LOG, log, table
+
+_TYPES = " ".join(f"WHEN '{k}' THEN [{', '.join(repr(t) for t in v)}]" for k, v in V.RECORD_TYPES.items())
+_ITEMS = f"""{_CLASSIFIED}, identified AS (SELECT *, {SECTION_ID} AS section_id FROM classified),
+fanned AS (SELECT doc_id, section_no, section_id, section_type, content, CASE section_type {_TYPES} END AS types FROM identified),
+work AS (SELECT doc_id, section_no, section_id, section_type, content, unnest(types) AS record_type FROM fanned),
+sized AS (SELECT *, section_id || '::' || record_type AS item_id, greatest(length(content) // 4, 1) + 4096 AS tokens FROM work)"""
+
+
+def _items(spark, sf_dir):
+    s = classified_sections(spark, sf_dir)
+    s = s.withColumn("section_id", structure.section_id(F.concat(F.lit("d"), s.doc_id.cast("string")), s.title, s.content))
+    return O.work_items(s).withColumn("tokens", O.estimate_tokens(F.length("content"), F.lit(4096)))
+
+
+@query(f"WITH {_ITEMS} SELECT doc_id, section_no, record_type, item_id FROM sized")
+def work_items(spark, sf_dir):
+    return _items(spark, sf_dir).select("doc_id", "section_no", "record_type", "item_id")
+
+
+@query(f"WITH {_ITEMS} SELECT item_id, section_no, substr(sha256(item_id || chr(10) || content || chr(10) || 'v1'), 1, 12) AS fp FROM sized")
+def work_fingerprint(spark, sf_dir):
+    return _items(spark, sf_dir).select("item_id", "section_no", O.fingerprint(F.col("item_id"), F.col("content"), F.lit("v1")).alias("fp"))
+
+
+_RULES = [
+    {"record_types": ["alarm_definition", "spec_value"], "model": "gpt-4.1-mini"},
+    {"section_types": ["safety", "troubleshooting"], "min_tokens": 4150, "model": "gpt-4.1"},
+    {"max_tokens": 4110, "model": "gpt-4o-mini"},
+]
+
+
+@query(f"""WITH {_ITEMS} SELECT section_no, item_id, tokens, CASE WHEN record_type IN ('alarm_definition', 'spec_value') THEN 'gpt-4.1-mini'
+  WHEN section_type IN ('safety', 'troubleshooting') AND tokens >= 4150 THEN 'gpt-4.1' WHEN tokens <= 4110 THEN 'gpt-4o-mini' ELSE 'gpt-4o' END AS model FROM sized""")
+def model_routing(spark, sf_dir):
+    return O.route(_items(spark, sf_dir), _RULES, "gpt-4o").select("section_no", "item_id", "tokens", "model")
+
+
+@query(f"WITH {_ITEMS} SELECT doc_id, count(*) AS items, sum(tokens)::BIGINT AS tokens FROM sized GROUP BY doc_id")
+def token_estimate(spark, sf_dir):
+    return _items(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("items"), F.sum("tokens").alias("tokens"))
+
+
+def _queue(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).alias("run"), "doc_id", (F.col("n_chars") % 900 + 60).alias("tokens"))
+
+
+@query(
+    """WITH RECURSIVE queue AS (SELECT doc_id % 50 AS run, doc_id, n_chars % 900 + 60 AS tokens, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS place FROM documents),
+  packed AS (SELECT run, doc_id, tokens, place, 0::BIGINT AS chunk, 1 AS held, tokens AS total FROM queue WHERE place = 1
+    UNION ALL SELECT q.run, q.doc_id, q.tokens, q.place, CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 THEN p.chunk + 1 ELSE p.chunk END,
+      CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 THEN 1 ELSE p.held + 1 END, CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 THEN q.tokens ELSE p.total + q.tokens END
+    FROM packed p JOIN queue q ON q.run = p.run AND q.place = p.place + 1)
+  SELECT run, doc_id, tokens, chunk FROM packed"""
+)
+def batch_chunks(spark, sf_dir):
+    return O.chunks(_queue(spark, sf_dir), "run", "doc_id", most=5, budget=2000)
+
+
+@query()
+def scheduler_sim(spark, sf_dir):
+    return O.schedule(_queue(spark, sf_dir), "run", "doc_id", requests=5, budget=2000)
+
+
+@query(f"""WITH {LOG} SELECT event_id, count(*) OVER w AS requests, (sum(prompt_tokens) OVER w)::BIGINT AS tokens FROM log
+  WINDOW w AS (PARTITION BY model ORDER BY epoch_us(ts) RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW)""")
+def rolling_budget(spark, sf_dir):
+    return O.rolling_budget(log(spark, sf_dir), "model", "ts", "prompt_tokens", 3600).select("event_id", "requests", "tokens")
+
+
+_PRICED = f"""{LOG}, named AS (SELECT *, CASE event_id % 5 {' '.join(f"WHEN {n} THEN '{m}'" for n, m in enumerate(O.PRICES))} ELSE 'other' END AS price_model FROM log),
+priced AS (SELECT price_model AS model, ts::DATE AS day, run, prompt_tokens, completion_tokens, CASE price_model {' '.join(f"WHEN '{m}' THEN ((prompt_tokens * {int(a * 100)} + completion_tokens * {int(b * 100)})::DECIMAL(28,0) / 100000000)::DECIMAL(18,8)" for m, (a, b) in O.PRICES.items())} ELSE 0::DECIMAL(18,8) END AS cost FROM named)"""
+
+
+@query(f"""WITH {_PRICED}, rolled AS (SELECT grouping_id(model, day, run) AS g, model, day, run, count(*) AS requests, sum(prompt_tokens)::BIGINT AS prompt_tokens, sum(completion_tokens)::BIGINT AS completion_tokens, sum(cost)::DOUBLE AS cost
+    FROM priced GROUP BY GROUPING SETS ((), (model), (day), (run)))
+  SELECT CASE g WHEN 7 THEN 'total' WHEN 3 THEN 'model' WHEN 5 THEN 'date' ELSE 'run' END AS scope, coalesce(model, day::VARCHAR, run) AS key, requests, prompt_tokens, completion_tokens, round(cost, 6) AS cost
+  FROM rolled WHERE NOT (g = 6 AND run IS NULL)""")
+def cost_rollup(spark, sf_dir):
+    own = log(spark, sf_dir)
+    name = F.coalesce(*[F.when(F.col("event_id") % 5 == n, m) for n, m in enumerate(O.PRICES)], F.lit("other"))
+    named = own.withColumn("model", name).withColumn("day", F.to_date("ts"))
+    priced = named.withColumn("cost", O.cost(F.col("prompt_tokens"), F.col("completion_tokens"), F.col("model")))
+    return O.cost_rollup(priced).withColumn("cost", F.round(F.col("cost").cast("double"), 6))
+
+
+_STATUS = "['pending', 'in_progress', 'succeeded', 'failed', 'skipped', 'succeeded', 'succeeded'][(event_id % 7 + 1)::INTEGER]"
+
+
+def _run_items(spark, sf_dir):
+    names = F.array(*[F.lit(s) for s in ("pending", "in_progress", "succeeded", "failed", "skipped", "succeeded", "succeeded")])
+    return table(spark, sf_dir, "events").select("user_id", "event_id", F.element_at(names, (F.col("event_id") % 7 + 1).cast("int")).alias("status"))
+
+
+@query(f"""WITH items AS (SELECT user_id, event_id, {_STATUS} AS status FROM events), counts AS (SELECT user_id, count(*) FILTER (WHERE status = 'pending') AS pending,
+    count(*) FILTER (WHERE status = 'in_progress') AS in_progress, count(*) FILTER (WHERE status = 'succeeded') AS succeeded, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'skipped') AS skipped FROM items GROUP BY user_id)
+  SELECT *, CASE WHEN failed > 0 THEN 'failed' WHEN pending + in_progress > 0 THEN 'running' ELSE 'completed' END AS run_status FROM counts""")
+def run_metrics(spark, sf_dir):
+    counts = O.status_counts(_run_items(spark, sf_dir), "user_id")
+    return counts.withColumn("run_status", O.run_status(counts))
+
+
+@query(f"WITH items AS (SELECT user_id, {_STATUS} AS status FROM events) SELECT user_id, bool_and(status IN ('succeeded', 'skipped')) AS complete, count(*) AS items FROM items GROUP BY user_id")
+def doc_complete(spark, sf_dir):
+    return _run_items(spark, sf_dir).groupBy("user_id").agg(F.bool_and(F.col("status").isin("succeeded", "skipped")).alias("complete"), F.count(F.lit(1)).alias("items"))
+
+
+@query(f"""WITH items AS (SELECT user_id, event_id, {_STATUS} AS status FROM events)
+  SELECT event_id, CASE WHEN event_id % 4 = 0 OR event_id % 6 = 1 OR status = 'in_progress' THEN 'pending' ELSE status END AS status FROM items""")
+def resume_reconcile(spark, sf_dir):
+    items = _run_items(spark, sf_dir)
+    i = F.col("event_id")
+    now = items.select(i.alias("item_id"), (i * 3).cast("string").alias("fp"))
+    before = items.where(i % 4 != 0).select(i.alias("item_id"), F.when(i % 6 == 1, "changed").otherwise((i * 3).cast("string")).alias("fp"), "status")
+    return O.reconcile(now, before).select(F.col("item_id").alias("event_id"), "status")
+
+
+_RESULTS = """results AS (SELECT conv_id, turn, conv_id || '-' || turn AS custom_id, role || ' said ' || CASE (conv_id + turn) % 6 WHEN 0 THEN 'Rate limit reached' WHEN 1 THEN 'content policy' WHEN 2 THEN 'Schema invalid: x' WHEN 3 THEN 'read timeout' ELSE coalesce(text, '') END AS message,
+  CASE (conv_id + turn) % 7 WHEN 0 THEN 429 WHEN 1 THEN 408 WHEN 2 THEN 500 ELSE 200 END AS status FROM conversations)"""
+_FAILURE = """CASE WHEN status = 429 OR contains(lower(message), 'rate limit') THEN 'rate_limit' WHEN contains(lower(message), 'content policy') OR contains(lower(message), 'safety system') THEN 'content_policy'
+  WHEN contains(lower(message), 'schema invalid') OR contains(lower(message), 'did not satisfy schema') THEN 'schema_invalid' WHEN status = 408 OR contains(lower(message), 'timeout') THEN 'timeout' WHEN status IN (500, 503) THEN 'server_error' ELSE 'unknown' END"""
+
+
+def _results(spark, sf_dir):
+    n = F.col("conv_id") + F.col("turn")
+    said = F.when(n % 6 == 0, "Rate limit reached").when(n % 6 == 1, "content policy").when(n % 6 == 2, "Schema invalid: x").when(n % 6 == 3, "read timeout").otherwise(F.coalesce("text", F.lit("")))
+    status = F.when(n % 7 == 0, 429).when(n % 7 == 1, 408).when(n % 7 == 2, 500).otherwise(200)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws("-", "conv_id", "turn").alias("custom_id"), F.concat("role", F.lit(" said "), said).alias("message"), status.alias("status"))
+
+
+@query(f"WITH {_RESULTS}, judged AS (SELECT custom_id, {_FAILURE} AS error_type FROM results) SELECT custom_id, error_type, error_type IN ('rate_limit', 'timeout', 'server_error') AS retriable FROM judged")
+def failure_classes(spark, sf_dir):
+    r = _results(spark, sf_dir)
+    kind = O.failure_class(r.message, r.status)
+    return r.select("custom_id", kind.alias("error_type"), O.retriable(kind).alias("retriable"))
+
+
+@query(f"""WITH {_RESULTS} SELECT custom_id, CASE WHEN status <> 200 AND turn % 3 <> 1 THEN 'failed' WHEN turn % 2 = 0 THEN 'succeeded' ELSE 'missing' END AS outcome,
+  CASE WHEN status <> 200 AND turn % 3 <> 1 THEN {_FAILURE} END AS error_type FROM results""")
+def batch_reconcile(spark, sf_dir):
+    r = _results(spark, sf_dir)
+    failures = r.where("status <> 200 AND turn % 3 <> 1").withColumn("error_type", O.failure_class(r.message, r.status))
+    return O.settle(r.select("custom_id"), r.where("turn % 2 = 0"), failures).select("custom_id", "outcome", "error_type")
+
+
+@query("""SELECT doc_id, round((CASE WHEN doc_id % 10 <> 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN doc_id % 7 = 0 THEN 0.7::DOUBLE ELSE 1.0::DOUBLE END + greatest(0.0::DOUBLE, least(1.0::DOUBLE, (doc_id % 113)::DOUBLE * 0.97::DOUBLE / 100)) + greatest(0.0::DOUBLE, 1 - least(n_chars::DOUBLE / 7919, 1.0::DOUBLE))) / 4, 3) AS confidence,
+  round((CASE WHEN doc_id % 10 <> 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN doc_id % 7 = 0 THEN 0.7::DOUBLE ELSE 1.0::DOUBLE END + greatest(0.0::DOUBLE, least(1.0::DOUBLE, (doc_id % 113)::DOUBLE * 0.97::DOUBLE / 100)) + greatest(0.0::DOUBLE, 1 - least(n_chars::DOUBLE / 7919, 1.0::DOUBLE))) / 4, 3) < 0.75 AS flagged FROM documents""")
+def confidence_score(spark, sf_dir):
+    d = F.col("doc_id")
+    score = O.confidence(d % 10 != 0, d % 7 == 0, (d % 113).cast("double") * 0.97, F.col("n_chars").cast("double"), F.lit(7919.0))
+    return table(spark, sf_dir, "documents").select("doc_id", score.alias("confidence"), (score < 0.75).alias("flagged"))
+
+
+@query("""WITH records AS (SELECT doc_id, doc_id % 4 AS section, (doc_id * 37) % 100 / 100.0 AS confidence FROM documents)
+  SELECT section, count(*) AS flagged, min(confidence)::DOUBLE AS lowest, array_to_string(list_sort(list(doc_id)), ',') AS records FROM records WHERE confidence < 0.3 GROUP BY section""")
+def review_flags(spark, sf_dir):
+    c = (F.col("doc_id") * 37) % 100 / 100
+    low = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 4).alias("section"), c.alias("confidence")).where("confidence < 0.3")
+    return low.groupBy("section").agg(F.count(F.lit(1)).alias("flagged"), F.min("confidence").alias("lowest"), F.array_join(F.array_sort(F.collect_list("doc_id")).cast("array<string>"), ",").alias("records"))
+
+
+@query("""WITH records AS (SELECT doc_id, lang, CASE WHEN doc_id % 9 = 0 THEN '' ELSE source END AS source_doc, CASE WHEN doc_id % 8 <> 0 THEN doc_id % 5 END AS page_from, doc_id % 6 AS page_to, (doc_id % 13) / 12.0 + CASE WHEN doc_id % 17 = 0 THEN 1 ELSE 0 END AS confidence FROM documents),
+  judged AS (SELECT doc_id, lang, list_sort(list_filter([CASE WHEN NOT confidence BETWEEN 0 AND 1 THEN 'confidence' END, CASE WHEN NOT coalesce(page_from <= page_to, false) THEN 'page_order' END,
+    CASE WHEN page_from IS NULL OR page_to IS NULL THEN 'page_range' END, CASE WHEN length(source_doc) = 0 THEN 'source_doc' END], lambda e: e IS NOT NULL)) AS errors FROM records)
+  SELECT lang, count(*) AS total, count(*) FILTER (WHERE len(errors) = 0) AS valid, count(*) FILTER (WHERE len(errors) > 0) AS invalid, count(*) FILTER (WHERE list_contains(errors, 'page_order')) AS page_order FROM judged GROUP BY lang""")
+def provenance_audit(spark, sf_dir):
+    d = F.col("doc_id")
+    records = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.when(d % 9 == 0, "").otherwise(F.col("source")).alias("source_doc"), F.when(d % 8 != 0, d % 5).alias("page_from"), (d % 6).alias("page_to"), ((d % 13) / 12 + F.when(d % 17 == 0, 1).otherwise(0)).alias("confidence")
+    )
+    judged = records.withColumn("errors", O.provenance_errors(records))
+    return judged.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("total"), F.count(F.when(F.size("errors") == 0, 1)).alias("valid"), F.count(F.when(F.size("errors") > 0, 1)).alias("invalid"), F.count(F.when(F.array_contains("errors", "page_order"), 1)).alias("page_order")
+    )
+
+
+@query()
+def extract_offline(spark, sf_dir):
+    return O.run_backend(_items(spark, sf_dir).select("item_id", "content"), O.offline_rules, "item_id string, values long, severe boolean, words long")

@@ -1 +1,114 @@
-"""Queries."""
+"""Queries on topics, pages and what is published."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestack.functions import duck
+from lodestack.operators import publishing as O
+from lodestack.plans.extraction import _ITEMS, _items
+from lodestack.plans.registry import query
+from lodestack.plans.views import TITLES, pick, table
+
+_CONF = "(doc_id * 31 + section_no * 7) % 100 / 100.0"
+_TOPIC = f"""CASE WHEN section_type = 'other' AND {_CONF} < 0.8 THEN NULL {' '.join(f"WHEN section_type IN ({', '.join(repr(x) for x in s)}) AND record_type IN ({', '.join(repr(x) for x in r)}) THEN '{name}'" for name, (s, r, _) in O.TOPICS.items())} END"""
+
+
+def _topics(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    confidence = (F.col("doc_id") * 31 + F.col("section_no") * 7) % 100 / 100
+    return items.withColumn("topic", O.topic(F.col("section_type"), F.col("record_type"), confidence, F.lit(True)))
+
+
+@query(f"WITH {_ITEMS} SELECT item_id, section_no, {_TOPIC} AS topic FROM sized")
+def topic_classify(spark, sf_dir):
+    return _topics(spark, sf_dir).select("item_id", "section_no", "topic")
+
+
+@query(f"WITH {_ITEMS}, topics AS (SELECT *, {_TOPIC} AS topic FROM sized) SELECT topic, count(*) AS claims, count(DISTINCT doc_id) AS documents FROM topics WHERE topic IS NOT NULL GROUP BY topic")
+def topic_claims(spark, sf_dir):
+    return _topics(spark, sf_dir).where("topic IS NOT NULL").groupBy("topic").agg(F.count(F.lit(1)).alias("claims"), F.count_distinct("doc_id").alias("documents"))
+
+
+@query("""WITH cited AS (SELECT source, lang || '/M' || doc_id % 3 AS scope, '[Source: d' || doc_id || ', ' || CASE WHEN doc_id % 4 = 0 THEN 'p.' || (doc_id % 9 + 1) ELSE 'pp.' || (doc_id % 9 + 1) || '-' || (doc_id % 9 + 1 + doc_id % 4) END || ']' AS citation FROM documents),
+  grouped AS (SELECT source, scope, string_agg(DISTINCT citation, ' ' ORDER BY citation) AS citations FROM cited GROUP BY source, scope)
+  SELECT source, scope, sha256(citations) AS citations FROM (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM grouped) WHERE n > 1""")
+def applicability_notes(spark, sf_dir):
+    d = F.col("doc_id")
+    first, last = d % 9 + 1, d % 9 + 1 + d % 4
+    cited = table(spark, sf_dir, "documents").select(
+        "source", F.concat("lang", F.lit("/M"), d % 3).alias("scope"), F.concat(F.lit("[Source: d"), d, F.lit(", "), O.page_label(first, last), F.lit("]")).alias("citation")
+    )
+    grouped = cited.groupBy("source", "scope").agg(F.array_join(F.array_sort(F.collect_set("citation")), " ").alias("citations"))
+    several = grouped.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("source")
+    return grouped.join(several, "source", "left_semi").select("source", "scope", F.sha2("citations", 256).alias("citations"))
+
+
+@query(f"""WITH {_ITEMS}, counted AS (SELECT doc_id, record_type, count(*) AS n, count(*) FILTER (WHERE {_CONF} < 0.75) AS low FROM sized GROUP BY doc_id, record_type)
+  SELECT doc_id, string_agg(record_type || ': ' || n, ', ' ORDER BY record_type) AS records, sum(n)::BIGINT AS total, sum(low)::BIGINT AS low FROM counted GROUP BY doc_id""")
+def source_page(spark, sf_dir):
+    confidence = (F.col("doc_id") * 31 + F.col("section_no") * 7) % 100 / 100
+    counted = _items(spark, sf_dir).groupBy("doc_id", "record_type").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(confidence < 0.75, 1)).alias("low"))
+    line = F.concat("record_type", F.lit(": "), "n")
+    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("record_type", line.alias("line")))), lambda x: x["line"]), ", ")
+    return counted.groupBy("doc_id").agg(ordered.alias("records"), F.sum("n").alias("total"), F.sum("low").alias("low"))
+
+
+_PAGES_SQL = f"""staged AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'topic' WHEN 1 THEN 'source' WHEN 2 THEN 'contradiction' ELSE 'overview' END AS kind, {duck.pick(tuple(O.TOPICS), 'doc_id // 4')} AS topic,
+  {duck.pick(TITLES, 'doc_id')} AS title FROM documents),
+placed AS (SELECT doc_id, kind, title, {duck.slug('title')} || '-' || doc_id % 300 AS slug, CASE WHEN kind = 'source' THEN 'source-index' WHEN kind = 'contradiction' THEN 'contradictions'
+  WHEN kind = 'topic' THEN CASE topic {' '.join(f"WHEN '{n}' THEN '{w}'" for n, (_, _, w) in O.TOPICS.items())} END END AS folder FROM staged),
+published AS (SELECT doc_id, kind, title, slug, 'publish/' || folder || '/' || slug || '.md' AS path FROM placed WHERE folder IS NOT NULL)"""
+
+
+def _published(spark, sf_dir):
+    from lodestack.functions import strings as S
+
+    d = F.col("doc_id")
+    kind = F.when(d % 4 == 0, "topic").when(d % 4 == 1, "source").when(d % 4 == 2, "contradiction").otherwise("overview")
+    title = pick(TITLES, d)
+    pages = table(spark, sf_dir, "documents").select("doc_id", kind.alias("kind"), pick(tuple(O.TOPICS), F.floor(d / 4)).alias("topic"), title.alias("title"), F.concat(S.slug(title), F.lit("-"), d % 300).alias("slug"))
+    return O.stage(pages)
+
+
+@query(f"WITH {_PAGES_SQL} SELECT doc_id, kind, path FROM published")
+def publish_stage(spark, sf_dir):
+    return _published(spark, sf_dir).select("doc_id", "kind", "path")
+
+
+@query(f"""WITH {_PAGES_SQL}, known AS (SELECT doc_id, path, CASE WHEN doc_id % 3 = 0 THEN title ELSE slug END AS title, slug, 'k' || doc_id % 400 AS identity, list_filter(['title', CASE WHEN doc_id % 5 <> 0 THEN 'type' END, CASE WHEN doc_id % 7 <> 0 THEN 'status' END, 'generated_by'], lambda f: f IS NOT NULL) AS fields FROM published),
+  judged AS (SELECT doc_id, path, list_filter([CASE WHEN len(fields) < 4 THEN 'missing:' || array_to_string(list_filter(['status', 'type'], lambda f: NOT list_contains(fields, f)), '+') END,
+    CASE WHEN slug <> {duck.slug('title')} THEN 'slug' END, CASE WHEN path <> min(path) OVER (PARTITION BY identity) THEN 'duplicate:' || min(path) OVER (PARTITION BY identity) END], lambda e: e IS NOT NULL) AS errors FROM known)
+  SELECT doc_id, path, array_to_string(errors, ' ') AS errors FROM judged""")
+def publish_validate(spark, sf_dir):
+    d = F.col("doc_id")
+    pages = _published(spark, sf_dir).select(
+        "doc_id",
+        "path",
+        F.when(d % 3 == 0, F.col("title")).otherwise(F.col("slug")).alias("title"),
+        "slug",
+        F.concat(F.lit("k"), d % 400).alias("identity"),
+        F.array_compact(F.array(F.lit("title"), F.when(d % 5 != 0, "type"), F.when(d % 7 != 0, "status"), F.lit("generated_by"))).alias("fields"),
+    )
+    return O.validate(pages).select("doc_id", "path", F.array_join("errors", " ").alias("errors"))
+
+
+@query(f"""WITH {_PAGES_SQL}, named AS (SELECT path || '#' || doc_id AS path, doc_id FROM published), new_files AS (SELECT path, sha256(path) AS digest FROM named WHERE doc_id % 6 <> 0),
+  old_files AS (SELECT path, doc_id, CASE WHEN doc_id % 10 = 1 THEN 'x' ELSE sha256(path) END AS digest FROM named WHERE doc_id % 5 <> 0)
+  SELECT coalesce(n.path, o.path) AS path, CASE WHEN o.path IS NULL THEN 'added' WHEN n.path IS NULL THEN 'removed' WHEN n.digest <> o.digest THEN 'updated' ELSE 'unchanged' END AS change
+  FROM new_files n FULL JOIN old_files o ON n.path = o.path WHERE n.path IS NOT NULL OR o.doc_id % 4 <> 0""")
+def publish_diff(spark, sf_dir):
+    d = F.col("doc_id")
+    named = _published(spark, sf_dir).select("doc_id", F.concat("path", F.lit("#"), "doc_id").alias("path"))
+    staged = named.where(d % 6 != 0).withColumn("digest", F.sha2("path", 256))
+    target = named.where(d % 5 != 0).withColumn("digest", F.when(d % 10 == 1, "x").otherwise(F.sha2("path", 256)))
+    return O.diff(staged, target, named.where(d % 4 != 0))
+
+
+@query("""SELECT doc_id, '| a | ' || doc_id || ' |' || chr(10) || '| --- | --- |' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '|  |  |' ELSE '| ' || source || ' |  |' END AS markdown FROM documents""")
+def table_markdown(spark, sf_dir):
+    head = F.array(F.lit("a"), F.col("doc_id").cast("string"))
+    data = F.when(F.col("doc_id") % 3 == 0, F.array(head)).otherwise(F.array(head, F.array("source")))
+    return table(spark, sf_dir, "documents").select("doc_id", O.table_markdown(data).alias("markdown"))
+
+
