@@ -12,10 +12,10 @@ for linked sets of sizes a and b is at most (a + b) * (100 - percent) / (100 + p
 1. One map makes each document's set, its size, a 128-bit digest of it, its signatures and a short
    sketch. Equal sets become one class, named by its smallest doc_id.
 2. Sizes fall into bands (times BAND); a set close under a band's edge is in the next band too.
-   A band's sketch is cut into as many parts as its greatest difference allows, plus SPARE. By the
-   pigeonhole principle linked sets agree in SPARE parts at least. A signature is a 64-bit linear
-   hash of one part, which is 2^20 bits wide. Parts without shingles are left out, unless a set has
-   SPARE or more of them (else two linked sets could agree in nothing but those).
+   A band's sketch is cut into as many parts as its greatest difference allows, plus some to spare.
+   By the pigeonhole principle linked sets agree in as many parts as are spare, at least. A signature
+   is a 64-bit linear hash of one part, which is 2^20 bits wide. Parts without shingles are left out,
+   unless a set has as many of them as are spare (else linked sets could agree in nothing but those).
 3. Only signatures that two Bloom filters find repeated are shuffled. In each group of classes with
    the same signature, every class is paired with the smallest one. Pairs that sizes or sketches
    rule out go; the others are verified on the whole sets. Links give components.
@@ -82,6 +82,22 @@ def _edge(band: int) -> int:
     return int(np.ceil(BAND**band))
 
 
+@lru_cache(maxsize=4096)
+def parts_of(band: int, percent: int) -> tuple[int, int]:
+    """Parts of a band's sketches, and in how many of them linked sets agree at least.
+
+    There are SPARE more of the latter than parts that a set of the band's least size leaves empty, nearly always.
+    """
+    allowed = difference(2 * (_edge(band + 1) - 1), percent)
+    spare, least = SPARE, max(1, _edge(band) * percent // 100)
+    while True:
+        empty = (allowed + spare) * float(np.exp(-least / (allowed + spare)))
+        need = SPARE + int(np.ceil(empty + 3 * empty**0.5)) if empty > 0.01 else SPARE
+        if need <= spare or spare > least:
+            return allowed + spare, spare
+        spare = need
+
+
 def bands_of(n: int, percent: int) -> list[int]:
     band = int(np.log(n) / np.log(BAND))
     band += (n >= _edge(band + 1)) - (n < _edge(band))
@@ -92,14 +108,13 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     """One 64-bit signature for each part of the set's sketch in each of its bands."""
     found = []
     for band in bands_of(len(own), percent):
-        allowed = difference(2 * (_edge(band + 1) - 1), percent)
-        parts = allowed + SPARE
+        parts, agreeing = parts_of(band, percent)
         where = ((own >> _U(40)) % _U(parts)).astype(np.int64)
         held = np.zeros(parts, np.uint64)
         np.bitwise_xor.at(held, where, mix((own & _U(0xFFFFF)) ^ _SALTS[0]))
         empty = np.bincount(where, minlength=parts) == 0
         keys = mix(held ^ mix(np.arange(parts, dtype=np.uint64) + _U(band << 32) + _SALTS[1]))
-        found.append(keys if empty.sum() >= SPARE else keys[~empty])
+        found.append(keys if empty.sum() >= agreeing else keys[~empty])
     return np.unique(np.concatenate(found))
 
 
@@ -288,3 +303,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     out = own.select("doc_id", *same).join(placed, same, "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, of each class of near duplicates only the document with the smallest doc_id.
+
+    Rows of one doc_id count as one document and stay together; those with a null doc_id or without
+    words stay.
+    """
+    gone = near_duplicates(docs, width, percent).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_doc")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_doc"], "left_anti")
