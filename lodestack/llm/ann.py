@@ -378,7 +378,7 @@ def search(vectors: DataFrame, every: int = 20, n: int = 20, key: str = "vec_id"
     if not short.isEmpty():
         blocks = max(1, total // 5000)
         stored = rows_in.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.lit(0).alias("kind"), "id", "raw")
-        sent = short.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"), F.lit(1).alias("kind"), F.col("query_id").alias("id"), F.col("query_raw").alias("raw"))
+        sent = short.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(1).alias("kind"), F.col("query_id").alias("id"), F.col("query_raw").alias("raw"))
 
         def compare(batches):
             now, ids, raws, nearest_of = None, [], [], []
