@@ -223,3 +223,24 @@ def quality(df: DataFrame) -> DataFrame:
     )
     overall = F.col("heading_coverage") * 0.25 + F.col("table_rate") * 0.2 + F.col("text_completeness") * 0.25 + F.col("structure_depth") * 0.15 + F.col("page_coverage") * 0.15
     return scored.withColumn("overall", F.round(overall, 2))
+
+
+def markdown_items(docs: DataFrame) -> DataFrame:
+    """Items of Markdown texts (doc_id, text): paragraphs between blank lines, headings by their marks, in order."""
+    parts = F.filter(F.split("text", r"\n[ \t]*\n"), lambda p: F.length(F.trim(p)) > 0)
+    rows = docs.select("doc_id", F.posexplode(parts).alias("idx", "raw"))
+    body = S.strip(F.col("raw"))
+    marks = F.regexp_extract(body, r"^(#{1,6})\s+\S", 1)
+    return rows.select(
+        "doc_id",
+        F.col("idx").cast("long"),
+        F.when(marks != "", "section_header").otherwise("text").alias("label"),
+        F.when(marks != "", F.regexp_replace(body, r"^#{1,6}\s+", "")).otherwise(body).alias("text"),
+        F.when(marks != "", F.length(marks)).alias("level"),
+    )
+
+
+def with_provenance(procedures: DataFrame, provenance: Column) -> DataFrame:
+    """procedures with the same provenance on the record, its steps and its warnings, whatever they had before."""
+    put = lambda x: x.withField("provenance", provenance)
+    return procedures.withColumn("provenance", provenance).withColumn("steps", F.transform("steps", put)).withColumn("warnings", F.transform("warnings", put))

@@ -225,3 +225,17 @@ def html_to_items(spark, sf_dir):
     found = F.array(*[F.struct(F.lit(label).alias("label"), F.regexp_extract_all("html", F.lit(pattern)).alias("raws")) for label, pattern in kinds])
     rows = pages.select("page_id", F.explode(found).alias("kind")).select("page_id", F.col("kind.label").alias("label"), F.explode("kind.raws").alias("raw"))
     return rows.groupBy("page_id", "label").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length("raw")).alias("chars"))
+
+
+_MARKED = "CASE WHEN idx % 5 = 0 THEN '## ' || line ELSE line END || CASE WHEN idx % 3 = 2 THEN chr(10) || ' ' ELSE '' END"
+
+
+@query(f"""WITH {ITEMS}, pages_md AS (SELECT doc_id, string_agg({_MARKED}, chr(10) ORDER BY idx) AS md FROM lines WHERE trim(line) <> '' GROUP BY doc_id),
+  parts AS (SELECT doc_id, list_filter(regexp_split_to_array(md, '\\n[ \\t]*\\n'), lambda p: trim(p) <> '') AS ps FROM pages_md),
+  rows_md AS (SELECT doc_id, unnest(range(0, len(ps))) AS idx, regexp_replace(unnest(ps), '^\\s+|\\s+$', '', 'g') AS body FROM parts)
+  SELECT doc_id, idx, CASE WHEN regexp_matches(body, '^#{{1,6}}\\s+\\S') THEN 'section_header' ELSE 'text' END AS label, length(regexp_replace(body, '^#{{1,6}}\\s+', '')) AS chars FROM rows_md""")
+def markdown_items(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("idx", "line")).where(F.trim("line") != "")
+    marked = F.concat(F.when(F.col("idx") % 5 == 0, F.concat(F.lit("## "), "line")).otherwise(F.col("line")), F.when(F.col("idx") % 3 == 2, "\n ").otherwise(""))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", marked.alias("m")))), lambda x: x["m"]), "\n")
+    return O.markdown_items(lines.groupBy("doc_id").agg(whole.alias("text"))).select("doc_id", "idx", "label", F.length("text").cast("long").alias("chars"))
