@@ -58,3 +58,35 @@ def match_tables(df: DataFrame) -> DataFrame:
         return pd.DataFrame({"fixture": [pdf.fixture.iloc[0]], "expected": [int((pdf.role == "expected").sum())], "matched": [hits]})
 
     return df.groupBy("fixture").applyInPandas(match, "fixture long, expected long, matched long")
+
+
+def leaves(value: object) -> int:
+    """Values in a nested value that aren't containers."""
+    inner = value.values() if isinstance(value, dict) else value if isinstance(value, list) else None
+    return 1 if inner is None else sum(map(leaves, inner))
+
+
+def agreeing_leaves(expected: object, actual: object) -> int:
+    """Leaves of expected that actual has in the same place. Surplus items of a list count against the list, down to 0."""
+    match expected, actual:
+        case dict(), dict():
+            return sum(agreeing_leaves(expected[k], actual.get(k)) for k in expected)
+        case list(), list():
+            pairs = zip(expected, actual, strict=False)
+            return max(0, sum(agreeing_leaves(a, b) for a, b in pairs) - leaves(actual[len(expected) :]))
+        case (dict(), _) | (list(), _):
+            return 0
+    return int(expected == actual)
+
+
+def json_agreement(df: DataFrame, expected: str, actual: str) -> DataFrame:
+    """df with the leaves of the expected JSON and how many of them the actual JSON has."""
+    import json
+
+    def score(batches):
+        for batch in batches:
+            pairs = [(json.loads(a), json.loads(b)) for a, b in zip(batch[expected], batch[actual], strict=True)]
+            yield batch.assign(expected_leaves=[leaves(a) for a, _ in pairs], matched_leaves=[agreeing_leaves(a, b) for a, b in pairs])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", expected_leaves long, matched_leaves long"
+    return df.mapInPandas(score, schema)

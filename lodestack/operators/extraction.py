@@ -202,3 +202,49 @@ def offline_rules(batch: pd.DataFrame) -> pd.DataFrame:
     values = batch["content"].str.count(r"\d+(?:\.\d+)?\s?(?:mm|cm|V|A|W|Hz|kg|psi|°C)\b")
     severe = batch["content"].str.contains(r"\b(?:danger|warning|caution)\b", case=False, regex=True)
     return pd.DataFrame({"item_id": batch["item_id"], "values": values.astype("int64"), "severe": severe, "words": batch["content"].str.split().str.len().astype("int64")})
+
+
+def retry_hint(message: Column) -> Column:
+    """Seconds that an error message asks to wait, 0 if none."""
+    m = F.lower(message)
+    pattern = r"try again in ([0-9]+(?:\.[0-9]+)?)\s*(ms|s)\b"
+    value = F.regexp_extract(m, pattern, 1)
+    return F.when(value == "", 0.0).otherwise(F.try_to_number(value, F.lit("9999999999.999999")).cast("double") / F.when(F.regexp_extract(m, pattern, 2) == "ms", 1000.0).otherwise(1.0))
+
+
+def transient(message: Column, status: Column) -> Column:
+    """Whether an error may pass by itself."""
+    m = F.lower(message)
+    return status.isin(429, 500, 503) | F.contains(m, F.lit("timeout")) | F.contains(m, F.lit("temporarily unavailable")) | F.contains(m, F.lit("rate limit"))
+
+
+def file_name(x: Column) -> Column:
+    """A name for files: everything but letters, digits, - and _ becomes -."""
+    return F.regexp_replace(x, r"[^\p{L}\p{N}_-]", "-")
+
+
+def nullable_schema(schema: object) -> object:
+    """A JSON schema in which all properties are required, and those that weren't may be null."""
+
+    def or_null(own: object) -> object:
+        if not isinstance(own, dict):
+            return own
+        kinds = own.get("type")
+        if kinds is not None:
+            listed = [kinds] if isinstance(kinds, str) else list(kinds)
+            return own if "null" in listed else own | {"type": [*listed, "null"]}
+        options = own.get("anyOf")
+        if isinstance(options, list) and {"type": "null"} not in [{"type": o.get("type")} for o in options if isinstance(o, dict)]:
+            return own | {"anyOf": [*options, {"type": "null"}]}
+        return own
+
+    if isinstance(schema, list):
+        return [nullable_schema(x) for x in schema]
+    if not isinstance(schema, dict):
+        return schema
+    out = {k: nullable_schema(v) for k, v in schema.items()}
+    if isinstance(out.get("properties"), dict):
+        needed = set(out.get("required") or ())
+        out["properties"] = {k: v if k in needed else or_null(v) for k, v in out["properties"].items()}
+        out["required"] = list(out["properties"])
+    return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lodestack.functions import strings as S
 
@@ -75,3 +76,42 @@ def diff(staged: DataFrame, target: DataFrame, listed: DataFrame) -> DataFrame:
     both = a.join(b, "path", "full_outer").join(known, "path", "left")
     change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), F.when(F.col("listed"), "removed")).when(F.col("new") != F.col("old"), "updated").otherwise("unchanged")
     return both.withColumn("change", change).where(F.col("change").isNotNull()).select("path", "change")
+
+
+CITATION = "[Source:"
+
+
+def cited_lines(texts: DataFrame) -> DataFrame:
+    """Of texts (doc_id, text) the lines that cite a source, in order: doc_id, place, line.
+
+    A line that starts with a citation ends the line before it; a line without one stays only if such a line follows.
+    """
+    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("idx", "raw")).where(F.trim("raw") != "")
+    w = Window.partitionBy("doc_id").orderBy("idx")
+    own = lines.withColumn("tail", F.startswith(F.trim("raw"), F.lit(CITATION)))
+    own = own.withColumns({"first": F.row_number().over(w) == 1, "followed": F.coalesce(F.lead("tail").over(w), F.lit(False))})
+    heads = (~F.col("tail") | F.col("first")) & (F.contains("raw", F.lit(CITATION)) | F.col("followed"))
+    kept = own.withColumn("head", heads).where("head OR tail").withColumn("place", F.sum(F.when(F.col("head"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = F.array_sort(F.collect_list(F.struct("idx", F.when(F.col("head"), F.rtrim("raw")).otherwise(F.trim("raw")).alias("part"))))
+    return kept.groupBy("doc_id", "place").agg(F.array_join(F.transform(parts, lambda p: p["part"]), " ").alias("line"))
+
+
+def low_confidence(records: DataFrame, flags: DataFrame, key: str, usual: float = 0.75) -> DataFrame:
+    """records under their key's threshold: the least positive min_confidence of its flags, or the usual one."""
+    limits = flags.where("min_confidence > 0").groupBy(key).agg(F.min("min_confidence").alias("limit"))
+    return records.join(limits, key, "left").where(F.col("confidence") < F.coalesce("limit", F.lit(usual))).drop("limit")
+
+
+def notes_of_records(candidates: DataFrame, records: DataFrame) -> DataFrame:
+    """Candidates (claim_id) whose claim is one of the records (record_id) or a part of one, by equality of the id's head."""
+    return candidates.withColumn("record_id", F.substring_index("claim_id", "::", 1)).join(records.select("record_id").distinct(), "record_id", "left_semi")
+
+
+def tags(manufacturer: Column, family: Column, digest_type: Column) -> Column:
+    own = F.array(S.slug(manufacturer), S.slug(family), digest_type, F.when(digest_type == "controller", "controller-family"))
+    return F.array_sort(F.array_distinct(F.array_compact(own)))
+
+
+def first_sources(rows: DataFrame, order: str) -> DataFrame:
+    """The first row of each (doc_id, locator)."""
+    return rows.groupBy("doc_id", "locator").agg(F.min_by(F.struct(*rows.columns), order).alias("r")).select("r.*")

@@ -41,3 +41,9 @@ def eval_parser(spark, sf_dir):
     cells = F.slice(F.split("text", " "), 1, 4)
     rows = table(spark, sf_dir, "documents").select((d % 20).alias("fixture"), F.when(d % 2 == 0, "expected").otherwise("actual").alias("role"), d.alias("ordinal"), (d % 3).alias("rows"), (d % 2 * 0 + 2).alias("columns"), cells.alias("cells"))
     return O.match_tables(rows)
+
+
+@query()
+def eval_fields(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("props").alias("expected"), F.when(F.col("event_id") % 3 == 0, F.lit('{"k": 0}')).otherwise(F.col("props")).alias("actual"))
+    return O.json_agreement(rows, "expected", "actual").select("event_id", "expected_leaves", "matched_leaves")

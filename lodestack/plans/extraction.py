@@ -188,3 +188,29 @@ def provenance_audit(spark, sf_dir):
 @query()
 def extract_offline(spark, sf_dir):
     return O.run_backend(_items(spark, sf_dir).select("item_id", "content"), O.offline_rules, "item_id string, values long, severe boolean, words long")
+
+
+_MESSAGES = "CASE event_id % 4 WHEN 0 THEN 'Rate limit: TRY AGAIN in ' || (event_id % 90) || '.5s please' WHEN 1 THEN 'try again in ' || event_id % 700 || ' ms' WHEN 2 THEN 'Temporarily unavailable' ELSE 'bad ' || event_type END"
+
+
+def _messages():
+    e = F.col("event_id")
+    return (
+        F.when(e % 4 == 0, F.concat(F.lit("Rate limit: TRY AGAIN in "), e % 90, F.lit(".5s please")))
+        .when(e % 4 == 1, F.concat(F.lit("try again in "), e % 700, F.lit(" ms")))
+        .when(e % 4 == 2, "Temporarily unavailable")
+        .otherwise(F.concat(F.lit("bad "), "event_type"))
+    )
+
+
+@query(f"""WITH m AS (SELECT event_id, lower({_MESSAGES}) AS m FROM events)
+  SELECT event_id, CASE WHEN regexp_extract(m, 'try again in ([0-9]+(?:\\.[0-9]+)?)\\s*(ms|s)\\b', 1) = '' THEN 0.0::DOUBLE ELSE regexp_extract(m, 'try again in ([0-9]+(?:\\.[0-9]+)?)\\s*(ms|s)\\b', 1)::DOUBLE / CASE WHEN regexp_extract(m, 'try again in ([0-9]+(?:\\.[0-9]+)?)\\s*(ms|s)\\b', 2) = 'ms' THEN 1000 ELSE 1 END END AS wait,
+    event_id % 7 = 0 OR contains(m, 'timeout') OR contains(m, 'temporarily unavailable') OR contains(m, 'rate limit') AS transient FROM m""")
+def retry_hints(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("m", _messages())
+    return events.select("event_id", O.retry_hint(F.col("m")).alias("wait"), O.transient(F.col("m"), F.when(F.col("event_id") % 7 == 0, 503).otherwise(400)).alias("transient"))
+
+
+@query("SELECT doc_id, regexp_replace(substr(text, 1, 40), '[^\\p{L}\\p{N}_-]', '-', 'g') AS name FROM documents")
+def log_names(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", O.file_name(F.substring("text", 1, 40)).alias("name"))

@@ -112,3 +112,60 @@ def table_markdown(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", O.table_markdown(data).alias("markdown"))
 
 
+
+
+_CITE = "CASE idx % 5 WHEN 1 THEN '[Source: d' || doc_id || ', p.1] x' WHEN 3 THEN line || ' [Source: d2, p.3]' ELSE line END"
+
+
+@query(f"""WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL), lines AS (SELECT doc_id, unnest(range(0, len(parts))) AS idx, unnest(parts) AS line FROM split),
+  cited AS (SELECT doc_id, idx, {_CITE} AS raw FROM lines), solid AS (SELECT *, starts_with(trim(raw), '[Source:') AS tail FROM cited WHERE trim(raw) <> ''),
+  seen AS (SELECT *, row_number() OVER w = 1 AS is_first, coalesce(lead(tail) OVER w, false) AS followed FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY idx)),
+  heads AS (SELECT *, (NOT tail OR is_first) AND (contains(raw, '[Source:') OR followed) AS head FROM seen),
+  placed AS (SELECT *, sum(CASE WHEN head THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx ROWS UNBOUNDED PRECEDING)::BIGINT AS place FROM heads WHERE head OR tail)
+  SELECT doc_id, place, sha256(string_agg(CASE WHEN head THEN rtrim(raw) ELSE trim(raw) END, ' ' ORDER BY idx)) AS line FROM placed GROUP BY doc_id, place""")
+def cited_lines(spark, sf_dir):
+    n = F.col("idx") % 5
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("idx", "line"))
+    raw = F.when(n == 1, F.concat(F.lit("[Source: d"), "doc_id", F.lit(", p.1] x"))).when(n == 3, F.concat("line", F.lit(" [Source: d2, p.3]"))).otherwise(F.col("line"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", raw.alias("raw")))), lambda x: x["raw"]), "\n")
+    return O.cited_lines(lines.groupBy("doc_id").agg(whole.alias("text"))).withColumn("line", F.sha2("line", 256))
+
+
+@query("""WITH records AS (SELECT doc_id, source, (doc_id * 37) % 100 / 100.0 AS confidence FROM documents), limits AS (SELECT source, min((doc_id % 9) / 10.0) AS lim FROM documents WHERE doc_id % 40 = 3 AND doc_id % 9 > 0 GROUP BY source)
+  SELECT doc_id, records.source FROM records LEFT JOIN limits ON records.source = limits.source WHERE confidence < coalesce(lim, 0.75)""")
+def low_confidence(spark, sf_dir):
+    d = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents")
+    records = docs.select("doc_id", "source", ((d * 37) % 100 / 100).alias("confidence"))
+    return O.low_confidence(records, docs.where(d % 40 == 3).select("source", (d % 9 / 10).alias("min_confidence")), "source").select("doc_id", "source")
+
+
+@query("""WITH c AS (SELECT event_id, 'r' || event_id % 3000 || CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '::step-001' ELSE '::warning-002' END AS claim_id FROM events), r AS (SELECT 'r' || doc_id AS record_id FROM documents WHERE doc_id % 2 = 0)
+  SELECT event_id, claim_id FROM c WHERE string_split(claim_id, '::')[1] IN (SELECT record_id FROM r)""")
+def note_matches(spark, sf_dir):
+    e = F.col("event_id")
+    part = F.when(e % 3 == 0, "").when(e % 3 == 1, "::step-001").otherwise("::warning-002")
+    candidates = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("r"), e % 3000, part).alias("claim_id"))
+    records = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.concat(F.lit("r"), "doc_id").alias("record_id"))
+    return O.notes_of_records(candidates, records).select("event_id", "claim_id")
+
+
+_DIGESTS = ("workflow-guidance", "fault-code", "controller", "symptom")
+
+
+@query(f"""WITH d AS (SELECT doc_id, {duck.slug('source')} AS a, {duck.slug('lang')} AS b, {duck.pick(_DIGESTS, 'doc_id')} AS c FROM documents)
+  SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter([a, b, c, CASE WHEN c = 'controller' THEN 'controller-family' END], lambda t: t IS NOT NULL))), ',') AS tags FROM d""")
+def digest_tags(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.array_join(O.tags(docs.source, docs.lang, pick(_DIGESTS, docs.doc_id)), ",").alias("tags"))
+
+
+@query("SELECT user_id AS doc_id, event_type AS locator, min(event_id) AS first_event FROM events GROUP BY user_id, event_type")
+def source_documents(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.col("event_type").alias("locator"), F.col("event_id").alias("first_event"))
+    return O.first_sources(rows, "first_event")
+
+
+@query("SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 20")
+def latest_runs(spark, sf_dir):
+    return table(spark, sf_dir, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(20).select("event_id", "user_id", "event_type")

@@ -125,3 +125,17 @@ def test_table_matches_are_one_to_one(spark):
 def test_pages_without_a_place_are_not_staged(spark):
     df = spark.createDataFrame([("topic", "specifications", "a"), ("overview", None, "b"), ("topic", "other", "c"), ("source", None, "d")], "kind string, topic string, slug string")
     assert sorted(r.path for r in publishing.stage(df).collect()) == ["publish/controller/a.md", "publish/source-index/d.md"]
+
+
+def test_leaves_that_agree():
+    want = {"a": 1, "b": [1, {"c": 2}], "d": {"e": None}}
+    assert evaluation.leaves(want) == 4 and evaluation.agreeing_leaves(want, want) == 4
+    assert evaluation.agreeing_leaves(want, {"a": 1, "b": [1, {"c": 2}, 5, 6], "d": 3}) == 1
+    assert evaluation.agreeing_leaves([1], [1, 2, 3]) == 0 and evaluation.agreeing_leaves({}, []) == 0
+
+
+def test_optional_properties_become_nullable():
+    own = {"type": "object", "required": ["a"], "properties": {"a": {"type": "string"}, "b": {"type": "integer"}, "c": {"anyOf": [{"type": "string"}]}, "d": {"type": ["string", "null"]}}}
+    got = extraction.nullable_schema(own)
+    assert got["required"] == ["a", "b", "c", "d"] and got["properties"]["a"] == {"type": "string"} and got["properties"]["b"]["type"] == ["integer", "null"]
+    assert got["properties"]["c"]["anyOf"][-1] == {"type": "null"} and got["properties"]["d"] == own["properties"]["d"] and own["required"] == ["a"]
