@@ -109,10 +109,17 @@ def schedule(items: DataFrame, group: str, order: str, requests: int, budget: in
 
 
 def rolling_budget(log: DataFrame, key: str, ts: str, tokens: str, seconds: int) -> DataFrame:
-    """log with the requests and tokens of the last ``seconds``, half open: what is exactly as old has expired."""
+    """log with the requests and tokens of the last ``seconds``, half open: what is exactly as old has expired.
+
+    Time is cut into spans of that length; a row is needed in its own span and, for others to look back at,
+    in the next. So the window's groups are as large as one key's rows of two spans, however long the log is.
+    """
+    width = seconds * 1_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy(micros).rangeBetween(-seconds * 1_000_000 + 1, 0)
-    return log.withColumns({"requests": F.count(F.lit(1)).over(w), "tokens": F.sum(tokens).over(w)})
+    span = F.floor(micros / width)
+    spread = log.withColumns({"_at": micros, "_own": span}).withColumn("_span", F.explode(F.array("_own", F.col("_own") + 1)))
+    w = Window.partitionBy(key, "_span").orderBy("_at").rangeBetween(-width + 1, 0)
+    return spread.withColumns({"requests": F.count(F.lit(1)).over(w), "tokens": F.sum(tokens).over(w)}).where("_span = _own").drop("_at", "_own", "_span")
 
 
 def failure_class(message: Column, status: Column) -> Column:
