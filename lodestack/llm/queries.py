@@ -74,4 +74,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup)}
-ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op3_jaccard_join": jaccard_join.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL}

@@ -70,7 +70,7 @@ def test_documents_are_repeated(spark, edge):
     assert mixing.repeat_documents(some, mixed).columns == edge.columns
 
 
-@pytest.mark.parametrize("name", ["op2_line_dedup", "op7_mixing", "op10_substring_dedup"])
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op3_jaccard_join", "op7_mixing", "op10_substring_dedup"])
 def test_query_equals_sql(spark, data, duck, name):
     from lodestack.llm import queries
 
