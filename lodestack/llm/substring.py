@@ -22,26 +22,29 @@ lies within a window, equal windows hold equal symbols there, whatever surrounds
 Scale: shuffled are the suspected windows and, once, the texts. The tasks' buffers are bounded by
 HELD windows; with more, a task answers for as many at a time.
 
-Defined cases: a null or empty text has no words and stays empty. Repeated rows of one doc_id don't
-remove each other. A null doc_id takes no part: it keeps all words and removes none. Documents
+Defined cases: a null or empty text has no words and stays empty. Rows of one doc_id, equal or
+not, don't remove each other. A null doc_id takes no part: it keeps all words and removes none. Documents
 shorter than a window stay whole. An empty table gives no rows. Columns n_words and n_removed of the
 input are replaced.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lodestack.llm.twice_seen import twice_seen
 from lodestack.llm.words import _power_tables, hashed_words, mix, text_buffers, word_spans
 from lodestack.session import materialize
 
 #: Suspected windows that a task holds before it sends them.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Bytes of text for a key, about; it sizes the filters.
 BYTES_PER_KEY = 24
 _U = np.uint64
@@ -135,70 +138,67 @@ def _documents(batch: pa.RecordBatch, width: int):
 
 
 def _repeated(docs: DataFrame, width: int) -> DataFrame:
-    """doc, first and many: stretches of starts of repeated windows, for each document."""
+    """doc, own, first and many: stretches of starts of repeated windows, for each document and CRC-32 of its text."""
 
     def keys(batches):
         for batch in batches:
             for rows, _, _, found, _, _ in _documents(batch, width):
-                edges = np.flatnonzero(np.concatenate([[True], (found[1:] != found[:-1]) | (rows[1:] != rows[:-1])])) if len(found) else []
-                both = np.stack([rows[edges].astype(np.uint64), found[edges]], axis=1) if len(found) else np.zeros((0, 2), np.uint64)
-                order = np.lexsort((both[:, 1], both[:, 0]))
-                both = both[order]
-                fresh = np.concatenate([[True], (both[1:] != both[:-1]).any(axis=1)]) if len(both) else np.zeros(0, bool)
-                yield pa.RecordBatch.from_arrays([pa.array(both[fresh, 1].view(np.int64))], names=["k1"])
+                order = np.lexsort((found, rows))
+                rows, found = rows[order], found[order]
+                yield found[np.concatenate([[True], (found[1:] != found[:-1]) | (rows[1:] != rows[:-1])])] if len(found) else found, None
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    seen = docs.sparkSession.sparkContext.broadcast(twice_seen(docs.mapInArrow(keys, "k1 long"), size // BYTES_PER_KEY))
+    seen = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, size // BYTES_PER_KEY, keys_of=keys))
 
     def ask(batches):
         held: list[tuple[np.ndarray, ...]] = []
         count = 0
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy()
+            data, at = text_buffers(batch.column(1))
+            sums = np.array([zlib.crc32(data[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], np.uint32).view(np.int32)
             for rows, begin, starts, found, spans, words in _documents(batch, width):
                 some = seen.value.holds(found)
                 starts, begin = starts[some], begin[some]
                 name = spans.hashes(starts, starts + width)
                 other = Spans(mix(words + _OTHER)).hashes(starts, starts + width).view(np.int64).astype(np.int32)
-                held.append((name.view(np.int64), other, ids[rows[some]], starts - begin))
+                held.append((name.view(np.int64), other, ids[rows[some]], starts - begin, sums[rows[some]]))
                 count += len(starts)
                 if count >= HELD:
                     yield from _answers(held)
                     held, count = [], 0
         yield from _answers(held)
 
-    schema = "h long, x int, doc long, first int, many int, sure boolean"
+    schema = "h long, x int, doc long, own int, first int, many int, sure boolean"
     asked = docs.mapInArrow(ask, schema).repartition("h", "x")
-    from pyspark.sql.window import Window
-
     least = F.min("doc").over(Window.partitionBy("h", "x"))
-    return asked.withColumn("least", least).where(F.col("sure") | (F.col("doc") > F.col("least"))).select("doc", "first", "many")
+    return asked.withColumn("least", least).where(F.col("sure") | (F.col("doc") > F.col("least"))).select("doc", "own", "first", "many")
 
 
 def _answers(held: list[tuple[np.ndarray, ...]]):
     """Rows that ask (a window, the smallest doc of this task that has it), and stretches that are sure to be repeats."""
     if not held or not sum(len(x[0]) for x in held):
         return
-    name, other, doc, first = (np.concatenate([x[k] for x in held]) for k in range(4))
+    name, other, doc, first, own = (np.concatenate([x[k] for x in held]) for k in range(5))
     order = np.lexsort((doc, other, name))
-    name, other, doc, first = name[order], other[order], doc[order], first[order]
+    name, other, doc, first, own = name[order], other[order], doc[order], first[order], own[order]
     heads = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (other[1:] != other[:-1])]))
     least = np.repeat(doc[heads], np.diff(np.concatenate([heads, [len(doc)]])))
     sure = doc > least
-    names = ["h", "x", "doc", "first", "many", "sure"]
+    names = ["h", "x", "doc", "own", "first", "many", "sure"]
     a = ~sure
     n = int(a.sum())
-    yield pa.RecordBatch.from_arrays([pa.array(name[a]), pa.array(other[a]), pa.array(doc[a]), pa.array(first[a].astype(np.int32)), pa.array(np.ones(n, np.int32)), pa.array(np.zeros(n, bool))], names=names)
-    doc, first = doc[sure], first[sure]
+    yield pa.RecordBatch.from_arrays([pa.array(name[a]), pa.array(other[a]), pa.array(doc[a]), pa.array(own[a]), pa.array(first[a].astype(np.int32)), pa.array(np.ones(n, np.int32)), pa.array(np.zeros(n, bool))], names=names)
+    doc, first, own = doc[sure], first[sure], own[sure]
     if not len(doc):
         return
-    order = np.lexsort((first, doc))
-    doc, first = doc[order], first[order]
-    heads = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (first[1:] > first[:-1] + 1)]))
+    order = np.lexsort((first, own, doc))
+    doc, first, own = doc[order], first[order], own[order]
+    heads = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (own[1:] != own[:-1]) | (first[1:] > first[:-1] + 1)]))
     ends = np.concatenate([heads[1:], [len(doc)]]) - 1
     many = first[ends] - first[heads] + 1
     spread = mix(doc[heads].astype(np.uint64) ^ mix(first[heads].astype(np.uint64))).view(np.int64)  # dealt evenly, with no group to meet
-    yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(np.full(len(heads), -1, np.int32)), pa.array(doc[heads]), pa.array(first[heads].astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(np.ones(len(heads), bool))], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(np.full(len(heads), -1, np.int32)), pa.array(doc[heads]), pa.array(own[heads]), pa.array(first[heads].astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(np.ones(len(heads), bool))], names=names)
 
 
 def dedup_substrings(docs: DataFrame, width: int = 13) -> DataFrame:
@@ -207,10 +207,12 @@ def dedup_substrings(docs: DataFrame, width: int = 13) -> DataFrame:
     A text that loses nothing is joined by single spaces too.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lists = _repeated(plain, width).groupBy("doc").agg(F.collect_list("first").alias("lost_first"), F.collect_list("many").alias("lost_many"))
-    lost = materialize(lists.withColumnRenamed("doc", "lost_doc"), "substrings")
+    lists = _repeated(plain, width).groupBy("doc", "own").agg(F.collect_list("first").alias("lost_first"), F.collect_list("many").alias("lost_many"))
+    lost = materialize(lists.withColumnsRenamed({"doc": "lost_doc", "own": "lost_own"}), "substrings")
     kept = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    met = docs.select(*kept).join(lost, docs["doc_id"].cast("long") == lost["lost_doc"], "left").drop("lost_doc")
+    text_sum = F.crc32(docs["text"].cast("string").cast("binary"))
+    same = (docs["doc_id"].cast("long") == lost["lost_doc"]) & (text_sum == F.pmod(lost["lost_own"].cast("long"), F.lit(1 << 32)))
+    met = docs.select(*kept).join(lost, same, "left").drop("lost_doc", "lost_own")
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def rows(batches):

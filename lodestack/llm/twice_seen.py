@@ -4,13 +4,14 @@ A key is a 64-bit hash in column k1, or a 128-bit one in k1 and k2. Each task fi
 its rows; filters are merged piece by piece (a key that is in two tasks' once-seen filters is in the
 merged twice-seen one). Keys that occur once mostly fail the twice-seen filter; no key that repeats does.
 
-The filters have BITS_PER_KEY bits a key, up to MAX_BITS (16 MB packed, and 256 MB unpacked in the
-task that fills it). With more keys they use fewer probes and let more through, which costs what
+The filters have BITS_PER_KEY bits a key, up to MAX_BITS (16 MB). With more keys they use fewer probes and let more through, which costs what
 follows but changes no result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,62 +49,74 @@ class TwiceSeen:
     def holds(self, k1: np.ndarray, k2: np.ndarray | None = None) -> np.ndarray:
         """False only for keys that were not seen twice."""
         where = self.shape.places(k1, k2)
-        return ((self.packed[where >> 3] >> (7 - (where & 7)).astype(np.uint8)) & 1).astype(bool).all(axis=0)
+        return ((self.packed[where >> 3] & _bit(where)) != 0).all(axis=0)
 
 
-def _encoded(bits: np.ndarray) -> bytes:
-    """A piece as gaps between its positions where these are short, else as a bitmap."""
-    gaps = np.diff(np.flatnonzero(bits), prepend=0)
-    if 2 * len(gaps) < len(bits) // 8 and (not len(gaps) or gaps.max() < 1 << 16):
-        return b"g" + gaps.astype("<u2").tobytes()
-    return b"b" + np.packbits(bits).tobytes()
+def _encoded(packed: np.ndarray) -> bytes:
+    """A packed piece as gaps between its positions where these are short, else as it is."""
+    if int(np.bitwise_count(packed).sum()) * 2 < len(packed):
+        gaps = np.diff(np.flatnonzero(np.unpackbits(packed)), prepend=0)
+        if not len(gaps) or gaps.max() < 1 << 16:
+            return b"g" + gaps.astype("<u2").tobytes()
+    return b"b" + packed.tobytes()
 
 
 def _decoded(raw: bytes, size: int) -> np.ndarray:
     if raw[:1] == b"b":
-        return np.unpackbits(np.frombuffer(raw, np.uint8, offset=1)).astype(bool)
+        return np.frombuffer(raw, np.uint8, offset=1)
     bits = np.zeros(size, bool)
     bits[np.cumsum(np.frombuffer(raw, "<u2", offset=1).astype(np.int64))] = True
-    return bits
+    return np.packbits(bits)
+
+
+def _bit(where: np.ndarray) -> np.ndarray:
+    return np.uint8(128) >> (where & 7).astype(np.uint8)
 
 
 class _Pair:
-    """Bits of keys seen once or more, and of keys seen twice or more."""
+    """Packed bits of keys seen once or more, and of keys seen twice or more."""
 
     def __init__(self, size: int) -> None:
-        self.once, self.twice = np.zeros(size, bool), np.zeros(size, bool)
+        self.once, self.twice = np.zeros(size // 8, np.uint8), np.zeros(size // 8, np.uint8)
 
     def merge(self, once: np.ndarray, twice: np.ndarray) -> None:
         self.twice |= twice | (self.once & once)
         self.once |= once
 
     def add(self, where: np.ndarray, k1: np.ndarray) -> None:
-        again = self.once[where].all(axis=0)  # all their bits are set already
+        again = ((self.once[where >> 3] & _bit(where)) != 0).all(axis=0)  # all their bits are set already
         _, first, counts = np.unique(k1, return_index=True, return_counts=True)
         again[first[counts > 1]] = True  # and those that repeat in these rows
-        self.twice[where[:, again].ravel()] = True
-        self.once[where.ravel()] = True
+        some = where[:, again].ravel()
+        np.bitwise_or.at(self.twice, some >> 3, _bit(some))
+        where = where.ravel()
+        np.bitwise_or.at(self.once, where >> 3, _bit(where))
 
 
 def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray | None]:
     return batch.column("k1").to_numpy(), batch.column("k2").to_numpy() if "k2" in batch.schema.names else None
 
 
-def twice_seen(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> TwiceSeen:
-    """The twice-seen filter of a table of about n keys."""
+def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    return map(_columns, batches)
+
+
+def twice_seen(rows: DataFrame, n: int, max_bits: int = MAX_BITS, keys_of: Callable = _table_keys) -> TwiceSeen:
+    """The twice-seen filter of about n keys, those that ``keys_of`` yields from batches of rows as (k1, k2 or None)."""
     shape = Shape(n, max_bits)
     bits, piece = shape.bits, min(PIECE, shape.bits)
 
     def fill(batches):
         own = None
-        for batch in batches:
+        for k1, k2 in keys_of(batches):
             own = own or _Pair(bits)
-            k1, k2 = _columns(batch)
-            own.add(shape.places(k1, k2), k1)
-        for at in range(0, bits if own else 0, piece):
-            once = own.once[at : at + piece]
+            for at in range(0, len(k1), 1 << 18):
+                part = k1[at : at + (1 << 18)]
+                own.add(shape.places(part, None if k2 is None else k2[at : at + (1 << 18)]), part)
+        for at in range(0, bits // 8 if own else 0, piece // 8):
+            once = own.once[at : at + piece // 8]
             if once.any():
-                yield pa.RecordBatch.from_pydict({"piece": [at // piece], "once": [_encoded(once)], "twice": [_encoded(own.twice[at : at + piece])]}, schema=_ONCE)
+                yield pa.RecordBatch.from_pydict({"piece": [at * 8 // piece], "once": [_encoded(once)], "twice": [_encoded(own.twice[at : at + piece // 8])]}, schema=_ONCE)
 
     def merge(batches):
         held: dict[int, _Pair] = {}
@@ -111,9 +124,9 @@ def twice_seen(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> TwiceSeen:
             for k, once, twice in zip(*(batch.column(i) for i in range(3)), strict=True):
                 held.setdefault(k.as_py(), _Pair(piece)).merge(_decoded(once.as_py(), piece), _decoded(twice.as_py(), piece))
         for k, pair in held.items():
-            yield pa.RecordBatch.from_pydict({"piece": [k], "twice": [np.packbits(pair.twice).tobytes()]}, schema=_TWICE)
+            yield pa.RecordBatch.from_pydict({"piece": [k], "twice": [pair.twice.tobytes()]}, schema=_TWICE)
 
-    filled = keys.select(*[c for c in ("k1", "k2") if c in keys.columns]).mapInArrow(fill, "piece int, once binary, twice binary")
+    filled = rows.mapInArrow(fill, "piece int, once binary, twice binary")
     packed = np.zeros(bits // 8, np.uint8)
     for row in filled.repartition("piece").mapInArrow(merge, "piece int, twice binary").collect():  # bits / 8 bytes in all
         packed[row["piece"] * piece // 8 : (row["piece"] + 1) * piece // 8] = np.frombuffer(row["twice"], np.uint8)
@@ -125,7 +138,8 @@ def suspected(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
 
     ``keys`` is read twice, so it should be a written table, or cheap.
     """
-    seen = keys.sparkSession.sparkContext.broadcast(twice_seen(keys, n, max_bits))
+    own = keys.select(*[c for c in ("k1", "k2") if c in keys.columns])
+    seen = keys.sparkSession.sparkContext.broadcast(twice_seen(own, n, max_bits))
 
     def rows(batches):
         for batch in batches:
