@@ -12,7 +12,7 @@ all their lines, except in the document with the largest doc_id among those that
    documents and the choice of the one that keeps them.
 4. The documents meet the keys they lose by doc_id, and lose the lines.
 
-Scale: the filters have BITS_PER_KEY bits a key, up to MAX_BITS in all (16 MB, the only thing that
+Scale: the filters have BITS_PER_KEY bits a key, up to MAX_BITS in all (32 MB, the only thing that
 is broadcast). With more keys they let more through, which costs shuffle but changes no result.
 Hot keys are summed before they are shuffled, and joined by a join that splits hot keys.
 

@@ -11,8 +11,8 @@ lies within a window, equal windows hold equal symbols there, whatever surrounds
 
 1. One map finds for each window its key: of the symbols of the highest level whose context lies in
    the window, the one with the least hash (of its level, name and the words of its context); without
-   any, the hash of the whole window. Neighbouring windows share keys, so there are about four times
-   fewer keys than windows. Two Bloom filters find the keys that repeat among documents.
+   any, the hash of the whole window. Neighbouring windows share keys, so there are about half as
+   many keys as windows. Two Bloom filters find the keys that repeat among documents.
 2. A second map names the windows with such a key by 96 bits. What a task can decide from its own
    documents it decides: of the documents of a task with the same window only the smallest asks, the
    others have their answer. So a window that is in very many documents asks once for each task.
@@ -46,7 +46,7 @@ from lodestack.session import materialize
 #: Suspected windows that a task holds before it sends them.
 HELD = 1 << 20
 #: Bytes of text for a key, about; it sizes the filters.
-BYTES_PER_KEY = 24
+BYTES_PER_KEY = 12
 _U = np.uint64
 _FAR = 1 << 40
 _RUN, _PAIR, _SIDE, _KEY, _OTHER = mix(np.arange(41, 46, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))

@@ -4,7 +4,7 @@ A key is a 64-bit hash in column k1, or a 128-bit one in k1 and k2. Each task fi
 its rows; filters are merged piece by piece (a key that is in two tasks' once-seen filters is in the
 merged twice-seen one). Keys that occur once mostly fail the twice-seen filter; no key that repeats does.
 
-The filters have BITS_PER_KEY bits a key, up to MAX_BITS (16 MB). With more keys they use fewer probes and let more through, which costs what
+The filters have BITS_PER_KEY bits a key, up to MAX_BITS (32 MB). With more keys they use fewer probes and let more through, which costs what
 follows but changes no result.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from lodestack.llm.words import mix
 
 BITS_PER_KEY = 8
-MAX_BITS = 1 << 27
+MAX_BITS = 1 << 28
 #: Bits of a piece of a filter.
 PIECE = 1 << 19
 _ONCE = pa.schema([("piece", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
