@@ -9,14 +9,14 @@ A set's parity sketch has a bit for each value of a hash, flipped by each shingl
 Its Hamming distance to another sketch is at most the size of the sets' symmetric difference, which
 for linked sets of sizes a and b is at most (a + b) * (100 - percent) / (100 + percent).
 
-1. One map makes each document's set, its size, a 128-bit digest of it, its signatures and a short
-   sketch. Equal sets become one class, named by its smallest doc_id.
+1. One map makes each document's set, its size, a 128-bit digest of it and a short sketch. Equal sets
+   become one class, named by its smallest doc_id.
 2. Sizes fall into bands (times BAND); a set close under a band's edge is in the next band too.
    A band's sketch is cut into as many parts as its greatest difference allows, plus some to spare.
    By the pigeonhole principle linked sets agree in as many parts as are spare, at least. A signature
    is a 64-bit linear hash of one part, which is 2^20 bits wide. Parts without shingles are left out,
    unless a set has as many of them as are spare (else linked sets could agree in nothing but those).
-3. Only signatures that two Bloom filters find repeated are shuffled. In each group of classes with
+3. Only signatures that two Bloom filters find repeated are written and shuffled. In each group of classes with
    the same signature, every class is paired with the smallest one. Pairs that sizes or sketches
    rule out go; the others are verified on the whole sets. Links give components.
 4. Groups whose classes aren't all in one component by then are compared completely, between
@@ -35,6 +35,7 @@ Extra columns are left out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.llm.components import components
-from lodestack.llm.twice_seen import suspected
+from lodestack.llm.twice_seen import twice_seen
 from lodestack.llm.words import hashed_words, mix
 from lodestack.session import materialize
 
@@ -52,7 +53,9 @@ SPARE = 3
 BLOCK = 256
 _U = np.uint64
 _SALTS = mix(np.arange(1, 33, dtype=np.uint64) * _U(0xA0761D6478BD642F))
-SET_SCHEMA = "doc_id long, n long, s1 long, s2 long, sketch binary, signatures array<long>"
+SET_SCHEMA = "doc_id long, n long, s1 long, s2 long, sketch binary"
+#: Bytes of a short word with the space after it, about; it sizes the filters.
+BYTES_PER_WORD = 6
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -147,26 +150,74 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, sets of the rows from it on) for chunks of a batch (doc_id, text)."""
+    for first, stop, words, at in hashed_words(batch.column(1), lower=True):
+        yield first, [shingle_set(words[at[k] : at[k + 1]], width) for k in range(stop - first)]
+
+
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Size, digest and sketch of each document's set."""
+
     def rows(batches):
         for batch in batches:
-            for first, stop, words, at in hashed_words(batch.column(1), lower=True):
-                n, s1, s2, flips, keys = [], [], [], [], []
-                for k in range(stop - first):
-                    own = shingle_set(words[at[k] : at[k + 1]], width)
-                    n.append(len(own))
-                    s1.append(int(np.add.reduce(mix(own ^ _SALTS[2])).view(np.int64)) if len(own) else 0)
-                    s2.append(int(np.bitwise_xor.reduce(mix(own ^ _SALTS[3])).view(np.int64)) if len(own) else 0)
-                    flips.append(sketch(own, percent) if len(own) else b"")
-                    keys.append(signatures(own, percent).view(np.int64) if len(own) else np.zeros(0, np.int64))
-                ends = np.zeros(len(keys) + 1, np.int32)
-                np.cumsum([len(x) for x in keys], out=ends[1:])
-                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, stop - first), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(flips, pa.binary()), listed], names=["doc_id", "n", "s1", "s2", "sketch", "signatures"])
+            for first, own in _sets(batch, width):
+                n = [len(x) for x in own]
+                s1 = [int(np.add.reduce(mix(x ^ _SALTS[2])).view(np.int64)) if len(x) else 0 for x in own]
+                s2 = [int(np.bitwise_xor.reduce(mix(x ^ _SALTS[3])).view(np.int64)) if len(x) else 0 for x in own]
+                flips = [sketch(x, percent) if len(x) else b"" for x in own]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(flips, pa.binary())], names=["doc_id", "n", "s1", "s2", "sketch"])
 
     return docs.mapInArrow(rows, SET_SCHEMA)
 
 
+def _leads(least: dict[int, int], own: np.ndarray, doc: int) -> bool:
+    """Whether no copy of a set (not empty) with a smaller doc_id came before, in this task."""
+    if not len(own):
+        return False
+    digest = int(np.add.reduce(mix(own ^ _SALTS[2])))
+    if least.get(digest, doc + 1) <= doc:
+        return False
+    least[digest] = doc
+    return True
+
+
+def _repeated_signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """k1, doc and n: the documents' signatures that the filters find repeated.
+
+    Signatures are made anew from the texts for the filters and for the rows: that costs less than writing them all.
+    """
+
+    def keys(batches):
+        least: dict[int, int] = {}
+        for batch in batches:
+            for first, own in _sets(batch, width):
+                found = [signatures(x, percent) for k, x in enumerate(own) if _leads(least, x, batch.column(0)[first + k].as_py())]
+                if found:
+                    yield np.concatenate(found), None
+
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    share = difference(2 * 3 * 10**6, percent) / (2 * 10**6)  # signatures of a shingle, in the middle of a band
+    seen = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, int(size / BYTES_PER_WORD * share), keys_of=keys))
+
+    def rows(batches):
+        least: dict[int, int] = {}
+        for batch in batches:
+            for first, own in _sets(batch, width):
+                kept, ids, sizes = [], [], []
+                for k, x in enumerate(own):
+                    if _leads(least, x, batch.column(0)[first + k].as_py()):
+                        found = signatures(x, percent)
+                        found = found[seen.value.holds(found)]
+                        kept.append(found)
+                        ids.append(np.full(len(found), first + k))
+                        sizes.append(np.full(len(found), len(x)))
+                if kept:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(ids))), pa.array(np.concatenate(sizes).astype(np.int64))], names=["k1", "doc", "n"])
+
+    return docs.mapInArrow(rows, "k1 long, doc long, n long")
+
+
 def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches allow a link."""
     left = facts.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("xa"))
@@ -237,7 +288,8 @@ _SENT = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
 def _across(rows_in: DataFrame, facts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of classes with a common signature that are in different components and that sizes and sketches allow."""
-    named = rows_in.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    root_of = facts.select("doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("root"))
+    named = rows_in.join(root_of, "doc")
     mixed = named.groupBy("k1").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("held")).where("low < high").select("k1", F.ceil(F.col("held") / float(BLOCK)).cast("int").alias("blocks"))
     dealt = named.join(mixed, "k1").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -283,13 +335,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     own = materialize(sets(plain, width, percent), "sets")
     same = ["n", "s1", "s2"]
-    classes = materialize(own.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"), F.first("signatures").alias("signatures")), "classes")
+    classes = materialize(own.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch")), "classes")
     facts = classes.select("doc", "n", "sketch")
-    signed = classes.select(F.explode("signatures").alias("k1"), "doc", "n")
-    total = classes.agg(F.sum(F.size("signatures"))).first()[0] or 0
-    rows_in = materialize(suspected(signed, total), "signatures")
+    known = plain.where(F.col("doc_id").isNotNull())
+    # Copies have the signatures of their class; in joins with facts only its smallest document is left to stand for it.
+    rows_in = materialize(_repeated_signatures(known, width, percent), "signatures")
 
     groups = rows_in.groupBy("k1").agg(F.min(F.struct("doc", "n")).alias("least"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    groups = materialize(groups, "groups")  # so that the join has an exchange of its own on each side, which AQE can split at hot keys
     star = rows_in.join(groups, "k1").where("doc <> least.doc AND 100 * least(n, least.n) >= %d * greatest(n, least.n)" % percent)
     pairs = star.select(F.col("least.doc").alias("a"), F.col("doc").alias("b")).distinct()
     links = materialize(_verified(_plausible(pairs, facts, percent), plain, width, percent, "star"), "links")
