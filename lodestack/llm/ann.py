@@ -44,6 +44,8 @@ WIDTH = 3.0
 BUCKET = 100
 SAMPLE = 128
 RECALL = 0.94
+#: Stored rows of a partition, at least, if there are as many.
+HELD = 4096
 MOST_PROBES = 3000
 _U = np.uint64
 FOUND = "query_id long, vec_id long, score double"
@@ -151,7 +153,7 @@ class Nearest:
     order for each pair, so equal vectors have equal scores.
     """
 
-    HELD = 1 << 18
+    CANDIDATES = 1 << 18
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray, n: int) -> None:
         self.ids, self.matrix, self.n = ids, matrix, n
@@ -175,7 +177,7 @@ class Nearest:
                 scores = np.concatenate([(some[row[k : k + 65536]] * self.matrix[query[k : k + 65536]]).sum(axis=1) for k in range(0, len(row), 65536)])
                 self.kept.append((query, own[row], scores))
                 self.count += len(row)
-            if self.count > self.HELD + 2 * self.n * len(self.ids):
+            if self.count > self.CANDIDATES + 2 * self.n * len(self.ids):
                 self.cut()
 
     def cut(self) -> tuple[np.ndarray, ...]:
@@ -278,7 +280,8 @@ def search(vectors: DataFrame, every: int = 20, n: int = 20, key: str = "vec_id"
     rows_in = clean.where(F.col("length") == length)
     total = usual["count"] if usual else 0
     index = build(rows_in, kind, length, every, n)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A partition with few vectors would cost more in merging its finds than it saves.
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), total * index.tables // HELD))
     share = max(64, total * index.tables // (4 * parts))
 
     def indexed(batches):
@@ -368,7 +371,7 @@ def search(vectors: DataFrame, every: int = 20, n: int = 20, key: str = "vec_id"
                         nearest.meet(ids[a:b], x[a:b], longest, np.unique(who[h:e]))
                 yield nearest.batch()
 
-    met = both.repartition(parts, "part").sortWithinPartitions("kind").mapInArrow(meet, FOUND)
+    met = both.repartitionById(parts, F.col("part")).sortWithinPartitions("kind").mapInArrow(meet, FOUND)
     result = materialize(_ranked(met, n), "neighbours")
 
     # The rest: queries that found fewer than there are.
