@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodestack.llm import worker
+
 #: Labelled documents of each language that training counts, about.
 SAMPLE = 400
 #: n-grams of a profile.
@@ -121,6 +123,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score for every document, from its whole text alone."""
 
     def rows(batches):
+        worker.use("langid")
         for batch in batches:
             found = [model.predict(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
@@ -132,6 +135,7 @@ def keep_languages(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs whose text is in some language; those without a letter go."""
 
     def rows(batches):
+        worker.use("langid")
         for batch in batches:
             at = batch.schema.get_field_index("text")
             keep = pa.array([model.predict(x.as_py())[0] != UNKNOWN for x in batch.column(at)], pa.bool_())

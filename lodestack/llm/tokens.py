@@ -15,6 +15,8 @@ from functools import lru_cache
 
 import pyarrow as pa
 
+from lodestack.llm import worker
+
 #: Words kept in a worker's cache, which starts anew when it is full (about 150 bytes each).
 CACHED_WORDS = 1_000_000
 #: Longer words are encoded each time.
@@ -96,6 +98,15 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _drop() -> bool:
+    held = encoder.cache_info().currsize > 0
+    encoder.cache_clear()
+    return held
+
+
+worker.keeps("tokens", _drop)
+
+
 def encoded(column: pa.Array, path: str, end_id: int, step: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
     """(row, ids with the end id) for each text of a column; null counts as empty."""
     own, end = encoder(path), struct.pack("<I", end_id)

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from lodestack.llm import worker
+
 #: Bytes of text hashed at once; the arrays for a piece take about 60 times as much.
 PIECE = 1 << 20
 
@@ -91,6 +93,7 @@ def hashed_words(column: pa.Array, lower: bool) -> Iterator[tuple[int, int, np.n
     Yields (first row, row after the last, word hashes, offsets of the rows into them). A chunk has
     about PIECE bytes, or one longer text, which is hashed in pieces cut at white space.
     """
+    worker.use("words")
     values = _LOWERED if lower else _BYTES
     data, at = text_buffers(column)
     row, n = 0, len(at) - 1
