@@ -186,8 +186,9 @@ def _answers(held: list[tuple[np.ndarray, ...]]):
     least = np.repeat(doc[heads], np.diff(np.concatenate([heads, [len(doc)]])))
     sure = doc > least
     names = ["h", "x", "doc", "own", "first", "many", "sure"]
-    a = ~sure
-    n = int(a.sum())
+    a = np.flatnonzero(~sure)
+    a = a[np.lexsort((first[a], own[a], doc[a]))]  # in order of documents, which packs better than that of names
+    n = len(a)
     yield pa.RecordBatch.from_arrays([pa.array(name[a]), pa.array(other[a]), pa.array(doc[a]), pa.array(own[a]), pa.array(first[a].astype(np.int32)), pa.array(np.ones(n, np.int32)), pa.array(np.zeros(n, bool))], names=names)
     doc, first, own = doc[sure], first[sure], own[sure]
     if not len(doc):

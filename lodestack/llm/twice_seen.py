@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lodestack.llm import worker
 from lodestack.llm.words import mix
 
 BITS_PER_KEY = 8
@@ -53,19 +54,25 @@ class TwiceSeen:
 
 
 def _encoded(packed: np.ndarray) -> bytes:
-    """A packed piece as gaps between its positions where these are short, else as it is."""
-    if int(np.bitwise_count(packed).sum()) * 2 < len(packed):
+    """A packed piece as gaps between its positions, a byte each and 255 more for each byte 255, or as it is if that's shorter."""
+    if int(np.bitwise_count(packed).sum()) < len(packed):
         gaps = np.diff(np.flatnonzero(np.unpackbits(packed)), prepend=0)
-        if not len(gaps) or gaps.max() < 1 << 16:
-            return b"g" + gaps.astype("<u2").tobytes()
+        ends = np.cumsum(gaps // 255 + 1)
+        if len(ends) and ends[-1] < len(packed):
+            out = np.full(ends[-1], 255, np.uint8)
+            out[ends - 1] = gaps % 255
+            return b"g" + out.tobytes()
+        if not len(ends):
+            return b"g"
     return b"b" + packed.tobytes()
 
 
 def _decoded(raw: bytes, size: int) -> np.ndarray:
     if raw[:1] == b"b":
         return np.frombuffer(raw, np.uint8, offset=1)
+    steps = np.frombuffer(raw, np.uint8, offset=1)
     bits = np.zeros(size, bool)
-    bits[np.cumsum(np.frombuffer(raw, "<u2", offset=1).astype(np.int64))] = True
+    bits[np.cumsum(steps, dtype=np.int64)[steps != 255]] = True
     return np.packbits(bits)
 
 
@@ -119,6 +126,7 @@ def twice_seen(rows: DataFrame, n: int, max_bits: int = MAX_BITS, keys_of: Calla
                 yield pa.RecordBatch.from_pydict({"piece": [at * 8 // piece], "once": [_encoded(once)], "twice": [_encoded(own.twice[at : at + piece // 8])]}, schema=_ONCE)
 
     def merge(batches):
+        worker.use("twice_seen")
         held: dict[int, _Pair] = {}
         for batch in batches:
             for k, once, twice in zip(*(batch.column(i) for i in range(3)), strict=True):
