@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestack.llm import worker
 from lodestack.llm.twice_seen import MAX_BITS, suspected
 from lodestack.session import materialize
 
@@ -49,6 +50,7 @@ def line_keys(text: bytes, min_chars: int) -> list[bytes | None]:
 
 def _key_table(docs: DataFrame, min_chars: int) -> DataFrame:
     def rows(batches):
+        worker.use("line_dedup")
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             ids, digests = [], []
@@ -69,6 +71,8 @@ def lost_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits:
     keys = materialize(_key_table(docs, min_chars), "line-keys")
     some = materialize(suspected(keys, keys.count(), max_bits).distinct(), "line-suspects")
     common = some.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
+    # Written, so that the join has an exchange of its own on each side, which AQE can split at hot keys.
+    common = materialize(common, "line-common")
     lost = some.join(common, ["k1", "k2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("doc_id").agg(F.collect_list("k1").alias("k1"), F.collect_list("k2").alias("k2"))
 
