@@ -7,13 +7,15 @@ group; each further page is aligned with the wrapper, child list by child list:
 have are merged, those that one lacks become optional groups, texts that differ become slots.
 
 From the wrapper come the host's main region and its template texts:
-- the path to the article or main element, or without one to the deepest element that holds most of
-  the text that varies from page to page and isn't links;
-- texts outside such an element that are the same in at least TEMPLATE_PAGES sampled pages.
+- the path to the deepest element that holds most of the text that varies from page to page and
+  isn't links. Article and main elements are hints: the path ends at one, and within it the host's
+  articles (or main elements) count if they hold most of that text;
+- texts that are the same in at least TEMPLATE_PAGES sampled pages, within articles too.
 
-A page's text is that of its nodes on the wrapper's main path, without menus, footers, sidebars,
-notices, adverts, forms and reader comments (by element, role, or words of class and id). Pages that
-don't fit the wrapper, and those of hosts without one, are read by the same rules on their own.
+A page's text is that of its nodes on the wrapper's main path, without template texts and without
+menus, footers, sidebars, notices, adverts, forms and reader comments (by element, role, or words of
+class and id). Pages that don't fit the main path, and those of hosts without one, are read from their
+own article or main elements, or else whole.
 
 Scale: at most SAMPLE pages of a host are aligned (the least by a hash of page_id; others are cut
 off before the shuffle). A wrapper is a path and short texts, so the table of wrappers grows with
@@ -261,28 +263,27 @@ def _varying(wrapper: dict) -> float:
     return 0.0 if wrapper["dropped"] else sum(map(_varying, wrapper["kids"]))
 
 
+def _held(node: dict, articles: bool) -> float:
+    """What _varying() finds in the outermost article elements, or in main elements."""
+    if "kind" not in node or node["dropped"]:
+        return 0.0
+    if node["main"] and (node["tag"] == "article" or not articles):
+        return _varying(node)
+    return sum(_held(k, articles) for k in node["kids"])
+
+
 def summary(wrapper: dict, pages: int) -> str:
-    """What extraction needs of a wrapper, as JSON: the main path and the template texts."""
+    """What extraction needs of a wrapper, as JSON: the main path, if it is decided, which marked elements count within it, and the template texts."""
     main: list[str] = []
-
-    def seek(node: dict, path: list[str]) -> bool:
-        for kid in node["kids"]:
-            if "kind" in kid and not kid["dropped"]:
-                if kid["main"] or seek(kid, [*path, kid["kind"]]):
-                    if not main:
-                        main.extend([*path, kid["kind"]])
-                    return True
-        return False
-
-    marked = seek(wrapper, [])
-    if not marked and pages >= TEMPLATE_PAGES:
-        node, total = wrapper, _varying(wrapper)
-        while total:
-            inner = max((k for k in node["kids"] if "kind" in k and not k["dropped"] and not k["plus"] and k["tag"] != "p"), key=_varying, default=None)
-            if inner is None or _varying(inner) < MAIN_SHARE * total:
-                break
-            main.append(inner["kind"])
-            node = inner
+    total = _varying(wrapper) if pages >= TEMPLATE_PAGES else 0.0
+    node = wrapper
+    while total and not node.get("main"):
+        inner = max((k for k in node["kids"] if "kind" in k and not k["dropped"] and (k["main"] or not k["plus"]) and k["tag"] != "p"), key=_varying, default=None)
+        if inner is None or _varying(inner) < MAIN_SHARE * total:
+            break
+        main.append(inner["kind"])
+        node = inner
+    hint = next((h for h in ("article", "main") if total and _held(node, h == "article") >= MAIN_SHARE * total), "")
     template: list[str] = []
 
     def gather(node: dict) -> None:
@@ -293,15 +294,14 @@ def summary(wrapper: dict, pages: int) -> str:
             elif kid["value"] is not None and kid["pages"] >= TEMPLATE_PAGES and len(kid["value"]) <= LONGEST_TEMPLATE:
                 template.append(kid["value"])
 
-    if not marked:
-        gather(wrapper)
-    return json.dumps({"main": main, "marked": marked, "template": sorted(set(template))})
+    gather(wrapper)
+    return json.dumps({"main": main, "decided": total > 0, "hint": hint, "template": sorted(set(template))})
 
 
 @lru_cache(maxsize=1024)
-def _loaded(raw: str) -> tuple[tuple[str, ...], bool, frozenset[str]]:
+def _loaded(raw: str) -> tuple[tuple[str, ...], bool, str, frozenset[str]]:
     own = json.loads(raw)
-    return tuple(own["main"]), own["marked"], frozenset(own["template"])
+    return tuple(own["main"]), own["decided"], own["hint"], frozenset(own["template"])
 
 
 def _at_path(node: Node, path: tuple[str, ...]) -> list[Node]:
@@ -311,29 +311,29 @@ def _at_path(node: Node, path: tuple[str, ...]) -> list[Node]:
     return found
 
 
-def _marked(node: Node) -> list[Node]:
-    """The outermost article elements, or else main elements."""
+def _outermost(node: Node, articles: bool) -> list[Node]:
+    out = []
+    for k in node.kids:
+        if isinstance(k, Node) and not k.dropped:
+            if k.main and (k.tag == "article") == articles:
+                out.append(k)
+            else:
+                out.extend(_outermost(k, articles))
+    return out
 
-    def outermost(n: Node, articles: bool) -> list[Node]:
-        out = []
-        for k in n.kids:
-            if isinstance(k, Node) and not k.dropped:
-                if k.main and (k.tag == "article") == articles:
-                    out.append(k)
-                else:
-                    out.extend(outermost(k, articles))
-        return out
 
-    return outermost(node, True) or outermost(node, False)
+def _marked(node: Node) -> list[Node]:
+    """The outermost article elements, or else main elements."""
+    return _outermost(node, True) or _outermost(node, False)
 
 
 def _texts(node: Node, inside: bool, template: frozenset[str], out: list[str]) -> None:
     for k in node.kids:
         if isinstance(k, Text):
-            if inside or (k.value not in template and 2 * k.linked <= len(k.value)):
+            if k.value not in template and (inside or 2 * k.linked <= len(k.value)):
                 out.append(k.value)
         elif not k.dropped and (inside or not k.kind.startswith("header")):
-            _texts(k, inside, template, out)
+            _texts(k, inside or k.main, template, out)
 
 
 def main_text(html: str | None, wrapper: str | None = None) -> str:
@@ -341,17 +341,15 @@ def main_text(html: str | None, wrapper: str | None = None) -> str:
     if not html:
         return ""
     page = parse(html)
-    path, marked, template = _loaded(wrapper) if wrapper else ((), False, frozenset())
-    own = _marked(page)
-    nodes = own or (_at_path(page, path) if path and not marked else [])
-    if path and marked:
-        on_path = _at_path(page, path)
-        # Of marked elements, the host's own: an article inside the main path's element is within it.
-        if on_path and all(n.main for n in on_path):
-            nodes = [n for n in own if n in on_path] or [x for n in on_path for x in (_marked(n) or [n])] if len(own) > len(on_path) else own or on_path
+    path, decided, hint, template = _loaded(wrapper) if wrapper else ((), False, "", frozenset())
+    nodes = _at_path(page, path) if decided else []
+    if not nodes:
+        nodes = _marked(page)
+    elif hint:
+        nodes = [x for n in nodes for x in ([n] if n.main and (n.tag == "article") == (hint == "article") else _outermost(n, hint == "article") or [n])]
     out: list[str] = []
     for node in nodes or [page]:
-        _texts(node, bool(own), template, out)
+        _texts(node, node.main, template, out)
     return " ".join(out)
 
 

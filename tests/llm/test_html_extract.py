@@ -41,6 +41,24 @@ def test_optional_groups():
     assert H.expression(wrapper) == "<div>(<h2>a</h2>)?<p>#</p></div>"
 
 
+def marked_page(k):
+    """A teaser in an article of its own, the story without one, or in one with a box whose class says nothing."""
+    return f'<body><div class="x1"><article><h3>Teaser</h3></article></div><div class="story">{bodies(k)}</div></body>'
+
+
+def boxed_page(k):
+    box = '<div class="q7">Get the weekly letter</div>' if k != 2 else ""
+    return f"<body><article><h1>Story {k}</h1>{bodies(k)}{box}</article></body>"
+
+
+def test_wrapper_decides_on_marked_pages():
+    story = " ".join(f"Paragraph 4 {j} of the story with its own words {4 * j}." for j in range(1, 7))
+    own = H.summary(H.infer([marked_page(k) for k in range(1, 5)]), 4)
+    assert H.main_text(marked_page(4), own) == story and H.main_text(marked_page(4)) == "Teaser"
+    own = H.summary(H.infer([boxed_page(k) for k in range(1, 5)]), 4)
+    assert H.main_text(boxed_page(4), own) == f"Story 4 {story}"
+
+
 def test_table(spark):
     rows = [(k, f"http://h{k % 2}.org/{k}", page(k, bodies(k))) for k in range(8)] + [(100, None, PAGE), (101, "x", None), (102, "http://h0.org/", ""), (None, "http://z.org", PAGE), (100, None, PAGE)]
     df = spark.createDataFrame([(*r, "e", "e") for r in rows], "page_id long, url string, html string, host string, text string")
