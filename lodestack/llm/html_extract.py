@@ -2,25 +2,29 @@
 
 A page is read into a tree of block elements and text runs; inline markup leaves no trace, scripts,
 styles and comments in the markup go, and unclosed elements end where their parents do. A host's
-wrapper starts as the first sampled page. Neighbouring siblings of one kind fold into a repeated
+wrapper starts as one of its pages. Neighbouring siblings of one kind fold into a repeated
 group; each further page is aligned with the wrapper, child list by child list: elements that both
 have are merged, those that one lacks become optional groups, texts that differ become slots.
 
-From the wrapper come the host's main region and its template texts:
-- the path to the deepest element that holds most of the text that varies from page to page and
-  isn't links. Article and main elements are hints: the path ends at one, and within it the host's
+From the wrapper come the host's main regions and its template texts:
+- the paths to the deepest elements that hold most of the text that varies from page to page and
+  isn't links; there are several if elements take each other's place (layouts), and a page is read by
+  the first it has. Article and main elements are hints: a path ends at one, and within it the host's
   articles (or main elements) count if they hold most of that text;
-- texts that are the same in at least TEMPLATE_PAGES sampled pages, within articles too.
+- texts of at least TEMPLATE_PAGES different pages that are the same wherever the wrapper has them, or
+  that TEMPLATE_SHARE of the host's pages have; within articles too.
 
-A page's text is that of its nodes on the wrapper's main path, without template texts and without
-menus, footers, sidebars, notices, adverts, forms and reader comments (by element, role, or words of
-class and id). Pages that don't fit the main path, and those of hosts without one, are read from their
-own article or main elements, or else whole.
+A page's text is that of its nodes on a main path, without template texts and without menus, footers,
+sidebars, notices, adverts, forms and reader comments (by element, role, or words of class and id).
+Pages that don't fit a main path, and those of hosts with fewer than TEMPLATE_PAGES different pages,
+are read from their own article or main elements, or else whole.
 
-Scale: at most SAMPLE pages of a host are aligned (the least by a hash of page_id; others are cut
-off before the shuffle). A wrapper is a path and short texts, so the table of wrappers grows with
-the number of hosts; Spark broadcasts it only under its size threshold, else pages meet wrappers in
-a join that splits hot hosts.
+Scale: all pages are learned from. A task folds its pages into one wrapper for each host, and a host's
+wrappers of all tasks are merged, so a hot host brings as many as there are tasks. Texts are counted
+as 64-bit digests with the digest of their page, equal pages once. What extraction gets of a wrapper is
+paths and digests, so the table of wrappers grows with the number of hosts; Spark broadcasts it only
+under its size threshold, else pages meet wrappers in a join that splits hot hosts. A wrapper depends
+on the order of alignment, so odd hosts may be read otherwise if the input is split otherwise.
 
 Defined cases: null or empty html is an empty text; so is html without a body text. A null url, or
 one without a host, is the host ''. Repeated rows and equal pages are ordinary rows. A null page_id
@@ -32,17 +36,19 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+import sys
 from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestack.session import materialize
 
-SAMPLE = 8
 TEMPLATE_PAGES = 3
+#: Share of a host's pages that have a template text which isn't the same on all.
+TEMPLATE_SHARE = 0.375
 #: Share of the varying text that the main region must hold.
 MAIN_SHARE = 0.7
 LONGEST_TEMPLATE = 300
@@ -178,7 +184,7 @@ def parse(html: str) -> Node:
     return root
 
 
-# Wrappers: {"kind", "tag", "dropped", "main", "plus", "opt", "kids"} for elements, and for texts
+# Wrappers: {"kind", "tag", "dropped", "main", "pages", "plus", "opt", "kids"} for elements, and for texts
 # {"value" (None: a slot), "pages", "chars", "linked", "opt"}.
 
 
@@ -196,7 +202,7 @@ def _fold(kids: list[dict]) -> list[dict]:
 def as_wrapper(node: Node | Text) -> dict:
     if isinstance(node, Text):
         return {"value": node.value, "pages": 1, "chars": len(node.value), "linked": node.linked, "opt": False}
-    return {"kind": node.kind, "tag": node.tag, "dropped": node.dropped, "main": node.main, "plus": False, "opt": False, "kids": _fold([as_wrapper(k) for k in node.kids])}
+    return {"kind": node.kind, "tag": node.tag, "dropped": node.dropped, "main": node.main, "pages": 1, "plus": False, "opt": False, "kids": _fold([as_wrapper(k) for k in node.kids])}
 
 
 def _same(a: dict, b: dict) -> bool:
@@ -204,15 +210,16 @@ def _same(a: dict, b: dict) -> bool:
 
 
 def _merged(a: dict, b: dict, other_page: bool) -> dict:
+    pages = a["pages"] + b["pages"] if other_page else max(a["pages"], b["pages"])
     if "kind" not in a:
         return {
             "value": a["value"] if a["value"] == b["value"] else None,
-            "pages": a["pages"] + b["pages"] if other_page else max(a["pages"], b["pages"]),
+            "pages": pages,
             "chars": a["chars"] + b["chars"],
             "linked": a["linked"] + b["linked"],
             "opt": a["opt"] or b["opt"],
         }
-    return a | {"plus": a["plus"] or b["plus"], "opt": a["opt"] or b["opt"], "main": a["main"] and b["main"], "kids": _aligned(a["kids"], b["kids"], other_page)}
+    return a | {"plus": a["plus"] or b["plus"], "opt": a["opt"] or b["opt"], "main": a["main"] and b["main"], "pages": pages, "kids": _aligned(a["kids"], b["kids"], other_page)}
 
 
 def _aligned(a: list[dict], b: list[dict], other_page: bool) -> list[dict]:
@@ -272,19 +279,31 @@ def _held(node: dict, articles: bool) -> float:
     return sum(_held(k, articles) for k in node["kids"])
 
 
+def _regions(node: dict, path: list[str], whole: float) -> list[list[str]]:
+    """The paths to the main regions within an element; whole: the varying text that they stand for."""
+    chosen, pages = [], 0
+    if not node.get("main"):
+        for kid in sorted((k for k in node["kids"] if "kind" in k and not k["dropped"] and (k["main"] or not k["plus"]) and k["tag"] != "p"), key=_varying, reverse=True):
+            # One beside another that the same pages have isn't in its place.
+            if _varying(kid) and pages + kid["pages"] <= node["pages"]:
+                chosen.append((kid, _varying(kid)))
+                pages += kid["pages"]
+    held = sum(v for _, v in chosen)
+    if not chosen or held < MAIN_SHARE * whole:
+        return [path]
+    return [p for kid, v in chosen for p in _regions(kid, [*path, kid["kind"]], whole * v / held)]
+
+
+def digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def summary(wrapper: dict, pages: int) -> str:
-    """What extraction needs of a wrapper, as JSON: the main path, if it is decided, which marked elements count within it, and the template texts."""
-    main: list[str] = []
+    """What extraction needs of a wrapper, as JSON: the main paths, if they are decided, which marked elements count within them, and the template texts' digests."""
     total = _varying(wrapper) if pages >= TEMPLATE_PAGES else 0.0
-    node = wrapper
-    while total and not node.get("main"):
-        inner = max((k for k in node["kids"] if "kind" in k and not k["dropped"] and (k["main"] or not k["plus"]) and k["tag"] != "p"), key=_varying, default=None)
-        if inner is None or _varying(inner) < MAIN_SHARE * total:
-            break
-        main.append(inner["kind"])
-        node = inner
-    hint = next((h for h in ("article", "main") if total and _held(node, h == "article") >= MAIN_SHARE * total), "")
-    template: list[str] = []
+    main = _regions(wrapper, [], total) if total else []
+    hint = next((h for h in ("article", "main") if total and _held(wrapper, h == "article") >= MAIN_SHARE * total), "")
+    template: list[int] = []
 
     def gather(node: dict) -> None:
         for kid in node["kids"]:
@@ -292,16 +311,16 @@ def summary(wrapper: dict, pages: int) -> str:
                 if not kid["dropped"]:
                     gather(kid)
             elif kid["value"] is not None and kid["pages"] >= TEMPLATE_PAGES and len(kid["value"]) <= LONGEST_TEMPLATE:
-                template.append(kid["value"])
+                template.append(digest(kid["value"]))
 
     gather(wrapper)
     return json.dumps({"main": main, "decided": total > 0, "hint": hint, "template": sorted(set(template))})
 
 
 @lru_cache(maxsize=1024)
-def _loaded(raw: str) -> tuple[tuple[str, ...], bool, str, frozenset[str]]:
+def _loaded(raw: str) -> tuple[tuple[tuple[str, ...], ...], bool, str, frozenset[int]]:
     own = json.loads(raw)
-    return tuple(own["main"]), own["decided"], own["hint"], frozenset(own["template"])
+    return tuple(map(tuple, own["main"])), own["decided"], own["hint"], frozenset(own["template"])
 
 
 def _at_path(node: Node, path: tuple[str, ...]) -> list[Node]:
@@ -327,10 +346,10 @@ def _marked(node: Node) -> list[Node]:
     return _outermost(node, True) or _outermost(node, False)
 
 
-def _texts(node: Node, inside: bool, template: frozenset[str], out: list[str]) -> None:
+def _texts(node: Node, inside: bool, template: frozenset[int], out: list[str]) -> None:
     for k in node.kids:
         if isinstance(k, Text):
-            if k.value not in template and (inside or 2 * k.linked <= len(k.value)):
+            if (inside or 2 * k.linked <= len(k.value)) and not (template and len(k.value) <= LONGEST_TEMPLATE and digest(k.value) in template):
                 out.append(k.value)
         elif not k.dropped and (inside or not k.kind.startswith("header")):
             _texts(k, inside or k.main, template, out)
@@ -341,8 +360,8 @@ def main_text(html: str | None, wrapper: str | None = None) -> str:
     if not html:
         return ""
     page = parse(html)
-    path, decided, hint, template = _loaded(wrapper) if wrapper else ((), False, "", frozenset())
-    nodes = _at_path(page, path) if decided else []
+    paths, decided, hint, template = _loaded(wrapper) if wrapper else ((), False, "", frozenset())
+    nodes = next((found for p in paths if (found := _at_path(page, p))), []) if decided else []
     if not nodes:
         nodes = _marked(page)
     elif hint:
@@ -357,27 +376,92 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
 
 
-def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """host and wrapper (its summary) from at most ``sample`` pages of each host."""
-    order = Window.partitionBy("host").orderBy("drawn", "page_id")
-    some = (
-        pages.select(host_of(F.col("url")).alias("host"), "page_id", "html", F.xxhash64(F.lit("page"), "page_id", "url").alias("drawn"))
-        .where(F.length("html") > 0)
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= sample)
-    )
+def _packed(wrapper: dict) -> str:
+    """A wrapper as a flat JSON list in document order; nested JSON has a greatest depth."""
+    out, left = [], [(0, wrapper)]
+    while left:
+        depth, node = left.pop()
+        out.append([depth, {k: v for k, v in node.items() if k != "kids"}])
+        left.extend((depth + 1, kid) for kid in reversed(node.get("kids", ())))
+    return json.dumps(out)
+
 
-    def learn(table: pa.Table) -> pa.Table:
-        held = table.sort_by("place").column("html").to_pylist()
-        return pa.table({"host": [table.column("host")[0].as_py()], "wrapper": [summary(infer(held), len(held))]}, schema=pa.schema([("host", pa.string()), ("wrapper", pa.string())]))
+def _unpacked(raw: str) -> dict:
+    path: list[dict] = []
+    for depth, node in json.loads(raw):
+        del path[depth:]
+        if "kind" in node:
+            node["kids"] = []
+        if path:
+            path[-1]["kids"].append(node)
+        path.append(node)
+    return path[0]
 
-    return some.select("host", "place", "html").groupBy("host").applyInArrow(learn, "host string, wrapper string")
+
+def _values(node: Node, out: set[int]) -> set[int]:
+    """Digests of the texts that may be template texts."""
+    for k in node.kids:
+        if isinstance(k, Node):
+            if not k.dropped:
+                _values(k, out)
+        elif len(k.value) <= LONGEST_TEMPLATE:
+            out.add(digest(k.value))
+    return out
 
 
-def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def wrappers(pages: DataFrame) -> DataFrame:
+    """host and wrapper (its summary) of each host with at least TEMPLATE_PAGES different pages."""
+
+    def read(batches):
+        sys.setrecursionlimit(max(10_000, sys.getrecursionlimit()))
+        folded: dict[str, dict] = {}
+        seen: set[tuple[str, int]] = set()
+        for batch in batches:
+            hosts, texts, of = [], [], []
+            for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = html.as_py()
+                page = digest(raw)
+                if (host, page) in seen:
+                    continue
+                seen.add((host, page))
+                tree = parse(raw)
+                own = as_wrapper(tree)
+                folded[host] = _merged(folded[host], own, True) if host in folded else own
+                found = [None, *_values(tree, set())]
+                hosts.extend([host] * len(found))
+                texts.extend(found)
+                of.extend([page] * len(found))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(texts, pa.int64()), pa.array(of, pa.int64()), pa.nulls(len(hosts), pa.string())], names=["host", "text", "page", "part"])
+        for host, own in folded.items():
+            yield pa.RecordBatch.from_arrays([pa.array([host]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([_packed(own)])], names=["host", "text", "page", "part"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        sys.setrecursionlimit(max(10_000, sys.getrecursionlimit()))
+        whole = None
+        for raw in sorted(table.column("part").to_pylist()):
+            own = _unpacked(raw)
+            whole = _merged(whole, own, True) if whole else own
+        return pa.table({"host": [table.column("host")[0].as_py()], "wrapper": [summary(whole, whole["pages"])]}, schema=pa.schema([("host", pa.string()), ("wrapper", pa.string())]))
+
+    some = pages.select(host_of(F.col("url")).alias("host"), "html").where(F.length("html") > 0)
+    rows = materialize(some.mapInArrow(read, "host string, text long, page long, part string"), "layouts")
+    kind = "main array<array<string>>, decided boolean, hint string, template array<long>"
+    merged = rows.where("part IS NOT NULL").select("host", "part").groupBy("host").applyInArrow(merge, "host string, wrapper string").select("host", F.from_json("wrapper", kind).alias("w"))
+    merged = materialize(merged, "merged")
+    counts = rows.where("page IS NOT NULL").select("host", "text", "page").distinct().groupBy("host", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= TEMPLATE_PAGES)
+    counts = materialize(counts, "counts")
+    totals = counts.where("text IS NULL").select("host", F.col("n").alias("total"))
+    same = merged.select("host", F.explode("w.template").alias("text"), F.lit(True).alias("same"))
+    template = counts.where("text IS NOT NULL").join(totals, "host").join(same, ["host", "text"], "left").where(F.col("same") | (F.col("n") >= TEMPLATE_SHARE * F.col("total")))
+    listed = template.groupBy("host").agg(F.sort_array(F.collect_list("text")).alias("template"))
+    whole = F.struct("w.main", "w.decided", "w.hint", F.coalesce("template", F.array().cast("array<long>")).alias("template"))
+    return merged.join(totals, "host", "left_semi").join(listed, "host", "left").select("host", F.to_json(whole).alias("wrapper"))
+
+
+def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page."""
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    learned = materialize(wrappers(plain, sample), "wrappers")
+    learned = materialize(wrappers(plain), "wrappers")
     met = plain.withColumn("host", host_of(F.col("url"))).join(learned, "host", "left").select("page_id", "url", "html", "wrapper")
 
     def rows(batches):

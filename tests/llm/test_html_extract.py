@@ -59,6 +59,19 @@ def test_wrapper_decides_on_marked_pages():
     assert H.main_text(boxed_page(4), own) == f"Story 4 {story}"
 
 
+def test_all_pages_are_learned_from(spark):
+    """A layout on 4 of 44 pages, a notice on 3 of them, and hosts that hold only copies, or two pages and copies."""
+    tale = lambda k: f'<body><div class="bar">Bar {k} of the day</div><div class="tale">{bodies(k)}{"<h4>Closed today</h4>" if k > 1 else ""}</div></body>'
+    rows = [(k, f"http://h.org/{k}", page(1, bodies(k))) for k in range(10, 50)] + [(k, f"http://h.org/{k}", tale(k)) for k in range(1, 5)]
+    alone = "<body><h1>Only title</h1><div><p>Only words.</p></div></body>"
+    rows += [(100 + k, f"http://copies.org/{k}", alone) for k in range(9)]
+    rows += [(200 + k, f"http://two.org/{k}", alone if k % 2 else alone.replace("words", "letters")) for k in range(8)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    story = lambda k: " ".join(f"Paragraph {k} {j} of the story with its own words {k * j}." for j in range(1, 3 + k))
+    assert all(got[k] == story(k) for k in (*range(1, 5), *range(10, 50)))
+    assert all(got[k] == "Only title Only words." for k in (*range(100, 109), *range(201, 208, 2))) and got[200] == "Only title Only letters."
+
+
 def test_table(spark):
     rows = [(k, f"http://h{k % 2}.org/{k}", page(k, bodies(k))) for k in range(8)] + [(100, None, PAGE), (101, "x", None), (102, "http://h0.org/", ""), (None, "http://z.org", PAGE), (100, None, PAGE)]
     df = spark.createDataFrame([(*r, "e", "e") for r in rows], "page_id long, url string, html string, host string, text string")
