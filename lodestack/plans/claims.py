@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lodestack.functions import duck
 from lodestack.functions import strings as S
@@ -24,7 +25,11 @@ _A_WINS = """CASE WHEN al < bl THEN true WHEN al > bl THEN false WHEN same_type
 _HOW = """CASE WHEN al <> bl THEN 'high' WHEN same_type AND ((ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn)) OR (ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd)) THEN 'medium' ELSE 'low' END"""
 
 
-def spec_claims(spark, sf_dir):
+def spec_claims(spark, sf_dir, whole=False):
+    """Claims of the order lines numbered 1, as the SQL has them, or of all lines.
+
+    Order and line number aren't unique: claims of one order, line, supplier and part are numbered.
+    """
     k = F.col("s_suppkey")
     sources = table(spark, sf_dir, "supplier").select(
         k.alias("source"),
@@ -34,10 +39,17 @@ def spec_claims(spark, sf_dir):
         F.when(k % 3 != 0, F.date_add(F.lit("2021-01-01").cast("date"), (k % 90).cast("int"))).alias("date"),
     )
     sources = sources.withColumn("level", intake.precedence(F.col("document_type"), F.col("document_class"), F.col("revision")))
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    lines = table(spark, sf_dir, "lineitem")
+    claim_id = F.concat(F.lit("c"), "l_orderkey", F.lit("-"), "l_suppkey")
+    if whole:
+        number = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").orderBy("l_discount"))
+        lines = lines.withColumn("number", number)
+        claim_id = F.concat_ws("-", F.concat(F.lit("c"), "l_orderkey"), "l_linenumber", "l_suppkey", "l_partkey", "number")
+    else:
+        lines = lines.where("l_linenumber = 1")
     models = F.when(F.col("l_suppkey") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array((F.col("l_suppkey") % 2).cast("string")))
     own = lines.select(
-        F.concat(F.lit("c"), "l_orderkey", F.lit("-"), "l_suppkey").alias("claim_id"),
+        claim_id.alias("claim_id"),
         F.lit("spec_value").alias("claim_type"),
         F.col("l_partkey").cast("string").alias("subject"),
         F.lit("m").alias("manufacturer"),
@@ -50,10 +62,19 @@ def spec_claims(spark, sf_dir):
     return own.join(sources, "source")
 
 
+def _contradictions(claims):
+    p = O.comparable_pairs(claims)
+    return p.select("subject", F.col("a_claim_id").alias("a_id"), F.col("b_claim_id").alias("b_id"), F.col("a_signature").alias("a_value"), F.col("b_signature").alias("b_value"))
+
+
 @query(f"WITH {_SUPPLIERS} SELECT part::VARCHAR AS subject, a_id, b_id, av::VARCHAR AS a_value, bv::VARCHAR AS b_value FROM pairs")
 def contradictions_spec(spark, sf_dir):
-    p = O.comparable_pairs(spec_claims(spark, sf_dir))
-    return p.select("subject", F.col("a_claim_id").alias("a_id"), F.col("b_claim_id").alias("b_id"), F.col("a_signature").alias("a_value"), F.col("b_signature").alias("b_value"))
+    return _contradictions(spec_claims(spark, sf_dir))
+
+
+@query()
+def contradictions_spec_whole(spark, sf_dir):
+    return _contradictions(spec_claims(spark, sf_dir, whole=True))
 
 
 @query(f"""WITH {_SUPPLIERS} SELECT part::VARCHAR AS subject, CASE WHEN {_A_WINS} THEN a_id ELSE b_id END AS superseding, CASE WHEN {_A_WINS} THEN b_id ELSE a_id END AS superseded, {_HOW} AS confidence FROM pairs""")
@@ -61,18 +82,36 @@ def supersession(spark, sf_dir):
     return O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))).select("subject", "superseding", "superseded", "confidence")
 
 
-@query(f"""WITH {_SUPPLIERS} SELECT a_id || '||' || b_id AS candidate_key, {_HOW} = 'low' OR al = bl AS unresolved, CASE (an + bn + part) % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' ELSE 'unreviewed' END AS review_status FROM pairs WHERE part % 2 = 0 AND an IS NOT NULL AND bn IS NOT NULL""")
-def review_merge(spark, sf_dir):
-    number = lambda p: S.revision_key(F.col(f"{p}_revision"))["n"]
-    pairs = O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))).where((F.col("subject").cast("long") % 2 == 0) & number("a").isNotNull() & number("b").isNotNull())
+@query()
+def supersession_whole(spark, sf_dir):
+    return O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir, whole=True))).select("subject", "superseding", "superseded", "confidence")
+
+
+def _number(side):
+    return S.revision_key(F.col(f"{side}_revision"))["n"]
+
+
+def _merged_reviews(pairs):
     key = F.concat_ws("||", "a_claim_id", "b_claim_id")
     unresolved = (F.col("confidence") == "low") | (F.col("a_level") == F.col("b_level"))
     entries = pairs.select(key.alias("candidate_key"), unresolved.alias("unresolved"))
-    n = (number("a") + number("b") + F.col("subject").cast("long")) % 5
+    n = (_number("a") + _number("b") + F.col("subject").cast("long")) % 5
     saved = pairs.select(key.alias("candidate_key"), F.when(n == 0, "accepted").when(n == 1, "rejected").when(n == 2, "odd").alias("saved_status"))
     return O.merge_reviews(entries, saved).select("candidate_key", "unresolved", "review_status")
 
 
+@query(f"""WITH {_SUPPLIERS} SELECT a_id || '||' || b_id AS candidate_key, {_HOW} = 'low' OR al = bl AS unresolved, CASE (an + bn + part) % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' ELSE 'unreviewed' END AS review_status FROM pairs WHERE part % 2 = 0 AND an IS NOT NULL AND bn IS NOT NULL""")
+def review_merge(spark, sf_dir):
+    pairs = O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir)))
+    return _merged_reviews(pairs.where((F.col("subject").cast("long") % 2 == 0) & _number("a").isNotNull() & _number("b").isNotNull()))
+
+
+@query()
+def review_merge_whole(spark, sf_dir):
+    """All pairs; those with a side without a revision number have no saved decision."""
+    return _merged_reviews(O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir, whole=True))))
+
+
 _TEXTS = """texts AS (SELECT item_id, item_id % 10 AS subject, CASE WHEN item_id % 3 = 0 THEN 'Never ' ELSE '' END || array_to_string(string_split(text, ' ')[1:8], ' ') || CASE WHEN item_id % 2 = 0 THEN ' valve pump seal check open close turn' ELSE ' valve pump' END AS body FROM benchmark)"""
 
 

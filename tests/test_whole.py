@@ -1,0 +1,34 @@
+"""Queries over whole tables that have no SQL, against plain Python."""
+
+from collections import defaultdict
+
+from lodestack.plans import registry
+
+
+def whole_claims(spark, data):
+    seen, out = defaultdict(list), []
+    for r in spark.read.parquet(f"{data}/lineitem.parquet").collect():
+        seen[r.l_orderkey, r.l_linenumber, r.l_suppkey, r.l_partkey].append(round(r.l_discount * 100))
+    for (order, line, supplier, part), values in seen.items():
+        out += [(part, f"c{order}-{line}-{supplier}-{part}-{i}", v, supplier) for i, v in enumerate(sorted(values), 1)]
+    return out
+
+
+def test_claims_of_all_lines(spark, data):
+    claims = whole_claims(spark, data)
+    assert len(claims) == spark.read.parquet(f"{data}/lineitem.parquet").count() == len({c[1] for c in claims})
+    by_part = defaultdict(list)
+    for part, *own in claims:
+        by_part[part].append(own)
+    want = []
+    for part, own in by_part.items():
+        for a, av, s in own:
+            for b, bv, t in own:
+                if a < b and av != bv and (s % 4 == 0 or t % 4 == 0 or s % 2 == t % 2):
+                    want.append((str(part), a, b, str(av), str(bv)))
+    pairs = registry.queries()["contradictions_spec_whole"](spark, data).collect()
+    assert sorted(map(tuple, pairs)) == sorted(want)
+    ranked = registry.queries()["supersession_whole"](spark, data).collect()
+    assert sorted((r.subject, *sorted((r.superseding, r.superseded))) for r in ranked) == sorted(w[:3] for w in want)
+    reviews = registry.queries()["review_merge_whole"](spark, data).select("candidate_key").collect()
+    assert sorted(r.candidate_key for r in reviews) == sorted(f"{a}||{b}" for _, a, b, _, _ in want)
