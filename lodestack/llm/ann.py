@@ -7,7 +7,8 @@ table, its own bucket and buckets whose numbers differ by one in some functions,
 expected score of Lv et al. (2007): the sum of squares of the distances to the crossed edges, ranked
 once for all queries by the expected sizes of sorted distances. How many buckets are visited is
 fitted: of about SAMPLE queries the exact neighbours are found among all rows, and the number is the
-least that finds RECALL of them. Candidates of all tables are merged and ranked by the exact inner
+least that finds RECALL of them. If MOST_PROBES buckets a table don't find as many (vectors of very
+different norms), all queries are compared with all rows. Candidates of all tables are merged and ranked by the exact inner
 product in double precision.
 
 Scale: every row is in the index, TABLES times; vectors and probes meet by bucket. K grows with the
@@ -46,6 +47,7 @@ SAMPLE = 128
 RECALL = 0.94
 #: Stored rows of a partition, at least, if there are as many.
 HELD = 4096
+#: Buckets of a table that a query visits, at most; past them all rows are compared.
 MOST_PROBES = 3000
 _U = np.uint64
 FOUND = "query_id long, vec_id long, score double"
@@ -86,6 +88,8 @@ class Index:
     width: float
     salts: np.ndarray  # (tables, k), for the buckets' names
     probes: int = 1
+    #: Whether so many probes find RECALL of the fitted queries' neighbours.
+    reached: bool = True
 
     def values(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         """The functions' values before rounding, (rows, tables, k)."""
@@ -266,7 +270,9 @@ def build(rows_in: DataFrame, kind: str, length: int, every: int, n: int, seed:
                 at = np.minimum(at, len(order) - 1)
                 hit = visits[table][order][at] == theirs[mine, table]
                 rank[mine] = np.minimum(rank[mine], np.where(hit, order[at], len(sets)))
-    index.probes = int(min(len(sets), np.sort(rank)[min(len(rank) - 1, int(np.ceil(RECALL * len(rank))) - 1)] + 1))
+    last = int(np.sort(rank)[min(len(rank) - 1, int(np.ceil(RECALL * len(rank))) - 1)])
+    index.reached = last < len(sets)
+    index.probes = last + 1 if index.reached else 1
     return index
 
 
@@ -374,9 +380,9 @@ def search(vectors: DataFrame, every: int = 20, n: int = 20, key: str = "vec_id"
     met = both.repartitionById(parts, F.col("part")).sortWithinPartitions("kind").mapInArrow(meet, FOUND)
     result = materialize(_ranked(met, n), "neighbours")
 
-    # The rest: queries that found fewer than there are.
+    # The rest: queries that found fewer than there are, or all of them.
     asked = queries.select(F.col("id").alias("query_id")).distinct()
-    enough = result.groupBy("query_id").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") >= n)
+    enough = result.groupBy("query_id").agg(F.count(F.lit(1)).alias("held")).where((F.col("held") >= n) & F.lit(index.reached))
     short = materialize(queries.select(F.col("id").alias("query_id"), F.col("raw").alias("query_raw")).join(asked.join(enough, "query_id", "left_anti"), "query_id"), "short")
     if not short.isEmpty():
         blocks = max(1, total // 5000)

@@ -40,6 +40,17 @@ def test_recall_and_order(spark, rows):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def test_exact_past_the_most_probes(spark, monkeypatch):
+    """With norms that differ greatly, few probes don't reach the recall; then all rows are compared."""
+    monkeypatch.setattr(ann, "MOST_PROBES", 2)
+    rng = np.random.default_rng(3)
+    uneven = [(k, (rng.standard_normal(16) * (20 if k % 50 == 7 else 1)).tolist()) for k in range(3000)]
+    got = {}
+    for r in ann.search(spark.createDataFrame(uneven, "vec_id long, embedding array<double>").repartition(4)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert got == {q: {i for _, i in found} for q, found in exact(uneven, 20, 20).items()}
+
+
 def test_small_tables_return_all(spark):
     rows = [(k, [float(k + 1), float(k % 3), 1.0]) for k in range(6)]
     got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=2).collect()
