@@ -61,6 +61,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"file://{_OWN[0]}"
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that begins with ``stem`` and that no column of ``df`` begins with."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(stem) for c in taken):
+        stem = f"{stem}_"
+    return stem
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -70,4 +78,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these frames. Whatever is still to be read from them must be written by then."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
