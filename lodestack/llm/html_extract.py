@@ -25,6 +25,7 @@ as 64-bit digests with the digest of their page, equal pages once. What extracti
 paths and digests, so the table of wrappers grows with the number of hosts; Spark broadcasts it only
 under its size threshold, else pages meet wrappers in a join that splits hot hosts. A wrapper depends
 on the order of alignment, so odd hosts may be read otherwise if the input is split otherwise.
+Long child lists are aligned in about linear time.
 
 Defined cases: null or empty html is an empty text; so is html without a body text. A null url, or
 one without a host, is the host ''. Repeated rows and equal pages are ordinary rows. A null page_id
@@ -37,6 +38,7 @@ import html as entities
 import json
 import re
 import sys
+from bisect import bisect_left
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -51,7 +53,15 @@ TEMPLATE_PAGES = 3
 TEMPLATE_SHARE = 0.375
 #: Share of the varying text that the main region must hold.
 MAIN_SHARE = 0.7
-LONGEST_TEMPLATE = 300
+#: A longer text is a template text only if TEMPLATE_SHARE of the host's pages have it: copied articles aren't.
+LONG_TEXT = 300
+#: Elements nested deeper are read as parts of the one at this depth.
+DEEPEST = 150
+#: Child lists whose lengths multiply to more are aligned by the order of their kinds.
+EXACT = 1 << 14
+#: Words that name sections of an article in an anchor.
+_TOPICS = frozenset("discussion related recommended recommendations notice notices alert share sharing replies respond promotion disclaimer consent menu navigation signup subscription".split())
+_ANCHORED = frozenset("section p h1 h2 h3 h4 h5 h6 li dl dt dd table blockquote figure".split())
 
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -67,7 +77,7 @@ _ENDS_P = frozenset("address article aside blockquote center details div dl fiel
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|textarea|title|xmp|noframes)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]{0,4000}\"|'[^']{0,4000}'|[^'\">])*+)>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|</?([a-zA-Z][a-zA-Z0-9:-]*)[^>]*>"
     r"|<[!?][^>]*>"
     r"|<[/a-zA-Z!?][^>]*\Z",
@@ -99,18 +109,21 @@ class Text:
 @lru_cache(maxsize=4096)
 def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
     """kind, dropped, main."""
-    names, role, hidden = [], "", False
+    names, anchors, role, hidden = [], [], "", False
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), next((x for x in m.groups()[1:] if x is not None), "")
         if key in ("class", "id"):
             names.append(value)
+            if key == "id" and tag in _ANCHORED:
+                anchors.append(value)
         elif key == "role":
             role = value.lower()
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             hidden = True
         elif key == "style":
             hidden |= re.sub(r"\s", "", value.lower()).find("display:none") >= 0
-    words = {w.lower() for n in names for w in _NAME_WORD.findall(n)}
+    words = {w.lower() for n in names if n not in anchors for w in _NAME_WORD.findall(n)}
+    words |= {w.lower() for n in anchors for w in _NAME_WORD.findall(n)} - _TOPICS
     main = tag in ("article", "main") or role in ("main", "article")
     whole = tag in ("html", "body", "main")
     dropped = tag in _DROPPED or role in _ROLES or hidden or (not whole and bool(words & _BOILERPLATE))
@@ -129,6 +142,7 @@ def parse(html: str) -> Node:
     run: list[str] = []
     links = linked = at = 0
     skip: list[str] = []  # open elements of one tag, within a dropped inline element
+    deeper: list[str] = []  # open elements under the deepest
 
     def flush() -> None:
         nonlocal linked
@@ -164,7 +178,16 @@ def parse(html: str) -> Node:
                 skip.append(tag)
             continue
         flush()
+        if len(stack) >= DEEPEST and tag not in _VOID:
+            if closing and tag in deeper[-DEEPEST:]:
+                while deeper.pop() != tag:
+                    pass
+                continue
+            if not closing and not (m[4] or "").endswith("/"):
+                skip.append(tag) if _element(tag, m[4] or "")[1] else deeper.append(tag)
+                continue
         if closing:
+            deeper.clear()
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
@@ -205,10 +228,6 @@ def as_wrapper(node: Node | Text) -> dict:
     return {"kind": node.kind, "tag": node.tag, "dropped": node.dropped, "main": node.main, "pages": 1, "plus": False, "opt": False, "kids": _fold([as_wrapper(k) for k in node.kids])}
 
 
-def _same(a: dict, b: dict) -> bool:
-    return a.get("kind") == b.get("kind")
-
-
 def _merged(a: dict, b: dict, other_page: bool) -> dict:
     pages = a["pages"] + b["pages"] if other_page else max(a["pages"], b["pages"])
     if "kind" not in a:
@@ -222,24 +241,58 @@ def _merged(a: dict, b: dict, other_page: bool) -> dict:
     return a | {"plus": a["plus"] or b["plus"], "opt": a["opt"] or b["opt"], "main": a["main"] and b["main"], "pages": pages, "kids": _aligned(a["kids"], b["kids"], other_page)}
 
 
+def _pairs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Positions of a common subsequence: a longest one, or for long lists one of elements that are each their kind's k-th in both."""
+    low = 0
+    while low < min(len(a), len(b)) and a[low] == b[low]:
+        low += 1
+    high = 0
+    while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
+        high += 1
+    ends = [(len(a) - high + k, len(b) - high + k) for k in range(high)]
+    m, n = len(a) - high - low, len(b) - high - low
+    out = [(k, k) for k in range(low)]
+    if m * n <= EXACT:
+        best = [[0] * (n + 1) for _ in range(m + 1)]
+        for i in range(m - 1, -1, -1):
+            for j in range(n - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[low + i] == b[low + j] else max(best[i + 1][j], best[i][j + 1])
+        i = j = 0
+        while i < m and j < n:
+            if a[low + i] == b[low + j]:
+                out.append((low + i, low + j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+        return out + ends
+    places: dict[str, list[int]] = {}
+    for j in range(len(b) - high - 1, low - 1, -1):
+        places.setdefault(b[j], []).append(j)
+    met = [(i, places[a[i]].pop()) for i in range(low, len(a) - high) if places.get(a[i])]
+    tails: list[int] = []  # least last position in b of increasing runs of each length
+    ranks = []
+    for _, j in met:
+        at = bisect_left(tails, j)
+        tails[at : at + 1] = [j]
+        ranks.append(at)
+    want, middle = len(tails) - 1, []
+    for (i, j), rank in zip(reversed(met), reversed(ranks), strict=True):
+        if rank == want and (not middle or j < middle[-1][1]):
+            middle.append((i, j))
+            want -= 1
+    return out + middle[::-1] + ends
+
+
 def _aligned(a: list[dict], b: list[dict], other_page: bool) -> list[dict]:
-    """The longest common subsequence of two child lists is merged; the rest is optional."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if _same(a[i], b[j]) else max(best[i + 1][j], best[i][j + 1])
+    """A common subsequence of two child lists is merged; the rest is optional."""
     out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if _same(a[i], b[j]):
-            out.append(_merged(a[i], b[j], other_page))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            out.append(a[i] | {"opt": True})
-            i += 1
-        else:
-            out.append(b[j] | {"opt": True})
-            j += 1
-    out.extend(x | {"opt": True} for x in [*a[i:], *b[j:]])
+    for p, q in [*_pairs([x.get("kind", "") for x in a], [x.get("kind", "") for x in b]), (len(a), len(b))]:
+        out.extend(x | {"opt": True} for x in [*a[i:p], *b[j:q]])
+        if p < len(a):
+            out.append(_merged(a[p], b[q], other_page))
+        i, j = p + 1, q + 1
     return _fold(out)
 
 
@@ -310,7 +363,7 @@ def summary(wrapper: dict, pages: int) -> str:
             if "kind" in kid:
                 if not kid["dropped"]:
                     gather(kid)
-            elif kid["value"] is not None and kid["pages"] >= TEMPLATE_PAGES and len(kid["value"]) <= LONGEST_TEMPLATE:
+            elif kid["value"] is not None and kid["pages"] >= (TEMPLATE_PAGES if len(kid["value"]) <= LONG_TEXT else max(TEMPLATE_PAGES, TEMPLATE_SHARE * pages)):
                 template.append(digest(kid["value"]))
 
     gather(wrapper)
@@ -349,7 +402,7 @@ def _marked(node: Node) -> list[Node]:
 def _texts(node: Node, inside: bool, template: frozenset[int], out: list[str]) -> None:
     for k in node.kids:
         if isinstance(k, Text):
-            if (inside or 2 * k.linked <= len(k.value)) and not (template and len(k.value) <= LONGEST_TEMPLATE and digest(k.value) in template):
+            if (inside or 2 * k.linked <= len(k.value)) and not (template and digest(k.value) in template):
                 out.append(k.value)
         elif not k.dropped and (inside or not k.kind.startswith("header")):
             _texts(k, inside or k.main, template, out)
@@ -404,7 +457,7 @@ def _values(node: Node, out: set[int]) -> set[int]:
         if isinstance(k, Node):
             if not k.dropped:
                 _values(k, out)
-        elif len(k.value) <= LONGEST_TEMPLATE:
+        else:
             out.add(digest(k.value))
     return out
 

@@ -1,3 +1,5 @@
+import random
+
 from lodestack.llm import html_extract as H
 
 PAGE = """<!DOCTYPE html><html><head><title>x</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
@@ -82,3 +84,28 @@ def test_table(spark):
     assert all("rights" not in t and t.startswith("Paragraph") for (a, _), t in texts.items() if a is not None and a < 8)
     assert all(n == len(t) for _, _, t, n in got)
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_article_sections_and_long_attributes_stay():
+    page = '<article><section id="discussion"><p>Alpha.</p></section><section id="related-work"><p>Beta.</p></section><div class="cookie-notice" data-x="%s">Cookies.</div><p data-y="%s>">Gamma.</p></article>'
+    assert H.main_text(page % ("x" * 5000, "y" * 5000)) == "Alpha. Beta. Gamma."
+
+
+def test_deep_and_long_pages():
+    deep = "<article>" + "<div>" * 20_000 + "<nav>menu</nav>deep" + "</div>" * 20_000 + "<p>after</p></article><footer>end</footer>"
+    assert H.main_text(deep) == "deep after"
+    long = "<article>" + "".join(f"<p>t{k}</p><h2>h{k}</h2>" for k in range(50_000)) + "</article>"
+    assert len(H.main_text(long).split()) == 100_000
+    other = "<article>" + "".join(f"<h2>x{k}</h2><p>y{k}</p><p>z</p>" for k in range(20_000)) + "</article>"
+    H.summary(H.infer([deep, long, other, long.replace("t1", "u1")]), 4)
+
+
+def test_alignment_finds_common_subsequences():
+    rng = random.Random(1)
+    for exact in (1 << 14, 0):
+        H.EXACT, kept = exact, H.EXACT
+        for _ in range(200):
+            a, b = ([rng.choice("abcd") for _ in range(rng.randrange(12))] for _ in range(2))
+            pairs = H._pairs(a, b)
+            assert all(a[i] == b[j] for i, j in pairs) and all(x < z and y < w for (x, y), (z, w) in zip(pairs, pairs[1:]))
+        H.EXACT = kept
