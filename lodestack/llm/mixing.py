@@ -7,33 +7,40 @@ found in closed form: with sources in order of (limit / weight), a source is ful
 what the ones before it leave, dealt by the weights from it on, reaches its limit.
 
 Sampling: a target is ``whole`` certain copies of its source and a rest. Each document has the
-inclusion probability p = rest / source words, times its preference, at most 1. Its rank is its
-random odds u / (1 - u) divided by its inclusion odds p / (1 - p); in this order documents are
-taken once more until the rest is filled (the last one if at least half of it fits). u comes from
-the MD5 of seed and doc_id, so reruns agree and a row's place doesn't depend on other rows.
+inclusion probability p = preference * rest / (the source's words, each times its document's
+preference), at most 1. Its rank is its random odds u / (1 - u) divided by its inclusion odds
+p / (1 - p); in this order documents are taken once more until the rest is filled (the last one if at
+least half of it fits). u comes from the MD5 of seed, doc_id and text, so reruns agree and a row's
+place doesn't depend on other rows. ``preference`` is a whole number for each size; the production
+query prefers longer documents (LONGER).
 
 Scale: no task sorts a source. Ranks are put into sqrt(rows) bins for each source and summed there;
-only the one bin of each source in which its rest ends is sorted. The table of sources has a row
+only the one bin of each source in which its rest ends is sorted. Whole rows of documents are read
+again for the answer, not shuffled, but those of that bin. The table of sources has a row
 for each weight of the mix and is read by one task; it is joined by broadcast only where Spark's
 size threshold lets it, else by a join that splits hot keys.
 
-Defined cases: a null or empty text has size 0 and is taken 0 words. A source without words has
+Defined cases: a null or empty text has size 0 and is taken 0 words (and as often as its source as a whole). A source without words has
 target 0. Null sources are one source, null doc_ids are ordinary rows, ties of rank go by doc_id,
-then size. Repeated rows are separate rows of equal rank. An empty table gives no rows. Only the
-columns named here are read, whatever else there is.
+then size. Repeated rows are separate rows of equal rank, each taken as often as it is by itself.
+An empty table gives no rows. Extra columns of any name are left alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestack.session import materialize
+from lodestack.session import discard, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hexadecimal digits of the MD5 that make u: 52 bits.
 DIGITS = 13
+#: Words for which the production query prefers a document once more.
+LONGER = 200
 
 
 def word_count(text: Column) -> Column:
@@ -62,53 +69,79 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     return dealt.select("source", "source_size", "n", target.alias("target"))
 
 
-def _uniform(doc_id: Column, seed: str) -> Column:
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))), 1, DIGITS)
+def longer(size: Column) -> Column:
+    """The production preference: 1 more for each LONGER words, up to 4."""
+    return F.least(F.lit(4), 1 + F.floor(size / LONGER)).cast("long")
+
+
+def _uniform(doc_id: Column, text: Column, seed: str) -> Column:
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), own)), 1, DIGITS)
     return (F.conv(digits, 16, 10).cast("long").cast("double") + 0.5) / float(16**DIGITS)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: str = "mix", preference: str | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, source, size, source_size, target, copies, taken (copies times size)."""
-    liking = F.coalesce(F.col(preference).cast("double"), F.lit(1.0)) if preference else F.lit(1.0)
-    sized = materialize(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), liking.alias("liking")),
-        "mix-sizes",
-    )
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+def _sized(docs: DataFrame, seed: str, preference: Callable[[Column], Column], *more: Column) -> DataFrame:
+    """doc_id, source, size, liking and u of each row of docs."""
+    text = F.col("text").cast("string")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(text).alias("size"), _uniform(F.col("doc_id"), text, seed).alias("u"), *more)
+    return named.withColumn("liking", preference(F.col("size")))
+
+
+def _ranked(sized: DataFrame, goals: DataFrame) -> DataFrame:
+    """With the goals, and each row's rank from 0 to 1 and its bin."""
+    p, u = F.least(F.lit(1.0), F.col("rate") * F.col("liking")), F.col("u")
+    odds = F.when(p >= 1.0, 0.0).otherwise((u / (1 - u)) / (p / (1 - p)))
+    rank = F.when((F.col("rate") <= 0) | (F.col("liking") <= 0), F.lit(1.0)).otherwise(odds / (1 + odds))
+    return _same_source(sized, goals).withColumn("rank", rank).withColumn("bin", F.least(F.floor(F.col("rank") * F.col("bins")), F.col("bins") - 1))
+
+
+def _chosen(sized: DataFrame, goals: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of ``sized`` with source_size, target and copies."""
+    placed = _same_source(_ranked(sized, goals), edges, "left")
+    on_edge = (F.col("bin") == F.col("last_bin")) & (F.col("size") > 0)
+    inside = placed.where(~F.coalesce(on_edge, F.lit(False))).withColumn("more", F.col("last_bin").isNull() | (F.col("bin") < F.col("last_bin")))
+    order = Window.partitionBy("source").orderBy("rank", F.asc_nulls_first("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.col("ahead") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size") / 2
+    chosen = inside.unionByName(placed.where(on_edge).withColumn("more", upto <= F.col("rest")))
+    wanted = (F.col("rate") > 0) & F.col("more") & (F.col("liking") > 0)
+    return chosen.withColumn("copies", (F.col("whole") + F.when(wanted, 1).otherwise(0)).cast("long"))
+
+
+def _plan(sized: DataFrame, weights: tuple[int, ...], share: float, most: int) -> tuple[DataFrame, DataFrame]:
+    """The sources' goals, and where in the order of ranks each source's rest ends."""
+    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("liking")).alias("liked"), F.count(F.lit(1)).alias("n"))
+    held = F.col("source_size") > 0
+    dealt = source_targets(sources.drop("liked"), weights, share, most)
     goals = materialize(
-        source_targets(sources, weights, share, most)
-        .withColumn("whole", F.floor(rate))
+        _same_source(dealt, sources.select("source", "liked"))
+        .withColumn("whole", F.when(held, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumn("part", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0))
+        .withColumn("rate", F.when(F.col("liked") > 0, F.col("rest") / F.col("liked")).otherwise(0.0))
         .withColumn("bins", F.ceil(F.sqrt(F.col("n").cast("double")))),
         "mix-goals",
     )
-
-    p = F.least(F.lit(1.0), F.col("part") * F.col("liking"))
-    u = F.col("u")
-    # Random odds over inclusion odds, times the source's own odds: u itself where all documents of a source are alike.
-    odds = F.when(p >= 1.0, 0.0).when(F.col("liking") == 1.0, u / (1 - u)).otherwise((u / (1 - u)) * ((1 - p) / p) * (F.col("part") / (1 - F.col("part"))))
-    ranked = (
-        _same_source(sized.withColumn("u", _uniform(F.col("doc_id"), seed)), goals)
-        .withColumn("rank", F.when((F.col("part") <= 0) | (F.col("liking") <= 0), F.lit(1.0)).otherwise(odds / (1 + odds)))
-        .withColumn("bin", F.least(F.floor(F.col("rank") * F.col("bins")), F.col("bins") - 1))
-    )
-    summed = ranked.groupBy("source", "bin").agg(F.sum("size").alias("held"))
+    summed = _ranked(sized, goals).groupBy("source", "bin").agg(F.sum("size").alias("held"))
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     stepped = _same_source(summed.withColumn("ahead", F.coalesce(F.sum("held").over(before), F.lit(0))), goals.select("source", "rest"))
     last = stepped.where(F.col("ahead") + F.col("held") > F.col("rest")).groupBy("source").agg(F.min(F.struct("bin", "ahead")).alias("last"))
-    edges = materialize(last.select("source", F.col("last.bin").alias("last_bin"), F.col("last.ahead").alias("ahead")), "mix-edges")
+    return goals, materialize(last.select("source", F.col("last.bin").alias("last_bin"), F.col("last.ahead").alias("ahead")), "mix-edges")
 
-    placed = _same_source(ranked, edges, "left")
-    inside = placed.where(F.col("last_bin").isNull() | (F.col("bin") != F.col("last_bin"))).withColumn("more", F.col("last_bin").isNull() | (F.col("bin") < F.col("last_bin")))
-    order = Window.partitionBy("source").orderBy("rank", F.asc_nulls_first("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
-    upto = F.col("ahead") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size") / 2
-    on_edge = placed.where(F.col("bin") == F.col("last_bin")).withColumn("more", upto <= F.col("rest"))
-    chosen = inside.unionByName(on_edge)
-    wanted = (F.col("part") > 0) & F.col("more") & (F.col("liking") > 0)
-    copies = F.col("whole") + F.when(wanted, 1).otherwise(0)
-    return chosen.withColumn("copies", copies.cast("long")).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: str = "mix", preference: Callable[[Column], Column] = longer) -> DataFrame:
+    """One row per row of docs: doc_id, source, size, source_size, target, copies, taken (copies times size)."""
+    sized = materialize(_sized(docs, seed, preference), "mix-sizes")
+    chosen = _chosen(sized, *_plan(sized, weights, share, most))
+    return chosen.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mix_rows(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: str = "mix", preference: Callable[[Column], Column] = longer) -> DataFrame:
+    """The rows of docs, whole, each as often as the mix has it."""
+    sized = materialize(_sized(docs, seed, preference), "mix-sizes")
+    goals, edges = _plan(sized, weights, share, most)
+    discard(sized)
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    chosen = _chosen(_sized(docs, seed, preference, row), goals, edges).where("copies > 0")
+    return chosen.select(F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row")).select("row.*")
 
 
 def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -116,38 +149,36 @@ def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(other, left["source"].eqNullSafe(other["their_source"]), how).drop("their_source")
 
 
-def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of docs, each as often as the mix has it; doc_id is taken to be a key of docs."""
-    copies = mixed.where(F.col("copies") > 0).select(F.col("doc_id").alias("mixed_doc"), F.sequence(F.lit(1), F.col("copies")).alias("mixed_copies"))
-    held = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed_doc"]))
-    return held.withColumn("mixed_copy", F.explode("mixed_copies")).select(*[docs[c] for c in docs.columns])
-
-
 #: The same rows in DuckDB SQL.
 SQL = """
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+  SELECT doc_id, source, size, least(4, 1 + size // 200)::BIGINT AS liking, md5(coalesce(text, '')) AS own
+  FROM (SELECT *, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents)
 ), sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM sized GROUP BY source
+  SELECT source, sum(size)::BIGINT AS source_size, sum(size * liking)::BIGINT AS liked, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM sized GROUP BY source
 ), weighed AS (
-  SELECT source, source_size, CASE (place - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, source_size * 2 AS room FROM sources
+  SELECT source, source_size, liked, CASE (place - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, source_size * 2 AS room FROM sources
 ), held AS (
   SELECT *, (sum(source_size) OVER ())::DOUBLE * 1.5 AS total,
     ((sum(source_size) OVER ())::DOUBLE * 1.5 - coalesce(sum(room) OVER (ORDER BY room::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
       / (sum(weight) OVER (ORDER BY room::DOUBLE / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE >= room::DOUBLE / weight AS is_full
   FROM weighed
 ), targets AS (
-  SELECT source, source_size, CASE WHEN is_full THEN room::DOUBLE
+  SELECT source, source_size, liked, CASE WHEN is_full THEN room::DOUBLE
     ELSE (total - (sum(CASE WHEN is_full THEN room ELSE 0 END) OVER ())::DOUBLE) / (sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ())::DOUBLE * weight END AS target
   FROM held
 ), goals AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM targets
+), rated AS (
+  SELECT *, target - (whole * source_size)::DOUBLE AS rest, CASE WHEN liked > 0 THEN (target - (whole * source_size)::DOUBLE) / liked ELSE 0 END AS rate FROM goals
+), drawn AS (
+  SELECT d.doc_id, d.size, g.source, g.source_size, g.target, g.whole, g.rest, g.rate, least(1.0::DOUBLE, g.rate * d.liking) AS p,
+    (('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || own), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM sized d JOIN rated g ON d.source IS NOT DISTINCT FROM g.source
 ), ranked AS (
-  SELECT d.doc_id, d.size, g.source, g.source_size, g.target, g.whole, g.target - (g.whole * g.source_size)::DOUBLE AS rest,
-    (('0x' || substr(md5('mix:' || d.doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-  FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+  SELECT *, CASE WHEN rate <= 0 THEN 1 WHEN p >= 1 THEN 0 ELSE (u / (1 - u)) / (p / (1 - p)) END AS odds FROM drawn
 ), summed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY u / (1 - u), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS ahead FROM ranked
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS ahead FROM ranked
 )
-SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN rest > 0 AND ahead + size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM summed
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN rate > 0 AND ahead + size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM summed
 """

@@ -1,9 +1,10 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from compare import both
 from conftest import words_of
+from pyspark.sql import functions as F
 
 from lodestack.llm import mixing
 
@@ -54,20 +55,46 @@ def test_many_sources(spark):
 
 
 def test_preferred_documents_come_first(spark):
-    rows = [(k, "w " * 10, "s", 0.0 if k % 4 == 0 else 4.0 if k % 4 == 1 else 1.0) for k in range(2000)] + [(9000, "w " * 20000, "t", 1.0)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string, liking double")
-    got = [r for r in mixing.mix(df, weights=(1, 8), share=0.8, preference="liking").collect() if r.source == "s"]
+    rows = [(k, "w " * (10 + k % 3), "s") for k in range(3000)] + [(9000, "w " * 20000, "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    liking = lambda size: F.when(size == 10, 0).when(size == 11, 4).otherwise(1).cast("long")
+    got = [r for r in mixing.mix(df, weights=(1, 8), share=0.8, preference=liking).collect() if r.source == "s"]
     extra = defaultdict(int)
     for r in got:
-        extra[r.doc_id % 4] += r.copies - min(x.copies for x in got)
-    assert extra[0] == 0 and extra[1] > extra[2] > 0
-
-
-def test_documents_are_repeated(spark, edge):
-    some = edge.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    mixed = mixing.mix(some)
-    assert mixing.repeat_documents(some, mixed).count() == sum(r.copies for r in mixed.collect())
-    assert mixing.repeat_documents(some, mixed).columns == edge.columns
+        extra[r.size] += r.copies - min(x.copies for x in got)
+    assert extra[10] == 0 and extra[11] > 2 * extra[12] > 0
+
+
+def test_inclusion_probabilities(spark):
+    """Over many seeds, a document's share of draws is near its inclusion probability, unequal within the source."""
+    rows = [(k, "w " * (250 if k % 2 else 100), "s") for k in range(40)] + [(100, "w " * 4000, "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    drawn, goal = defaultdict(int), None
+    for seed in range(30):
+        got = [r for r in mixing.mix(df, weights=(1, 3), share=0.9, seed=f"s{seed}").collect() if r.source == "s"]
+        least = int(got[0].target // got[0].source_size)
+        goal = got[0].target - least * got[0].source_size
+        for r in got:
+            drawn[r.size] += r.copies - least
+    rate = goal / (20 * 250 * 2 + 20 * 100)
+    assert abs(drawn[250] / 600 - 2 * rate) < 0.08 and abs(drawn[100] / 600 - rate) < 0.08
+
+
+def test_rows_are_repeated(edge, edge_rows):
+    """Rows with repeated and null ids too, each as often as the mix says."""
+    mixed = mixing.mix(edge).collect()
+    got = mixing.mix_rows(edge)
+    assert got.columns == edge.columns
+    due = Counter()
+    for r in mixed:
+        due[(r.doc_id, r.source, r.size)] += r.copies
+    found = Counter((r.doc_id, r.source, len(words_of(r.text))) for r in got.collect())
+    assert found == Counter({k: n for k, n in due.items() if n})
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(k, "w " * k, "s", 1, 2, 3, 4) for k in range(20)], "doc_id long, text string, source string, row int, copies int, size int, u int")
+    assert mixing.mix_rows(df).columns == df.columns
 
 
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op3_jaccard_join", "op7_mixing", "op10_substring_dedup"])
