@@ -34,6 +34,8 @@ SAMPLE = 400
 #: n-grams of a profile.
 PROFILE = 300
 UNKNOWN = "und"
+#: A text whose score is under this part of what nearly all labelled documents reach is in none of their languages.
+FOREIGN = 0.5
 _BITS = np.uint64(21)
 
 
@@ -92,14 +94,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, size: int = PROFILE) -> Model:
-    """Profiles from documents with a label that are not held out."""
-    labelled = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+def _drawn(docs: DataFrame, sample: int) -> DataFrame | None:
+    """lang and text of the sample: about ``sample`` labelled documents of each language that are not held out."""
+    labelled = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return Model({}, size)
+        return None
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, sample / n)]), F.col("lang"))
-    drawn = labelled.where((F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)) < share)
+    return labelled.where((F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)) < share).select("lang", "text")
+
+
+def train(docs: DataFrame, sample: int = SAMPLE, size: int = PROFILE) -> Model:
+    """Profiles from documents with a label that are not held out."""
+    drawn = _drawn(docs, sample)
+    if drawn is None:
+        return Model({}, size)
 
     def count(batches):
         for batch in batches:
@@ -110,7 +119,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, size: int = PROFILE) -> Model:
                 values, n = np.unique(np.concatenate(codes), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "code", "n"])
 
-    grams = drawn.select("lang", "text").mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    grams = drawn.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = grams.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
     profiles: dict[str, list[int]] = {}
@@ -131,14 +140,23 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, "doc_id long, lang_pred string, score double")
 
 
-def keep_languages(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs whose text is in some language; those without a letter go."""
+def least_score(docs: DataFrame, model: Model, sample: int = SAMPLE) -> float:
+    """The score under which a text is in none of the model's languages: FOREIGN times that of the sample's lowest hundredth."""
+    drawn = _drawn(docs, sample)
+    if drawn is None:
+        return 0.0
+    scores = predict(drawn.select(F.lit(None).cast("long").alias("doc_id"), "text"), model).where(F.col("lang_pred") != UNKNOWN)
+    return FOREIGN * (scores.agg(F.percentile_approx("score", 0.01, 100_000)).first()[0] or 0.0)
+
+
+def keep_languages(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
+    """The rows of docs whose text is in one of the model's languages: with a letter, n-grams of its profile, and a score of at least ``least``."""
 
     def rows(batches):
         worker.use("langid")
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            keep = pa.array([model.predict(x.as_py())[0] != UNKNOWN for x in batch.column(at)], pa.bool_())
-            yield batch.filter(keep)
+            scores = [model.predict(x.as_py())[1] for x in batch.column(at)]
+            yield batch.filter(pa.array([x > 0.0 and x >= least for x in scores], pa.bool_()))
 
     return docs.mapInArrow(rows, docs.schema)

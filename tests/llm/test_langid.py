@@ -28,7 +28,46 @@ def test_edges(edge, nothing):
     assert langid.predict(nothing, model).count() == 0
     untaught = langid.predict(edge, langid.train(nothing)).collect()
     assert {r.lang_pred for r in untaught} == {"und"}
-    assert langid.keep_languages(edge, model).count() == sum(any(c.isalpha() for c in r.text or "") for r in edge.collect())
+    kept = langid.keep_languages(edge, model, 0.0).collect()
+    assert sorted(map(repr, kept)) == sorted(repr(r) for r in edge.collect() if model.predict(r.text)[1] > 0)
+
+
+def test_texts_of_no_learned_language_go(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = langid.train(docs)
+    least = langid.least_score(docs, model)
+    assert 0 < least < 0.5
+    odd = spark.createDataFrame([(1, "\u4eca\u65e5\u306f\u826f\u3044\u5929\u6c17\u3067\u3059"), (2, "\u0441\u0435\u0433\u043e\u0434\u043d\u044f \u0445\u043e\u0440\u043e\u0448\u0430\u044f"), (3, "12 !"), (4, None)], "doc_id long, text string")
+    assert langid.keep_languages(odd, model, least).count() == 0
+    clean = docs.where("lang IS NOT NULL AND n_chars > 200").select("doc_id", "text")
+    assert langid.keep_languages(clean, model, least).count() == clean.count()
+
+
+def plain_distance(text, profiles, size):
+    """The method word by word: counts in a dict, ranks by count and code, sums of differences."""
+    counts = {}
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    for w in words:
+        padded = [1, *[ord(c) + 2 for c in w], 1]
+        grams = [(x,) for x in padded[1:-1]] + list(zip(padded, padded[1:])) + list(zip(padded, padded[1:], padded[2:]))
+        for g in grams:
+            code = 0
+            for x in g:
+                code = code << 21 | x
+            counts[code] = counts.get(code, 0) + 1
+    own = sorted(counts, key=lambda c: (-counts[c], c))[:size]
+    return {lang: sum(abs(p.index(c) - k) if c in p else size for k, c in enumerate(own)) for lang, p in profiles.items()}, len(own)
+
+
+def test_distance_like_plain():
+    texts = {"x": "the cat sat on the mat and the hat", "y": "le chat est sur la table et le chapeau"}
+    profiles = {k: [int(c) for c in langid.ranked(langid.ngram_codes(t), 40)] for k, t in texts.items()}
+    model = langid.Model(profiles, 40)
+    for text in ("the chat", "la hat, le mat!", "Ein Hut", "cat 1 sat"):
+        apart, n = plain_distance(text, profiles, 40)
+        best = min(sorted(apart), key=apart.get)
+        lang, score = model.predict(text)
+        assert lang == best and abs(score - (1 - apart[best] / (40 * n))) < 1e-12
 
 
 def test_out_of_place_distance():
