@@ -12,8 +12,8 @@ all their lines, except in the document with the largest doc_id among those that
    documents and the choice of the one that keeps them.
 4. The documents meet the keys they lose by doc_id, and lose the lines.
 
-Scale: the filters have BITS_PER_KEY bits a key, up to MAX_BITS in all (32 MB, the only thing that
-is broadcast). With more keys they let more through, which costs shuffle but changes no result.
+Scale: the filters have at least BITS_PER_KEY bits a key and are made and asked in slices of the key
+space of 32 MB (``slice_bits``), the only thing that is broadcast and collected, one at a time.
 Hot keys are summed before they are shuffled, and joined by a join that splits hot keys.
 
 Defined cases: a null or empty text is one empty line, and stays empty. A line that repeats within
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestack.llm import worker
-from lodestack.llm.twice_seen import MAX_BITS, suspected
-from lodestack.session import materialize
+from lodestack.llm.twice_seen import SLICE_BITS, suspected
+from lodestack.session import discard, materialize, unused
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -66,10 +66,11 @@ def _key_table(docs: DataFrame, min_chars: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, "doc_id long, k1 long, k2 long")
 
 
-def lost_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+def lost_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, slice_bits: int = SLICE_BITS) -> DataFrame:
     """For each document that loses lines: doc_id and the digests of the keys it loses, as two arrays."""
-    keys = materialize(_key_table(docs, min_chars), "line-keys")
-    some = materialize(suspected(keys, keys.count(), max_bits).distinct(), "line-suspects")
+    keys = materialize(_key_table(docs, min_chars).sortWithinPartitions("k1"), "line-keys")
+    some = suspected(keys, keys.count(), slice_bits, "line-suspects").distinct()
+    discard(keys)
     common = some.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
     # Written, so that the join has an exchange of its own on each side, which AQE can split at hot keys.
     common = materialize(common, "line-common")
@@ -77,17 +78,18 @@ def lost_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits:
     return lost.groupBy("doc_id").agg(F.collect_list("k1").alias("k1"), F.collect_list("k2").alias("k2"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, slice_bits: int = SLICE_BITS) -> DataFrame:
     """The rows of docs with what is left of their texts, n_lines (before) and n_dropped."""
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    lost = lost_keys(docs, min_chars, min_docs, max_bits).select(F.col("doc_id").alias("lost_doc"), F.col("k1").alias("lost_k1"), F.col("k2").alias("lost_k2"))
-    met = docs.select(*kept).join(lost, docs["doc_id"].cast("long").eqNullSafe(lost["lost_doc"]), "left").drop("lost_doc")
+    own = unused(docs, "lost")
+    lost = lost_keys(docs, min_chars, min_docs, slice_bits).toDF(f"{own}doc", f"{own}k1", f"{own}k2")
+    met = docs.select(*kept).join(lost, docs["doc_id"].cast("long").eqNullSafe(lost[f"{own}doc"]), "left").drop(f"{own}doc")
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def rows(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            texts, k1s, k2s = batch.column(at).cast(pa.large_binary()), batch.column("lost_k1"), batch.column("lost_k2")
+            texts, k1s, k2s = batch.column(at).cast(pa.large_binary()), batch.column(f"{own}k1"), batch.column(f"{own}k2")
             out, n_lines, n_dropped = [], [], []
             for k in range(len(texts)):
                 raw = texts[k].as_py() or b""

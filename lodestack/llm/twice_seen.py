@@ -4,8 +4,10 @@ A key is a 64-bit hash in column k1, or a 128-bit one in k1 and k2. Each task fi
 its rows; filters are merged piece by piece (a key that is in two tasks' once-seen filters is in the
 merged twice-seen one). Keys that occur once mostly fail the twice-seen filter; no key that repeats does.
 
-The filters have BITS_PER_KEY bits a key, up to MAX_BITS (32 MB). With more keys they use fewer probes and let more through, which costs what
-follows but changes no result.
+The filters have at least BITS_PER_KEY bits a key, however many there are. They are made in slices of the
+key space (by a key's high bits) of at most SLICE_BITS (32 MB) each, one after the other: a slice is filled,
+broadcast, asked and dropped before the next, so neither the driver nor a task ever holds more than one.
+On a cluster with more memory a larger ``slice_bits`` means fewer rounds.
 """
 
 from __future__ import annotations
@@ -15,40 +17,51 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lodestack.llm import worker
 from lodestack.llm.words import mix
+from lodestack.session import materialize
 
 BITS_PER_KEY = 8
-MAX_BITS = 1 << 28
+PROBES = 4
+#: Bits of a slice of the filters.
+SLICE_BITS = 1 << 28
 #: Bits of a piece of a filter.
 PIECE = 1 << 19
 _ONCE = pa.schema([("piece", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
-_TWICE = pa.schema([("piece", pa.int32()), ("twice", pa.binary())])
+_MERGED = pa.schema([("piece", pa.int32()), ("bits", pa.binary())])
 
 
 class Shape:
-    """Bits of a filter for about n keys, and how many of them a key sets."""
+    """Slices of the filters for about n keys, and the bits of one."""
 
-    def __init__(self, n: int, max_bits: int = MAX_BITS) -> None:
-        self.bits = min(max_bits, max(1 << 16, 1 << (BITS_PER_KEY * max(1, n) - 1).bit_length()))
-        self.probes = min(4, max(1, round(0.7 * self.bits / max(1, n))))
+    def __init__(self, n: int, slice_bits: int = SLICE_BITS) -> None:
+        bits = max(1 << 16, 1 << (BITS_PER_KEY * max(1, n) - 1).bit_length())
+        self.bits = min(bits, slice_bits)
+        self.slices = bits // self.bits
+
+    def ranges(self) -> Iterator[tuple[int, int]]:
+        """The least and the greatest k1 of each slice, as signed numbers."""
+        step = (1 << 64) // self.slices
+        for k in range(self.slices):
+            yield -(1 << 63) + k * step, -(1 << 63) + (k + 1) * step - 1
 
     def places(self, k1: np.ndarray, k2: np.ndarray | None = None) -> np.ndarray:
-        """The positions of each key, one row for each probe."""
+        """The positions of each key in its slice, one row for each probe."""
         k1 = k1.view(np.uint64)
         step = (mix(k1) if k2 is None else k2.view(np.uint64)) | np.uint64(1)
-        return np.stack([(k1 + np.uint64(i) * step) & np.uint64(self.bits - 1) for i in range(self.probes)]).astype(np.int64)
+        return np.stack([(k1 + np.uint64(i) * step) & np.uint64(self.bits - 1) for i in range(PROBES)]).astype(np.int64)
 
 
-class TwiceSeen:
-    """The twice-seen filter, packed."""
+class Seen:
+    """A slice of a filter, packed."""
 
     def __init__(self, shape: Shape, packed: np.ndarray) -> None:
         self.shape, self.packed = shape, packed
 
     def holds(self, k1: np.ndarray, k2: np.ndarray | None = None) -> np.ndarray:
-        """False only for keys that were not seen twice."""
+        """False only for keys that are not in it."""
         where = self.shape.places(k1, k2)
         return ((self.packed[where >> 3] & _bit(where)) != 0).all(axis=0)
 
@@ -108,9 +121,11 @@ def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
     return map(_columns, batches)
 
 
-def twice_seen(rows: DataFrame, n: int, max_bits: int = MAX_BITS, keys_of: Callable = _table_keys) -> TwiceSeen:
-    """The twice-seen filter of about n keys, those that ``keys_of`` yields from batches of rows as (k1, k2 or None)."""
-    shape = Shape(n, max_bits)
+def seen(rows: DataFrame, shape: Shape, twice: bool = True, keys_of: Callable = _table_keys) -> Seen:
+    """The filter of the keys that ``keys_of`` yields from batches of rows as (k1, k2 or None): of those seen twice, or of all.
+
+    They are the keys of one slice.
+    """
     bits, piece = shape.bits, min(PIECE, shape.bits)
 
     def fill(batches):
@@ -129,28 +144,55 @@ def twice_seen(rows: DataFrame, n: int, max_bits: int = MAX_BITS, keys_of: Calla
         worker.use("twice_seen")
         held: dict[int, _Pair] = {}
         for batch in batches:
-            for k, once, twice in zip(*(batch.column(i) for i in range(3)), strict=True):
-                held.setdefault(k.as_py(), _Pair(piece)).merge(_decoded(once.as_py(), piece), _decoded(twice.as_py(), piece))
+            for k, first, again in zip(*(batch.column(i) for i in range(3)), strict=True):
+                held.setdefault(k.as_py(), _Pair(piece)).merge(_decoded(first.as_py(), piece), _decoded(again.as_py(), piece))
         for k, pair in held.items():
-            yield pa.RecordBatch.from_pydict({"piece": [k], "twice": [pair.twice.tobytes()]}, schema=_TWICE)
+            yield pa.RecordBatch.from_pydict({"piece": [k], "bits": [(pair.twice if twice else pair.once).tobytes()]}, schema=_MERGED)
 
     filled = rows.mapInArrow(fill, "piece int, once binary, twice binary")
     packed = np.zeros(bits // 8, np.uint8)
-    for row in filled.repartition("piece").mapInArrow(merge, "piece int, twice binary").collect():  # bits / 8 bytes in all
-        packed[row["piece"] * piece // 8 : (row["piece"] + 1) * piece // 8] = np.frombuffer(row["twice"], np.uint8)
-    return TwiceSeen(shape, packed)
+    for row in filled.repartition("piece").mapInArrow(merge, "piece int, bits binary").toLocalIterator():  # a slice, bits / 8 bytes in all
+        packed[row["piece"] * piece // 8 : (row["piece"] + 1) * piece // 8] = np.frombuffer(row["bits"], np.uint8)
+    return Seen(shape, packed)
 
 
-def suspected(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of a table of about n keys that the twice-seen filter lets through.
+def suspected(keys: DataFrame, n: int, slice_bits: int = SLICE_BITS, name: str = "suspects") -> DataFrame:
+    """The rows of a table of about n keys that the twice-seen filter lets through, written slice by slice.
 
-    ``keys`` is read twice, so it should be a written table, or cheap.
+    ``keys`` should be a written table whose files are in order of k1, so that each round reads its slice alone.
     """
-    own = keys.select(*[c for c in ("k1", "k2") if c in keys.columns])
-    seen = keys.sparkSession.sparkContext.broadcast(twice_seen(own, n, max_bits))
+    own = [c for c in ("k1", "k2") if c in keys.columns]
+    shape, paths = Shape(n, slice_bits), []
+    for low, high in shape.ranges():
+        part = keys.where(F.col("k1").between(low, high)) if shape.slices > 1 else keys
+        held = keys.sparkSession.sparkContext.broadcast(seen(part.select(*own), shape))
+
+        def rows(batches, held=held):
+            for batch in batches:
+                yield batch.filter(pa.array(held.value.holds(*_columns(batch))))
+
+        paths.append(materialize(part.mapInArrow(rows, keys.schema), name).scratch_path)
+        held.destroy()
+    return keys.sparkSession.read.schema(keys.schema).parquet(*paths)
+
+
+def member_filter(ids: DataFrame, n: int, max_bits: int = SLICE_BITS) -> Seen | None:
+    """A filter of the numbers in ``ids`` (a column), about n; None if it would take more than max_bits, then there's to be none."""
+    shape = Shape(n, 1 << 62)
+    if shape.bits > max_bits:
+        return None
+    return seen(ids, shape, twice=False, keys_of=lambda batches: ((mix(b.column(0).to_numpy().view(np.uint64)), None) for b in batches))
+
+
+def where_member(rows: DataFrame, column: str, held: Seen | None) -> DataFrame:
+    """The rows whose number is in the filter, and a few others; with no filter, all that aren't null."""
+    if held is None:
+        return rows.where(F.col(column).isNotNull())
+    shared = rows.sparkSession.sparkContext.broadcast(held)
 
-    def rows(batches):
+    def some(batches):
         for batch in batches:
-            yield batch.filter(pa.array(seen.value.holds(*_columns(batch))))
+            batch = batch.filter(batch.column(column).is_valid())
+            yield batch.filter(pa.array(shared.value.holds(mix(batch.column(column).to_numpy().view(np.uint64)))))
 
-    return keys.mapInArrow(rows, keys.schema)
+    return rows.mapInArrow(some, rows.schema)

@@ -26,15 +26,15 @@ def plain(rows, min_chars=20, min_docs=3):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("max_bits", [1 << 16, 1 << 20])
-def test_like_plain(edge, edge_rows, max_bits):
-    got = line_dedup.dedup_lines(edge, max_bits=max_bits)
+@pytest.mark.parametrize("slice_bits", [1 << 12, 1 << 20])
+def test_like_plain(edge, edge_rows, slice_bits):
+    got = line_dedup.dedup_lines(edge, slice_bits=slice_bits)
     assert sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()), key=repr) == plain(edge_rows)
     assert set(edge.columns) <= set(got.columns)
 
 
 def test_full_filter_changes_nothing(edge, edge_rows, monkeypatch):
-    monkeypatch.setattr(twice_seen.TwiceSeen, "holds", lambda self, k1, k2=None: k1 == k1)
+    monkeypatch.setattr(twice_seen.Seen, "holds", lambda self, k1, k2=None: k1 == k1)
     got = line_dedup.dedup_lines(edge.select("doc_id", "text"))
     assert sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()), key=repr) == plain(edge_rows)
 
