@@ -9,6 +9,8 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _kept: dict[str, Callable[[], bool]] = {}
 
 
@@ -18,9 +20,12 @@ def keeps(owner: str, drop: Callable[[], bool]) -> None:
 
 
 def use(owner: str) -> None:
-    """Called where an operator's task starts."""
-    if any([drop() for other, drop in _kept.items() if other != owner]):
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # another C library; the memory is free for reuse all the same
-            pass
+    """Called where an operator's task starts: what others keep goes, and so does memory that allocators hold free."""
+    for other, drop in _kept.items():
+        if other != owner:
+            drop()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library; the memory is free for reuse all the same
+        pass

@@ -46,21 +46,23 @@ def test_repetitive_texts(spark, monkeypatch):
         assert result(df, width=width) == plain(rows, width)
 
 
-def test_equal_windows_have_equal_keys():
+def test_shared_stretches_have_the_same_symbols_inside():
     rng = np.random.default_rng(4)
     letters = mix(np.arange(1, 5, dtype=np.uint64))
-    shared = letters[rng.integers(0, 4, 40)]
-    keys = []
+    shared = letters[rng.integers(0, 4, 400)]
+    seen = []
     for _ in range(30):
-        words = np.concatenate([letters[rng.integers(0, 4, rng.integers(0, 30))], shared, letters[rng.integers(0, 4, rng.integers(0, 30))]])
-        at = next(k for k in range(len(words)) if (words[k : k + 40] == shared).all())
-        starts, found, _ = substring.window_keys(words, np.array([0, len(words)]), 13)
-        keys.append(found[(starts >= at) & (starts <= at + 27)])
-    assert all((k == keys[0]).all() for k in keys)
+        before = letters[rng.integers(0, 4, rng.integers(0, 300))]
+        words = np.concatenate([before, shared, letters[rng.integers(0, 4, rng.integers(0, 300))]])
+        starts = substring.symbols(words, np.array([0, len(words)])) - len(before)
+        seen.append(starts[(starts >= 100) & (starts < 300)].tolist())
+    assert all(x == seen[0] for x in seen) and 3 < len(seen[0]) < 40
 
 
-def test_rounds_name_runs_and_pairs_alike():
+def test_symbols_end_with_their_documents():
     word = mix(np.arange(1, 4, dtype=np.uint64))
-    names = np.concatenate([np.repeat(word[:1], 5), word[1:], np.repeat(word[:1], 5), word[1:]])
-    out, begin, end = substring.recompressed(names, np.arange(len(names)), np.arange(1, len(names) + 1))
-    assert len(out) < len(names) and len(set(out.tolist())) < len(out)
+    words = np.concatenate([np.repeat(word[:1], 50), word, np.repeat(word[2:], 50)])
+    at = np.array([0, 50, 50, 53, 103])
+    starts = substring.symbols(words, at)
+    assert set(at[:-1].tolist()) <= set(starts.tolist()) and len(starts) < 8
+    assert substring.symbols(words[:0], np.array([0, 0])).tolist() == []
