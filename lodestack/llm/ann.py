@@ -7,7 +7,8 @@ table, its own bucket and buckets whose numbers differ by one in some functions,
 expected score of Lv et al. (2007): the sum of squares of the distances to the crossed edges, ranked
 once for all queries by the expected sizes of sorted distances. How many buckets are visited is
 fitted: of about SAMPLE queries the exact neighbours are found among all rows, and the number is the
-least that finds RECALL of them. If MOST_PROBES buckets a table don't find as many (vectors of very
+least that finds RECALL of them. Of several numbers of functions and widths that one is taken that leaves
+the least to compare. If MOST_PROBES buckets a table don't find as many (vectors of very
 different norms), all queries are compared with all rows. Candidates of all tables are merged and ranked by the exact inner
 product in double precision.
 
@@ -39,8 +40,10 @@ from lodestack.llm.words import mix
 from lodestack.session import materialize
 
 TABLES = 8
-#: Width of a function's buckets, in standard deviations of its values.
-WIDTH = 3.0
+#: What is tried: functions more than the rows ask for, and the width of a function's buckets, in standard deviations of its values.
+SHAPES = ((0, 3.0), (2, 3.0), (4, 3.0), (7, 3.0), (8, 5.0), (0, 1.5), (2, 1.5), (4, 1.5))
+#: Rows that the share of compared rows is estimated on.
+TRIED = 4096
 #: Rows of a bucket, about, if all are alike.
 BUCKET = 100
 SAMPLE = 128
@@ -90,6 +93,8 @@ class Index:
     probes: int = 1
     #: Whether so many probes find RECALL of the fitted queries' neighbours.
     reached: bool = True
+    #: The share of all rows that a query is compared with, about.
+    share: float = 1.0
 
     def values(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         """The functions' values before rounding, (rows, tables, k)."""
@@ -239,12 +244,14 @@ def build(rows_in: DataFrame, kind: str, length: int, every: int, n: int, seed:
 
     count = rows_in.count()
     norm = rows_in.select("raw").mapInArrow(norms, "norm double").agg(F.max("norm")).first()[0] or 1.0
-    k = int(np.clip(round(np.log2(max(count, 1) / BUCKET)), 3, 16))
-    random = np.random.default_rng(seed)
-    spread = norm / np.sqrt(length)  # a function's standard deviation over directions, times sqrt(length)
-    width = WIDTH * spread * np.sqrt(length)
-    index = Index(TABLES, k, norm, random.standard_normal((length + 1, TABLES * k)), random.uniform(0, width, TABLES * k), width, random.integers(1, 1 << 63, (TABLES, k), dtype=np.uint64) * _U(2) + _U(1))
+    base = int(np.clip(round(np.log2(max(count, 1) / BUCKET)), 3, 16))
 
+    def shaped(k: int, widths: float) -> Index:
+        random = np.random.default_rng(seed)
+        width = widths * norm  # a function's standard deviation over directions is the norm, over sqrt(length) a component's
+        return Index(TABLES, k, norm, random.standard_normal((length + 1, TABLES * k)), random.uniform(0, width, TABLES * k), width, random.integers(1, 1 << 63, (TABLES, k), dtype=np.uint64) * _U(2) + _U(1))
+
+    index = shaped(base, SHAPES[0][1])
     queries = rows_in.where(F.pmod("id", F.lit(every)) == 0)
     wanted = max(1, -(-count // every) // SAMPLE)
     drawn = queries.where(F.pmod(F.xxhash64(F.lit("ann"), "id"), F.lit(wanted)) == 0).orderBy("id").limit(4 * SAMPLE).collect()
@@ -255,24 +262,37 @@ def build(rows_in: DataFrame, kind: str, length: int, every: int, n: int, seed:
     near = _ranked(_against_all((ids, matrix), rows_in, kind, length, n), n).join(rows_in.select(F.col("id").alias("vec_id"), "raw"), "vec_id").select("query_id", "raw").collect()
     if not near:
         return index
-    sets = perturbations(k, MOST_PROBES)
-    theirs = index.buckets(_matrix([r["raw"] for r in near], kind, length))
     place = {int(q): p for p, q in enumerate(ids)}
-    rank = np.full(len(near), len(sets))
     of = np.array([place[r["query_id"]] for r in near])
-    for q in range(len(ids)):
+    neighbours = _matrix([r["raw"] for r in near], kind, length)
+    rate = max(1, count // TRIED)
+    tried = _matrix([r["raw"] for r in rows_in.where(F.pmod(F.xxhash64(F.lit("tried"), "id"), F.lit(rate)) == 0).select("raw").limit(2 * TRIED).collect()], kind, length)
+    found = [_fitted(shaped(min(20, base + more), widths), matrix, of, neighbours, tried) for more, widths in SHAPES]
+    # A bucket that is visited costs about as much as two vectors.
+    return min(found, key=lambda x: (not x.reached, x.share * count + 2 * TABLES * x.probes))
+
+
+def _fitted(index: Index, matrix: np.ndarray, of: np.ndarray, neighbours: np.ndarray, tried: np.ndarray) -> Index:
+    """The index with the least number of probes that finds RECALL of the neighbours (of: each one's query in matrix), and the share of ``tried`` that is compared then."""
+    sets = perturbations(index.k, MOST_PROBES)
+    theirs, others = index.buckets(neighbours), index.buckets(tried)
+    rank = np.full(len(neighbours), len(sets))
+    visits = []
+    for q in range(len(matrix)):
         mine = np.flatnonzero(of == q)
-        if len(mine):
-            visits = index.visited(matrix[q : q + 1], sets)[0]
-            for table in range(TABLES):
-                order = np.argsort(visits[table], kind="stable")
-                at = np.searchsorted(visits[table][order], theirs[mine, table])
-                at = np.minimum(at, len(order) - 1)
-                hit = visits[table][order][at] == theirs[mine, table]
-                rank[mine] = np.minimum(rank[mine], np.where(hit, order[at], len(sets)))
+        own = index.visited(matrix[q : q + 1], sets)[0]
+        visits.append(own)
+        for table in range(TABLES):
+            order = np.argsort(own[table], kind="stable")
+            at = np.minimum(np.searchsorted(own[table][order], theirs[mine, table]), len(order) - 1)
+            hit = own[table][order][at] == theirs[mine, table]
+            rank[mine] = np.minimum(rank[mine], np.where(hit, order[at], len(sets)))
     last = int(np.sort(rank)[min(len(rank) - 1, int(np.ceil(RECALL * len(rank))) - 1)])
     index.reached = last < len(sets)
     index.probes = last + 1 if index.reached else 1
+    if index.reached and len(tried):
+        met = [np.any([np.isin(others[:, t], own[t, : index.probes]) for t in range(TABLES)], axis=0).mean() for own in visits[:32]]
+        index.share = float(np.mean(met))
     return index
 
 

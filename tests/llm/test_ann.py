@@ -67,3 +67,25 @@ def test_perturbations_in_order_of_score():
     for own in sets.tolist():
         used = [min(x, 11 - x) for x in own if x]
         assert len(set(used)) == len(used)
+
+
+def test_few_clustered_vectors_are_compared(spark):
+    """At this recall a query meets less than a quarter of vectors that lie in clusters."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((60, 32)) * 3
+    rows = [(k, (centres[rng.integers(60)] + rng.standard_normal(32)).tolist()) for k in range(6000)]
+    clean = ann._clean(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4), "vec_id", "embedding").cache()
+    index = ann.build(clean, "<f8", 32, 20, 20)
+    assert index.reached and index.share < 0.25
+    vectors = np.array([v for _, v in rows])
+    queries = vectors[::20]
+    sets = ann.perturbations(index.k, index.probes)
+    stored, visits = index.buckets(vectors), index.visited(queries, sets)
+    hits, met = 0, 0
+    for n, q in enumerate(range(0, 6000, 20)):
+        seen = np.any([np.isin(stored[:, t], visits[n, t]) for t in range(index.tables)], axis=0)
+        scores = vectors @ queries[n]
+        scores[q] = -np.inf
+        hits += seen[np.argsort(-scores)[:20]].sum()
+        met += seen.mean()
+    assert hits >= 0.9 * 20 * 300 and met < 0.25 * 300
