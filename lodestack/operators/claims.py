@@ -35,10 +35,13 @@ def comparable_pairs(claims: DataFrame) -> DataFrame:
     """Pairs a < b of claims on one subject within one scope whose signatures differ.
 
     claims: claim_id, claim_type, subject, manufacturer, family, models, scope_revision, signature and
-    what else is to be kept. Claims meet by equality of type, subject, manufacturer and family, so a
+    what else is to be kept. Revisions are compared folded and without white space at their ends; a blank one
+    is none. Claims meet by equality of type, subject, manufacturer and family, so a
     hot subject is one key of a sort-merge join, which AQE splits; models and revisions only filter.
     """
     keys = ["claim_type", "subject", "manufacturer", "family"]
+    own = S.fold(S.strip(F.col("scope_revision")))
+    claims = claims.withColumn("scope_revision", F.when(own != "", own))
     side = lambda p: claims.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in claims.columns if c not in keys])
     pairs = side("a").join(side("b"), keys)
     models = (F.size("a_models") == 0) | (F.size("b_models") == 0) | F.arrays_overlap("a_models", "b_models")
@@ -54,16 +57,21 @@ def text_contradicts(left: Column, right: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), S.fold(left) != S.fold(right)).otherwise((negated(a) != negated(b)) | (share >= 0.35))
 
 
+def authority(sources: DataFrame) -> DataFrame:
+    """sources (document_type, revision) with what supersession compares: the folded type and the revision's key."""
+    return sources.withColumns({"kind": S.fold(F.col("document_type")), "edition": S.revision_key(F.col("revision"))})
+
+
 def supersession(pairs: DataFrame) -> DataFrame:
-    """pairs with the superseding and the superseded claim, and how sure that is.
+    """pairs with the superseding and the superseded claim, and how sure that is. Both sides have level, date and ``authority``.
 
     The higher authority (lower level) wins: high. Within one level and document type the newer
     revision wins, or else the newer date: medium. Else the smaller id: low.
     """
     c = F.col
     lower, higher = c("a_level") < c("b_level"), c("a_level") > c("b_level")
-    same_type = S.fold(c("a_document_type")) == S.fold(c("b_document_type"))
-    ra, rb = S.revision_key(c("a_revision")), S.revision_key(c("b_revision"))
+    same_type = c("a_kind") == c("b_kind")
+    ra, rb = c("a_edition"), c("b_edition")
     by_revision = same_type & ra.isNotNull() & rb.isNotNull() & (ra != rb)
     by_date = same_type & c("a_date").isNotNull() & c("b_date").isNotNull() & (c("a_date") != c("b_date"))
     a_wins = F.when(lower, True).when(higher, False).when(F.coalesce(by_revision, F.lit(False)), ra > rb).when(F.coalesce(by_date, F.lit(False)), c("a_date") > c("b_date")).otherwise(True)

@@ -90,3 +90,60 @@ def json_agreement(df: DataFrame, expected: str, actual: str) -> DataFrame:
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", expected_leaves long, matched_leaves long"
     return df.mapInPandas(score, schema)
+
+
+def structure_fidelity(expected_count: Column, actual_count: Column, expected_types: Column, actual_types: Column) -> Column:
+    """0.4 times the score of the number of sections (25 off for each that is missing or too many), 0.6 times the share of expected types."""
+    off = F.greatest(F.lit(0.0), 100.0 - F.abs(actual_count - expected_count) * 25.0)
+    count = F.when(expected_count == 0, F.when(actual_count == 0, 100.0).otherwise(0.0)).otherwise(off)
+    want = F.array_distinct(expected_types)
+    kinds = F.when(F.size(want) == 0, 100.0).otherwise(F.round(F.size(F.array_intersect(want, actual_types)) / F.greatest(F.size(want), F.lit(1)) * 100, 2))
+    return F.round(count * 0.4 + kinds * 0.6, 2)
+
+
+def snippets_found(snippets: Column, content: Column) -> Column:
+    """The share of snippets that the content has, in percent; white space runs count as one space."""
+    from lodestack.functions import strings as S
+
+    whole = S.collapse(content)
+    found = F.size(F.filter(snippets, lambda x: F.contains(whole, S.collapse(x))))
+    return F.when(F.size(snippets) == 0, 100.0).otherwise(F.round(found / F.greatest(F.size(snippets), F.lit(1)) * 100, 2))
+
+
+def macro_means(scores: DataFrame, by: str, score: str) -> DataFrame:
+    """The mean over fixtures of each one's score, whatever their sizes."""
+    return scores.groupBy(by).agg(F.round(F.avg(score), 2).alias("mean"), F.count(F.lit(1)).alias("fixtures"))
+
+
+def extraction_overall(counts: Column, fields: Column, provenance: Column, schema: Column) -> Column:
+    """The mean of four scores, to two decimals; no field scores count as 100."""
+    return F.round((counts + F.coalesce(fields, F.lit(100.0)) + provenance + schema) / 4, 2)
+
+
+def field_accuracy(expected: DataFrame, actual: DataFrame, skipped: tuple[str, ...]) -> DataFrame:
+    """fixture, record_type, total, matched and score: leaves of expected records that the actual ones have.
+
+    Records (fixture, record_type, payload as JSON) are zipped in the order of their JSON without the skipped keys
+    and with white space collapsed. One fixture's records of a type are a group in Python: that is a fixture's size.
+    """
+    import json
+
+    def plain(value: object) -> object:
+        if isinstance(value, dict):
+            return {k: plain(value[k]) for k in sorted(value) if k not in skipped}
+        if isinstance(value, list):
+            return [plain(x) for x in value]
+        return " ".join(value.split()) if isinstance(value, str) else value
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = {role: sorted((plain(json.loads(x)) for x in own["payload"]), key=lambda v: json.dumps(v, sort_keys=True)) for role, own in pdf.groupby("role")}
+        want, have = sides.get("expected", []), sides.get("actual", [])
+        total = sum(map(leaves, want))
+        matched = sum(agreeing_leaves(a, b) for a, b in zip(want, have, strict=False))
+        share = round(matched / total * 100, 2) if total else 100.0
+        if not want:
+            share = 0.0 if have else 100.0
+        return pd.DataFrame({"fixture": pdf["fixture"].iloc[:1], "record_type": pdf["record_type"].iloc[:1], "total": [total], "matched": [matched], "score": [share]})
+
+    both = expected.withColumn("role", F.lit("expected")).unionByName(actual.withColumn("role", F.lit("actual")))
+    return both.groupBy("fixture", "record_type").applyInPandas(score, "fixture long, record_type string, total long, matched long, score double")

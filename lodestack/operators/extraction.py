@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,12 +20,6 @@ PRICES = {"gpt-4o": (2.50, 10.00), "gpt-4o-mini": (0.15, 0.60), "gpt-4.1": (2.00
 STATUSES = ("pending", "in_progress", "succeeded", "failed", "skipped")
 
 
-def record_types(spark: SparkSession) -> DataFrame:
-    """section_type, ordinal and record_type: a fixed table of a few dozen rows."""
-    rows = [(k, n, t) for k, types in V.RECORD_TYPES.items() for n, t in enumerate(types)]
-    return spark.createDataFrame(rows, "section_type string, ordinal int, record_type string")
-
-
 def work_items(sections: DataFrame) -> DataFrame:
     """A row for each section and type of record to extract from it, with its item_id."""
     types = F.create_map(*[x for k, v in V.RECORD_TYPES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
@@ -48,35 +45,41 @@ def estimate_tokens(chars: Column, max_tokens: Column) -> Column:
     return F.greatest(F.floor(chars / 4.0), F.lit(1)).cast("long") + max_tokens
 
 
+def retry_class(message: Column) -> Column:
+    """``rate_limit`` for what the message of the last failure calls a limit on rates, else null."""
+    m = F.lower(message)
+    return F.when(F.contains(m, F.lit("rate limit")) | F.contains(m, F.lit("too many requests")) | m.rlike(r"\b429\b"), "rate_limit")
+
+
 def route(items: DataFrame, rules: list[dict], default: str) -> DataFrame:
-    """items with ``model``: of the ordered rules the first that fits record_type, section_type and tokens."""
+    """items with ``model``: of the ordered rules the first that fits retry_class, record_type, section_type and prompt_tokens."""
     out = F.when(F.lit(False), F.lit(""))
     for rule in rules:
-        ok = F.lit(True)
+        ok = F.lit(True) if rule.get("retry_class") is None else F.col("retry_class").eqNullSafe(rule["retry_class"])
         if rule.get("record_types"):
             ok = ok & F.col("record_type").isin(*rule["record_types"])
         if rule.get("section_types"):
             ok = ok & F.col("section_type").isin(*rule["section_types"])
         if rule.get("min_tokens") is not None:
-            ok = ok & (F.col("tokens") >= rule["min_tokens"])
+            ok = ok & (F.col("prompt_tokens") >= rule["min_tokens"])
         if rule.get("max_tokens") is not None:
-            ok = ok & (F.col("tokens") <= rule["max_tokens"])
+            ok = ok & (F.col("prompt_tokens") <= rule["max_tokens"])
         out = out.when(ok, F.lit(rule["model"]))
     return items.withColumn("model", out.otherwise(F.lit(default)))
 
 
 def chunks(items: DataFrame, group: str, order: str, most: int, budget: int) -> DataFrame:
-    """items with ``chunk``: each takes the next ones of its group while their number and tokens fit; one always fits.
+    """items with ``chunk``: each takes the next ones of its group while their model is the same and their number and tokens fit; one always fits.
 
     Packing is sequential, so it runs in Python, one group (a run) at a time.
     """
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, ignore_index=True)
-        chunk, held, tokens, out = -1, most, 0, []
-        for own in pdf["tokens"]:
-            if held >= most or tokens + own > budget:
-                chunk, held, tokens = chunk + 1, 0, 0
+        chunk, held, tokens, now, out = -1, most, 0, None, []
+        for own, model in zip(pdf["tokens"], pdf["model"], strict=True):
+            if held >= most or tokens + own > budget or model != now:
+                chunk, held, tokens, now = chunk + 1, 0, 0, model
             held, tokens = held + 1, tokens + own
             out.append(chunk)
         return pdf.assign(chunk=out)
@@ -211,6 +214,108 @@ def offline_rules(batch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"item_id": batch["item_id"], "values": values.astype("int64"), "severe": severe, "words": batch["content"].str.split().str.len().astype("int64")})
 
 
+def replayed(answers: dict[str, str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A backend that gives recorded answers by the SHA-256 of the prompt; an error where none was recorded."""
+
+    def backend(batch: pd.DataFrame) -> pd.DataFrame:
+        keys = [hashlib.sha256(p.encode()).hexdigest() for p in batch["prompt"]]
+        found = [answers.get(k) for k in keys]
+        return pd.DataFrame({"item_id": batch["item_id"], "response": found, "error": [None if x is not None else "no recorded answer" for x in found]})
+
+    return backend
+
+
+def with_repair(ask: Callable[[str], str], schema: dict, attempts: int = 2) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A backend that asks for JSON by a schema; answers that don't satisfy it are asked for again, then by the relaxed schema.
+
+    What satisfies the relaxed schema counts only if it satisfies the strict one too. Else an item is flagged for review.
+    """
+
+    def tried(prompt: str) -> tuple[str | None, str | None]:
+        try:
+            raw = ask(prompt)
+            errors = json_errors(json.loads(raw), schema)
+        except ValueError as e:
+            return None, str(e)
+        return (raw, None) if not errors else (None, "; ".join(errors))
+
+    def backend(batch: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for item, prompt in zip(batch["item_id"], batch["prompt"], strict=True):
+            raw, error = tried(prompt)
+            strategy, used, errors = "direct", 0, [] if error is None else [error]
+            ladder = (("reprompt", "Answer again; the answer was invalid"), ("relaxed_schema", f"Answer by this schema: {json.dumps(relaxed_schema(schema), sort_keys=True)}; the answer was invalid"))
+            for name, said in ladder[:attempts]:
+                if raw is not None:
+                    break
+                used += 1
+                raw, error = tried(f"{prompt}\n{said}: {error}")
+                strategy = name
+                if error is not None:
+                    errors.append(error)
+            rows.append((item, raw, "manual_review" if raw is None else strategy, used, errors, raw is None))
+        return pd.DataFrame(rows, columns=["item_id", "response", "strategy", "attempts", "errors", "flagged"])
+
+    return backend
+
+
+REPAIRED = "item_id string, response string, strategy string, attempts int, errors array<string>, flagged boolean"
+_JSON_TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
+
+
+def json_errors(value: object, schema: dict, path: str = "$") -> list[str]:
+    """What of a value a JSON schema forbids, sorted, each with its path: types, required, extra and enumerated values, bounds and items."""
+    out: list[str] = []
+    if "anyOf" in schema and all(json_errors(value, s, path) for s in schema["anyOf"]):
+        out.append(f"{path}: fits none of the options")
+    kinds = schema.get("type")
+    if kinds is not None:
+        listed = [kinds] if isinstance(kinds, str) else kinds
+        fits = any(isinstance(value, _JSON_TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number")) or (k == "integer" and isinstance(value, float) and value.is_integer()) for k in listed)
+        if not fits:
+            return [*out, f"{path}: is not of type {' or '.join(listed)}"]
+    if "enum" in schema and value not in schema["enum"]:
+        out.append(f"{path}: is not one of {schema['enum']}")
+    if "const" in schema and value != schema["const"]:
+        out.append(f"{path}: is not {schema['const']!r}")
+    if isinstance(value, str):
+        if len(value) < schema.get("minLength", 0):
+            out.append(f"{path}: is too short")
+        if "pattern" in schema and not re.search(schema["pattern"], value):
+            out.append(f"{path}: does not match {schema['pattern']}")
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        if "minimum" in schema and value < schema["minimum"]:
+            out.append(f"{path}: is less than {schema['minimum']}")
+        if "maximum" in schema and value > schema["maximum"]:
+            out.append(f"{path}: is greater than {schema['maximum']}")
+    if isinstance(value, dict):
+        known = schema.get("properties", {})
+        out += [f"{path}: lacks {k}" for k in schema.get("required", ()) if k not in value]
+        if schema.get("additionalProperties") is False:
+            out += [f"{path}: has no place for {k}" for k in value if k not in known]
+        for k, own in known.items():
+            if k in value:
+                out += json_errors(value[k], own, f"{path}.{k}")
+    if isinstance(value, list):
+        if len(value) < schema.get("minItems", 0):
+            out.append(f"{path}: has too few items")
+        if isinstance(schema.get("items"), dict):
+            for n, x in enumerate(value):
+                out += json_errors(x, schema["items"], f"{path}[{n}]")
+    return sorted(out)
+
+
+def relaxed_schema(schema: object) -> object:
+    """A JSON schema without the demands that an answer's form may miss."""
+    # The keys that go.
+    strict = ("required", "additionalProperties", "minItems", "maxItems", "minLength", "maxLength", "enum")
+    if isinstance(schema, list):
+        return [relaxed_schema(x) for x in schema]
+    if not isinstance(schema, dict):
+        return schema
+    return {k: {n: relaxed_schema(x) for n, x in v.items()} if k == "properties" and isinstance(v, dict) else relaxed_schema(v) for k, v in schema.items() if k not in strict}
+
+
 def retry_hint(message: Column) -> Column:
     """Seconds that an error message asks to wait, 0 if none."""
     m = F.lower(message)

@@ -75,6 +75,13 @@ def buckets(df: DataFrame) -> DataFrame:
     return spread.withColumn("bucket_id", F.concat_ws("/", S.slug(F.col("manufacturer")), S.slug(scope), S.slug(F.col("dimension"))))
 
 
+def with_prior(assignments: DataFrame, prior: DataFrame, now: Column) -> DataFrame:
+    """assignments with assigned_at: that of the same one (document, dimension, bucket and value) before, or else now."""
+    keys = ["doc_id", "dimension", "bucket_id", "value"]
+    before = prior.groupBy(*keys).agg(F.min("assigned_at").alias("assigned_at"))
+    return assignments.join(before, keys, "left").withColumn("assigned_at", F.coalesce("assigned_at", now))
+
+
 def precedence(document_type: Column, document_class: Column, revision: Column) -> Column:
     """Level of authority, 1 the highest."""
     kind = S.slug(document_type)

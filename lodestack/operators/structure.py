@@ -14,25 +14,11 @@ from pyspark.sql.window import Window
 from lodestack.functions import strings as S
 from lodestack.functions import vocabulary as V
 
-BOUNDARY_EXEMPT = ("title", "document_title", "page_header", "page_footer", "running_header", "running_footer")
-
-
 def _by_document(upto: int | None = None):
     w = Window.partitionBy("doc_id").orderBy("idx")
     return w if upto is None else w.rowsBetween(Window.unboundedPreceding, upto)
 
 
-def heading_parents(headings: DataFrame, levels: int = 3) -> DataFrame:
-    """headings with parent_idx: the nearest earlier heading of a smaller level, as a stack would keep it."""
-    before = _by_document(-1)
-    out = headings
-    parent = F.lit(None).cast("long")
-    for level in range(2, levels + 1):
-        nearest = F.last(F.when(F.col("level") < level, F.col("idx")), ignorenulls=True).over(before)
-        parent = F.when(F.col("level") == level, nearest).otherwise(parent)
-    return out.withColumn("parent_idx", parent)
-
-
 def infer_pages(items: DataFrame, page_count: Column) -> DataFrame:
     """items with ``page`` filled forward, then backward, then in proportion to their place."""
     forward = F.last("page", ignorenulls=True).over(_by_document(0))
@@ -43,42 +29,6 @@ def infer_pages(items: DataFrame, page_count: Column) -> DataFrame:
     return items.withColumn("page", F.coalesce(forward, back, place).cast("long"))
 
 
-def sections(items: DataFrame) -> DataFrame:
-    """items with section_no: the number of headings that open a section up to the item (0 before the first)."""
-    opens = (F.col("label") == "section_header") & ~F.col("label").isin(*BOUNDARY_EXEMPT) & (F.length(S.strip(F.col("text"))) > 0)
-    return items.withColumn("opens", opens).withColumn("section_no", F.sum(F.when(F.col("opens"), 1).otherwise(0)).over(_by_document(0)).cast("long"))
-
-
-def section_rows(sectioned: DataFrame) -> DataFrame:
-    """One row for each section: title, number of items, pages from and to (of its items, else of its heading), content."""
-    body = ~F.col("opens")
-    content = F.array_sort(F.collect_list(F.when(body, F.struct("idx", "text"))))
-    return (
-        sectioned.where("section_no > 0")
-        .groupBy("doc_id", "section_no")
-        .agg(
-            F.max(F.when(F.col("opens"), F.col("text"))).alias("title"),
-            F.max(F.when(F.col("opens"), F.col("page"))).alias("heading_page"),
-            F.max(F.when(F.col("opens"), F.col("level"))).alias("level"),
-            F.count(F.when(body, 1)).alias("items"),
-            F.coalesce(F.min(F.when(body, F.col("page"))), F.max(F.when(F.col("opens"), F.col("page")))).alias("page_from"),
-            F.coalesce(F.max(F.when(body, F.col("page"))), F.max(F.when(F.col("opens"), F.col("page")))).alias("page_to"),
-            F.array_join(F.transform(content, lambda x: x["text"]), "\n\n").alias("content"),
-        )
-    )
-
-
-def place_tables(tables: DataFrame, section_list: DataFrame) -> DataFrame:
-    """Each table (doc_id, table_no, page) with the first section whose pages take it in; tables without a page go.
-
-    A section takes pages from its heading's up to before the next heading's; an unknown next page is no bound.
-    """
-    w = Window.partitionBy("doc_id").orderBy("section_no")
-    bounds = section_list.select("doc_id", "section_no", F.col("heading_page").alias("start"), F.lead("heading_page").over(w).alias("stop"))
-    held = tables.where(F.col("page").isNotNull()).join(bounds, "doc_id").where((F.col("start") <= F.col("page")) & (F.col("stop").isNull() | (F.col("page") < F.col("stop"))))
-    return held.groupBy("doc_id", "table_no").agg(F.min("section_no").alias("section_no"))
-
-
 def _first_type(haystack: Column, keywords: tuple) -> Column:
     """The first type with a keyword in the haystack, else null. Keywords with other characters than [a-z0-9 ] can't occur."""
     out = F.lit(None).cast("string")
@@ -109,19 +59,15 @@ def classify(df: DataFrame) -> DataFrame:
     """df (title, content, document_type, document_class, maybe parents) with section_type.
 
     It is told by the title, the parents' titles, the document's type, the content, or the title's form.
-    Each keyword list is tried once on each text; the document's context only orders the lists' answers.
+    Each text is looked at only where the ones before leave the type open.
     """
     prepared = (
         df.withColumn("_plain", S.classifier_text(F.col("title")))
-        .withColumn("_inside", S.classifier_text(F.substring("content", 1, 500)))
-        .withColumn("_above", S.classifier_text(F.col("parents")) if "parents" in df.columns else F.lit(""))
         .withColumn("_kind", S.slug(F.col("document_type")))
         .withColumn("_short", number_stripped(F.col("_plain")))
         .withColumn("_titles", F.concat_ws("\n", "_plain", "_short"))
     )
     lists = {"manual": V.MANUAL_KEYWORDS, "operational": V.OPERATIONAL_KEYWORDS, "drawing": V.DRAWING_KEYWORDS, "bulletin": V.BULLETIN_KEYWORDS}
-    for text in ("_titles", "_above", "_inside"):
-        prepared = prepared.withColumns({f"{text}_{name}": _first_type(F.col(text), words) for name, words in lists.items()})
     plain, short, kind = F.col("_plain"), F.col("_short"), F.col("_kind")
     context = (
         F.when(kind.isin(*V.CONTEXT_TYPES["operational"]) | (S.strip(S.fold(F.col("document_class"))) == "operational"), "operational")
@@ -141,39 +87,23 @@ def classify(df: DataFrame) -> DataFrame:
     number = r"^(?:step\s+)?\d+(?:\.\d+)*[).:\-]?\s*"
     few = F.size(F.array_remove(F.split(short, " "), "")) <= 4
     look = ~plain.isin(*NEUTRAL_TITLES) & (plain.rlike(number) | starts | plain.isin(*V.ADMONITIONS) | ((plain != short) & (short != "")) | (few & ~short.isin(*NEUTRAL_TITLES)))
-    found = F.coalesce(
-        F.when(plain.isin(*V.ADMONITIONS) | short.isin(*V.ADMONITIONS), "safety"),
-        tried("_titles"),
-        tried("_above"),
-        F.when(~plain.isin("overview", "notes", "instructions"), F.try_element_at(usual, kind)),
-        F.when(look, tried("_inside")),
-        F.when(S.strip(F.col("title")).rlike("(?i)" + number) | starts, "workflow"),
-        F.lit("other"),
-    )
-    return prepared.withColumn("_context", context).select(*df.columns, found.alias("section_type"))
-
-
-STEP = r"(?i)^(?:step\s+)?(\d+)[).:\-]?\s+(.+)$"
-
-
-def steps(lines: DataFrame) -> DataFrame:
-    """Rows (keys, idx, line) with ``step``: the line's own number, else one more than the line before's. 0 counts as no number."""
-    own = F.regexp_extract("line", STEP, 1)
-    given = F.when((own != "") & (F.length(own) <= 9), own.cast("long"))
-    marked = lines.withColumn("given", F.when(given > 0, given))
-    groups = marked.withColumn("run", F.count("given").over(_by_document(0)))
-    inside = Window.partitionBy("doc_id", "run").orderBy("idx")
-    base = F.coalesce(F.first("given").over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.lit(1).cast("long"))
-    return groups.withColumn("step", base + F.row_number().over(inside) - 1).drop("given", "run")
-
-
-FIGURE = r"(?i)^(figure|fig\.?|diagram|drawing|wiring diagram|schematic|p&id)[A-Za-z0-9.\- ]*$"
-
-
-def figures(items: DataFrame) -> DataFrame:
-    """Items with figure_no: a figure label opens a region that the items after it belong to."""
-    opens = F.trim("text").rlike(FIGURE)
-    return items.withColumn("is_label", opens).withColumn("figure_no", F.sum(F.when(opens, 1).otherwise(0)).over(_by_document(0)).cast("long"))
+    safe = F.when(plain.isin(*V.ADMONITIONS) | short.isin(*V.ADMONITIONS), "safety")
+    above = S.classifier_text(F.col("parents")) if "parents" in df.columns else F.lit("")
+    by_kind = F.when(~plain.isin("overview", "notes", "instructions"), F.try_element_at(usual, kind))
+    looked = lambda df, text: df.withColumns({f"{text}_{name}": _first_type(F.col(text), words) for name, words in lists.items()})
+    opened = looked(prepared.withColumn("_context", context), "_titles").withColumn("_found", F.coalesce(safe, tried("_titles")))
+    # A text that needn't be looked at is null, and so are the answers of all patterns on it.
+    opened = looked(opened.withColumn("_above", F.when(F.col("_found").isNull() & (above != ""), above)), "_above")
+    opened = opened.withColumn("_found", F.coalesce("_found", tried("_above"), by_kind))
+    opened = looked(opened.withColumn("_inside", F.when(F.col("_found").isNull() & look, S.classifier_text(F.substring("content", 1, 500)))), "_inside")
+    by_form = F.when(S.strip(F.col("title")).rlike("(?i)" + number) | starts, "workflow")
+    found = F.coalesce("_found", tried("_inside"), by_form, F.lit("other"))
+    return opened.select(*df.columns, settled(found).alias("section_type"))
+
+
+def settled(column: Column) -> Column:
+    """The column, computed where it stands: the optimizer doesn't copy what isn't deterministic into conditions on it."""
+    return F.when(F.spark_partition_id() >= 0, column)
 
 
 def reviewability(title: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestack.functions import duck
-from lodestack.functions import strings as S
 from lodestack.functions import vocabulary as V
 from lodestack.operators import claims as O
 from lodestack.operators import intake
@@ -17,19 +16,17 @@ from lodestack.plans.views import REVISIONS, pick, table
 _SUPPLIERS = f"""suppliers AS (SELECT s_suppkey, {duck.pick(V.DOCUMENT_TYPES, 's_suppkey * 5')} AS document_type, {duck.pick(V.DOCUMENT_CLASSES, 's_suppkey // 2')} AS document_class,
     {duck.pick(REVISIONS, 's_suppkey')} AS revision, CASE WHEN s_suppkey % 3 <> 0 THEN DATE '2021-01-01' + (s_suppkey % 90)::INTEGER END AS date FROM supplier),
 sources AS (SELECT *, {PRECEDENCE} AS level, {REVISION_TIER} AS tier, {REVISION_NUMBER} AS number FROM suppliers),
-claims AS (SELECT 'c' || l_orderkey || '-' || l_suppkey AS claim_id, l_partkey AS part, round(l_discount * 100)::INTEGER AS value, l_suppkey AS s, sources.* FROM lineitem JOIN sources ON l_suppkey = s_suppkey WHERE l_linenumber = 1),
+claims AS (SELECT concat_ws('-', 'c' || l_orderkey, l_linenumber, l_suppkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_suppkey, l_partkey ORDER BY l_discount)) AS claim_id, l_partkey AS part, round(l_discount * 100)::INTEGER AS value,
+    l_suppkey AS s, nullif(lower(trim(CASE l_orderkey % 8 WHEN 0 THEN ' Rev A ' WHEN 1 THEN 'rev a' WHEN 2 THEN '  ' WHEN 3 THEN 'B' END)), '') AS scope, sources.* FROM lineitem JOIN sources ON l_suppkey = s_suppkey),
 pairs AS (SELECT a.claim_id AS a_id, b.claim_id AS b_id, a.part, a.level AS al, b.level AS bl, lower(a.document_type) = lower(b.document_type) AS same_type, a.tier AS ta, b.tier AS tb, a.number AS an, b.number AS bn, a.date AS ad, b.date AS bd,
-    a.value AS av, b.value AS bv FROM claims a JOIN claims b ON a.part = b.part AND a.claim_id < b.claim_id AND a.value <> b.value AND (a.s % 4 = 0 OR b.s % 4 = 0 OR a.s % 2 = b.s % 2))"""
+    a.value AS av, b.value AS bv FROM claims a JOIN claims b ON a.part = b.part AND a.claim_id < b.claim_id AND a.value <> b.value AND (a.s % 4 = 0 OR b.s % 4 = 0 OR a.s % 2 = b.s % 2) AND (a.scope IS NULL OR b.scope IS NULL OR a.scope = b.scope))"""
 _A_WINS = """CASE WHEN al < bl THEN true WHEN al > bl THEN false WHEN same_type AND ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn) THEN ta > tb OR (ta = tb AND an > bn)
   WHEN same_type AND ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd THEN ad > bd ELSE true END"""
 _HOW = """CASE WHEN al <> bl THEN 'high' WHEN same_type AND ((ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn)) OR (ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd)) THEN 'medium' ELSE 'low' END"""
 
 
-def spec_claims(spark, sf_dir, whole=False):
-    """Claims of the order lines numbered 1, as the SQL has them, or of all lines.
-
-    Order and line number aren't unique: claims of one order, line, supplier and part are numbered.
-    """
+def spec_claims(spark, sf_dir):
+    """A claim of every order line. Order and line number aren't unique: claims of one order, line, supplier and part are numbered."""
     k = F.col("s_suppkey")
     sources = table(spark, sf_dir, "supplier").select(
         k.alias("source"),
@@ -38,15 +35,13 @@ def spec_claims(spark, sf_dir, whole=False):
         pick(REVISIONS, k).alias("revision"),
         F.when(k % 3 != 0, F.date_add(F.lit("2021-01-01").cast("date"), (k % 90).cast("int"))).alias("date"),
     )
-    sources = sources.withColumn("level", intake.precedence(F.col("document_type"), F.col("document_class"), F.col("revision")))
+    sources = O.authority(sources.withColumn("level", intake.precedence(F.col("document_type"), F.col("document_class"), F.col("revision"))))
     lines = table(spark, sf_dir, "lineitem")
-    claim_id = F.concat(F.lit("c"), "l_orderkey", F.lit("-"), "l_suppkey")
-    if whole:
-        number = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").orderBy("l_discount"))
-        lines = lines.withColumn("number", number)
-        claim_id = F.concat_ws("-", F.concat(F.lit("c"), "l_orderkey"), "l_linenumber", "l_suppkey", "l_partkey", "number")
-    else:
-        lines = lines.where("l_linenumber = 1")
+    number = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").orderBy("l_discount"))
+    lines = lines.withColumn("number", number)
+    claim_id = F.concat_ws("-", F.concat(F.lit("c"), "l_orderkey"), "l_linenumber", "l_suppkey", "l_partkey", "number")
+    o = F.col("l_orderkey") % 8
+    scope = F.when(o == 0, " Rev A ").when(o == 1, "rev a").when(o == 2, "  ").when(o == 3, "B")
     models = F.when(F.col("l_suppkey") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array((F.col("l_suppkey") % 2).cast("string")))
     own = lines.select(
         claim_id.alias("claim_id"),
@@ -55,7 +50,7 @@ def spec_claims(spark, sf_dir, whole=False):
         F.lit("m").alias("manufacturer"),
         F.lit("f").alias("family"),
         models.alias("models"),
-        F.lit(None).cast("string").alias("scope_revision"),
+        scope.alias("scope_revision"),
         F.round(F.col("l_discount") * 100).cast("int").cast("string").alias("signature"),
         F.col("l_suppkey").alias("source"),
     )
@@ -72,23 +67,13 @@ def contradictions_spec(spark, sf_dir):
     return _contradictions(spec_claims(spark, sf_dir))
 
 
-@query()
-def contradictions_spec_whole(spark, sf_dir):
-    return _contradictions(spec_claims(spark, sf_dir, whole=True))
-
-
 @query(f"""WITH {_SUPPLIERS} SELECT part::VARCHAR AS subject, CASE WHEN {_A_WINS} THEN a_id ELSE b_id END AS superseding, CASE WHEN {_A_WINS} THEN b_id ELSE a_id END AS superseded, {_HOW} AS confidence FROM pairs""")
 def supersession(spark, sf_dir):
     return O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))).select("subject", "superseding", "superseded", "confidence")
 
 
-@query()
-def supersession_whole(spark, sf_dir):
-    return O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir, whole=True))).select("subject", "superseding", "superseded", "confidence")
-
-
 def _number(side):
-    return S.revision_key(F.col(f"{side}_revision"))["n"]
+    return F.col(f"{side}_edition.n")
 
 
 def _merged_reviews(pairs):
@@ -100,19 +85,13 @@ def _merged_reviews(pairs):
     return O.merge_reviews(entries, saved).select("candidate_key", "unresolved", "review_status")
 
 
-@query(f"""WITH {_SUPPLIERS} SELECT a_id || '||' || b_id AS candidate_key, {_HOW} = 'low' OR al = bl AS unresolved, CASE (an + bn + part) % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' ELSE 'unreviewed' END AS review_status FROM pairs WHERE part % 2 = 0 AND an IS NOT NULL AND bn IS NOT NULL""")
+@query(f"""WITH {_SUPPLIERS} SELECT a_id || '||' || b_id AS candidate_key, {_HOW} = 'low' OR al = bl AS unresolved, CASE (an + bn + part) % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' ELSE 'unreviewed' END AS review_status FROM pairs""")
 def review_merge(spark, sf_dir):
-    pairs = O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir)))
-    return _merged_reviews(pairs.where((F.col("subject").cast("long") % 2 == 0) & _number("a").isNotNull() & _number("b").isNotNull()))
-
-
-@query()
-def review_merge_whole(spark, sf_dir):
     """All pairs; those with a side without a revision number have no saved decision."""
-    return _merged_reviews(O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir, whole=True))))
+    return _merged_reviews(O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))))
 
 
-_TEXTS = """texts AS (SELECT item_id, item_id % 10 AS subject, CASE WHEN item_id % 3 = 0 THEN 'Never ' ELSE '' END || array_to_string(string_split(text, ' ')[1:8], ' ') || CASE WHEN item_id % 2 = 0 THEN ' valve pump seal check open close turn' ELSE ' valve pump' END AS body FROM benchmark)"""
+_TEXTS = """texts AS (SELECT item_id, item_id % 10 AS subject, CASE WHEN item_id % 3 = 0 THEN 'Never ' ELSE '' END || text || CASE WHEN item_id % 2 = 0 THEN ' valve pump seal check open close turn' ELSE ' valve pump' END AS body FROM benchmark)"""
 
 
 @query(f"""WITH {_TEXTS}, tokened AS (SELECT *, {duck.tokens('body')} AS t FROM texts),
@@ -121,8 +100,7 @@ _TEXTS = """texts AS (SELECT item_id, item_id % 10 AS subject, CASE WHEN item_id
   SELECT a_id, b_id, an <> bn OR share >= 0.35 AS contradicts FROM pairs""")
 def contradictions_text(spark, sf_dir):
     i = F.col("item_id")
-    words = F.array_join(F.slice(F.split("text", " "), 1, 8), " ")
-    body = F.concat(F.when(i % 3 == 0, "Never ").otherwise(""), words, F.when(i % 2 == 0, " valve pump seal check open close turn").otherwise(" valve pump"))
+    body = F.concat(F.when(i % 3 == 0, "Never ").otherwise(""), F.col("text"), F.when(i % 2 == 0, " valve pump seal check open close turn").otherwise(" valve pump"))
     texts = table(spark, sf_dir, "benchmark").select("item_id", (i % 10).alias("subject"), body.alias("body"))
     a, b = (texts.select("subject", F.col("item_id").alias(f"{p}_id"), F.col("body").alias(f"{p}_body")) for p in "ab")
     return a.join(b, "subject").where("a_id < b_id").select("a_id", "b_id", O.text_contradicts(F.col("a_body"), F.col("b_body")).alias("contradicts"))

@@ -35,16 +35,21 @@ def work_fingerprint(spark, sf_dir):
 
 
 _RULES = [
+    {"retry_class": "rate_limit", "record_types": ["procedure"], "model": "gpt-4.1"},
     {"record_types": ["alarm_definition", "spec_value"], "model": "gpt-4.1-mini"},
-    {"section_types": ["safety", "troubleshooting"], "min_tokens": 4150, "model": "gpt-4.1"},
-    {"max_tokens": 4110, "model": "gpt-4o-mini"},
+    {"section_types": ["safety", "troubleshooting"], "min_tokens": 54, "model": "gpt-4.1"},
+    {"max_tokens": 14, "model": "gpt-4o-mini"},
 ]
 
 
-@query(f"""WITH {_ITEMS} SELECT section_no, item_id, tokens, CASE WHEN record_type IN ('alarm_definition', 'spec_value') THEN 'gpt-4.1-mini'
-  WHEN section_type IN ('safety', 'troubleshooting') AND tokens >= 4150 THEN 'gpt-4.1' WHEN tokens <= 4110 THEN 'gpt-4o-mini' ELSE 'gpt-4o' END AS model FROM sized""")
+@query(f"""WITH {_ITEMS}, retried AS (SELECT *, tokens - 4096 AS prompt, CASE section_no % 4 WHEN 0 THEN 'HTTP 429' WHEN 1 THEN 'Too Many Requests' WHEN 2 THEN 'code 4290' END AS error FROM sized)
+  SELECT doc_id, section_no, item_id, CASE WHEN section_no % 4 IN (0, 1) AND record_type = 'procedure' THEN 'gpt-4.1' WHEN record_type IN ('alarm_definition', 'spec_value') THEN 'gpt-4.1-mini'
+  WHEN section_type IN ('safety', 'troubleshooting') AND prompt >= 54 THEN 'gpt-4.1' WHEN prompt <= 14 THEN 'gpt-4o-mini' ELSE 'gpt-4o' END AS model FROM retried""")
 def model_routing(spark, sf_dir):
-    return O.route(_items(spark, sf_dir), _RULES, "gpt-4o").select("section_no", "item_id", "tokens", "model")
+    n = F.col("section_no") % 4
+    error = F.when(n == 0, "HTTP 429").when(n == 1, "Too Many Requests").when(n == 2, "code 4290")
+    items = _items(spark, sf_dir).withColumn("retry_class", O.retry_class(error)).withColumn("prompt_tokens", F.col("tokens") - 4096)
+    return O.route(items, _RULES, "gpt-4o").select("doc_id", "section_no", "item_id", "model")
 
 
 @query(f"WITH {_ITEMS} SELECT doc_id, count(*) AS items, sum(tokens)::BIGINT AS tokens FROM sized GROUP BY doc_id")
@@ -53,16 +58,16 @@ def token_estimate(spark, sf_dir):
 
 
 def _queue(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).alias("run"), "doc_id", (F.col("n_chars") % 900 + 60).alias("tokens"))
+    return table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).alias("run"), "doc_id", (F.col("n_chars") % 900 + 60).alias("tokens"), F.when(F.col("doc_id") % 7 < 4, "gpt-4o").otherwise("gpt-4o-mini").alias("model"))
 
 
 @query(
-    """WITH RECURSIVE queue AS (SELECT doc_id % 50 AS run, doc_id, n_chars % 900 + 60 AS tokens, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS place FROM documents),
-  packed AS (SELECT run, doc_id, tokens, place, 0::BIGINT AS chunk, 1 AS held, tokens AS total FROM queue WHERE place = 1
-    UNION ALL SELECT q.run, q.doc_id, q.tokens, q.place, CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 THEN p.chunk + 1 ELSE p.chunk END,
-      CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 THEN 1 ELSE p.held + 1 END, CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 THEN q.tokens ELSE p.total + q.tokens END
+    """WITH RECURSIVE queue AS (SELECT doc_id % 50 AS run, doc_id, n_chars % 900 + 60 AS tokens, CASE WHEN doc_id % 7 < 4 THEN 'gpt-4o' ELSE 'gpt-4o-mini' END AS model, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS place FROM documents),
+  packed AS (SELECT run, doc_id, tokens, model, place, 0::BIGINT AS chunk, 1 AS held, tokens AS total FROM queue WHERE place = 1
+    UNION ALL SELECT q.run, q.doc_id, q.tokens, q.model, q.place, CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 OR p.model <> q.model THEN p.chunk + 1 ELSE p.chunk END,
+      CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 OR p.model <> q.model THEN 1 ELSE p.held + 1 END, CASE WHEN p.held >= 5 OR p.total + q.tokens > 2000 OR p.model <> q.model THEN q.tokens ELSE p.total + q.tokens END
     FROM packed p JOIN queue q ON q.run = p.run AND q.place = p.place + 1)
-  SELECT run, doc_id, tokens, chunk FROM packed"""
+  SELECT run, doc_id, tokens, model, chunk FROM packed"""
 )
 def batch_chunks(spark, sf_dir):
     return O.chunks(_queue(spark, sf_dir), "run", "doc_id", most=5, budget=2000)
@@ -162,11 +167,11 @@ def confidence_score(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", score.alias("confidence"), (score < 0.75).alias("flagged"))
 
 
-@query("""WITH records AS (SELECT doc_id, doc_id % 4 AS section, (doc_id * 37) % 100 / 100.0 AS confidence FROM documents)
+@query("""WITH records AS (SELECT doc_id, doc_id // 10 AS section, (doc_id * 37) % 100 / 100.0 AS confidence FROM documents)
   SELECT section, count(*) AS flagged, min(confidence)::DOUBLE AS lowest, array_to_string(list_sort(list(doc_id)), ',') AS records FROM records WHERE confidence < 0.3 GROUP BY section""")
 def review_flags(spark, sf_dir):
     c = (F.col("doc_id") * 37) % 100 / 100
-    low = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 4).alias("section"), c.alias("confidence")).where("confidence < 0.3")
+    low = table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 10).alias("section"), c.alias("confidence")).where("confidence < 0.3")
     return low.groupBy("section").agg(F.count(F.lit(1)).alias("flagged"), F.min("confidence").alias("lowest"), F.array_join(F.array_sort(F.collect_list("doc_id")).cast("array<string>"), ",").alias("records"))
 
 
@@ -211,6 +216,6 @@ def retry_hints(spark, sf_dir):
     return events.select("event_id", O.retry_hint(F.col("m")).alias("wait"), O.transient(F.col("m"), F.when(F.col("event_id") % 7 == 0, 503).otherwise(400)).alias("transient"))
 
 
-@query("SELECT doc_id, regexp_replace(substr(text, 1, 40), '[^\\p{L}\\p{N}_-]', '-', 'g') AS name FROM documents")
+@query("SELECT doc_id, sha256(regexp_replace(text, '[^\\p{L}\\p{N}_-]', '-', 'g')) AS name_hash FROM documents WHERE text IS NOT NULL")
 def log_names(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", O.file_name(F.substring("text", 1, 40)).alias("name"))
+    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.sha2(O.file_name(F.col("text")), 256).alias("name_hash"))

@@ -9,7 +9,8 @@ from lodestack.functions import strings as S
 from lodestack.functions import vocabulary as V
 from lodestack.operators import intake as O
 from lodestack.plans.registry import query
-from lodestack.plans.views import MANIFESTS, manifests
+from lodestack.plans.views import MANIFESTS, manifests, table
+from lodestack.sources import packs
 
 _KEY = " || '-' || ".join(duck.slug(c) for c in ("manufacturer", "family", "document_type", "revision"))
 
@@ -78,6 +79,16 @@ def bucket_assign(spark, sf_dir):
     return O.buckets(manifests(spark, sf_dir)).select("doc_id", "dimension", "value", "bucket_id")
 
 
+@query(f"""WITH {MANIFESTS}, spread AS (SELECT doc_id, manufacturer, family, 'manufacturer' AS dimension, manufacturer AS value FROM manifests UNION ALL SELECT doc_id, manufacturer, family, 'model_applicability', unnest(models) FROM manifests)
+  SELECT doc_id, dimension, value, CASE WHEN doc_id % 3 = 0 AND dimension = 'manufacturer' OR doc_id % 5 = 0 AND value = 'M0' THEN '2020-01-01' ELSE '2024-05-05' END AS assigned_at FROM spread""")
+def bucket_history(spark, sf_dir):
+    """Assignments of two dimensions, of which some were there before."""
+    own = O.buckets(manifests(spark, sf_dir)).where(F.col("dimension").isin("manufacturer", "model_applicability")).select("doc_id", "dimension", "value", "bucket_id")
+    known = ((F.col("doc_id") % 3 == 0) & (F.col("dimension") == "manufacturer")) | ((F.col("doc_id") % 5 == 0) & (F.col("value") == "M0"))
+    prior = own.where(known).withColumn("assigned_at", F.lit("2020-01-01"))
+    return O.with_prior(own, prior, F.lit("2024-05-05")).drop("bucket_id")
+
+
 @query(f"""WITH {MANIFESTS} SELECT doc_id, manufacturer FROM manifests WHERE curated IS NULL""")
 def bucket_unassigned(spark, sf_dir):
     m = manifests(spark, sf_dir)
@@ -128,3 +139,22 @@ def family_overview(spark, sf_dir):
 @query(f"""WITH {MANIFESTS} SELECT manufacturer, string_agg(DISTINCT lower(family), ', ' ORDER BY lower(family)) AS families, count(DISTINCT family) AS n FROM manifests GROUP BY manufacturer""")
 def manufacturer_index(spark, sf_dir):
     return manifests(spark, sf_dir).groupBy("manufacturer").agg(F.array_join(F.array_sort(F.collect_set(F.lower("family"))), ", ").alias("families"), F.count_distinct("family").alias("n"))
+
+
+_PACK = "pack AS (SELECT doc_id, 'f' || doc_id || '.pdf' AS filename, CASE WHEN doc_id % 4 = 1 THEN 'conditional' ELSE 'required' END AS include FROM documents)"
+
+
+def _pack(spark, sf_dir):
+    d = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(d, F.concat(F.lit("f"), d.cast("string"), F.lit(".pdf")).alias("filename"), F.when(d % 4 == 1, "conditional").otherwise("required").alias("include"))
+
+
+@query(f"WITH {_PACK} SELECT doc_id, filename FROM pack WHERE include <> 'conditional'")
+def pack_selected(spark, sf_dir):
+    return packs.selected(_pack(spark, sf_dir)).select("doc_id", "filename")
+
+
+@query(f"WITH {_PACK} SELECT doc_id, filename FROM pack WHERE include <> 'conditional' AND doc_id NOT IN (SELECT vec_id FROM embeddings)")
+def pack_missing(spark, sf_dir):
+    files = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("file:/packs/f"), F.col("vec_id").cast("string"), F.lit(".pdf")).alias("path"))
+    return packs.missing_files(packs.selected(_pack(spark, sf_dir)), files).select("doc_id", "filename")

@@ -31,17 +31,16 @@ def topic_claims(spark, sf_dir):
 
 
 @query("""WITH cited AS (SELECT source, lang || '/M' || doc_id % 3 AS scope, '[Source: d' || doc_id || ', ' || CASE WHEN doc_id % 4 = 0 THEN 'p.' || (doc_id % 9 + 1) ELSE 'pp.' || (doc_id % 9 + 1) || '-' || (doc_id % 9 + 1 + doc_id % 4) END || ']' AS citation FROM documents),
-  grouped AS (SELECT source, scope, string_agg(DISTINCT citation, ' ' ORDER BY citation) AS citations FROM cited GROUP BY source, scope)
-  SELECT source, scope, sha256(citations) AS citations FROM (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM grouped) WHERE n > 1""")
+  several AS (SELECT source FROM cited GROUP BY source HAVING count(DISTINCT scope) > 1)
+  SELECT DISTINCT source, scope, citation FROM cited JOIN several USING (source)""")
 def applicability_notes(spark, sf_dir):
     d = F.col("doc_id")
     first, last = d % 9 + 1, d % 9 + 1 + d % 4
     cited = table(spark, sf_dir, "documents").select(
         "source", F.concat("lang", F.lit("/M"), d % 3).alias("scope"), F.concat(F.lit("[Source: d"), d, F.lit(", "), O.page_label(first, last), F.lit("]")).alias("citation")
     )
-    grouped = cited.groupBy("source", "scope").agg(F.array_join(F.array_sort(F.collect_set("citation")), " ").alias("citations"))
-    several = grouped.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("source")
-    return grouped.join(several, "source", "left_semi").select("source", "scope", F.sha2("citations", 256).alias("citations"))
+    several = cited.groupBy("source").agg(F.count_distinct("scope").alias("n")).where("n > 1").select("source")
+    return cited.distinct().join(several, "source", "left_semi").select("source", "scope", "citation")
 
 
 @query(f"""WITH {_ITEMS}, counted AS (SELECT doc_id, record_type, count(*) AS n, count(*) FILTER (WHERE {_CONF} < 0.75) AS low FROM sized GROUP BY doc_id, record_type)

@@ -58,16 +58,26 @@ MANIFESTS = f"""manifests AS (
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents as text items: every fourth is a heading with a title of a fixed list."""
+    """Lines of documents as text items: every fourth is a heading with a title of a fixed list; some others are made steps, checkboxes, bullets, figure labels and callouts."""
     lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("idx", "line"))
     idx, d = F.col("idx").cast("long"), F.col("doc_id")
     heading = idx % 4 == 0
+    n = F.pmod(d + idx, F.lit(10))
+    made = (
+        F.when(n == 1, F.concat((idx % 7).cast("string"), F.lit(") Turn valve "), idx.cast("string")))
+        .when(n == 3, F.lit("- [x] Check seal"))
+        .when(n == 5, F.lit("• Look at the gauge"))
+        .when(n == 7, F.concat(F.lit("Figure 3-"), idx.cast("string")))
+        .when(n == 9, F.lit("A1. Terminal block"))
+        .otherwise(F.col("line"))
+    )
+    kind = F.when((d + idx) % 9 == 0, "title").when((d + idx) % 11 == 5, "page_header").when((d + idx) % 7 == 3, "subtitle").otherwise("section_header")
     return lines.select(
         "doc_id",
         idx.alias("idx"),
-        F.when(heading, F.when((d + idx) % 9 == 0, "title").otherwise("section_header")).otherwise("text").alias("label"),
-        F.when(heading, pick(TITLES, d * 3 + idx)).otherwise(F.col("line")).alias("text"),
-        F.when(heading, F.pmod(d + F.floor(idx / 4), F.lit(3)) + 1).alias("level"),
+        F.when(heading, kind).otherwise("text").alias("label"),
+        F.when(heading, pick(TITLES, d * 3 + idx)).otherwise(made).alias("text"),
+        F.when(heading, F.pmod(d + F.floor(idx / 4), F.lit(4)) + 1).alias("level"),
         F.when((d + idx) % 3 != 0, F.floor(idx / 8) + 1).alias("page"),
     )
 
@@ -75,13 +85,27 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 ITEMS = f"""split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT doc_id, unnest(range(0, len(parts))) AS idx, unnest(parts) AS line FROM split),
 items AS (
-  SELECT doc_id, idx, CASE WHEN idx % 4 <> 0 THEN 'text' WHEN (doc_id + idx) % 9 = 0 THEN 'title' ELSE 'section_header' END AS label,
-    CASE WHEN idx % 4 = 0 THEN {duck.pick(TITLES, 'doc_id * 3 + idx')} ELSE line END AS text,
-    CASE WHEN idx % 4 = 0 THEN (doc_id + idx // 4) % 3 + 1 END AS level,
+  SELECT doc_id, idx, CASE WHEN idx % 4 <> 0 THEN 'text' WHEN (doc_id + idx) % 9 = 0 THEN 'title' WHEN (doc_id + idx) % 11 = 5 THEN 'page_header' WHEN (doc_id + idx) % 7 = 3 THEN 'subtitle' ELSE 'section_header' END AS label,
+    CASE WHEN idx % 4 = 0 THEN {duck.pick(TITLES, 'doc_id * 3 + idx')} ELSE CASE (doc_id + idx) % 10 WHEN 1 THEN (idx % 7) || ') Turn valve ' || idx WHEN 3 THEN '- [x] Check seal'
+      WHEN 5 THEN '• Look at the gauge' WHEN 7 THEN 'Figure 3-' || idx WHEN 9 THEN 'A1. Terminal block' ELSE line END END AS text,
+    CASE WHEN idx % 4 = 0 THEN (doc_id + idx // 4) % 4 + 1 END AS level,
     CASE WHEN (doc_id + idx) % 3 <> 0 THEN idx // 8 + 1 END AS page
   FROM lines)"""
 
 
+def tables(paged: DataFrame) -> DataFrame:
+    """Tables of paged items: every eighth, some without a page, of two rows, one row or none."""
+    i = F.col("idx")
+    row = lambda *cells: F.array(*cells)
+    data = F.when(i % 3 == 0, F.array(row(F.lit("Part"), F.lit("Value")), row(i.cast("string"), F.col("page").cast("string")))).when(i % 3 == 1, F.array(row(F.lit("Only")))).otherwise(F.array().cast("array<array<string>>"))
+    return paged.where(i % 8 == 3).select("doc_id", i.alias("table_no"), F.when(i % 5 != 0, F.col("page") + i % 2).alias("page"), data.alias("data"))
+
+
+TABLES = """tables AS (SELECT doc_id, idx AS table_no, CASE WHEN idx % 5 <> 0 THEN page + idx % 2 END AS page,
+  CASE idx % 3 WHEN 0 THEN '| Part | Value |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || idx || ' | ' || page || ' |' WHEN 1 THEN '| Only |' || chr(10) || '| --- |' || chr(10) || '|  |' ELSE '' END AS markdown
+  FROM paged WHERE idx % 8 = 3)"""
+
+
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as an inference log."""
     u = F.col("user_id")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 LOG_SCHEMA = "request_id string, ts timestamp, model string, run string, prompt_tokens long, completion_tokens long, _corrupt_record string"
 
@@ -39,3 +41,54 @@ def once_each(items: DataFrame, late: str = "1 hour") -> DataFrame:
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     """Process all that has arrived, batch by batch; a restart goes on after the last finished batch."""
     stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+
+
+DISPATCH = "run string, item_id string, starts_at double"
+
+
+def dispatched(stream: DataFrame, requests: int, budget: int, seconds: float = 60.0) -> DataFrame:
+    """When each item of a run may start under rolling limits on requests and tokens, with pauses that all of a run's items share.
+
+    Rows: run, item_id, at (seconds), tokens, pause. A row with a pause is a refusal: nothing of its run starts until that
+    many seconds after it. State for each run: what was sent within the last ``seconds``, the clock and the pause's end.
+    Items over the budget never start (null).
+    """
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        clock, until, times, sizes = state.get if state.exists else (0.0, 0.0, [], [])
+        sent = list(zip(times, sizes, strict=True))
+        rows = pd.concat(list(batches)).sort_values(["at", "item_id"])
+        out = []
+        for row in rows.itertuples():
+            if row.pause > 0:
+                until = max(until, row.at + row.pause)
+                continue
+            if row.tokens > budget:
+                out.append((key[0], row.item_id, None))
+                continue
+            clock = max(clock, float(row.at), until)
+            while True:
+                sent = [(t, n) for t, n in sent if clock - t < seconds]
+                if len(sent) < requests and sum(n for _, n in sent) + row.tokens <= budget:
+                    break
+                clock = sent[0][0] + seconds
+            sent.append((clock, int(row.tokens)))
+            out.append((key[0], row.item_id, clock))
+        state.update((clock, until, [t for t, _ in sent], [n for _, n in sent]))
+        yield pd.DataFrame({"run": [r[0] for r in out], "item_id": [r[1] for r in out], "starts_at": pd.array([r[2] for r in out], "Float64")})
+
+    held = "clock double, until double, times array<double>, sizes array<long>"
+    return stream.groupBy("run").applyInPandasWithState(run, DISPATCH, held, "append", GroupStateTimeout.NoTimeout)
+
+
+def unseen(files: DataFrame, known: DataFrame, late: str = "1 day") -> DataFrame:
+    """Files (checksum, ts) of a stream whose checksum neither the known ones nor earlier files have."""
+    fresh = files.join(known.select("checksum").distinct(), "checksum", "left_anti")
+    return fresh.withWatermark("ts", late).dropDuplicatesWithinWatermark(["checksum"])
+
+
+def keyed_sink(path: str, unit: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
+    """A sink for drain(): a batch's units replace earlier ones; the batch's number is the version, so it may be written again."""
+    from lodestack.sources.store import write_units
+
+    return lambda batch, number: write_units(batch, path, unit, number)

@@ -8,20 +8,6 @@ from pyspark.sql import functions as F
 from lodestack.operators import claims, evaluation, extraction, intake, publishing, structure
 
 
-def test_heading_parents_like_a_stack(spark):
-    rng = random.Random(1)
-    rows = [(d, i, rng.randint(1, 3)) for d in range(60) for i in range(rng.randint(0, 25))]
-    got = {(r.doc_id, r.idx): r.parent_idx for r in structure.heading_parents(spark.createDataFrame(rows, "doc_id long, idx long, level long")).collect()}
-    expected, stacks = {}, {}
-    for d, i, level in rows:
-        stack = stacks.setdefault(d, [])
-        while stack and stack[-1][1] >= level:
-            stack.pop()
-        expected[d, i] = stack[-1][0] if stack else None
-        stack.append((i, level))
-    assert got == expected
-
-
 def test_pages_filled_like_a_loop(spark):
     rng = random.Random(2)
     rows = [(d, i, rng.choice([None, None, rng.randint(1, 9)]) if d % 4 else None) for d in range(50) for i in range(rng.randint(1, 12))]
@@ -35,36 +21,6 @@ def test_pages_filled_like_a_loop(spark):
             assert got[d, i] == (now if known else min(5, i * 5 // len(pages) + 1))
 
 
-def test_steps_like_a_loop(spark):
-    rng = random.Random(3)
-    rows = [(d, i, rng.choice(["go on", f"Step {rng.randint(0, 9)}. do", f"{rng.randint(1, 20)}) turn"])) for d in range(40) for i in range(rng.randint(1, 15))]
-    got = {(r.doc_id, r.idx): r.step for r in structure.steps(spark.createDataFrame(rows, "doc_id long, idx long, line string")).collect()}
-    for d in range(40):
-        now = 0
-        for _, i, line in (r for r in rows if r[0] == d):
-            digits = "".join(c for c in line if c.isdigit())
-            now = int(digits) if digits and int(digits) else now + 1
-            assert got[d, i] == now
-
-
-def test_tables_go_to_the_first_section(spark):
-    rng = random.Random(4)
-    sections, tables = [], []
-    for d in range(40):
-        sections += [(d, s, rng.choice([None, rng.randint(1, 9)])) for s in range(rng.randint(1, 6))]
-        tables += [(d, t, rng.choice([None, rng.randint(1, 10)])) for t in range(5)]
-    got = {(r.doc_id, r.table_no): r.section_no for r in structure.place_tables(spark.createDataFrame(tables, "doc_id long, table_no long, page long"), spark.createDataFrame(sections, "doc_id long, section_no long, heading_page long")).collect()}
-    expected = {}
-    for d, t, page in tables:
-        own = [s for s in sections if s[0] == d]
-        for k, (_, no, start) in enumerate(own):
-            stop = own[k + 1][2] if k + 1 < len(own) else None
-            if page is not None and start is not None and start <= page and (stop is None or page < stop):
-                expected[d, t] = no
-                break
-    assert got == expected
-
-
 @pytest.mark.parametrize(
     "title, content, kind, expected",
     [
@@ -90,6 +46,76 @@ def test_schedule_waits_for_the_budget(spark):
     assert got == {(1, 1): 0.0, (1, 2): 60.0, (1, 3): None, (2, 1): 0.0}
 
 
+def test_schedules_like_a_loop(spark):
+    """Second by second: an item starts as soon as what was sent in the last 60 seconds leaves room, in order."""
+    rng = random.Random(9)
+    rows = [(run, n, rng.randint(1, 120)) for run in range(4) for n in range(25)]
+    got = {(r.run, r.n): r.starts_at for r in extraction.schedule(spark.createDataFrame(rows, "run long, n long, tokens long"), "run", "n", requests=3, budget=100).collect()}
+    for run in range(4):
+        now, sent = 0, []
+        for _, n, tokens in (r for r in rows if r[0] == run):
+            if tokens > 100:
+                assert got[run, n] is None
+                continue
+            while True:
+                live = [k for t, k in sent if now - t < 60]
+                if len(live) < 3 and sum(live) + tokens <= 100:
+                    break
+                now += 1
+            sent.append((now, tokens))
+            assert got[run, n] == now
+
+
+def test_eval_parser_like_a_loop(spark, data):
+    """The registered query against plain loops over the whole table."""
+    from lodestack.plans import evaluation as plans
+    from lodestack.plans import registry
+
+    fixtures = {}
+    for r in plans._eval_tables(spark, data).collect():
+        fixtures.setdefault(r.fixture, []).append(r)
+    want = {}
+    for fixture, rows in fixtures.items():
+        rows.sort(key=lambda r: r.ordinal)
+        free, hits = [r for r in rows if r.role == "actual"], 0
+        for e in (r for r in rows if r.role == "expected"):
+            fit = next((a for a in free if (a.rows, a.columns) == (e.rows, e.columns) and set(e.cells) <= set(a.cells)), None)
+            if fit:
+                free.remove(fit)
+                hits += 1
+        want[fixture] = (sum(r.role == "expected" for r in rows), hits)
+    got = {r.fixture: (r.expected, r.matched) for r in registry.queries()["eval_parser"](spark, data).collect()}
+    assert got == want and sum(h for _, h in want.values()) > 0
+
+
+def test_eval_fields_like_a_loop(spark, data):
+    import json
+
+    from lodestack.plans import registry
+
+    events = {r.event_id: r.props for r in spark.read.parquet(f"{data}/events.parquet").collect()}
+    got = registry.queries()["eval_fields"](spark, data).collect()
+    assert len(got) == len(events)
+    for r in got:
+        own = json.loads(events[r.event_id])
+        other = {"k": 0} if r.event_id % 3 == 0 else own
+        assert (r.expected_leaves, r.matched_leaves) == (len(own), sum(other.get(k) == v for k, v in own.items()))
+
+
+def test_extract_offline_like_a_loop(spark, data):
+    import re
+
+    from lodestack.plans import extraction as plans
+    from lodestack.plans import registry
+
+    contents = {r.item_id: r.content for r in plans._items(spark, data).select("item_id", "content").collect()}
+    got = registry.queries()["extract_offline"](spark, data).collect()
+    assert {r.item_id for r in got} == set(contents)
+    for r in got:
+        own = contents[r.item_id]
+        assert (r.severe, r.words) == (re.search(r"(?i)\b(danger|warning|caution)\b", own) is not None, len(own.split()))
+
+
 def test_failed_requests_win(spark):
     ids = spark.createDataFrame([("a",), ("b",), ("c",)], "custom_id string")
     got = extraction.settle(ids, spark.createDataFrame([("a",), ("b",)], "custom_id string"), spark.createDataFrame([("b", "timeout")], "custom_id string, error_type string"))
