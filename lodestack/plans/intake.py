@@ -154,7 +154,7 @@ def pack_selected(spark, sf_dir):
     return packs.selected(_pack(spark, sf_dir)).select("doc_id", "filename")
 
 
-@query(f"WITH {_PACK} SELECT doc_id, filename FROM pack WHERE include <> 'conditional' AND doc_id NOT IN (SELECT vec_id FROM embeddings)")
+@query(f"WITH {_PACK} SELECT doc_id, filename FROM pack WHERE include <> 'conditional' AND doc_id NOT IN (SELECT doc_id FROM labels)")
 def pack_missing(spark, sf_dir):
-    files = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("file:/packs/f"), F.col("vec_id").cast("string"), F.lit(".pdf")).alias("path"))
+    files = table(spark, sf_dir, "labels").select(F.concat(F.lit("file:/packs/f"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"))
     return packs.missing_files(packs.selected(_pack(spark, sf_dir)), files).select("doc_id", "filename")

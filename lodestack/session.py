@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 _OWN: list[str] = []
+_WRITTEN: set[str] = set()
 
 
 def get_session(app: str = "lodestack", cpus: str | int = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -77,14 +78,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_sweep, spark)
+    _WRITTEN.add(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _WRITTEN.discard(path)
+
+
+def _sweep(spark: SparkSession) -> None:
+    """At the end of the application: what is left of written tables goes, unless the session has ended before."""
+    for path in list(_WRITTEN):
+        try:
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001 - the JVM may be gone
+            return
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``materialize`` wrote for these frames. Whatever is still to be read from them must be written by then."""
     for df in frames:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, df.scratch_path)
