@@ -9,23 +9,31 @@ A set's parity sketch has a bit for each value of a hash, flipped by each shingl
 Its Hamming distance to another sketch is at most the size of the sets' symmetric difference, which
 for linked sets of sizes a and b is at most (a + b) * (100 - percent) / (100 + percent).
 
-1. One map makes each document's set, its size, a 128-bit digest of it and a short sketch. Equal sets
-   become one class, named by its smallest doc_id.
+1. One map makes each document's set, its size, a 128-bit digest of it, a short sketch and its
+   signatures. Equal sets become one class, named by its smallest doc_id; from here on a class has one row.
 2. Sizes fall into bands (times BAND); a set close under a band's edge is in the next band too.
    A band's sketch is cut into as many parts as its greatest difference allows, plus some to spare.
    By the pigeonhole principle linked sets agree in as many parts as are spare, at least. A signature
-   is a 64-bit linear hash of one part, which is 2^20 bits wide. Parts without shingles are left out,
+   is a 48-bit hash of one part, which is 2^20 bits wide. Parts without shingles are left out,
    unless a set has as many of them as are spare (else linked sets could agree in nothing but those).
-3. Only signatures that two Bloom filters find repeated are written and shuffled. In each group of classes with
-   the same signature, every class is paired with the smallest one. Pairs that sizes or sketches
-   rule out go; the others are verified on the whole sets. Links give components.
-4. Groups whose classes aren't all in one component by then are compared completely, between
-   components: in blocks of BLOCK classes, by sketch; what passes is verified. So no link is lost,
-   and the work on pairs within a component, which can't change the result, isn't done.
-
-Scale: shuffled rows are linear in the shingles. Hot signatures are summed before the shuffle;
-joins split hot keys; the members of a hot class's verification are dealt to several tasks (the
-square root of their number). Nothing is collected but the Bloom filter.
+   What is left of the spare parts is the set's promise: linked sets have so many signatures in common.
+3. Of a set's signatures, in an order that is the same for all, the last (promise - 1) aren't needed: the
+   first common one of linked sets is among the others. Those are dealt by value in blocks; only
+   signatures of two classes or more come out, each class with the smallest one of its group. Pairs of a
+   class and that smallest one that sizes or sketches rule out go; the others are verified on the whole
+   sets. Links give components.
+4. Groups whose classes aren't all in one component by then are compared completely, between components,
+   by sketch; what passes is verified. So no link is lost, and the work on pairs within a component, which
+   can't change the result, isn't done. A group of more than BLOCK classes is split by the next common
+   signature, as long as the promises last, so that short documents that have but a template in common
+   part there. Long ones (WIDE parts and more may differ) are compared in blocks: sketches of a large
+   group of long texts just under the threshold are compared pair by pair.
+
+Scale: shuffled rows are linear in the shingles; of the texts only those are shuffled whose class is in a
+pair (by a filter, as long as that is small). Signatures that are frequent in a task are joined apart,
+by a join that splits hot keys; the members of a hot class's verification are dealt to several tasks
+(the square root of their number). Nothing is collected but that filter. Tables between the steps are
+deleted when they have been read.
 
 Defined cases: a document without words (or null) has an empty set and links with nothing. Repeated
 rows and equal texts are one class. Rows of one doc_id are one document in links, one row each in
@@ -36,26 +44,38 @@ Extra columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestack.llm import blocks, worker
 from lodestack.llm.components import components
-from lodestack.llm.twice_seen import twice_seen
+from lodestack.llm.twice_seen import member_filter, where_member
 from lodestack.llm.words import hashed_words, mix
-from lodestack.session import materialize
+from lodestack.session import discard, materialize
 
 BAND = 1.5
 SPARE = 3
+#: Classes that are compared with each other at once.
 BLOCK = 256
+#: Larger groups of a signature are split instead of compared at once; what they are split into, down to BLOCK.
+LARGE = 1 << 13
+#: Groups are split only for classes that differ in fewer parts than this, where linked: else splitting makes more rows than it saves.
+WIDE = 8
+#: Bytes of a signature.
+SIGN = 6
+#: Signatures that a task holds before it sends them.
+HELD = 1 << 18
+#: Signatures of a slice of their values, about.
+SLICE = 1 << 19
+#: How often a signature is among these before it is frequent.
+FREQUENT = 64
 _U = np.uint64
 _SALTS = mix(np.arange(1, 33, dtype=np.uint64) * _U(0xA0761D6478BD642F))
-SET_SCHEMA = "doc_id long, n long, s1 long, s2 long, sketch binary"
-#: Bytes of a short word with the space after it, about; it sizes the filters.
-BYTES_PER_WORD = 6
+SET_SCHEMA = "doc_id long, n long, s1 long, s2 long, sketch binary, signs binary"
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -107,8 +127,8 @@ def bands_of(n: int, percent: int) -> list[int]:
     return [band, band + 1] if 100 * n >= percent * _edge(band + 1) else [band]
 
 
-def signatures(own: np.ndarray, percent: int) -> np.ndarray:
-    """One 64-bit signature for each part of the set's sketch in each of its bands."""
+def signatures(own: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
+    """For each band of the set its promise, the parts that linked sets may differ in, and its signatures, one for each part, in the common order."""
     found = []
     for band in bands_of(len(own), percent):
         parts, agreeing = parts_of(band, percent)
@@ -116,9 +136,37 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
         held = np.zeros(parts, np.uint64)
         np.bitwise_xor.at(held, where, mix((own & _U(0xFFFFF)) ^ _SALTS[0]))
         empty = np.bincount(where, minlength=parts) == 0
-        keys = mix(held ^ mix(np.arange(parts, dtype=np.uint64) + _U(band << 32) + _SALTS[1]))
-        found.append(keys if empty.sum() >= agreeing else keys[~empty])
-    return np.unique(np.concatenate(found))
+        keys = mix(held ^ mix(np.arange(parts, dtype=np.uint64) + _U(band << 32) + _SALTS[1])) >> _U(64 - 8 * SIGN)
+        gaps = int(empty.sum())
+        if gaps < agreeing:
+            found.append((agreeing - gaps, parts - agreeing, np.unique(keys[~empty])))
+        else:
+            found.append((1, parts - agreeing, np.unique(keys)))
+    return found
+
+
+def _signs(own: np.ndarray, percent: int) -> bytes:
+    """The signatures of a set: for each band their number, the promise, the parts that may differ (32 bits each) and SIGN bytes of each signature.
+
+    If WIDE parts or more may differ, only those that are dealt, with promise 1: the others would only serve to split groups.
+    """
+    out = []
+    for promise, allowed, keys in signatures(own, percent):
+        if allowed >= WIDE:
+            promise, keys = 1, keys[: len(keys) - promise + 1]
+        out.append(np.array([len(keys), promise, allowed], np.uint32).tobytes() + keys.view(np.uint8).reshape(-1, 8)[:, :SIGN].tobytes())
+    return b"".join(out)
+
+
+def _bands(raw: bytes):
+    """The (promise, parts that may differ, signatures) that ``_signs`` packed."""
+    at = 0
+    while at < len(raw):
+        n, promise, allowed = np.frombuffer(raw, np.uint32, 3, at).tolist()
+        keys = np.zeros((n, 8), np.uint8)
+        keys[:, :SIGN] = np.frombuffer(raw, np.uint8, SIGN * n, at + 12).reshape(n, SIGN)
+        yield promise, allowed, keys.view(np.uint64).ravel()
+        at += 12 + SIGN * n
 
 
 def sketch(own: np.ndarray, percent: int) -> bytes:
@@ -157,7 +205,7 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndar
 
 
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Size, digest and sketch of each document's set."""
+    """Size, digest, sketch and signatures of each document's set."""
 
     def rows(batches):
         for batch in batches:
@@ -165,57 +213,101 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 n = [len(x) for x in own]
                 s1 = [int(np.add.reduce(mix(x ^ _SALTS[2])).view(np.int64)) if len(x) else 0 for x in own]
                 s2 = [int(np.bitwise_xor.reduce(mix(x ^ _SALTS[3])).view(np.int64)) if len(x) else 0 for x in own]
+                known = batch.column(0).slice(first, len(own))
                 flips = [sketch(x, percent) if len(x) else b"" for x in own]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(flips, pa.binary())], names=["doc_id", "n", "s1", "s2", "sketch"])
+                signs = [_signs(x, percent) if len(x) and d.is_valid else b"" for x, d in zip(own, known, strict=True)]
+                yield pa.RecordBatch.from_arrays([known, pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(flips, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "n", "s1", "s2", "sketch", "signs"])
 
     return docs.mapInArrow(rows, SET_SCHEMA)
 
 
-def _leads(least: dict[int, int], own: np.ndarray, doc: int) -> bool:
-    """Whether no copy of a set (not empty) with a smaller doc_id came before, in this task."""
-    if not len(own):
-        return False
-    digest = int(np.add.reduce(mix(own ^ _SALTS[2])))
-    if least.get(digest, doc + 1) <= doc:
-        return False
-    least[digest] = doc
-    return True
+_KEYS = (np.uint64, np.int64, np.uint32, np.bool_)
+_GROUPS = "k1 long, doc long, n int, least long, least_n int, hot boolean"
 
 
-def _repeated_signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """k1, doc and n: the documents' signatures that the filters find repeated.
+def _groups(classes: DataFrame) -> DataFrame:
+    """Rows (k1, doc, n, least, least_n) of the signatures that several classes have: a class, its size, and those of the smallest class."""
+    wanted = classes.agg(F.sum(F.octet_length("signs"))).first()[0] or 0
+    slices = blocks.slice_count(classes, wanted // SIGN, SLICE)
+    labels = blocks.labels(slices).tolist()
 
-    Signatures are made anew from the texts for the filters and for the rows: that costs less than writing them all.
-    """
-
-    def keys(batches):
-        least: dict[int, int] = {}
+    def send(batches):
+        worker.use("jaccard_join")
+        held: list[list[np.ndarray]] = [[], [], []]
+        count = 0
         for batch in batches:
-            for first, own in _sets(batch, width):
-                found = [signatures(x, percent) for k, x in enumerate(own) if _leads(least, x, batch.column(0)[first + k].as_py())]
-                if found:
-                    yield np.concatenate(found), None
-
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    share = difference(2 * 3 * 10**6, percent) / (2 * 10**6)  # signatures of a shingle, in the middle of a band
-    seen = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, int(size / BYTES_PER_WORD * share), keys_of=keys))
-
-    def rows(batches):
-        least: dict[int, int] = {}
+            for doc, n, raw in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                for promise, _, keys in _bands(raw):
+                    keys = keys[: len(keys) - promise + 1]
+                    held[0].append(keys)
+                    held[1].append(np.full(len(keys), doc, np.int64))
+                    held[2].append(np.full(len(keys), n, np.uint32))
+                    count += len(keys)
+                if count >= HELD:
+                    yield _dealt(held, labels)
+                    held, count = [[], [], []], 0
+        if count:
+            yield _dealt(held, labels)
+
+    def group(batches):
+        worker.use("jaccard_join")
+        own = [[np.zeros(0, kind)] for kind in _KEYS]
         for batch in batches:
-            for first, own in _sets(batch, width):
-                kept, ids, sizes = [], [], []
-                for k, x in enumerate(own):
-                    if _leads(least, x, batch.column(0)[first + k].as_py()):
-                        found = signatures(x, percent)
-                        found = found[seen.value.holds(found)]
-                        kept.append(found)
-                        ids.append(np.full(len(found), first + k))
-                        sizes.append(np.full(len(found), len(x)))
-                if kept:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(ids))), pa.array(np.concatenate(sizes).astype(np.int64))], names=["k1", "doc", "n"])
-
-    return docs.mapInArrow(rows, "k1 long, doc long, n long")
+            for frequent, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                columns, _ = blocks.unpacked(raw, _KEYS)
+                if frequent:
+                    yield _group_rows(columns[0], columns[1], columns[2], None, None, columns[3])
+                else:
+                    for kept, more in zip(own, columns, strict=True):
+                        kept.append(more)
+        keys, doc, n, hot = (np.concatenate(x) for x in own)
+        own.clear()
+        order = np.lexsort((doc, keys))
+        keys, doc, n, hot = keys[order], doc[order], n[order], hot[order]
+        heads, ends = blocks.stretches(keys)
+        size = ends - heads
+        hot = np.repeat(np.logical_or.reduceat(hot, heads), size) if len(keys) else hot
+        some = np.repeat(size > 1, size) | hot
+        head = np.repeat(heads, size)[some]
+        yield _group_rows(keys[some], doc[some], n[some], doc[head], n[head], hot[some])
+
+    found = materialize(classes.select("doc", "n", "signs").mapInArrow(send, "slice int, frequent boolean, raw binary").repartition(slices, "slice").mapInArrow(group, _GROUPS), "groups")
+    plain = found.where(F.col("least").isNotNull()).drop("hot")
+    # Frequent signatures: both sides have exchanges of their own, which AQE can split at hot keys.
+    leaders = found.where(F.col("hot") & (F.col("doc") == F.col("least"))).select("k1", "least", "least_n").distinct()
+    apart = found.where(F.col("least").isNull()).drop("least", "least_n", "hot").join(leaders, "k1")
+    return plain.unionByName(apart)
+
+
+def _group_rows(keys, doc, n, least, least_n, hot) -> pa.RecordBatch:
+    count = len(keys)
+    lead = [pa.nulls(count, pa.int64()), pa.nulls(count, pa.int32())] if least is None else [pa.array(least), pa.array(least_n.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(doc), pa.array(n.astype(np.int32)), *lead, pa.array(hot)], names=["k1", "doc", "n", "least", "least_n", "hot"])
+
+
+def _dealt(held: list[list[np.ndarray]], labels: list[int]) -> pa.RecordBatch:
+    """Blocks of sorted signatures for each slice; of a frequent one only the smallest class, the others in any slice."""
+    keys, doc, n = (np.concatenate(x) for x in held)
+    placed = mix(keys)  # the first signatures in order are small numbers
+    order = np.lexsort((doc, placed))
+    keys, doc, n, placed = keys[order], doc[order], n[order], placed[order]
+    heads, ends = blocks.stretches(placed)
+    frequent = np.repeat(ends - heads > FREQUENT, ends - heads)
+    head = np.zeros(len(keys), bool)
+    head[heads] = True
+    stays = head | ~frequent
+    slices, marks, raws = [], [], []
+    for k, a, b in blocks.cuts(placed[stays], len(labels)):
+        slices.append(labels[k])
+        marks.append(False)
+        raws.append(blocks.packed(keys[stays][a:b], doc[stays][a:b], n[stays][a:b], frequent[stays][a:b]))
+    rest = np.flatnonzero(~stays)
+    for a in range(0, len(rest), 1 << 14):
+        at = rest[a : a + (1 << 14)]
+        slices.append(labels[int(mix(doc[at[:1]].view(np.uint64) + keys[at[:1]])[0] % _U(len(labels)))])
+        marks.append(True)
+        raws.append(blocks.packed(keys[at], doc[at], n[at], frequent[at]))
+    return pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(marks, pa.bool_()), pa.array(raws, pa.binary())], names=["slice", "frequent", "raw"])
 
 
 def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
@@ -235,15 +327,17 @@ def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets.
 
-    The texts of the documents in pairs are shuffled once, to meet the pairs; then each a's set and
-    those of its b's, dealt to about the square root of their number of tasks.
+    The texts of the documents in pairs are shuffled once, to meet the pairs (a filter leaves out most
+    others, as long as it is small); then each a's set and those of its b's, dealt to about the square
+    root of their number of tasks.
     """
     pairs = materialize(pairs, f"{name}-pairs")
     share = pairs.groupBy("a").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / 16.0)).alias("salts"))
     members = pairs.join(share, "a").select(F.col("b").alias("doc"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
     heads = share.select(F.col("a").alias("doc"), "a", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"), F.lit(0).alias("role"))
     wanted = materialize(members.unionByName(heads).groupBy("doc").agg(F.collect_list("a").alias("a"), F.collect_list("salt").alias("salt"), F.collect_list("role").alias("role")), f"{name}-wanted")
-    met = docs.join(wanted, docs["doc_id"] == wanted["doc"]).select("doc", "text", "a", "salt", "role")
+    some = where_member(docs, "doc_id", member_filter(wanted.select("doc"), wanted.count()))
+    met = some.join(wanted, some["doc_id"] == wanted["doc"]).select("doc", "text", "a", "salt", "role")
 
     def send(batches):
         for batch in batches:
@@ -280,20 +374,94 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, name:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     sent = met.mapInArrow(send, "doc long, a long, salt int, role int, own binary")
-    return sent.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(test, "a long, b long")
+    found = materialize(sent.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(test, "a long, b long"), name)
+    discard(pairs, wanted)
+    return found
 
 
 _SENT = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
 
-def _across(rows_in: DataFrame, facts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of classes with a common signature that are in different components and that sizes and sketches allow."""
-    root_of = facts.select("doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("root"))
-    named = rows_in.join(root_of, "doc")
-    mixed = named.groupBy("k1").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("held")).where("low < high").select("k1", F.ceil(F.col("held") / float(BLOCK)).cast("int").alias("blocks"))
-    dealt = named.join(mixed, "k1").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = spread.select("k1", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "root").join(facts, "doc")
+def _across(named: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of classes with a common signature that are in different components and that sizes and sketches allow.
+
+    ``named`` has rows (k1, doc, root). Large groups go on split by their next common signature: linked classes
+    have as many in common as the greater of their promises, so a group is compared after so many rounds.
+    """
+    facts = classes.select("doc", "n", "sketch")
+    signs = classes.select("doc", "signs")
+    written = [materialize(_mixed(named.select("k1", F.col("k1").alias("last"), "doc", "root", F.lit(1).alias("promise")), 1), "mixed")]
+    found = [_compared(written[0].where(F.col("held") <= LARGE), facts, percent)]
+    length, most = 1, LARGE
+    while True:
+        large = written[-1].where(F.col("held") > most).drop("held")
+        if large.isEmpty():
+            break
+        step = materialize(_split(large, signs, length), "split")
+        found.append(_compared(step.where("weak IS NOT NULL"), facts, percent))
+        length += 1
+        written += [step, materialize(_mixed(step.where("weak IS NULL").drop("weak").distinct(), length), "mixed")]
+        most = BLOCK
+        found.append(_compared(written[-1].where(F.col("held") <= BLOCK), facts, percent))
+    out = materialize(reduce(DataFrame.unionByName, found).distinct(), "across")
+    discard(*written)
+    return out
+
+
+def _mixed(rows: DataFrame, length: int) -> DataFrame:
+    """The rows of groups (k1) with several components and a promise of ``length`` common signatures, with ``held``, the number of classes."""
+    several = rows.groupBy("k1").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("held"), F.max("promise").alias("most")).where(f"low < high AND most >= {length}").select("k1", "held")
+    return rows.join(several, "k1")
+
+
+def _split(large: DataFrame, signs: DataFrame, length: int) -> DataFrame:
+    """Rows of large groups with ``length`` signatures in common, to be compared now or (weak is null) with each that may be the next common one.
+
+    Weak classes promise just so many; they are compared with each other and with those that promise less.
+    If linked classes may differ in WIDE parts, all are weak and nothing goes on.
+    """
+
+    def rows(batches):
+        for batch in batches:
+            out: list[list] = [[], [], [], [], [], []]
+            for k1, last, doc, root, raw in zip(*(batch.column(c).to_pylist() for c in ("k1", "last", "doc", "root", "signs")), strict=True):
+                sign = np.array(last, np.int64).view(np.uint64)
+                for promise, allowed, keys in _bands(raw):
+                    at = int(np.searchsorted(keys, sign))
+                    if at == len(keys) or keys[at] != sign:
+                        continue
+                    wide = allowed >= WIDE
+                    after = keys[:0] if wide else keys[at + 1 : len(keys) - max(promise, length + 1) + length + 1]
+                    now = wide or promise <= length
+                    count = now + len(after)
+                    out[0] += [k1] * now + mix(mix(after) ^ np.array(k1, np.int64).view(np.uint64)).view(np.int64).tolist()
+                    out[1] += [last] * now + after.view(np.int64).tolist()
+                    out[2] += [doc] * count
+                    out[3] += [root] * count
+                    out[4] += [promise] * count
+                    out[5] += [wide or promise == length] * now + [None] * len(after)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.int32()), pa.array(out[5], pa.bool_())], names=["k1", "last", "doc", "root", "promise", "weak"])
+
+    return large.join(signs, "doc").select("k1", "last", "doc", "root", "signs").mapInArrow(rows, "k1 long, last long, doc long, root long, promise int, weak boolean")
+
+
+def _compared(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs within groups, across components, that sizes and sketches allow, in blocks of BLOCK classes.
+
+    Where rows have ``weak``, one of a pair is weak at least.
+    """
+    if "weak" in rows.columns:
+        counts = rows.groupBy("k1").agg(F.ceil(F.count_if("weak") / float(BLOCK)).cast("int").alias("weaks"), F.ceil(F.count_if(~F.col("weak")) / float(BLOCK)).cast("int").alias("strongs")).where("weaks > 0")
+        dealt = rows.join(counts, "k1").withColumn("own", F.pmod(F.xxhash64("doc"), F.when(F.col("weak"), F.col("weaks")).otherwise(F.col("strongs"))).cast("int"))
+        weak, strong = dealt.where("weak"), dealt.where("NOT weak")
+    else:
+        weak = rows.withColumn("weaks", F.ceil(F.col("held") / float(BLOCK)).cast("int")).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("weaks")).cast("int"))
+    blocks_of = weak.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("weaks") - 1))).select("k1", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "root")
+    if "weak" in rows.columns:
+        probing = weak.where("strongs > 0").select("k1", F.explode(F.sequence(F.lit(0), F.col("strongs") - 1)).alias("i"), (-1 - F.col("own")).alias("j"), F.lit(0).alias("own"), "doc", "root")
+        probed = strong.select("k1", F.col("own").alias("i"), F.explode(F.sequence(-F.col("weaks"), F.lit(-1))).alias("j"), F.lit(1).alias("own"), "doc", "root")
+        blocks_of = blocks_of.unionByName(probing).unionByName(probed)
+    blocks_of = blocks_of.join(facts, "doc")
 
     def compare(batches):
         now, held = None, []
@@ -305,7 +473,7 @@ def _across(rows_in: DataFrame, facts: DataFrame, roots: DataFrame, percent: int
                 held.append(row[3:])
         yield from _block(held, now, percent)
 
-    return blocks.select("k1", "i", "j", "own", "doc", "root", "n", "sketch").repartition("k1", "i", "j").sortWithinPartitions("k1", "i", "j").mapInArrow(compare, "a long, b long").distinct()
+    return blocks_of.select("k1", "i", "j", "own", "doc", "root", "n", "sketch").repartition("k1", "i", "j").sortWithinPartitions("k1", "i", "j").mapInArrow(compare, "a long, b long").distinct()
 
 
 def _block(held: list[tuple], block: tuple | None, percent: int):
@@ -333,23 +501,23 @@ def _block(held: list[tuple], block: tuple | None, percent: int):
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) for every row of docs."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    own = materialize(sets(plain, width, percent), "sets")
+    made = materialize(sets(plain, width, percent), "sets")
+    own = materialize(made.select("doc_id", "n", "s1", "s2"), "sizes")
     same = ["n", "s1", "s2"]
-    classes = materialize(own.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch")), "classes")
+    least = F.min(F.struct(F.col("doc_id").alias("doc"), "sketch", "signs")).alias("least")
+    classes = materialize(made.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(least).select(*same, "least.*"), "classes")
+    discard(made)
     facts = classes.select("doc", "n", "sketch")
-    known = plain.where(F.col("doc_id").isNotNull())
-    # Copies have the signatures of their class; in joins with facts only its smallest document is left to stand for it.
-    rows_in = materialize(_repeated_signatures(known, width, percent), "signatures")
-
-    groups = rows_in.groupBy("k1").agg(F.min(F.struct("doc", "n")).alias("least"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    groups = materialize(groups, "groups")  # so that the join has an exchange of its own on each side, which AQE can split at hot keys
-    star = rows_in.join(groups, "k1").where("doc <> least.doc AND 100 * least(n, least.n) >= %d * greatest(n, least.n)" % percent)
-    pairs = star.select(F.col("least.doc").alias("a"), F.col("doc").alias("b")).distinct()
-    links = materialize(_verified(_plausible(pairs, facts, percent), plain, width, percent, "star"), "links")
+    groups = _groups(classes)
+
+    star = groups.where("doc <> least AND 100 * least(n, least_n) >= %d * greatest(n, least_n)" % percent)
+    pairs = star.select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
+    links = _verified(_plausible(pairs, facts, percent), plain, width, percent, "star")
     roots = materialize(components(links), "roots")
-    more = materialize(_across(rows_in, facts, roots, percent), "across")
+    root_of = classes.select("doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("root"))
+    more = _across(groups.select("k1", "doc").join(root_of.distinct(), "doc"), classes, percent)
     if not more.isEmpty():
-        extra = materialize(_verified(more, plain, width, percent, "rest"), "links")
+        extra = _verified(more, plain, width, percent, "rest")
         if not extra.isEmpty():
             roots = materialize(components(links.unionByName(extra)), "roots")
     placed = classes.select(*same, "doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select(*same, F.coalesce("root", "doc").alias("component"))

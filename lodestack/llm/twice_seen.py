@@ -151,7 +151,7 @@ def seen(rows: DataFrame, shape: Shape, twice: bool = True, keys_of: Callable =
 
     filled = rows.mapInArrow(fill, "piece int, once binary, twice binary")
     packed = np.zeros(bits // 8, np.uint8)
-    for row in filled.repartition("piece").mapInArrow(merge, "piece int, bits binary").toLocalIterator():  # a slice, bits / 8 bytes in all
+    for row in filled.repartition("piece").mapInArrow(merge, "piece int, bits binary").collect():  # a slice, bits / 8 bytes in all
         packed[row["piece"] * piece // 8 : (row["piece"] + 1) * piece // 8] = np.frombuffer(row["bits"], np.uint8)
     return Seen(shape, packed)
 
