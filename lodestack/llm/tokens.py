@@ -1,12 +1,14 @@
 """Token ids of whole texts by a public vocabulary file, one library call for each new word.
 
-The vocabulary's normalizer and its split pattern never join characters across white space, and
+The normalizer and the split pattern of KNOWN never join characters across white space, and
 white space itself is dropped. So the ids of a text are those of its words in turn, and a word
-needs to be encoded once while it is in the cache.
+needs to be encoded once while it is in the cache. For files with other ones, or with a dropout, the
+library's whole pipeline encodes whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -26,6 +28,27 @@ _MARKS = b".,;:!?"
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
+# The parts of a vocabulary file that the short way is right for.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def by_words(path: str) -> bool:
+    """Whether a vocabulary file's texts may be encoded word by word."""
+    with open(path, encoding="utf-8") as file:
+        own = json.load(file)
+    same = all(own.get(k) == v for k, v in KNOWN.items())
+    return same and own["model"].get("type") == "BPE" and not own["model"].get("dropout") and all(x["content"].startswith("<|") for x in own.get("added_tokens", ()))
+
+
 def _byte_letters() -> dict[int, str]:
     """The public byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follow from 256."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -42,6 +65,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
+        self.by_words = by_words(path)
         self.letters = _byte_letters()
         self.cache: dict[bytes, bytes] = {}
 
@@ -78,6 +102,9 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers, for texts in UTF-8."""
+        if not self.by_words:
+            whole = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in whole]
         split, found, missing = [], [], set()
         for text in texts:
             # ASCII capitals may be lowered beforehand, unless that could make a special token

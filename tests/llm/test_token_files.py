@@ -32,3 +32,49 @@ def test_empty(spark, nothing, tmp_path):
     path = str(tmp_path / "none")
     token_files.write_tokens(nothing, path, vocabulary())
     assert token_files.with_checksums(token_files.read_tokens(spark, path)).count() == 0
+
+
+def test_other_vocabularies_are_encoded_whole(tmp_path):
+    """A file whose pipeline isn't the known one gives what the library gives, even where words are joined."""
+    import json
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from lodestack.llm import tokens
+
+    own = json.loads(open(tokens.vocabulary(), encoding="utf-8").read())
+    assert tokens.by_words(tokens.vocabulary())
+    own["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": False}
+    path = str(tmp_path / "other.json")
+    (tmp_path / "other.json").write_text(json.dumps(own), encoding="utf-8")
+    texts = ["Hello  world, it's 12 o'clock", None, "Größe\nund Maß"]
+    library = Tokenizer.from_file(path)
+    got = [ids for _, ids in tokens.encoded(pa.array(texts), path, 1)]
+    assert got == [b"".join(x.to_bytes(4, "little") for x in [*library.encode(t or "", add_special_tokens=False).ids, 1]) for t in texts]
+
+
+def test_files_have_stripes_row_indexes_and_bloom_filters(spark, tmp_path):
+    """Looked up in the files themselves: streams of integers, and what the footers tell of columns."""
+    import glob
+
+    from pyarrow import orc
+
+    from lodestack.llm import token_files
+    from lodestack.llm.tokens import vocabulary
+
+    rows = spark.createDataFrame([(k, f"word{k} " * (k % 50)) for k in range(3000)], "doc_id long, text string")
+    path = str(tmp_path / "ids")
+    token_files.write_tokens(rows, path, vocabulary())
+    jvm = spark._jvm.org.apache
+    bits = 0
+    for name in glob.glob(f"{path}/*.orc"):
+        reader = jvm.orc.OrcFile.createReader(jvm.hadoop.fs.Path(name), jvm.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+        for stripe in reader.getStripes():
+            assert stripe.getIndexLength() > 0  # row indexes
+            bits += 8 * stripe.getIndexLength()
+        own = orc.ORCFile(name)
+        assert own.nrows == 0 or own.file_statistics_length > 0
+    assert bits > 9 * 3000  # and Bloom filters: at 1 % false positives more than 9 bits a document
+    found = spark.read.orc(path).where("doc_id = 1234")
+    assert found.count() == 1 and "EqualTo(doc_id,1234)" in found._jdf.queryExecution().toString()
