@@ -131,8 +131,13 @@ def ocr_decision(has_text: Column, has_vector: Column, density: Column, page_cou
     return F.when(bypassed, "bypass").when(has_vector & ~has_text, "vector").when(~has_text | (dense < threshold), "ocr").otherwise("keep")
 
 
-def text_density(text: Column, area: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"(?U)\s", "")) / F.greatest(area, F.lit(1.0))
+def visible_chars(text: Column) -> Column:
+    return F.length(F.regexp_replace(text, r"(?U)\s", ""))
+
+
+def text_density(chars: Column, width: Column, height: Column) -> Column:
+    """Visible characters for each square inch of a page, which counts as one at least."""
+    return chars / F.greatest(width * height, F.lit(1.0))
 
 
 def ocr_confidence(density: Column, target: float) -> Column:

@@ -218,7 +218,8 @@ counted AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS page_count FROM pag
 def ocr_decision(spark, sf_dir):
     paged = _paged(spark, sf_dir)
     n = F.col("doc_id") + F.col("page")
-    by_page = paged.groupBy("doc_id", "page").agg((F.sum(F.length(F.regexp_replace("text", r"(?U)\s", ""))) / 93.5).alias("density"))
+    chars = paged.groupBy("doc_id", "page").agg(F.sum(O.visible_chars(F.col("text"))).alias("chars"))
+    by_page = chars.withColumn("density", O.text_density(F.col("chars"), F.lit(8.5), F.lit(11.0)))
     counts = by_page.groupBy("doc_id").agg(F.count(F.lit(1)).alias("page_count"))
     known = by_page.join(counts, "doc_id")
     decision = O.ocr_decision(n % 5 != 0, n % 2 == 0, F.col("density"), F.col("page_count"), F.col("doc_id") % 6 == 0, threshold=5.0, target=200.0)
