@@ -186,3 +186,29 @@ def canonical_json(fields: dict[str, Column]) -> Column:
 
 def written_or_updated(written: DataFrame, updated: DataFrame) -> DataFrame:
     return written.select("path").union(updated.select("path")).distinct()
+
+
+def review_flags(records: DataFrame, unit: str, least: float) -> DataFrame:
+    """For each unit with records under the least confidence: how many, the lowest, and their ids. A least of 0 or less flags nothing.
+
+    A unit is a section and type, so its list is as long as what one section gives.
+    """
+    low = records.where((F.lit(least) > 0) & (F.col("confidence") < least))
+    return low.groupBy(unit).agg(F.count(F.lit(1)).alias("flagged"), F.min("confidence").alias("lowest"), F.array_sort(F.collect_list("record_id")).alias("records"))
+
+
+def completed_documents(items: DataFrame, scopes: DataFrame) -> DataFrame:
+    """Documents whose items all succeeded or were skipped, by runs over whole documents: scopes (run_id, doc_id, sections), null sections being all."""
+    whole = scopes.where("sections IS NULL").select("run_id", "doc_id").distinct()
+    done = items.groupBy("run_id", "doc_id").agg(F.bool_and(F.col("status").isin("succeeded", "skipped")).alias("complete")).where("complete")
+    return done.join(whole, ["run_id", "doc_id"], "left_semi").select("run_id", "doc_id")
+
+
+def first_suppressed(titles: Column, most: int = 5) -> Column:
+    """The first titles that were left out, and how many more there are."""
+    more = F.size(titles) - most
+    return F.concat(F.slice(titles, 1, most), F.when(more > 0, F.array(F.concat(F.lit("and "), more.cast("string"), F.lit(" more")))).otherwise(F.array().cast("array<string>")))
+
+
+def error_snippet(message: Column, most: int = 200) -> Column:
+    return F.substring(message, 1, most)

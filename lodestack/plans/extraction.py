@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestack.functions import vocabulary as V
 from lodestack.operators import extraction as O
+from lodestack.operators import records as R
 from lodestack.operators import structure
 from lodestack.plans.registry import query
 from lodestack.plans.structure import _CLASSIFIED, SECTION_ID, classified_sections
@@ -13,8 +14,8 @@ from lodestack.plans.views import LOG, log, table
 
 _TYPES = " ".join(f"WHEN '{k}' THEN [{', '.join(repr(t) for t in v)}]" for k, v in V.RECORD_TYPES.items())
 _ITEMS = f"""{_CLASSIFIED}, identified AS (SELECT *, {SECTION_ID} AS section_id FROM classified),
-fanned AS (SELECT doc_id, section_no, section_id, section_type, content, CASE section_type {_TYPES} END AS types FROM identified),
-work AS (SELECT doc_id, section_no, section_id, section_type, content, unnest(types) AS record_type FROM fanned),
+fanned AS (SELECT doc_id, section_no, section_id, section_type, title, content, CASE section_type {_TYPES} END AS types FROM identified),
+work AS (SELECT doc_id, section_no, section_id, section_type, title, content, unnest(types) AS record_type FROM fanned),
 sized AS (SELECT *, section_id || '::' || record_type AS item_id, greatest(length(content) // 4, 1) + 4096 AS tokens FROM work)"""
 
 
@@ -116,9 +117,13 @@ def run_metrics(spark, sf_dir):
     return counts.withColumn("run_status", O.run_status(counts))
 
 
-@query(f"WITH items AS (SELECT user_id, {_STATUS} AS status FROM events) SELECT user_id, bool_and(status IN ('succeeded', 'skipped')) AS complete, count(*) AS items FROM items GROUP BY user_id")
+@query(f"""WITH items AS (SELECT user_id % 3 AS run_id, user_id AS doc_id, {_STATUS} AS status FROM events WHERE user_id % 2 = 0 UNION ALL SELECT user_id % 3, user_id, 'skipped' FROM events WHERE user_id % 2 = 1)
+  SELECT run_id, doc_id FROM items WHERE doc_id % 5 <> 0 GROUP BY ALL HAVING bool_and(status IN ('succeeded', 'skipped'))""")
 def doc_complete(spark, sf_dir):
-    return _run_items(spark, sf_dir).groupBy("user_id").agg(F.bool_and(F.col("status").isin("succeeded", "skipped")).alias("complete"), F.count(F.lit(1)).alias("items"))
+    u = F.col("user_id")
+    own = _run_items(spark, sf_dir).select((u % 3).alias("run_id"), u.alias("doc_id"), F.when(u % 2 == 0, F.col("status")).otherwise("skipped").alias("status"))
+    scopes = own.select("run_id", "doc_id", F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("s1"))).alias("sections")).distinct()
+    return R.completed_documents(own, scopes)
 
 
 @query(f"""WITH items AS (SELECT user_id, event_id, {_STATUS} AS status FROM events)
@@ -171,8 +176,8 @@ def confidence_score(spark, sf_dir):
   SELECT section, count(*) AS flagged, min(confidence)::DOUBLE AS lowest, array_to_string(list_sort(list(doc_id)), ',') AS records FROM records WHERE confidence < 0.3 GROUP BY section""")
 def review_flags(spark, sf_dir):
     c = (F.col("doc_id") * 37) % 100 / 100
-    low = table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 10).alias("section"), c.alias("confidence")).where("confidence < 0.3")
-    return low.groupBy("section").agg(F.count(F.lit(1)).alias("flagged"), F.min("confidence").alias("lowest"), F.array_join(F.array_sort(F.collect_list("doc_id")).cast("array<string>"), ",").alias("records"))
+    own = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), F.floor(F.col("doc_id") / 10).alias("section"), c.alias("confidence"))
+    return R.review_flags(own, "section", 0.3).withColumn("records", F.array_join(F.col("records").cast("array<string>"), ","))
 
 
 @query("""WITH records AS (SELECT doc_id, lang, CASE WHEN doc_id % 9 = 0 THEN '' ELSE source END AS source_doc, CASE WHEN doc_id % 8 <> 0 THEN doc_id % 5 END AS page_from, doc_id % 6 AS page_to, (doc_id % 13) / 12.0 + CASE WHEN doc_id % 17 = 0 THEN 1 ELSE 0 END AS confidence FROM documents),

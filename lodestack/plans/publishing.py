@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestack.functions import duck
+from lodestack.functions import vocabulary as V
 from lodestack.operators import publishing as O
+from lodestack.operators import structure
 from lodestack.plans.extraction import _ITEMS, _items
 from lodestack.plans.registry import query
 from lodestack.plans.views import TITLES, pick, table
 
 _CONF = "(doc_id * 31 + section_no * 7) % 100 / 100.0"
-_TOPIC = f"""CASE WHEN section_type = 'other' AND {_CONF} < 0.8 THEN NULL {' '.join(f"WHEN section_type IN ({', '.join(repr(x) for x in s)}) AND record_type IN ({', '.join(repr(x) for x in r)}) THEN '{name}'" for name, (s, r, _) in O.TOPICS.items())} END"""
+_PLAIN_TITLE = "trim(regexp_replace(title, '\\s+', ' ', 'g'))"
+_UNTRUSTED = f"""({_PLAIN_TITLE} = '' OR regexp_full_match({_PLAIN_TITLE}, '[A-Za-z]') OR regexp_full_match({_PLAIN_TITLE}, '(?:\\d+|(?:\\d+\\.)+|\\d+\\.)') OR {duck.fold(_PLAIN_TITLE)} IN ({', '.join("'" + t.replace("'", "''") + "'" for t in V.CARRYOVER_TITLES)})
+  OR (length({_PLAIN_TITLE}) >= 80 AND len(string_split({_PLAIN_TITLE}, ' ')) >= 12 AND len(regexp_extract_all({_PLAIN_TITLE}, '(?:\\b[A-Z]-\\d+\\b|\\b\\d+-\\d+\\b|\\b\\d+\\b)')) >= 6))"""
+_TOPIC = f"""CASE WHEN section_type = 'other' AND ({_CONF} < 0.8 OR {_UNTRUSTED}) THEN NULL {' '.join(f"WHEN section_type IN ({', '.join(repr(x) for x in s)}) AND record_type IN ({', '.join(repr(x) for x in r)}) THEN '{name}'" for name, (s, r, _) in O.TOPICS.items())} END"""
 
 
 def _topics(spark, sf_dir):
     items = _items(spark, sf_dir)
     confidence = (F.col("doc_id") * 31 + F.col("section_no") * 7) % 100 / 100
-    return items.withColumn("topic", O.topic(F.col("section_type"), F.col("record_type"), confidence, F.lit(True)))
+    return items.withColumn("topic", O.topic(F.col("section_type"), F.col("record_type"), confidence, F.size(structure.reviewability(F.col("title"))) == 0))
 
 
 @query(f"WITH {_ITEMS} SELECT item_id, section_no, {_TOPIC} AS topic FROM sized")

@@ -103,6 +103,26 @@ def head_field(head: Column, name: str) -> Column:
     return F.when(head.rlike(rf"(?m)^{name}:"), F.regexp_replace(found, r"""^(["'])(.*)\1$""", "$2"))
 
 
+def heads(pages: DataFrame, schema: str) -> DataFrame:
+    """Pages (path, head, body) with the fields of their YAML heads, lists too; heads that aren't mappings have none."""
+    fields = [f.name for f in pages.sparkSession.createDataFrame([], schema).schema.fields]
+
+    def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import yaml
+
+        for batch in batches:
+            rows = []
+            for head in batch["head"]:
+                try:
+                    own = yaml.safe_load(head or "")
+                except yaml.YAMLError:
+                    own = None
+                rows.append([own.get(f) if isinstance(own, dict) else None for f in fields])
+            yield pd.DataFrame(rows, columns=fields, dtype=object).assign(path=batch["path"].to_numpy(), body=batch["body"].to_numpy())[["path", *fields, "body"]]
+
+    return pages.select("path", "head", "body").mapInPandas(load, f"path string, {schema}, body string")
+
+
 def replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     """Write df so that partitions it has rows for are replaced and others stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

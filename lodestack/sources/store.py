@@ -111,3 +111,21 @@ def publish(staged: DataFrame, sources: DataFrame, path: str, version: str) -> N
     manifest.write.mode("overwrite").text(f"{path}/log/version={version}")
     first = sources.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("ordinal"))).where("n = 1").drop("n", "ordinal")
     first.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("doc_id").json(f"{path}/_sources")
+
+
+def checksum_index(manifests: DataFrame) -> DataFrame:
+    """checksum and doc_id of manifests (checksum, doc_id, path); of equal checksums the last path counts."""
+    return manifests.groupBy("checksum").agg(F.max_by("doc_id", "path").alias("doc_id"))
+
+
+def save_checksum_index(index: DataFrame, path: str) -> None:
+    """The index in order of checksums, one JSON line each."""
+    index.select("checksum", "doc_id").sort("checksum").write.mode("overwrite").json(path)
+
+
+def load_checksum_index(spark: SparkSession, path: str) -> DataFrame:
+    """A saved index; empty if there is none yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "checksum string, doc_id string")
+    return spark.read.schema("checksum string, doc_id string").json(path)

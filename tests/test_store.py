@@ -160,3 +160,44 @@ def test_known_checksums_are_skipped_in_a_stream(spark, tmp_path):
 def test_sections_of_record_ids(spark):
     df = spark.createDataFrame([("d--title--abc--spec_value--001",), ("a--b",), ("plain",)], "record_id string")
     assert [r.s for r in df.select(records.section_of_record(F.col("record_id")).alias("s")).collect()] == ["d--title--abc", "a", "plain"]
+
+
+def test_raw_parser_output(spark):
+    from lodestack.sources import raw_parse
+
+    raw = {
+        "texts": [{"self_ref": "#/0", "label": "title", "text": "T", "prov": [{"page_no": 2}, {"page_no": 1}, {"page_no": 2}, {"page_no": "3"}]}, {"text": 5}],
+        "tables": [{"self_ref": "#/t", "data": [["a"], ["b", 2]]}, {"data": "none"}],
+        "pages": {"1": {"page_no": 1, "size": {"width": 612, "height": 792}}, "x": {"page_no": "2"}, "y": 3},
+    }
+    rows = [("d", json.dumps(raw), None), ("e", json.dumps({"pages": [{"page_no": 7}]}), 9), ("f", "{}", 4), ("g", "no JSON", None)]
+    got = {r.doc_id: r for r in raw_parse.normalized_structures(spark.createDataFrame(rows, "doc_id string, raw string, told_pages int")).collect()}
+    assert [(t.self_ref, t.label, t.text, t.pages) for t in got["d"].texts] == [("#/0", "title", "T", [2, 1]), (None, "", "5", [])]
+    assert [t.data for t in got["d"].tables] == [[["a"], ["b", "2"]], []]
+    assert {k: r.page_count for k, r in got.items()} == {"d": 3, "e": 1, "f": 4, "g": 0}
+    assert [(p.page, p.width) for p in got["d"].pages] == [(1, 612.0)] and [(p.page, p.width) for p in got["e"].pages] == [(7, None)]
+
+
+def test_heads_with_lists(spark, tmp_path):
+    pytest.importorskip("yaml")
+    from lodestack.sources import files
+
+    (tmp_path / "a.md").write_text("---\ntitle: A\ntags:\n- x\n- y\n---\nBody\n")
+    (tmp_path / "b.md").write_text("No head\n")
+    got = {r.path[-4:]: r for r in files.heads(files.pages(spark, str(tmp_path)), "title string, tags array<string>").collect()}
+    assert got["a.md"].tags == ["x", "y"] and got["a.md"].body == "Body\n" and got["b.md"].title is None
+
+
+def test_checksum_index(spark, tmp_path):
+    path = str(tmp_path / "index")
+    assert store.load_checksum_index(spark, path).count() == 0
+    manifests = spark.createDataFrame([("c1", "d1", "a.yaml"), ("c1", "d2", "b.yaml"), ("c2", "d3", "c.yaml")], "checksum string, doc_id string, path string")
+    for _ in range(2):
+        store.save_checksum_index(store.checksum_index(manifests), path)
+    assert sorted(map(tuple, store.load_checksum_index(spark, path).collect())) == [("c1", "d2"), ("c2", "d3")]
+
+
+def test_truncations(spark):
+    df = spark.createDataFrame([(["a"] * 7, "x" * 300), (["a"] * 5, "y")], "t array<string>, m string")
+    got = df.select(records.first_suppressed(F.col("t")).alias("t"), F.length(records.error_snippet(F.col("m"))).alias("n")).collect()
+    assert [(r.t, r.n) for r in got] == [(["a"] * 5 + ["and 2 more"], 200), (["a"] * 5, 1)]
