@@ -74,9 +74,17 @@ def batch_chunks(spark, sf_dir):
     return O.chunks(_queue(spark, sf_dir), "run", "doc_id", most=5, budget=2000)
 
 
-@query()
+@query(
+    """WITH RECURSIVE queue AS (SELECT doc_id % 50 AS run, doc_id, n_chars % 900 + 60 AS tokens, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS place FROM documents),
+  sim AS (SELECT DISTINCT run, 0::BIGINT AS place, NULL::BIGINT AS doc_id, NULL::BIGINT AS tokens, 0.0::DOUBLE AS starts_at, []::DOUBLE[] AS times, []::BIGINT[] AS sizes FROM queue
+    UNION ALL SELECT run, place, doc_id, tokens, CASE WHEN k = 0 THEN clock ELSE live[k] + 60 END, list_append(live[k + 1:], CASE WHEN k = 0 THEN clock ELSE live[k] + 60 END), list_append(held[k + 1:], tokens)
+    FROM (SELECT *, list_filter(range(0, len(live) + 1), lambda x: len(live) - x < 5 AND coalesce(list_sum(held[x + 1:]), 0) + tokens <= 2000)[1] AS k
+      FROM (SELECT *, sizes[len(times) - len(live) + 1:] AS held
+        FROM (SELECT q.run, q.place, q.doc_id, q.tokens::BIGINT AS tokens, s.starts_at AS clock, s.times, s.sizes, list_filter(s.times, lambda t: s.starts_at - t < 60) AS live FROM sim s JOIN queue q ON q.run = s.run AND q.place = s.place + 1))))
+  SELECT run, doc_id, tokens, starts_at FROM sim WHERE place > 0"""
+)
 def scheduler_sim(spark, sf_dir):
-    return O.schedule(_queue(spark, sf_dir), "run", "doc_id", requests=5, budget=2000)
+    return O.schedule(_queue(spark, sf_dir).drop("model"), "run", "doc_id", requests=5, budget=2000)
 
 
 @query(f"""WITH {LOG} SELECT event_id, count(*) OVER w AS requests, (sum(prompt_tokens) OVER w)::BIGINT AS tokens FROM log
@@ -195,7 +203,8 @@ def provenance_audit(spark, sf_dir):
     )
 
 
-@query()
+@query(f"""WITH {_ITEMS} SELECT item_id, len(regexp_extract_all(content, '\\d+(?:\\.\\d+)?\\s?(?:mm|cm|V|A|W|Hz|kg|psi|°C)\\b')) AS values, regexp_matches(content, '(?i)\\b(?:danger|warning|caution)\\b') AS severe,
+  len(list_filter(regexp_split_to_array(content, '\\s+'), lambda w: w <> '')) AS words FROM sized""")
 def extract_offline(spark, sf_dir):
     return O.run_backend(_items(spark, sf_dir).select("item_id", "content"), O.offline_rules, "item_id string, values long, severe boolean, words long")
 
@@ -224,3 +233,19 @@ def retry_hints(spark, sf_dir):
 @query("SELECT doc_id, sha256(regexp_replace(text, '[^\\p{L}\\p{N}_-]', '-', 'g')) AS name_hash FROM documents WHERE text IS NOT NULL")
 def log_names(spark, sf_dir):
     return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.sha2(O.file_name(F.col("text")), 256).alias("name_hash"))
+
+
+_SCHEMA = {"type": "object", "required": ["k", "more"], "properties": {"k": {"type": "integer", "minimum": 40}}}
+
+
+@query("""SELECT event_id, concat_ws('; ', CASE WHEN (props->>'k')::BIGINT < 40 THEN '$.k: is less than 40' END, '$: lacks more') AS errors FROM events""")
+def json_validate(spark, sf_dir):
+    """Batches of JSON against a schema, in Python: rules may nest."""
+    import json
+
+    def judge(batches):
+        for batch in batches:
+            found = ["; ".join(O.json_errors(json.loads(x), _SCHEMA)) for x in batch["props"]]
+            yield batch[["event_id"]].assign(errors=found)
+
+    return table(spark, sf_dir, "events").select("event_id", "props").mapInPandas(judge, "event_id long, errors string")

@@ -8,6 +8,7 @@ from lodestack.functions import duck
 from lodestack.functions import strings as S
 from lodestack.operators import extraction
 from lodestack.operators import records as O
+from lodestack.operators import structure
 from lodestack.plans.registry import query
 from lodestack.plans.views import table
 
@@ -234,3 +235,17 @@ def canonical_json(spark, sf_dir):
 def written_or_updated(spark, sf_dir):
     path = lambda c, n: F.concat(F.lit("f"), (F.col(c) % n).cast("string")).alias("path")
     return O.written_or_updated(table(spark, sf_dir, "documents").select(path("doc_id", 900)), table(spark, sf_dir, "embeddings").select(path("vec_id", 1500)))
+
+
+@query("""WITH own AS (SELECT doc_id, 'd' || doc_id || '/' || coalesce(source, 'x') AS p FROM documents WHERE doc_id % 4 = 3)
+  SELECT doc_id, 'record' AS part, p AS provenance FROM own UNION ALL SELECT doc_id, unnest(['Open', 'Close']), p FROM own UNION ALL SELECT doc_id, 'Hot Surface', p FROM own""")
+def nested_provenance(spark, sf_dir):
+    """The same provenance on procedures, their steps and their warnings."""
+    own = records(spark, sf_dir).where("record_type = 'procedure'")
+    origin = F.struct(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc"), F.col("document.manufacturer").alias("source"))
+    put = structure.with_provenance(own, origin)
+    said = lambda x, part: F.struct(part.alias("part"), F.concat_ws("/", x["doc"], x["source"]).alias("provenance"))
+    step = F.transform("steps", lambda s: said(s["provenance"], F.split(s["instruction"], " ")[0]))
+    warning = F.transform("warnings", lambda w: said(w["provenance"], w["text"]))
+    parts = F.concat(F.array(said(F.col("provenance"), F.lit("record"))), step, warning)
+    return put.select("doc_id", F.explode(parts).alias("r")).select("doc_id", "r.*")
