@@ -49,20 +49,22 @@ def encode_png(payload: bytes, width: int = WIDTH, level: int = 6) -> bytes:
     return SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), level)) + _chunk(b"IEND", b"")
 
 
-def _average(line: np.ndarray, above: np.ndarray) -> np.ndarray:
-    out, before = np.empty_like(line), 0
-    for k, (x, b) in enumerate(zip(line.tolist(), above.tolist(), strict=True)):
-        before = out[k] = (x + (before + b) // 2) & 255
-    return out
-
-
-def _paeth(line: np.ndarray, above: np.ndarray) -> np.ndarray:
-    out, a, c = np.empty_like(line), 0, 0
-    for k, (x, b) in enumerate(zip(line.tolist(), above.tolist(), strict=True)):
-        near = min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
-        a = out[k] = (x + near) & 255
-        c = b
-    return out
+def _along_diagonals(run: np.ndarray, above: np.ndarray, paeth: bool) -> np.ndarray:
+    """Undoes the average or the Paeth filter of rows, a diagonal at a time: its samples need only those of the two before."""
+    height, width = run.shape
+    out = np.zeros((height + 1, width + 1), np.int16)
+    out[0, 1:] = above
+    for d in range(height + width - 1):
+        row = np.arange(max(0, d - width + 1), min(height, d + 1))
+        column = d - row
+        left, up, corner = out[row + 1, column], out[row, column + 1], out[row, column]
+        if paeth:
+            by_left, by_up, by_corner = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+            near = np.where((by_left <= by_up) & (by_left <= by_corner), left, np.where(by_up <= by_corner, up, corner))
+        else:
+            near = (left + up) >> 1
+        out[row + 1, column + 1] = (run[row, column] + near) & 255
+    return out[1:, 1:].astype(np.uint8)
 
 
 def decode_png(data: bytes) -> np.ndarray:
@@ -96,9 +98,7 @@ def decode_png(data: bytes) -> np.ndarray:
                 run[0] += out[begin - 1]
             np.cumsum(run, axis=0, dtype=np.uint8, out=run)
         elif kind in (3, 4):
-            undo = _average if kind == 3 else _paeth
-            for k in range(begin, end):
-                out[k] = undo(out[k], out[k - 1] if k else np.zeros(width, np.uint8))
+            run[:] = _along_diagonals(run, out[begin - 1] if begin else np.zeros(width, np.uint8), kind == 4)
         elif kind:
             raise ValueError(f"row filter {kind}")
     return out
