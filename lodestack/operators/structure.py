@@ -30,11 +30,9 @@ def infer_pages(items: DataFrame, page_count: Column) -> DataFrame:
 
 
 def _first_type(haystack: Column, keywords: tuple) -> Column:
-    """The first type with a keyword in the haystack, else null. Keywords with other characters than [a-z0-9 ] can't occur."""
-    out = F.lit(None).cast("string")
-    for kind, words in reversed(keywords):
-        out = F.when(haystack.rlike("|".join(re.escape(w) for w in words)), F.lit(kind)).otherwise(out)
-    return out
+    """The first type with a keyword in the haystack, else null. The keywords are one literal, so the plan stays small however many there are."""
+    listed = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(word).alias("word")) for kind, words in keywords for word in words])
+    return F.when(haystack.isNotNull(), F.get(F.filter(listed, lambda k: F.contains(haystack, k["word"])), F.lit(0))["kind"])
 
 
 def number_stripped(normal: Column) -> Column:
@@ -79,7 +77,7 @@ def classify(df: DataFrame) -> DataFrame:
     def tried(text: str) -> Column:
         out = F.when(F.lit(False), F.lit(""))
         for name, order in V.CONTEXT_ORDERS.items():
-            out = out.when(F.col("_context") == name, F.coalesce(*[F.col(f"{text}_{which}") for which in order]))
+            out = out.when(F.col("_context") == name, _first_type(F.col(text), sum((lists[which] for which in order), ())))
         return out
 
     usual = F.create_map(*[F.lit(x) for item in V.DEFAULT_SECTION_TYPES.items() for x in item])
@@ -90,12 +88,11 @@ def classify(df: DataFrame) -> DataFrame:
     safe = F.when(plain.isin(*V.ADMONITIONS) | short.isin(*V.ADMONITIONS), "safety")
     above = S.classifier_text(F.col("parents")) if "parents" in df.columns else F.lit("")
     by_kind = F.when(~plain.isin("overview", "notes", "instructions"), F.try_element_at(usual, kind))
-    looked = lambda df, text: df.withColumns({f"{text}_{name}": _first_type(F.col(text), words) for name, words in lists.items()})
-    opened = looked(prepared.withColumn("_context", context), "_titles").withColumn("_found", F.coalesce(safe, tried("_titles")))
-    # A text that needn't be looked at is null, and so are the answers of all patterns on it.
-    opened = looked(opened.withColumn("_above", F.when(F.col("_found").isNull() & (above != ""), above)), "_above")
+    opened = prepared.withColumn("_context", context).withColumn("_found", F.coalesce(safe, tried("_titles")))
+    # A text that needn't be looked at is null.
+    opened = opened.withColumn("_above", F.when(F.col("_found").isNull() & (above != ""), above))
     opened = opened.withColumn("_found", F.coalesce("_found", tried("_above"), by_kind))
-    opened = looked(opened.withColumn("_inside", F.when(F.col("_found").isNull() & look, S.classifier_text(F.substring("content", 1, 500)))), "_inside")
+    opened = opened.withColumn("_inside", F.when(F.col("_found").isNull() & look, S.classifier_text(F.substring("content", 1, 500))))
     by_form = F.when(S.strip(F.col("title")).rlike("(?i)" + number) | starts, "workflow")
     found = F.coalesce("_found", tried("_inside"), by_form, F.lit("other"))
     return opened.select(*df.columns, settled(found).alias("section_type"))
