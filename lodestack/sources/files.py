@@ -50,6 +50,11 @@ def yaml_rows(spark: SparkSession, path: str, schema: str, skip: str = "checksum
     return texts.mapInPandas(load, f"path string, {schema}")
 
 
+def by_path(rows: DataFrame) -> DataFrame:
+    """Rows of files in the order of their paths; readers give them in no order."""
+    return rows.sort("path")
+
+
 def structures(spark: SparkSession, path: str) -> DataFrame:
     """Parse artifacts, one JSON document in each file."""
     return spark.read.schema(STRUCTURE).option("multiLine", "true").json(path)
