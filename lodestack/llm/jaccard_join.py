@@ -23,7 +23,8 @@ for linked sets of sizes a and b is at most (a + b) * (100 - percent) / (100 + p
    class and that smallest one that sizes or sketches rule out go; the others are verified on the whole
    sets. Links give components.
 4. Groups whose classes aren't all in one component by then are compared completely, between components,
-   by sketch; what passes is verified. So no link is lost, and the work on pairs within a component, which
+   by sketch; of what passes, first a least spanning forest of each block is verified, then what still
+   lies between components. So no link is lost, and the work on pairs within a component, which
    can't change the result, isn't done. A group of more than BLOCK classes is split by the next common
    signature, as long as the promises last, so that short documents that have but a template in common
    part there. Long ones (WIDE parts and more may differ) are compared in blocks: sketches of a large
@@ -207,6 +208,7 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndar
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Size, digest, sketch and signatures of each document's set."""
 
+    @worker.task("jaccard_join")
     def rows(batches):
         for batch in batches:
             for first, own in _sets(batch, width):
@@ -231,8 +233,8 @@ def _groups(classes: DataFrame) -> DataFrame:
     slices = blocks.slice_count(classes, wanted // SIGN, SLICE)
     labels = blocks.labels(slices).tolist()
 
+    @worker.task("jaccard_join")
     def send(batches):
-        worker.use("jaccard_join")
         held: list[list[np.ndarray]] = [[], [], []]
         count = 0
         for batch in batches:
@@ -249,8 +251,8 @@ def _groups(classes: DataFrame) -> DataFrame:
         if count:
             yield _dealt(held, labels)
 
+    @worker.task("jaccard_join")
     def group(batches):
-        worker.use("jaccard_join")
         own = [[np.zeros(0, kind)] for kind in _KEYS]
         for batch in batches:
             for frequent, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -273,6 +275,8 @@ def _groups(classes: DataFrame) -> DataFrame:
 
     found = materialize(classes.select("doc", "n", "signs").mapInArrow(send, "slice int, frequent boolean, raw binary").repartition(slices, "slice").mapInArrow(group, _GROUPS), "groups")
     plain = found.where(F.col("least").isNotNull()).drop("hot")
+    if found.where(F.col("least").isNull()).isEmpty():
+        return plain
     # Frequent signatures: both sides have exchanges of their own, which AQE can split at hot keys.
     leaders = found.where(F.col("hot") & (F.col("doc") == F.col("least"))).select("k1", "least", "least_n").distinct()
     apart = found.where(F.col("least").isNull()).drop("least", "least_n", "hot").join(leaders, "k1")
@@ -315,6 +319,7 @@ def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     left = facts.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("xa"))
     right = facts.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("xb"))
 
+    @worker.task("jaccard_join")
     def rows(batches):
         for batch in batches:
             sums = np.add(batch.column("na").to_numpy(), batch.column("nb").to_numpy())
@@ -337,8 +342,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, name:
     heads = share.select(F.col("a").alias("doc"), "a", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"), F.lit(0).alias("role"))
     wanted = materialize(members.unionByName(heads).groupBy("doc").agg(F.collect_list("a").alias("a"), F.collect_list("salt").alias("salt"), F.collect_list("role").alias("role")), f"{name}-wanted")
     some = where_member(docs, "doc_id", member_filter(wanted.select("doc"), wanted.count()))
-    met = some.join(wanted, some["doc_id"] == wanted["doc"]).select("doc", "text", "a", "salt", "role")
+    # By a shuffle, so that no stage has two Python workers a task.
+    met = some.join(wanted.hint("merge"), some["doc_id"] == wanted["doc"]).select("doc", "text", "a", "salt", "role")
 
+    @worker.task("jaccard_join")
     def send(batches):
         for batch in batches:
             names = ["doc", "a", "salt", "role", "own"]
@@ -357,6 +364,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, name:
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, _SENT, strict=True)], names=names)
 
+    @worker.task("jaccard_join")
     def test(batches):
         now, heads_now = None, []
         for batch in batches:
@@ -382,27 +390,28 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, name:
 _SENT = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
 
-def _across(named: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _across(named: DataFrame, classes: DataFrame, percent: int, forest: bool) -> DataFrame:
     """All pairs (a, b) of classes with a common signature that are in different components and that sizes and sketches allow.
 
+    As a forest, of the pairs of a block of classes only those that join what nearer pairs don't.
     ``named`` has rows (k1, doc, root). Large groups go on split by their next common signature: linked classes
     have as many in common as the greater of their promises, so a group is compared after so many rounds.
     """
     facts = classes.select("doc", "n", "sketch")
     signs = classes.select("doc", "signs")
     written = [materialize(_mixed(named.select("k1", F.col("k1").alias("last"), "doc", "root", F.lit(1).alias("promise")), 1), "mixed")]
-    found = [_compared(written[0].where(F.col("held") <= LARGE), facts, percent)]
+    found = [_compared(written[0].where(F.col("held") <= LARGE), facts, percent, forest)]
     length, most = 1, LARGE
     while True:
         large = written[-1].where(F.col("held") > most).drop("held")
         if large.isEmpty():
             break
         step = materialize(_split(large, signs, length), "split")
-        found.append(_compared(step.where("weak IS NOT NULL"), facts, percent))
+        found.append(_compared(step.where("weak IS NOT NULL"), facts, percent, forest))
         length += 1
         written += [step, materialize(_mixed(step.where("weak IS NULL").drop("weak").distinct(), length), "mixed")]
         most = BLOCK
-        found.append(_compared(written[-1].where(F.col("held") <= BLOCK), facts, percent))
+        found.append(_compared(written[-1].where(F.col("held") <= BLOCK), facts, percent, forest))
     out = materialize(reduce(DataFrame.unionByName, found).distinct(), "across")
     discard(*written)
     return out
@@ -421,6 +430,7 @@ def _split(large: DataFrame, signs: DataFrame, length: int) -> DataFrame:
     If linked classes may differ in WIDE parts, all are weak and nothing goes on.
     """
 
+    @worker.task("jaccard_join")
     def rows(batches):
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
@@ -445,7 +455,7 @@ def _split(large: DataFrame, signs: DataFrame, length: int) -> DataFrame:
     return large.join(signs, "doc").select("k1", "last", "doc", "root", "signs").mapInArrow(rows, "k1 long, last long, doc long, root long, promise int, weak boolean")
 
 
-def _compared(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+def _compared(rows: DataFrame, facts: DataFrame, percent: int, forest: bool) -> DataFrame:
     """The pairs within groups, across components, that sizes and sketches allow, in blocks of BLOCK classes.
 
     Where rows have ``weak``, one of a pair is weak at least.
@@ -463,26 +473,27 @@ def _compared(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
         blocks_of = blocks_of.unionByName(probing).unionByName(probed)
     blocks_of = blocks_of.join(facts, "doc")
 
+    @worker.task("jaccard_join")
     def compare(batches):
         now, held = None, []
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("k1", "i", "j", "own", "doc", "root", "n", "sketch")), strict=True):
                 if row[:3] != now:
-                    yield from _block(held, now, percent)
+                    yield from _block(held, now, percent, forest)
                     now, held = row[:3], []
                 held.append(row[3:])
-        yield from _block(held, now, percent)
+        yield from _block(held, now, percent, forest)
 
     return blocks_of.select("k1", "i", "j", "own", "doc", "root", "n", "sketch").repartition("k1", "i", "j").sortWithinPartitions("k1", "i", "j").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _block(held: list[tuple], block: tuple | None, percent: int):
+def _block(held: list[tuple], block: tuple | None, percent: int, forest: bool):
     if len(held) < 2 or len({r[2] for r in held}) < 2:
         return
     own, doc, root, n = (np.array([r[k] for r in held], np.int64) for k in range(4))
     words = min(len(r[4]) for r in held) // 8
     flat = np.stack([_fold(np.frombuffer(r[4], np.uint64), words) for r in held])
-    found_a, found_b = [], []
+    left, right, spare = [], [], []
     for k in range(len(held) - 1):
         other = slice(k + 1, None)
         total = n[k] + n[other]
@@ -491,11 +502,35 @@ def _block(held: list[tuple], block: tuple | None, percent: int):
             ok &= own[other] != own[k]
         at = np.flatnonzero(ok)
         apart = np.bitwise_count(flat[other][at] ^ flat[k]).sum(axis=1)
-        at = at[apart <= total[at] * (100 - percent) // (100 + percent)]
-        found_a.extend(np.minimum(doc[k], doc[other][at]).tolist())
-        found_b.extend(np.maximum(doc[k], doc[other][at]).tolist())
-    if found_a:
-        yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+        most = total[at] * (100 - percent) // (100 + percent)
+        fits = apart <= most
+        left.append(np.full(int(fits.sum()), k))
+        right.append(at[fits] + k + 1)
+        spare.append(apart[fits] / np.maximum(most[fits], 1))
+    left, right, spare = np.concatenate(left), np.concatenate(right), np.concatenate(spare)
+    if forest and len(left):
+        keep = _joining(root[left], root[right], spare)
+        left, right = left[keep], right[keep]
+    if len(left):
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[left], doc[right])), pa.array(np.maximum(doc[left], doc[right]))], names=["a", "b"])
+
+
+def _joining(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The edges of a least spanning forest, by their numbers."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = x = above.get(up, up)
+        return x
+
+    kept = []
+    for k in np.argsort(weight, kind="stable").tolist():
+        x, y = top(int(a[k])), top(int(b[k]))
+        if x != y:
+            above[y] = x
+            kept.append(k)
+    return np.array(kept, np.int64)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -514,12 +549,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = star.select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
     links = _verified(_plausible(pairs, facts, percent), plain, width, percent, "star")
     roots = materialize(components(links), "roots")
-    root_of = classes.select("doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("root"))
-    more = _across(groups.select("k1", "doc").join(root_of.distinct(), "doc"), classes, percent)
-    if not more.isEmpty():
+    # Between components first the nearest pairs of a block that would join them; what is left then is compared completely.
+    for forest in (True, False):
+        root_of = classes.select("doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("root"))
+        more = _across(groups.select("k1", "doc").join(root_of.distinct(), "doc"), classes, percent, forest)
+        if more.isEmpty():
+            break
         extra = _verified(more, plain, width, percent, "rest")
         if not extra.isEmpty():
-            roots = materialize(components(links.unionByName(extra)), "roots")
+            links = links.unionByName(extra)
+            roots = materialize(components(links), "roots")
     placed = classes.select(*same, "doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").select(*same, F.coalesce("root", "doc").alias("component"))
     out = own.select("doc_id", *same).join(placed, same, "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))

@@ -131,8 +131,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, size: int = PROFILE) -> Model:
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score for every document, from its whole text alone."""
 
+    @worker.task("langid")
     def rows(batches):
-        worker.use("langid")
         for batch in batches:
             found = [model.predict(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
@@ -152,8 +152,8 @@ def least_score(docs: DataFrame, model: Model, sample: int = SAMPLE) -> float:
 def keep_languages(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
     """The rows of docs whose text is in one of the model's languages: with a letter, n-grams of its profile, and a score of at least ``least``."""
 
+    @worker.task("langid")
     def rows(batches):
-        worker.use("langid")
         for batch in batches:
             at = batch.schema.get_field_index("text")
             scores = [model.predict(x.as_py())[1] for x in batch.column(at)]

@@ -49,8 +49,8 @@ def line_keys(text: bytes, min_chars: int) -> list[bytes | None]:
 
 
 def _key_table(docs: DataFrame, min_chars: int) -> DataFrame:
+    @worker.task("line_dedup")
     def rows(batches):
-        worker.use("line_dedup")
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             ids, digests = [], []
@@ -86,6 +86,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, slice_b
     met = docs.select(*kept).join(lost, docs["doc_id"].cast("long").eqNullSafe(lost[f"{own}doc"]), "left").drop(f"{own}doc")
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
+    @worker.task("line_dedup")
     def rows(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")

@@ -15,14 +15,14 @@ place doesn't depend on other rows. ``preference`` is a whole number for each si
 query prefers longer documents (LONGER).
 
 Scale: no task sorts a source. Ranks are put into sqrt(rows) bins for each source and summed there;
-only the one bin of each source in which its rest ends is sorted. Whole rows of documents are read
-again for the answer, not shuffled, but those of that bin. The table of sources has a row
+only the one bin of each source in which its rest ends is sorted, without texts. Whole rows of
+documents are read again for the answer, not shuffled. The table of sources has a row
 for each weight of the mix and is read by one task; it is joined by broadcast only where Spark's
 size threshold lets it, else by a join that splits hot keys.
 
 Defined cases: a null or empty text has size 0 and is taken 0 words (and as often as its source as a whole). A source without words has
 target 0. Null sources are one source, null doc_ids are ordinary rows, ties of rank go by doc_id,
-then size. Repeated rows are separate rows of equal rank, each taken as often as it is by itself.
+then size. Rows of equal doc_id and text have equal rank and are taken equally often.
 An empty table gives no rows. Extra columns of any name are left alone.
 """
 
@@ -95,20 +95,22 @@ def _ranked(sized: DataFrame, goals: DataFrame) -> DataFrame:
     return _same_source(sized, goals).withColumn("rank", rank).withColumn("bin", F.least(F.floor(F.col("rank") * F.col("bins")), F.col("bins") - 1))
 
 
+def _place() -> Column:
+    """Where a row stands among those of its source; equal for repeated rows only."""
+    return F.struct("rank", F.when(F.col("doc_id").isNull(), 0).otherwise(1).alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), "size")
+
+
 def _chosen(sized: DataFrame, goals: DataFrame, edges: DataFrame) -> DataFrame:
-    """The rows of ``sized`` with source_size, target and copies."""
+    """The rows of ``sized`` with source_size, target and copies. No shuffle but for tables of sources that are too large to broadcast."""
     placed = _same_source(_ranked(sized, goals), edges, "left")
-    on_edge = (F.col("bin") == F.col("last_bin")) & (F.col("size") > 0)
-    inside = placed.where(~F.coalesce(on_edge, F.lit(False))).withColumn("more", F.col("last_bin").isNull() | (F.col("bin") < F.col("last_bin")))
-    order = Window.partitionBy("source").orderBy("rank", F.asc_nulls_first("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
-    upto = F.col("ahead") + F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("size") / 2
-    chosen = inside.unionByName(placed.where(on_edge).withColumn("more", upto <= F.col("rest")))
-    wanted = (F.col("rate") > 0) & F.col("more") & (F.col("liking") > 0)
-    return chosen.withColumn("copies", (F.col("whole") + F.when(wanted, 1).otherwise(0)).cast("long"))
+    on_edge = (F.col("bin") == F.col("last_bin")) & (F.col("size") > 0) & F.coalesce(_place() <= F.col("cut"), F.lit(False))
+    more = F.col("last_bin").isNull() | (F.col("bin") < F.col("last_bin")) | on_edge
+    wanted = (F.col("rate") > 0) & more & (F.col("liking") > 0)
+    return placed.withColumn("copies", (F.col("whole") + F.when(wanted, 1).otherwise(0)).cast("long"))
 
 
 def _plan(sized: DataFrame, weights: tuple[int, ...], share: float, most: int) -> tuple[DataFrame, DataFrame]:
-    """The sources' goals, and where in the order of ranks each source's rest ends."""
+    """The sources' goals, and where in the order of ranks each source's rest ends: its bin, and the last row that is taken in it."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("liking")).alias("liked"), F.count(F.lit(1)).alias("n"))
     held = F.col("source_size") > 0
     dealt = source_targets(sources.drop("liked"), weights, share, most)
@@ -120,11 +122,18 @@ def _plan(sized: DataFrame, weights: tuple[int, ...], share: float, most: int) -
         .withColumn("bins", F.ceil(F.sqrt(F.col("n").cast("double")))),
         "mix-goals",
     )
-    summed = _ranked(sized, goals).groupBy("source", "bin").agg(F.sum("size").alias("held"))
+    ranked = _ranked(sized, goals)
+    summed = ranked.groupBy("source", "bin").agg(F.sum("size").alias("held"))
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     stepped = _same_source(summed.withColumn("ahead", F.coalesce(F.sum("held").over(before), F.lit(0))), goals.select("source", "rest"))
     last = stepped.where(F.col("ahead") + F.col("held") > F.col("rest")).groupBy("source").agg(F.min(F.struct("bin", "ahead")).alias("last"))
-    return goals, materialize(last.select("source", F.col("last.bin").alias("last_bin"), F.col("last.ahead").alias("ahead")), "mix-edges")
+    bins = materialize(last.select("source", F.col("last.bin").alias("last_bin"), F.col("last.ahead").alias("ahead")), "mix-bins")
+    inside = _same_source(ranked, bins).where((F.col("bin") == F.col("last_bin")) & (F.col("size") > 0)).withColumn("place", _place())
+    upto = F.sum("size").over(Window.partitionBy("source").orderBy("place"))  # with all rows of the same place
+    alike = F.sum("size").over(Window.partitionBy("source", "place"))
+    fits = inside.withColumns({"upto": upto, "alike": alike}).where(F.col("ahead") + F.col("upto") - F.col("alike") / 2 <= F.col("rest"))
+    cuts = fits.groupBy("source").agg(F.max("place").alias("cut"))
+    return goals, materialize(_same_source(bins.drop("ahead"), cuts, "left"), "mix-edges")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: str = "mix", preference: Callable[[Column], Column] = longer) -> DataFrame:
@@ -178,7 +187,7 @@ WITH sized AS (
 ), ranked AS (
   SELECT *, CASE WHEN rate <= 0 THEN 1 WHEN p >= 1 THEN 0 ELSE (u / (1 - u)) / (p / (1 - p)) END AS odds FROM drawn
 ), summed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS ahead FROM ranked
+  SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id NULLS FIRST, size))::DOUBLE AS upto, (sum(size) OVER (PARTITION BY source, odds, doc_id, size))::DOUBLE AS alike FROM ranked
 )
-SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN rate > 0 AND ahead + size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM summed
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN rate > 0 AND upto - alike / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM summed
 """

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestack.llm import worker
 from lodestack.llm.tokens import encoded
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, bucket int, sequence_id long, offset long"
@@ -37,6 +38,7 @@ def pack(docs: DataFrame, vocabulary: str, max_len: int = 2048, end_id: int = 1)
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
 
+    @worker.task("tokens")
     def pieces(batches):
         from pyspark import TaskContext
 

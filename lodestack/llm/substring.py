@@ -147,6 +147,7 @@ def joined(doc: np.ndarray, own: np.ndarray, first: np.ndarray, many: np.ndarray
 def _long_repeats(docs: DataFrame, width: int) -> DataFrame:
     """doc, own, first, many: stretches of windows that the symbols tell to be repeats."""
 
+    @worker.task("substring")
     def ask(batches):
         asked = _Asked()
         for batch in batches:
@@ -195,8 +196,10 @@ def _rest(docs: DataFrame, told: DataFrame, width: int, windows: int) -> DataFra
     labels = blocks.labels(slices).tolist()
     lists = told.groupBy("doc", "own").agg(F.collect_list("first").alias("first"), F.collect_list("many").alias("many"))
     texts = _packed_rows(docs.where(F.col("doc_id").isNotNull()), "text")
-    met = texts.join(lists, (F.col("doc_id") == F.col("doc")) & (F.col("textsum") == F.col("own")), "left").select("doc_id", "textsum", "text", "first", "many")
+    # By a shuffle, here and below, so that no stage has two Python workers a task.
+    met = texts.join(lists.hint("merge"), (F.col("doc_id") == F.col("doc")) & (F.col("textsum") == F.col("own")), "left").select("doc_id", "textsum", "text", "first", "many")
 
+    @worker.task("substring")
     def ask(batches):
         asked = _Asked()
         for batch in batches:
@@ -222,8 +225,8 @@ def _rest(docs: DataFrame, told: DataFrame, width: int, windows: int) -> DataFra
         if asked.count:
             yield _dealt(asked, labels)
 
+    @worker.task("substring")
     def answer(batches):
-        worker.use("substring")
         sure, own = [], []
         for batch in batches:
             for told_already, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -287,9 +290,10 @@ def dedup_substrings(docs: DataFrame, width: int = 13) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     packed = _packed_rows(docs.select(*kept), mine)
     same = (packed["doc_id"].cast("long") == lost[f"{mine}doc"]) & (packed[f"{mine}sum"] == lost[f"{mine}own"])
-    met = packed.join(lost, same, "left").drop(f"{mine}doc", f"{mine}own", f"{mine}sum")
+    met = packed.join(lost.hint("merge"), same, "left").drop(f"{mine}doc", f"{mine}own", f"{mine}sum")
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
+    @worker.task("substring")
     def rows(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
@@ -321,6 +325,7 @@ def _packed_rows(docs: DataFrame, mine: str) -> DataFrame:
     """The rows of docs with the text compressed and its CRC-32 in a column of its own."""
     schema = T.StructType([*(f if f.name != "text" else T.StructField("text", T.BinaryType()) for f in docs.schema.fields), T.StructField(f"{mine}sum", T.IntegerType())])
 
+    @worker.task("substring")
     def rows(batches):
         codec = pa.Codec("zstd", compression_level=1)
         for batch in batches:

@@ -136,6 +136,7 @@ worker.keeps("tokens", _drop)
 
 def encoded(column: pa.Array, path: str, end_id: int, step: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
     """(row, ids with the end id) for each text of a column; null counts as empty."""
+    worker.trim()  # what the batch before left
     own, end = encoder(path), struct.pack("<I", end_id)
     values = column.cast(pa.large_binary())
     row, n = 0, len(values)

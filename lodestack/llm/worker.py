@@ -24,8 +24,29 @@ def use(owner: str) -> None:
     for other, drop in _kept.items():
         if other != owner:
             drop()
+    trim()
+
+
+def trim() -> None:
+    """Give memory back that allocators hold free."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library; the memory is free for reuse all the same
         pass
+
+
+def task(owner: str) -> Callable:
+    """Makes a task's function (batches to batches) tell use() when it starts, and trim() when it ends: the worker may be idle for long."""
+
+    def wrapped(rows: Callable) -> Callable:
+        def run(batches):
+            use(owner)
+            try:
+                yield from rows(batches)
+            finally:
+                trim()
+
+        return run
+
+    return wrapped

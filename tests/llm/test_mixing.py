@@ -36,7 +36,7 @@ def check(rows, got):
         assert abs(r.target - expected[r.source]) < 1e-6 * max(1, r.target) and r.source_size == sizes[r.source]
         assert r.taken == r.copies * r.size <= 2 * r.size
         taken[r.source] += r.taken
-        longest[r.source] = max(longest[r.source], r.size)
+        longest[r.source] = max(longest[r.source], r.size * sum((x.doc_id, x.size) == (r.doc_id, r.size) for x in got))
     assert all(abs(taken[s] - expected[s]) <= longest[s] / 2 + 1e-6 for s in expected)
 
 
@@ -70,14 +70,14 @@ def test_inclusion_probabilities(spark):
     rows = [(k, "w " * (250 if k % 2 else 100), "s") for k in range(40)] + [(100, "w " * 4000, "t")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     drawn, goal = defaultdict(int), None
-    for seed in range(30):
+    for seed in range(16):
         got = [r for r in mixing.mix(df, weights=(1, 3), share=0.9, seed=f"s{seed}").collect() if r.source == "s"]
         least = int(got[0].target // got[0].source_size)
         goal = got[0].target - least * got[0].source_size
         for r in got:
             drawn[r.size] += r.copies - least
     rate = goal / (20 * 250 * 2 + 20 * 100)
-    assert abs(drawn[250] / 600 - 2 * rate) < 0.08 and abs(drawn[100] / 600 - rate) < 0.08
+    assert abs(drawn[250] / 320 - 2 * rate) < 0.1 and abs(drawn[100] / 320 - rate) < 0.1
 
 
 def test_rows_are_repeated(edge, edge_rows):
