@@ -63,7 +63,7 @@ SPARE = 3
 #: Classes that are compared with each other at once.
 BLOCK = 256
 #: Larger groups of a signature are split instead of compared at once; what they are split into, down to BLOCK.
-LARGE = 1 << 13
+LARGE = 1 << 12
 #: Groups are split only for classes that differ in fewer parts than this, where linked: else splitting makes more rows than it saves.
 WIDE = 8
 #: Bytes of a signature.
