@@ -1,11 +1,12 @@
-"""The queries of the ten operators, each over its whole table, with DuckDB SQL where SQL can say it."""
+"""The queries of the operators, each over its whole table, with DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, media, mixing, packing, substring, token_files
+from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, media, mixing, packing, substring, token_files, vector_codes
 from lodestack.llm.tokens import vocabulary
 from lodestack.session import materialize, scratch_dir, share_code
 
@@ -73,5 +74,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup)}
-ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op3_jaccard_join": jaccard_join.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    if (found := vector_codes.fit(vectors)) is None:
+        found = 0, np.zeros((16, 1, 0), np.int64)  # no vector has a code
+    coded = materialize(vector_codes.encode(vectors, *found), "vector-codes")
+    return vector_codes.with_label_error(coded).select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.digest(found[1])).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup, op12_vector_codes)}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op3_jaccard_join": jaccard_join.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL, "op12_vector_codes": vector_codes.SQL}
