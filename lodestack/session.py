@@ -70,6 +70,13 @@ def unused(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def keep_until_end(spark: SparkSession, path: str) -> None:
+    """Have ``path`` deleted when the application ends, if it isn't before."""
+    if not _WRITTEN:
+        atexit.register(_sweep, spark)
+    _WRITTEN.add(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -78,9 +85,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if not _WRITTEN:
-        atexit.register(_sweep, spark)
-    _WRITTEN.add(path)
+    keep_until_end(spark, path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
@@ -88,11 +93,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    remove(spark, path)
     _WRITTEN.discard(path)
 
 
+def _place(spark: SparkSession, path: str) -> tuple[object, object]:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    store, where = _place(spark, path)
+    store.delete(where, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the one above its new place is made if it is missing."""
+    store, where = _place(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    store.mkdirs(target.getParent())
+    if not store.rename(where, target):
+        raise OSError(f"{path} can't be moved to {to}")
+
+
 def _sweep(spark: SparkSession) -> None:
     """At the end of the application: what is left of written tables goes, unless the session has ended before."""
     for path in list(_WRITTEN):
