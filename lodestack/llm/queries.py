@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, media, mixing, packing, substring, token_files, vector_codes
+from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, media, mixing, packing, sale_assembly, substring, token_files, vector_codes
 from lodestack.llm.tokens import vocabulary
 from lodestack.session import materialize, scratch_dir, share_code
 
@@ -82,5 +82,9 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.with_label_error(coded).select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.digest(found[1])).alias("codebooks_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup, op12_vector_codes)}
+def op13_sale_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sale_assembly.assemble(_table(spark, sf_dir, "sales"), _table(spark, sf_dir, "sale_lines"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup, op12_vector_codes, op13_sale_assembly)}
 ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op3_jaccard_join": jaccard_join.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL, "op12_vector_codes": vector_codes.SQL}

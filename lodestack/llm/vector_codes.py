@@ -136,7 +136,7 @@ def moved(kept: DataFrame, vector: str, length: int, entries: np.ndarray) -> np.
                 own, code, _ = _assigned(vectors, books)
                 cell = code + np.arange(parts) * count
                 used += np.bincount(cell.ravel(), minlength=len(used))
-                np.add.at(sums.reshape(len(used), width), cell.ravel(), own.reshape(-1, width))
+                np.add.at(sums.reshape(len(used), width), cell.ravel(), own.reshape(cell.size, width))
         cells = np.flatnonzero(used)
         if not width or not len(cells):
             return
