@@ -225,6 +225,7 @@ def assemble(sales: DataFrame, lines: DataFrame, batches: int = 12, sales_per_gr
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a query has one micro-batch, and its stores' own folders would stay for a minute
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",  # such a batch would fire timers by the days of its own data
     }.items():
         own.conf.set(name, value)
