@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _U = np.uint64
@@ -35,6 +36,22 @@ def unpacked(raw: bytes, kinds: tuple[type, ...], at: int = 0) -> tuple[list[np.
     return out, at
 
 
+def pressed(*groups: tuple[np.ndarray, ...]) -> bytes:
+    """Groups of columns, each group of one length, as byte planes compressed by zstd."""
+    raw = b"".join(packed(*g) for g in groups)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def opened(raw: bytes, *kinds: tuple[type, ...]) -> list[list[np.ndarray]]:
+    """The groups that ``pressed`` was given."""
+    plain = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+    at, out = 0, []
+    for own in kinds:
+        columns, at = unpacked(plain, own, at)
+        out.append(columns)
+    return out
+
+
 def _spark_hash(x: np.ndarray) -> np.ndarray:
     """Spark's hash of an int column (Murmur3, seed 42)."""
     u = np.uint32

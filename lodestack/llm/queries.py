@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, media, mixing, packing, sale_assembly, substring, token_files, vector_codes
+from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, lm_scoring, media, mixing, packing, sale_assembly, substring, token_files, vector_codes
 from lodestack.llm.tokens import vocabulary
 from lodestack.session import materialize, scratch_dir, share_code
 
@@ -74,6 +74,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     if (found := vector_codes.fit(vectors)) is None:
@@ -86,5 +90,5 @@ def op13_sale_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sale_assembly.assemble(_table(spark, sf_dir, "sales"), _table(spark, sf_dir, "sale_lines"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup, op12_vector_codes, op13_sale_assembly)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_jaccard_join, op4_packing, op5_language_id, op6_nearest, op7_mixing, op8_media, op9_token_files, op10_substring_dedup, op11_lm_scoring, op12_vector_codes, op13_sale_assembly)}
 ORACLE_SQL = {"op2_line_dedup": line_dedup.SQL, "op3_jaccard_join": jaccard_join.SQL, "op7_mixing": mixing.SQL, "op10_substring_dedup": substring.SQL, "op12_vector_codes": vector_codes.SQL}
