@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.functions import strings as S
+from lodestack.operators.ranking import placed
 
 
 def expand_procedures(procedures: DataFrame) -> DataFrame:
@@ -49,12 +50,84 @@ def comparable_pairs(claims: DataFrame) -> DataFrame:
     return pairs.where((F.col("a_claim_id") < F.col("b_claim_id")) & (F.col("a_signature") != F.col("b_signature")) & models & revision)
 
 
+def _negates(tokens: Column) -> Column:
+    return F.arrays_overlap(tokens, F.array(*map(F.lit, S.NEGATIONS)))
+
+
+def _contradict(tokens: tuple[Column, Column], folded: tuple[Column, Column], negates: tuple[Column, Column]) -> Column:
+    left, right = tokens
+    both = F.size(F.array_intersect(left, right))
+    share = both / F.greatest(F.size(left) + F.size(right) - both, F.lit(1))
+    return F.when((F.size(left) == 0) | (F.size(right) == 0), folded[0] != folded[1]).otherwise((negates[0] != negates[1]) | (share >= 0.35))
+
+
 def text_contradicts(left: Column, right: Column) -> Column:
-    """Texts contradict if just one of them negates, or if they share 35 % of their meaningful tokens."""
-    a, b = S.tokens(left), S.tokens(right)
-    negated = lambda t: F.arrays_overlap(t, F.array(*map(F.lit, S.NEGATIONS)))
-    share = F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), S.fold(left) != S.fold(right)).otherwise((negated(a) != negated(b)) | (share >= 0.35))
+    """Texts contradict if just one of them negates, or if they share 35 % of their meaningful tokens; without such, if they differ."""
+    tokens = S.tokens(left), S.tokens(right)
+    return _contradict(tokens, (S.fold(left), S.fold(right)), (_negates(tokens[0]), _negates(tokens[1])))
+
+
+def with_text_marks(df: DataFrame, text: str) -> DataFrame:
+    """df with what ``text_contradicts`` goes by, made once for each text: tokens, folded, negates."""
+    marked = df.withColumns({"tokens": S.tokens(F.col(text)), "folded": S.fold(F.col(text))})
+    return marked.withColumn("negates", _negates(F.col("tokens")))
+
+
+def marks_contradict(a: str = "a_", b: str = "b_") -> Column:
+    """``text_contradicts`` of two sides that have marks."""
+    return _contradict(*[(F.col(f"{a}{name}"), F.col(f"{b}{name}")) for name in ("tokens", "folded", "negates")])
+
+
+#: What makes claims of one kind and scope that say the same one class.
+CLASS = ("claim_type", "subject", "manufacturer", "family", "models", "scope_revision", "signature", "folded")
+_TEXTUAL = ("procedure_step", "warning")
+
+
+def claim_classes(claims: DataFrame, within: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(classes, members) of claims of one subject and scope that say the same.
+
+    claims: claim_id, claim_type, subject, manufacturer, family, models, scope_revision, signature, claim_text and ``within``.
+    Members are the claims with their class_id, a digest of what the class has in common; so a claim finds its class
+    without a join. Classes have that, ``claims`` (how many) and the marks of their text.
+    """
+    own = S.fold(S.strip(F.col("scope_revision")))
+    models = F.array_sort(F.array_distinct(F.coalesce("models", F.array().cast("array<string>"))))
+    plain = claims.withColumns({"scope_revision": F.when(own != "", own), "models": models, "folded": S.fold(F.col("claim_text"))})
+    members = plain.withColumn("class_id", F.sha2(F.to_json(F.struct(*within, *CLASS), {"ignoreNullFields": "false"}), 256))
+    classes = members.groupBy("class_id").agg(*[F.first(c).alias(c) for c in (*within, *CLASS)], F.first("claim_text").alias("claim_text"), F.count(F.lit(1)).alias("claims"))
+    return with_text_marks(classes, "claim_text"), members
+
+
+def class_pairs(classes: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (a_class, b_class) of classes that contradict, a before b.
+
+    Classes of one type, subject, manufacturer and family meet where they share a model, through a list of the
+    classes by model, and count at the first that they share; those without models meet all others. Revisions are equal or missing
+    on a side. Values and alarms contradict if their signatures differ, steps and warnings if their texts do.
+    """
+    keys = [*within, "claim_type", "subject", "manufacturer", "family"]
+    rest = ["class_id", "models", "scope_revision", "signature", "tokens", "folded", "negates"]
+    side = lambda df, p, *more: df.select(*keys, *more, *[F.col(c).alias(f"{p}_{c}") for c in rest])
+    listed = classes.where(F.size("models") > 0).withColumn("model", F.explode("models"))
+    shared = side(listed, "a", "model").join(side(listed, "b", "model"), [*keys, "model"])
+    by_model = shared.where((F.col("a_class_id") < F.col("b_class_id")) & (F.col("model") == F.array_min(F.array_intersect("a_models", "b_models")))).drop("model")
+    anywhere = side(classes.where(F.size("models") == 0), "a").join(side(classes, "b"), keys)
+    once = (F.size("b_models") > 0) | (F.col("a_class_id") < F.col("b_class_id"))
+    met = by_model.unionByName(anywhere.where(once))
+    a, b = F.col("a_scope_revision"), F.col("b_scope_revision")
+    textual = F.col("claim_type").isin(*_TEXTUAL)
+    real = (a.isNull() | b.isNull() | (a == b)) & (F.col("a_signature") != F.col("b_signature")) & (~textual | marks_contradict())
+    low, high = F.least("a_class_id", "b_class_id"), F.greatest("a_class_id", "b_class_id")
+    return met.where(real).select(*within, low.alias("a_class"), high.alias("b_class"))
+
+
+def expanded(pairs: DataFrame, members: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The pairs of claims (a_claim_id before b_claim_id) of pairs of classes, each once, with ``carry`` of both sides."""
+    side = lambda p: members.select(F.col("class_id").alias(f"{p}_class"), *[F.col(c).alias(f"{p}_{c}") for c in ("claim_id", *carry)])
+    met = pairs.join(side("a"), "a_class").join(side("b"), "b_class").where("a_claim_id <> b_claim_id")
+    swap = F.col("a_claim_id") > F.col("b_claim_id")
+    sides = [c for name in ("claim_id", *carry) for c in (F.when(swap, F.col(f"b_{name}")).otherwise(F.col(f"a_{name}")).alias(f"a_{name}"), F.when(swap, F.col(f"a_{name}")).otherwise(F.col(f"b_{name}")).alias(f"b_{name}"))]
+    return met.select(*[c for c in pairs.columns if c not in ("a_class", "b_class")], *sides)
 
 
 def authority(sources: DataFrame) -> DataFrame:
@@ -81,6 +154,11 @@ def supersession(pairs: DataFrame) -> DataFrame:
     )
 
 
+def in_pair_order(decided: DataFrame, within: str) -> DataFrame:
+    """decided (superseding, superseded) with place: contradictions and supersessions in the order of their ids, in each group."""
+    return placed(decided, [within], ["superseding", "superseded"])
+
+
 def merge_reviews(entries: DataFrame, decisions: DataFrame) -> DataFrame:
     """entries (candidate_key) with their saved decisions; unknown statuses are unreviewed, decisions without an entry go."""
     known = F.col("saved_status").isin("unreviewed", "accepted", "rejected", "needs_followup")

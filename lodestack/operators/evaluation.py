@@ -5,7 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from lodestack.operators.ranking import placed
 
 
 def confidence_distribution(df: DataFrame, key: str, score: str) -> DataFrame:
@@ -33,8 +34,7 @@ def count_accuracy(expected: Column, actual: Column) -> Column:
 
 def zip_sorted(expected: DataFrame, actual: DataFrame, key: str, order: str) -> DataFrame:
     """The n-th expected value of a key beside the n-th actual one, null where there are fewer."""
-    w = Window.partitionBy(key).orderBy(order)
-    number = lambda df, name: df.withColumn("place", F.row_number().over(w)).select(key, "place", F.col(order).alias(name))
+    number = lambda df, name: placed(df.select(key, order), [key], [order]).select(key, "place", F.col(order).alias(name))
     return number(expected, "expected").join(number(actual, "actual"), [key, "place"], "left")
 
 

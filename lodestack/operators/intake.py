@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestack.functions import strings as S
 from lodestack.functions import vocabulary as V
+from lodestack.operators.ranking import placed
 
 
 def rule_errors(rules: dict[str, Column]) -> Column:
@@ -45,9 +45,9 @@ def first_by_checksum(df: DataFrame, order: str) -> DataFrame:
 
 def versions(df: DataFrame, key: str, order: str) -> DataFrame:
     """Version number within a key, its label, and the latest one."""
-    by = Window.partitionBy(key).orderBy(order)
-    n = F.row_number().over(by)
-    return df.withColumn("version", n.cast("long")).withColumn("version_id", F.concat(F.col(key), F.lit("--v"), F.lpad(F.col("version").cast("string"), 3, "0"))).withColumn("is_latest", F.col("version") == F.count(F.lit(1)).over(Window.partitionBy(key)))
+    numbered = placed(df, [key], [order], "version", "versions")
+    label = F.concat(F.col(key), F.lit("--v"), F.lpad(F.col("version").cast("string"), 3, "0"))
+    return numbered.withColumns({"version_id": label, "is_latest": F.col("version") == F.col("versions")}).drop("versions")
 
 
 def latest(df: DataFrame, key: str, order: str, value: str) -> DataFrame:

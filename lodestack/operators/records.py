@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestack.functions import strings as S
+from lodestack.operators.ranking import placed
 
 
 def _lower_list(x: Column) -> Column:
@@ -28,11 +29,14 @@ def _claims(rows: DataFrame, record_id: Column, kind: str, subject: Column, labe
 def claims_of_records(records: DataFrame) -> DataFrame:
     """One claim for each value, alarm and warning, and one for each step and warning of a procedure. Other records make none.
 
+    Values and alarms apply where their document does; warnings and procedures where they say themselves, if they do.
+
     records: doc_id, record_id, record_type, title, applicability, document (structs of a scope), and the fields of
     the types: parameter, value, unit, conditions; code, description, cause, remedy, severity; context, source_heading,
     text; steps (step_number, instruction) and warnings (severity, text, context, applicability).
     """
     c = F.col
+    of_document = scope(c("document"), c("document"))
     plain = scope(c("applicability"), c("document"))
     number = lambda x: F.lpad(x.cast("string"), 3, "0")
     some = lambda x: x.isNotNull() & (x != "")
@@ -41,10 +45,10 @@ def claims_of_records(records: DataFrame) -> DataFrame:
     unit = F.when(some(c("unit")), F.concat(F.lit(" "), c("unit"))).otherwise("")
     conditions = F.when(some(c("conditions")), F.concat(F.lit(" ("), c("conditions"), F.lit(")"))).otherwise("")
     parts = F.filter(F.array(*[S.fold(F.coalesce(c(x), F.lit(""))) for x in ("value", "unit", "conditions")]), lambda x: x != "")
-    values = _claims(of("spec_value"), c("record_id"), "spec_value", S.slug(c("parameter")), c("parameter"), F.concat(c("parameter"), F.lit(": "), c("value"), unit, conditions), F.array_join(parts, "|"), plain)
+    values = _claims(of("spec_value"), c("record_id"), "spec_value", S.slug(c("parameter")), c("parameter"), F.concat(c("parameter"), F.lit(": "), c("value"), unit, conditions), F.array_join(parts, "|"), of_document)
 
     alarm_text = F.concat(c("description"), F.lit("; cause "), c("cause"), F.lit("; remedy "), c("remedy"), F.lit("; severity "), c("severity"))
-    alarms = _claims(of("alarm_definition"), c("record_id"), "alarm_definition", S.fold(c("code")), c("code"), alarm_text, F.concat_ws("|", *[S.fold(c(x)) for x in ("description", "cause", "remedy", "severity")]), plain)
+    alarms = _claims(of("alarm_definition"), c("record_id"), "alarm_definition", S.fold(c("code")), c("code"), alarm_text, F.concat_ws("|", *[S.fold(c(x)) for x in ("description", "cause", "remedy", "severity")]), of_document)
 
     def warned(rows: DataFrame, record_id: Column, severity: Column, text: Column, about: Column, where: Column) -> DataFrame:
         return _claims(rows, record_id, "warning", S.slug(about), about, F.concat(severity, F.lit(": "), text), F.concat_ws("|", S.fold(severity), S.fold(text)), where)
@@ -78,8 +82,7 @@ def bucket_records(records: DataFrame, assignments: DataFrame, buckets: Column)
 
 def in_claim_order(claims: DataFrame) -> DataFrame:
     """claims with place, their number in the order by type, subject, document and record, in each bucket."""
-    w = Window.partitionBy("bucket_id").orderBy("claim_type", "subject", "doc_id", "record_id")
-    return claims.withColumn("place", F.row_number().over(w).cast("long"))
+    return placed(claims, ["bucket_id"], ["claim_type", "subject", "doc_id", "record_id"])
 
 
 def first_of_pairs(pairs: DataFrame) -> DataFrame:
@@ -92,8 +95,7 @@ def note_entries(candidates: DataFrame, claims: DataFrame) -> DataFrame:
     """candidates (bucket_id, a_id, b_id) with both claims' subjects and texts, in the order of notes; those that lack a claim go."""
     side = lambda p: claims.select("bucket_id", F.col("record_id").alias(f"{p}_id"), F.col("subject_label").alias(f"{p}_subject"), F.col("claim_text").alias(f"{p}_text"))
     met = candidates.join(side("a"), ["bucket_id", "a_id"]).join(side("b"), ["bucket_id", "b_id"])
-    w = Window.partitionBy("bucket_id").orderBy(S.fold(F.col("a_subject")), "a_id", "b_id")
-    return met.withColumn("place", F.row_number().over(w).cast("long"))
+    return placed(met, ["bucket_id"], [S.fold(F.col("a_subject")), "a_id", "b_id"])
 
 
 def section_of_record(record_id: Column) -> Column:

@@ -20,9 +20,9 @@ claims AS (SELECT concat_ws('-', 'c' || l_orderkey, l_linenumber, l_suppkey, l_p
     l_suppkey AS s, nullif(lower(trim(CASE l_orderkey % 8 WHEN 0 THEN ' Rev A ' WHEN 1 THEN 'rev a' WHEN 2 THEN '  ' WHEN 3 THEN 'B' END)), '') AS scope, sources.* FROM lineitem JOIN sources ON l_suppkey = s_suppkey),
 pairs AS (SELECT a.claim_id AS a_id, b.claim_id AS b_id, a.part, a.level AS al, b.level AS bl, lower(a.document_type) = lower(b.document_type) AS same_type, a.tier AS ta, b.tier AS tb, a.number AS an, b.number AS bn, a.date AS ad, b.date AS bd,
     a.value AS av, b.value AS bv FROM claims a JOIN claims b ON a.part = b.part AND a.claim_id < b.claim_id AND a.value <> b.value AND (a.s % 4 = 0 OR b.s % 4 = 0 OR a.s % 2 = b.s % 2) AND (a.scope IS NULL OR b.scope IS NULL OR a.scope = b.scope))"""
-_A_WINS = """CASE WHEN al < bl THEN true WHEN al > bl THEN false WHEN same_type AND ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn) THEN ta > tb OR (ta = tb AND an > bn)
+A_WINS = """CASE WHEN al < bl THEN true WHEN al > bl THEN false WHEN same_type AND ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn) THEN ta > tb OR (ta = tb AND an > bn)
   WHEN same_type AND ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd THEN ad > bd ELSE true END"""
-_HOW = """CASE WHEN al <> bl THEN 'high' WHEN same_type AND ((ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn)) OR (ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd)) THEN 'medium' ELSE 'low' END"""
+HOW = """CASE WHEN al <> bl THEN 'high' WHEN same_type AND ((ta IS NOT NULL AND tb IS NOT NULL AND (ta <> tb OR an <> bn)) OR (ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd)) THEN 'medium' ELSE 'low' END"""
 
 
 def spec_claims(spark, sf_dir):
@@ -67,7 +67,7 @@ def contradictions_spec(spark, sf_dir):
     return _contradictions(spec_claims(spark, sf_dir))
 
 
-@query(f"""WITH {_SUPPLIERS} SELECT part::VARCHAR AS subject, CASE WHEN {_A_WINS} THEN a_id ELSE b_id END AS superseding, CASE WHEN {_A_WINS} THEN b_id ELSE a_id END AS superseded, {_HOW} AS confidence FROM pairs""")
+@query(f"""WITH {_SUPPLIERS} SELECT part::VARCHAR AS subject, CASE WHEN {A_WINS} THEN a_id ELSE b_id END AS superseding, CASE WHEN {A_WINS} THEN b_id ELSE a_id END AS superseded, {HOW} AS confidence FROM pairs""")
 def supersession(spark, sf_dir):
     return O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))).select("subject", "superseding", "superseded", "confidence")
 
@@ -85,7 +85,7 @@ def _merged_reviews(pairs):
     return O.merge_reviews(entries, saved).select("candidate_key", "unresolved", "review_status")
 
 
-@query(f"""WITH {_SUPPLIERS} SELECT a_id || '||' || b_id AS candidate_key, {_HOW} = 'low' OR al = bl AS unresolved, CASE (an + bn + part) % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' ELSE 'unreviewed' END AS review_status FROM pairs""")
+@query(f"""WITH {_SUPPLIERS} SELECT a_id || '||' || b_id AS candidate_key, {HOW} = 'low' OR al = bl AS unresolved, CASE (an + bn + part) % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' ELSE 'unreviewed' END AS review_status FROM pairs""")
 def review_merge(spark, sf_dir):
     """All pairs; those with a side without a revision number have no saved decision."""
     return _merged_reviews(O.supersession(O.comparable_pairs(spec_claims(spark, sf_dir))))
@@ -102,8 +102,9 @@ def contradictions_text(spark, sf_dir):
     i = F.col("item_id")
     body = F.concat(F.when(i % 3 == 0, "Never ").otherwise(""), F.col("text"), F.when(i % 2 == 0, " valve pump seal check open close turn").otherwise(" valve pump"))
     texts = table(spark, sf_dir, "benchmark").select("item_id", (i % 10).alias("subject"), body.alias("body"))
-    a, b = (texts.select("subject", F.col("item_id").alias(f"{p}_id"), F.col("body").alias(f"{p}_body")) for p in "ab")
-    return a.join(b, "subject").where("a_id < b_id").select("a_id", "b_id", O.text_contradicts(F.col("a_body"), F.col("b_body")).alias("contradicts"))
+    marked = O.with_text_marks(texts, "body")
+    a, b = (marked.select("subject", *[F.col(c).alias(f"{p}_{c}") for c in ("item_id", "tokens", "folded", "negates")]) for p in "ab")
+    return a.join(b, "subject").where("a_item_id < b_item_id").select(F.col("a_item_id").alias("a_id"), F.col("b_item_id").alias("b_id"), O.marks_contradict().alias("contradicts"))
 
 
 @query(f"""WITH procedures AS (SELECT conv_id, 'r' || conv_id AS record_id, 'Replace the Seal ' || conv_id AS title FROM conversations GROUP BY conv_id),

@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 
 from lodestack.functions import duck
 from lodestack.functions import strings as S
-from lodestack.operators import extraction
+from lodestack.functions import vocabulary as V
+from lodestack.operators import claims, extraction, intake
 from lodestack.operators import records as O
 from lodestack.operators import structure
+from lodestack.plans.claims import A_WINS, HOW
+from lodestack.plans.intake import PRECEDENCE, REVISION_NUMBER, REVISION_TIER
 from lodestack.plans.registry import query
-from lodestack.plans.views import table
+from lodestack.plans.views import REVISIONS, pick, table
 
 _KINDS = ("spec_value", "alarm_definition", "warning", "procedure")
-_RECORDS = """records AS (SELECT doc_id, ['spec_value', 'alarm_definition', 'warning', 'procedure'][doc_id % 4 + 1] AS record_type, coalesce(source, 'x') AS source, coalesce(lang, 'x') AS lang, coalesce(text, '') AS body, n_chars, doc_id % 6 = 0 AS scoped,
+_RECORDS = """records AS (SELECT doc_id, ['spec_value', 'alarm_definition', 'warning', 'procedure'][doc_id % 4 + 1] AS record_type, coalesce(source, 'x') AS source, coalesce(lang, 'x') AS lang, coalesce(text, '') AS body, n_chars, doc_id % 5 = 0 AS scoped,
   'd' || doc_id || '--part-' || (doc_id % 3) || '--' || ['spec_value', 'alarm_definition', 'warning', 'procedure'][doc_id % 4 + 1] || '--001' AS record_id FROM documents)"""
 
 
@@ -22,14 +25,16 @@ def records(spark, sf_dir):
     d, c = F.col("doc_id"), F.col
     kind = F.element_at(F.array(*map(F.lit, _KINDS)), (d % 4 + 1).cast("int"))
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    models = F.when(d % 7 == 2, F.array().cast("array<string>")).otherwise(F.array_distinct(F.array(text("M", d % 5), text("M", d % 3))))
+    revision = F.when(d % 6 == 1, " ").when(d % 6 == 2, "Rev A").when(d % 6 == 3, " rev a").when(d % 6 == 4, "B")
     base = table(spark, sf_dir, "documents").select(d, F.coalesce("source", F.lit("x")).alias("source"), F.coalesce("lang", F.lit("x")).alias("lang"), F.coalesce("text", F.lit("")).alias("body"), "n_chars", kind.alias("record_type"))
     place = lambda manufacturer, family, models, revision: F.struct(manufacturer.alias("manufacturer"), family.alias("family"), models.alias("models"), revision.cast("string").alias("revision"))
     own = place(F.lit("ACME"), F.lit("Größe Pro"), F.array(F.lit("M1"), F.lit("m2")), F.lit("Rev A"))
     steps = F.array(F.struct(F.lit(1).alias("step_number"), text("Open ", c("source")).alias("instruction")), F.struct(F.lit(12).alias("step_number"), F.lit("Close Valve").alias("instruction")))
     warning = F.struct(F.lit("Danger").alias("severity"), F.lit("Hot Surface").alias("text"), F.when(d % 8 == 3, "Pump Größe").alias("context"), F.when(d % 8 == 7, own).alias("applicability"))
     return base.select(
-        "doc_id", "record_type", text("d", d, "--part-", d % 3, "--", c("record_type"), "--001").alias("record_id"), F.when(d % 6 == 0, own).alias("applicability"),
-        place(c("source"), F.upper("lang"), F.array(text("M", d % 5)), F.lit(None)).alias("document"), text("Replace Seal ", d % 30).alias("title"),
+        "doc_id", "record_type", text("d", d, "--part-", d % 3, "--", c("record_type"), "--001").alias("record_id"), F.when(d % 5 == 0, own).alias("applicability"),
+        place(c("source"), F.upper("lang"), models, revision).alias("document"), text("Replace Seal ", d % 30).alias("title"),
         text("Größe ", d % 50).alias("parameter"), c("n_chars").cast("string").alias("value"), F.when(d % 3 == 0, "mm").when(d % 3 == 1, "").alias("unit"), F.when(d % 5 == 0, "at 20 °C").alias("conditions"),
         text("E", d % 40).alias("code"), text(c("source"), " Fault").alias("description"), F.lit("Loose Wire").alias("cause"), text("Tighten ", c("lang")).alias("remedy"), F.when(d % 8 < 4, "High").otherwise("Low").alias("severity"),
         F.when(d % 3 == 0, "Start Up").when(d % 3 == 1, "").alias("context"), text("Heading ", d % 9).alias("source_heading"), c("body").alias("text"), steps.alias("steps"), F.array(warning).alias("warnings"),
@@ -44,24 +49,25 @@ _INNER = "CASE WHEN doc_id % 8 = 3 THEN 'Pump Größe' ELSE 'Replace Seal ' || (
 _CLAIMS = f"""{_RECORDS}, claims AS (
   SELECT doc_id, record_id, 'spec_value' AS claim_type, {duck.slug("'Größe ' || (doc_id % 50)")} AS subject, 'Größe ' || (doc_id % 50) AS subject_label,
     'Größe ' || (doc_id % 50) || ': ' || n_chars || CASE WHEN doc_id % 3 = 0 THEN ' mm' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN ' (at 20 °C)' ELSE '' END AS claim_text,
-    n_chars || CASE WHEN doc_id % 3 = 0 THEN '|mm' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN '|at 20 °c' ELSE '' END AS signature, scoped FROM records WHERE record_type = 'spec_value'
+    n_chars || CASE WHEN doc_id % 3 = 0 THEN '|mm' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN '|at 20 °c' ELSE '' END AS signature, false AS scoped FROM records WHERE record_type = 'spec_value'
   UNION ALL SELECT doc_id, record_id, 'alarm_definition', 'e' || (doc_id % 40), 'E' || (doc_id % 40), source || ' Fault; cause Loose Wire; remedy Tighten ' || lang || '; severity ' || {_SEVERITY},
-    {duck.fold('source')} || ' fault|loose wire|tighten ' || {duck.fold('lang')} || '|' || lower({_SEVERITY}), scoped FROM records WHERE record_type = 'alarm_definition'
+    {duck.fold('source')} || ' fault|loose wire|tighten ' || {duck.fold('lang')} || '|' || lower({_SEVERITY}), false FROM records WHERE record_type = 'alarm_definition'
   UNION ALL SELECT doc_id, record_id, 'warning', {duck.slug(_ABOUT)}, {_ABOUT}, {_SEVERITY} || ': ' || body, lower({_SEVERITY}) || '|' || {duck.fold('body')}, scoped FROM records WHERE record_type = 'warning'
   UNION ALL SELECT doc_id, record_id || '::step-' || n, 'procedure_step', 'replace-seal-' || (doc_id % 30) || '::step-' || n, 'Replace Seal ' || (doc_id % 30) || ' step ' || n::INTEGER, said, {duck.fold('said')}, scoped
     FROM (SELECT *, unnest(['001', '012']) AS n, unnest(['Open ' || source, 'Close Valve']) AS said FROM records WHERE record_type = 'procedure')
   UNION ALL SELECT doc_id, record_id || '::warning-001', 'warning', {duck.slug(_INNER)}, {_INNER}, 'Danger: Hot Surface', 'danger|hot surface', scoped OR doc_id % 8 = 7 FROM records WHERE record_type = 'procedure'),
-scopes AS (SELECT r.doc_id, {duck.fold('source')} AS manufacturer, {duck.fold('upper(lang)')} AS family, 'm' || (doc_id % 5) AS model FROM records r),
-placed_claims AS (SELECT c.*, CASE WHEN scoped THEN 'acme' ELSE manufacturer END AS manufacturer, CASE WHEN scoped THEN 'grösse pro' ELSE family END AS family, CASE WHEN scoped THEN 'm1,m2' ELSE model END AS models, CASE WHEN scoped THEN 'Rev A' END AS revision FROM claims c JOIN scopes USING (doc_id))"""
+scopes AS (SELECT r.doc_id, {duck.fold('source')} AS manufacturer, {duck.fold('upper(lang)')} AS family, CASE WHEN doc_id % 7 = 2 THEN [] WHEN doc_id % 5 = doc_id % 3 THEN ['m' || (doc_id % 5)] ELSE ['m' || (doc_id % 5), 'm' || (doc_id % 3)] END AS models,
+  [NULL, ' ', 'Rev A', ' rev a', 'B', NULL][doc_id % 6 + 1] AS revision FROM records r),
+placed_claims AS (SELECT c.*, CASE WHEN scoped THEN 'acme' ELSE manufacturer END AS manufacturer, CASE WHEN scoped THEN 'grösse pro' ELSE family END AS family, CASE WHEN scoped THEN ['m1', 'm2'] ELSE models END AS models, CASE WHEN scoped THEN 'Rev A' ELSE revision END AS revision FROM claims c JOIN scopes USING (doc_id))"""
 _FOLDED_SCOPE = duck.fold("'Größe Pro'")
 _CLAIMS = _CLAIMS.replace("'grösse pro'", _FOLDED_SCOPE)
 
 
-@query(f"WITH {_CLAIMS} SELECT doc_id, record_id, claim_type, subject, subject_label, sha256(claim_text) AS text_hash, sha256(signature) AS signature_hash, manufacturer, family, models, revision FROM placed_claims")
+@query(f"WITH {_CLAIMS} SELECT doc_id, record_id, claim_type, subject, subject_label, sha256(claim_text) AS text_hash, sha256(signature) AS signature_hash, manufacturer, family, coalesce(array_to_string(models, ','), '') AS models, revision FROM placed_claims")
 def claims_from_records(spark, sf_dir):
-    claims = O.claims_of_records(records(spark, sf_dir))
+    found = O.claims_of_records(records(spark, sf_dir))
     hashes = [F.sha2("claim_text", 256).alias("text_hash"), F.sha2("signature", 256).alias("signature_hash")]
-    return claims.select("doc_id", "record_id", "claim_type", "subject", "subject_label", *hashes, "scope.manufacturer", "scope.family", F.array_join("scope.models", ",").alias("models"), "scope.revision")
+    return found.select("doc_id", "record_id", "claim_type", "subject", "subject_label", *hashes, "scope.manufacturer", "scope.family", F.array_join("scope.models", ",").alias("models"), "scope.revision")
 
 
 _BUCKETED = """assigned AS (SELECT doc_id, 'b' || (doc_id % 20) AS bucket_id FROM documents UNION SELECT doc_id, 'b' || (doc_id % 9) FROM documents),
@@ -91,27 +97,71 @@ def bucket_claims(spark, sf_dir):
     return O.in_claim_order(_bucket_claims(spark, sf_dir)).select("bucket_id", "record_id", "place")
 
 
-_PAIRS = f"""{_CLAIMS}, {_BUCKETED}, bucket_claims AS (SELECT bucket_id, c.* FROM placed_claims c JOIN in_bucket USING (doc_id)),
-bucket_pairs AS (SELECT a.bucket_id, a.record_id AS a_id, b.record_id AS b_id, a.subject_label AS label FROM bucket_claims a JOIN bucket_claims b ON a.bucket_id = b.bucket_id AND a.claim_type = b.claim_type AND a.subject = b.subject AND a.manufacturer = b.manufacturer AND a.family = b.family
-  AND a.models = b.models AND a.record_id < b.record_id AND a.signature <> b.signature)"""
+_NEGATES = "list_has_any({0}.t, ['no', 'not', 'never', 'without', 'avoid'])"
+_PAIRS = f"""{_CLAIMS}, {_BUCKETED}, bucket_claims AS (SELECT bucket_id, c.*, nullif(lower(trim(revision)), '') AS edition, {duck.tokens('claim_text')} AS t FROM placed_claims c JOIN in_bucket USING (doc_id)),
+met AS (SELECT a.bucket_id, a.claim_type, a.doc_id AS a_doc, b.doc_id AS b_doc, a.record_id AS a_id, b.record_id AS b_id, a.subject_label AS label, len(a.t) = 0 OR len(b.t) = 0 AS bare, {duck.fold('a.claim_text')} <> {duck.fold('b.claim_text')} AS differ,
+    {_NEGATES.format('a')} <> {_NEGATES.format('b')} AS flipped, len(list_intersect(a.t, b.t))::DOUBLE / greatest(len(list_distinct(list_concat(a.t, b.t))), 1) AS share
+  FROM bucket_claims a JOIN bucket_claims b ON a.bucket_id = b.bucket_id AND a.claim_type = b.claim_type AND a.subject = b.subject AND a.manufacturer = b.manufacturer AND a.family = b.family AND a.record_id < b.record_id AND a.signature <> b.signature
+    AND (len(a.models) = 0 OR len(b.models) = 0 OR list_has_any(a.models, b.models)) AND (a.edition IS NULL OR b.edition IS NULL OR a.edition = b.edition)),
+bucket_pairs AS (SELECT * FROM met WHERE claim_type IN ('spec_value', 'alarm_definition') OR CASE WHEN bare THEN differ ELSE flipped OR share >= 0.35 END)"""
 
 
-def _bucket_pairs(spark, sf_dir):
-    """Pairs of claims of a bucket on one subject and scope that differ, seen from both sides."""
-    keys = ["bucket_id", "claim_type", "subject", "manufacturer", "family", "models"]
-    own = _bucket_claims(spark, sf_dir).select("bucket_id", "claim_type", "subject", "scope.manufacturer", "scope.family", F.array_join("scope.models", ",").alias("models"), "record_id", "signature")
-    a, b = (own.select(*keys, F.col("record_id").alias(f"{p}_id"), F.col("signature").alias(f"{p}_signature")) for p in "ab")
-    return O.first_of_pairs(a.join(b, keys).where("a_id <> b_id AND a_signature <> b_signature"))
+def _classes(spark, sf_dir):
+    """Classes of a bucket's claims that say the same, and the claims."""
+    own = _bucket_claims(spark, sf_dir).select("bucket_id", "doc_id", F.col("record_id").alias("claim_id"), "claim_type", "subject", "subject_label", "scope.manufacturer", "scope.family", "scope.models", F.col("scope.revision").alias("scope_revision"), "signature", "claim_text")
+    return claims.claim_classes(own, ("bucket_id",))
+
+
+def _bucket_pairs(spark, sf_dir, carry=()):
+    classes, members = _classes(spark, sf_dir)
+    return claims.expanded(claims.class_pairs(classes, ("bucket_id",)), members, carry)
+
+
+def _pair_ids(spark, sf_dir):
+    return _bucket_pairs(spark, sf_dir).select("bucket_id", F.col("a_claim_id").alias("a_id"), F.col("b_claim_id").alias("b_id"))
 
 
 @query(f"WITH {_PAIRS} SELECT bucket_id, a_id, b_id FROM bucket_pairs")
 def bucket_contradictions(spark, sf_dir):
-    return _bucket_pairs(spark, sf_dir)
+    return _pair_ids(spark, sf_dir)
+
+
+@query(f"""WITH {_PAIRS}, classed AS (SELECT *, min(record_id) OVER (PARTITION BY bucket_id, claim_type, subject, manufacturer, family, list_sort(models), edition, signature, {duck.fold('claim_text')}) AS head FROM bucket_claims)
+  SELECT bucket_id, head AS class, count(*) AS claims, (SELECT count(*) FROM bucket_pairs p WHERE p.bucket_id = c.bucket_id AND p.a_id = c.head OR p.bucket_id = c.bucket_id AND p.b_id = c.head) AS opposed FROM classed c GROUP BY bucket_id, head""")
+def claim_classes(spark, sf_dir):
+    """Each class of claims by its first claim, how many say the same, and how many claims contradict each of them."""
+    classes, members = _classes(spark, sf_dir)
+    pairs = claims.class_pairs(classes, ("bucket_id",))
+    sizes = classes.select(F.col("class_id").alias("other"), F.col("claims").alias("n"))
+    both = pairs.select(F.col("a_class").alias("class_id"), F.col("b_class").alias("other")).unionByName(pairs.select(F.col("b_class").alias("class_id"), F.col("a_class").alias("other")))
+    opposed = both.join(sizes, "other").groupBy("class_id").agg(F.sum("n").alias("opposed"))
+    heads = members.groupBy("bucket_id", "class_id").agg(F.min("claim_id").alias("class"), F.count(F.lit(1)).alias("claims"))
+    return heads.join(opposed, "class_id", "left").select("bucket_id", "class", "claims", F.coalesce("opposed", F.lit(0)).alias("opposed"))
+
+
+_AUTHORITY = f"""papers AS (SELECT doc_id, {duck.pick(V.DOCUMENT_TYPES, 'doc_id * 7')} AS document_type, {duck.pick(V.DOCUMENT_CLASSES, 'doc_id // 3')} AS document_class, {duck.pick(REVISIONS, 'doc_id')} AS revision, CASE WHEN doc_id % 11 <> 0 THEN DATE '2020-01-01' + (doc_id % 700)::INTEGER END AS date FROM documents),
+ranked_papers AS (SELECT *, {PRECEDENCE} AS level, {REVISION_TIER} AS tier, {REVISION_NUMBER} AS number FROM papers),
+weighed AS (SELECT bucket_id, a_id, b_id, a.level AS al, b.level AS bl, lower(a.document_type) = lower(b.document_type) AS same_type, a.tier AS ta, b.tier AS tb, a.number AS an, b.number AS bn, a.date AS ad, b.date AS bd FROM bucket_pairs JOIN ranked_papers a ON a.doc_id = a_doc JOIN ranked_papers b ON b.doc_id = b_doc),
+decided AS (SELECT bucket_id, CASE WHEN {A_WINS} THEN a_id ELSE b_id END AS superseding, CASE WHEN {A_WINS} THEN b_id ELSE a_id END AS superseded, {HOW} AS confidence FROM weighed)"""
+
+
+@query(f"WITH {_PAIRS}, {_AUTHORITY} SELECT bucket_id, superseding, superseded, confidence, row_number() OVER (PARTITION BY bucket_id ORDER BY superseding, superseded) AS place FROM decided")
+def contradiction_order(spark, sf_dir):
+    """A bucket's contradictions with the claim of more authority first, in the order in which they are reported."""
+    d = F.col("doc_id")
+    papers = table(spark, sf_dir, "documents").select(
+        d, pick(V.DOCUMENT_TYPES, d * 7).alias("document_type"), pick(V.DOCUMENT_CLASSES, F.floor(d / 3)).alias("document_class"), pick(REVISIONS, d).alias("revision"),
+        F.when(d % 11 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (d % 700).cast("int"))).alias("date"),
+    )
+    weighed = claims.authority(papers.withColumn("level", intake.precedence(F.col("document_type"), F.col("document_class"), F.col("revision"))))
+    side = lambda p: weighed.select(*[F.col(c).alias(f"{p}_{c}") for c in ("doc_id", "level", "kind", "edition", "date")])
+    pairs = _bucket_pairs(spark, sf_dir, ("doc_id",)).join(side("a"), "a_doc_id").join(side("b"), "b_doc_id")
+    return claims.in_pair_order(claims.supersession(pairs), "bucket_id").select("bucket_id", "superseding", "superseded", "confidence", "place")
 
 
 @query(f"WITH {_PAIRS} SELECT bucket_id, a_id, b_id, row_number() OVER (PARTITION BY bucket_id ORDER BY {duck.fold('label')}, a_id, b_id) AS place FROM bucket_pairs")
 def note_entries(spark, sf_dir):
-    return O.note_entries(_bucket_pairs(spark, sf_dir), _bucket_claims(spark, sf_dir)).select("bucket_id", "a_id", "b_id", "place")
+    return O.note_entries(_pair_ids(spark, sf_dir), _bucket_claims(spark, sf_dir)).select("bucket_id", "a_id", "b_id", "place")
 
 
 def _record_ids(spark, sf_dir):
