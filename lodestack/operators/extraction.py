@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from lodestack.functions import strings as S
 from lodestack.functions import vocabulary as V
+from lodestack.operators.batching import chunks  # noqa: F401 - one of these operators
 
 # Dollars for a million tokens, in and out.
 PRICES = {"gpt-4o": (2.50, 10.00), "gpt-4o-mini": (0.15, 0.60), "gpt-4.1": (2.00, 8.00), "gpt-4.1-mini": (0.40, 1.60)}
@@ -68,26 +69,6 @@ def route(items: DataFrame, rules: list[dict], default: str) -> DataFrame:
     return items.withColumn("model", out.otherwise(F.lit(default)))
 
 
-def chunks(items: DataFrame, group: str, order: str, most: int, budget: int) -> DataFrame:
-    """items with ``chunk``: each takes the next ones of its group while their model is the same and their number and tokens fit; one always fits.
-
-    Packing is sequential, so it runs in Python, one group (a run) at a time.
-    """
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, ignore_index=True)
-        chunk, held, tokens, now, out = -1, most, 0, None, []
-        for own, model in zip(pdf["tokens"], pdf["model"], strict=True):
-            if held >= most or tokens + own > budget or model != now:
-                chunk, held, tokens, now = chunk + 1, 0, 0, model
-            held, tokens = held + 1, tokens + own
-            out.append(chunk)
-        return pdf.assign(chunk=out)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields) + ", chunk long"
-    return items.groupBy(group).applyInPandas(pack, schema)
-
-
 def schedule(items: DataFrame, group: str, order: str, requests: int, budget: int, seconds: float = 60.0, attempts: int = 1000) -> DataFrame:
     """items with ``starts_at`` (seconds): dispatched in order under rolling limits on requests and tokens. Items over the budget never start."""
 
