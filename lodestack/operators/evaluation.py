@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestack.operators import json_tree
 from lodestack.operators.ranking import placed
+from lodestack.session import discard, materialize
 
 
 def confidence_distribution(df: DataFrame, key: str, score: str) -> DataFrame:
@@ -38,26 +41,46 @@ def zip_sorted(expected: DataFrame, actual: DataFrame, key: str, order: str) ->
     return number(expected, "expected").join(number(actual, "actual"), [key, "place"], "left")
 
 
-def match_tables(df: DataFrame) -> DataFrame:
-    """Greedy one-to-one matches per fixture: each expected table takes the first unused actual one of its size that has its cells.
+def table_fits(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """kind, turn, fits: the actual tables that a kind of expected ones would take, numbered in order.
 
-    df: fixture, role (expected or actual), ordinal, rows, columns, cells. The choice depends on order, so it runs in Python, one fixture at a time.
+    expected: kind, fixture, rows, columns, cells (what is needed), one row for each kind. An actual table is found by
+    its cells, through a list of the tables by cell, and fits if it has as many of those needed as there are.
     """
+    place = ["fixture", "rows", "columns"]
+    needed = expected.select("kind", *place, F.size("cells").alias("n"), F.explode("cells").alias("cell"))
+    listed = actual.select(*place, F.col("ordinal").alias("fits"), F.explode(F.array_distinct("cells")).alias("cell"))
+    found = needed.join(listed, [*place, "cell"]).groupBy("kind", "fits").agg(F.count(F.lit(1)).alias("had"), F.first("n").alias("n")).where("had = n").select("kind", "fits")
+    anything = expected.where(F.size("cells") == 0).join(actual.select(*place, F.col("ordinal").alias("fits")), place).select("kind", "fits")
+    return placed(found.unionByName(anything), ["kind"], ["fits"], "turn")
 
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ordinal")
-        actual = pdf[pdf.role == "actual"].to_dict("records")
-        used: set[int] = set()
-        hits = 0
-        for want in pdf[pdf.role == "expected"].to_dict("records"):
-            for k, have in enumerate(actual):
-                if k not in used and (have["rows"], have["columns"]) == (want["rows"], want["columns"]) and set(want["cells"]) <= set(have["cells"]):
-                    used.add(k)
-                    hits += 1
-                    break
-        return pd.DataFrame({"fixture": [pdf.fixture.iloc[0]], "expected": [int((pdf.role == "expected").sum())], "matched": [hits]})
 
-    return df.groupBy("fixture").applyInPandas(match, "fixture long, expected long, matched long")
+def match_tables(df: DataFrame) -> DataFrame:
+    """Greedy one-to-one matches per fixture: each expected table takes the first unused actual one of its size that has its cells.
+
+    df: fixture, role (expected or actual), ordinal (unique for a role of a fixture), rows, columns, cells. The greedy
+    choice is the one match in which nobody could take an earlier table from a later expected one, and rounds of bids
+    lead to it as well: everyone bids for the first table that has not turned it down; the earliest bidder holds it, until an
+    earlier one comes. Expected tables of one size and need have the same list, so the n-th of them begins at its n-th table.
+    """
+    expected = df.where("role = 'expected'").withColumn("cells", F.array_sort(F.array_distinct("cells")))
+    kinds = expected.withColumn("kind", F.sha2(F.to_json(F.struct("fixture", "rows", "columns", "cells")), 256))
+    fits = table_fits(kinds.select("kind", "fixture", "rows", "columns", "cells").dropDuplicates(["kind"]), df.where("role = 'actual'"))
+    fits = materialize(fits, "table-fits")
+    bids = placed(kinds.select("fixture", "kind", "ordinal"), ["kind"], ["ordinal"], "turn")
+    now = None
+    while True:
+        met = bids.join(fits, ["kind", "turn"], "left")
+        holders = met.where("fits IS NOT NULL").groupBy("fixture", "fits").agg(F.min("ordinal").alias("holder"))
+        before, now = now, materialize(met.join(holders, ["fixture", "fits"], "left").withColumn("lost", F.col("fits").isNotNull() & (F.col("holder") < F.col("ordinal"))), "table-bids")
+        if before is not None:
+            discard(before)
+        if not now.where("lost").limit(1).collect():
+            break
+        bids = now.select("fixture", "kind", "ordinal", (F.col("turn") + F.col("lost").cast("long")).alias("turn"))
+    matched = now.groupBy("fixture").agg(F.count("fits").alias("matched"), F.count(F.lit(1)).alias("expected"))
+    fixtures = df.select("fixture").distinct()
+    return fixtures.join(matched, "fixture", "left").select("fixture", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("matched", F.lit(0)).alias("matched"))
 
 
 def leaves(value: object) -> int:
@@ -80,16 +103,8 @@ def agreeing_leaves(expected: object, actual: object) -> int:
 
 
 def json_agreement(df: DataFrame, expected: str, actual: str) -> DataFrame:
-    """df with the leaves of the expected JSON and how many of them the actual JSON has."""
-    import json
-
-    def score(batches):
-        for batch in batches:
-            pairs = [(json.loads(a), json.loads(b)) for a, b in zip(batch[expected], batch[actual], strict=True)]
-            yield batch.assign(expected_leaves=[leaves(a) for a, _ in pairs], matched_leaves=[agreeing_leaves(a, b) for a, b in pairs])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", expected_leaves long, matched_leaves long"
-    return df.mapInPandas(score, schema)
+    """df with the leaves of the expected JSON and how many of them the actual JSON has, by levels of VARIANTs."""
+    return json_tree.agreement(df, expected, actual)
 
 
 def structure_fidelity(expected_count: Column, actual_count: Column, expected_types: Column, actual_types: Column) -> Column:
@@ -124,9 +139,22 @@ def field_accuracy(expected: DataFrame, actual: DataFrame, skipped: tuple[str, .
     """fixture, record_type, total, matched and score: leaves of expected records that the actual ones have.
 
     Records (fixture, record_type, payload as JSON) are zipped in the order of their JSON without the skipped keys
-    and with white space collapsed. One fixture's records of a type are a group in Python: that is a fixture's size.
+    and with white space collapsed: by places, so that a fixture with very many records is in no one task.
     """
-    import json
+    plain = F.pandas_udf(lambda payloads: payloads.map(lambda x: plain_json(x, skipped)), "string")
+    key = ["fixture", "record_type"]
+    side = lambda df, name: placed(df.select(*key, plain("payload").alias(name)), key, [name])
+    pairs = side(expected, "wanted").join(side(actual, "found"), [*key, "place"], "full")
+    scored = json_tree.agreement(pairs.where("wanted IS NOT NULL").withColumn("had", F.coalesce("found", F.lit("null"))), "wanted", "had")
+    sums = scored.groupBy(*key).agg(F.sum("expected_leaves").alias("total"), F.sum(F.when(F.col("found").isNotNull(), F.col("matched_leaves")).otherwise(0)).alias("matched"))
+    groups = expected.select(*key).unionByName(actual.select(*key)).distinct()
+    total, matched = F.coalesce("total", F.lit(0)), F.coalesce("matched", F.lit(0))
+    score = F.when(F.col("total").isNull(), 0.0).when(total == 0, 100.0).otherwise(F.round(matched / F.greatest(total, F.lit(1)) * 100, 2))
+    return groups.join(sums, key, "left").select(*key, total.alias("total"), matched.alias("matched"), score.alias("score"))
+
+
+def plain_json(payload: str | None, skipped: tuple[str, ...]) -> str | None:
+    """JSON in one form: keys in order and without the skipped ones, white space in texts as single spaces; null where it is none."""
 
     def plain(value: object) -> object:
         if isinstance(value, dict):
@@ -135,15 +163,7 @@ def field_accuracy(expected: DataFrame, actual: DataFrame, skipped: tuple[str, .
             return [plain(x) for x in value]
         return " ".join(value.split()) if isinstance(value, str) else value
 
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        sides = {role: sorted((plain(json.loads(x)) for x in own["payload"]), key=lambda v: json.dumps(v, sort_keys=True)) for role, own in pdf.groupby("role")}
-        want, have = sides.get("expected", []), sides.get("actual", [])
-        total = sum(map(leaves, want))
-        matched = sum(agreeing_leaves(a, b) for a, b in zip(want, have, strict=False))
-        share = round(matched / total * 100, 2) if total else 100.0
-        if not want:
-            share = 0.0 if have else 100.0
-        return pd.DataFrame({"fixture": pdf["fixture"].iloc[:1], "record_type": pdf["record_type"].iloc[:1], "total": [total], "matched": [matched], "score": [share]})
-
-    both = expected.withColumn("role", F.lit("expected")).unionByName(actual.withColumn("role", F.lit("actual")))
-    return both.groupBy("fixture", "record_type").applyInPandas(score, "fixture long, record_type string, total long, matched long, score double")
+    try:
+        return json.dumps(plain(json.loads(payload)), sort_keys=True)
+    except (TypeError, ValueError):
+        return None

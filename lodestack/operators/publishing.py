@@ -34,7 +34,11 @@ def page_label(first: Column, last: Column) -> Column:
 
 
 def table_markdown(data: Column) -> Column:
-    """Rows of cells as a Markdown table: the first is the head, rows are padded, one blank row if there is no other."""
+    """Rows of cells as a Markdown table: the first is the head, rows are padded, one blank row if there is no other.
+
+    Cells lose white space at their ends; a cell without a value reads None.
+    """
+    data = F.transform(data, lambda row: F.transform(row, lambda cell: F.coalesce(S.strip(cell), F.lit("None"))))
     width = F.array_max(F.transform(data, F.size))
     padded = F.transform(data, lambda row: F.concat(row, F.array_repeat(F.lit(""), width - F.size(row))))
     line = lambda row: F.concat(F.lit("| "), F.array_join(row, " | "), F.lit(" |"))

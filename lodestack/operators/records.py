@@ -182,8 +182,9 @@ def utc_stamp(ts: Column) -> Column:
 
 
 def canonical_json(fields: dict[str, Column]) -> Column:
-    """Compact JSON with keys in order; null fields are kept."""
-    return F.to_json(F.struct(*[own.alias(name) for name, own in sorted(fields.items())]), {"ignoreNullFields": "false"})
+    """Compact JSON with keys in order at every depth; null fields are kept."""
+    plain = F.to_json(F.struct(*[own.alias(name) for name, own in sorted(fields.items())]), {"ignoreNullFields": "false"})
+    return F.to_json(F.parse_json(plain))  # the keys of a VARIANT's objects are in order
 
 
 def written_or_updated(written: DataFrame, updated: DataFrame) -> DataFrame:

@@ -28,29 +28,40 @@ CHECKBOX = r"^(?:[-*•]\s+)?\[(?: |x|X)\]\s+(.+)$"
 BULLET = r"^(?:[-*•])\s+(.+)$"
 FIGURE = r"(?i)^((?:figure|fig\.?|diagram|drawing|wiring diagram|schematic|p&id)[A-Za-z0-9.\- ]*)$"
 CALLOUT = r"(?i)^(?:callout\s+)?(?:[A-Z]{1,3}|\d{1,3}|[A-Z]\d{1,2})[).:\-]\s+.+$"
-#: Levels that headings may have.
-LEVELS = 6
 
 
 def label_level(label: Column) -> Column:
-    """A heading's level by its label; null for what is no heading."""
+    """A heading's level by its label, in any case; null for what is no heading."""
+    label = S.fold(label)
     levels = F.create_map(*[F.lit(x) for item in LABEL_LEVELS.items() for x in item])
     return F.when(label.isin(*HEADING_LABELS), F.coalesce(F.try_element_at(levels, label), F.lit(3)))
 
 
-def heading_paths(headings: DataFrame, levels: int = LEVELS) -> DataFrame:
+def labelled_headings(items: DataFrame) -> DataFrame:
+    """The headings of parsed items (doc_id, idx, label, text), by their labels: doc_id, idx, level and title. Blank ones are none."""
+    title = S.strip(F.col("text"))
+    return items.select("doc_id", "idx", label_level(F.col("label")).alias("level"), title.alias("text")).where(F.col("level").isNotNull() & (F.col("text") != ""))
+
+
+def heading_depths(paths: DataFrame) -> DataFrame:
+    """doc_id and depth: how deep the headings of ``heading_paths`` stand in one another."""
+    return paths.groupBy("doc_id").agg(F.max(F.size("path")).cast("long").alias("depth"))
+
+
+def heading_paths(headings: DataFrame, levels: int | None = None) -> DataFrame:
     """headings (doc_id, idx, level, text) with parent_idx and path: the titles of the headings it stands under, and its own.
 
-    A heading stands under the last earlier one of a smaller level, and so on up. At level k that is the last
+    Levels are 1 or more; if it isn't told, the largest is asked for first. A heading stands under the last earlier one of a smaller level, and so on up. At level k that is the last
     one of level k or less, if it is of level k.
     """
+    levels = levels or headings.agg(F.max("level")).first()[0] or 1
     before = Window.partitionBy("doc_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     out, above = headings, []
     for k in range(1, levels):
         last = F.last(F.when(F.col("level") <= k, F.struct("level", "idx", "text")), ignorenulls=True).over(before)
         out = out.withColumn(f"_at{k}", last)
         above.append(F.when((F.col("level") > k) & (F.col(f"_at{k}.level") == k), F.col(f"_at{k}")))
-    kept = F.array_compact(F.array(*above))
+    kept = F.array_compact(F.array(*above)) if above else F.array().cast("array<struct<level:bigint,idx:bigint,text:string>>")
     return out.withColumns({"parent_idx": F.get(kept, F.size(kept) - 1)["idx"], "path": F.concat(F.transform(kept, lambda x: x["text"]), F.array("text"))}).drop(*[f"_at{k}" for k in range(1, levels)])
 
 

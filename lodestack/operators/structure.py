@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodestack.functions import keywords
 from lodestack.functions import strings as S
 from lodestack.functions import vocabulary as V
 
+
 def _by_document(upto: int | None = None):
     w = Window.partitionBy("doc_id").orderBy("idx")
     return w if upto is None else w.rowsBetween(Window.unboundedPreceding, upto)
@@ -29,15 +31,13 @@ def infer_pages(items: DataFrame, page_count: Column) -> DataFrame:
     return items.withColumn("page", F.coalesce(forward, back, place).cast("long"))
 
 
-def _first_type(haystack: Column, keywords: tuple) -> Column:
-    """The first type with a keyword in the haystack, else null. The keywords are one literal, so the plan stays small however many there are."""
-    listed = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(word).alias("word")) for kind, words in keywords for word in words])
-    return F.when(haystack.isNotNull(), F.get(F.filter(listed, lambda k: F.contains(haystack, k["word"])), F.lit(0))["kind"])
+# Fixed value: the number that a title may start with.
+NUMBER = r"^(?:step\s+)?\d+(?:\.\d+)*[).:\-]?\s*"
 
 
 def number_stripped(normal: Column) -> Column:
     """A normalized title without the number that it starts with, once."""
-    return F.trim(F.regexp_replace(normal, r"^(?:step\s+)?\d+(?:\.\d+)*[).:\-]?\s*", ""))
+    return F.trim(F.regexp_replace(normal, NUMBER, ""))
 
 
 # Titles that decide nothing by their section's content.
@@ -56,16 +56,11 @@ PROCEDURAL_STARTS = (
 def classify(df: DataFrame) -> DataFrame:
     """df (title, content, document_type, document_class, maybe parents) with section_type.
 
-    It is told by the title, the parents' titles, the document's type, the content, or the title's form.
-    Each text is looked at only where the ones before leave the type open.
+    It is told by the title, the parents' titles, the document's type, the content, or the title's form. Texts are read
+    once for the keywords of all contexts; the content is made ready only where the document's type leaves it open.
     """
-    prepared = (
-        df.withColumn("_plain", S.classifier_text(F.col("title")))
-        .withColumn("_kind", S.slug(F.col("document_type")))
-        .withColumn("_short", number_stripped(F.col("_plain")))
-        .withColumn("_titles", F.concat_ws("\n", "_plain", "_short"))
-    )
-    lists = {"manual": V.MANUAL_KEYWORDS, "operational": V.OPERATIONAL_KEYWORDS, "drawing": V.DRAWING_KEYWORDS, "bulletin": V.BULLETIN_KEYWORDS}
+    plain, kind = S.classifier_text(F.col("title")), S.slug(F.col("document_type"))
+    prepared = df.withColumns({"_plain": plain, "_kind": kind}).withColumn("_short", number_stripped(F.col("_plain")))
     plain, short, kind = F.col("_plain"), F.col("_short"), F.col("_kind")
     context = (
         F.when(kind.isin(*V.CONTEXT_TYPES["operational"]) | (S.strip(S.fold(F.col("document_class"))) == "operational"), "operational")
@@ -73,38 +68,21 @@ def classify(df: DataFrame) -> DataFrame:
         .when(kind.isin(*V.CONTEXT_TYPES["bulletin"]), "bulletin")
         .otherwise("manual")
     )
-
-    def tried(text: str) -> Column:
-        out = F.when(F.lit(False), F.lit(""))
-        for name, order in V.CONTEXT_ORDERS.items():
-            out = out.when(F.col("_context") == name, _first_type(F.col(text), sum((lists[which] for which in order), ())))
-        return out
-
     usual = F.create_map(*[F.lit(x) for item in V.DEFAULT_SECTION_TYPES.items() for x in item])
+    by_kind = F.when(~plain.isin("overview", "notes", "instructions"), F.try_element_at(usual, kind))
     starts = short.rlike("^(?:" + "|".join(PROCEDURAL_STARTS) + ")")
-    number = r"^(?:step\s+)?\d+(?:\.\d+)*[).:\-]?\s*"
     few = F.size(F.array_remove(F.split(short, " "), "")) <= 4
-    look = ~plain.isin(*NEUTRAL_TITLES) & (plain.rlike(number) | starts | plain.isin(*V.ADMONITIONS) | ((plain != short) & (short != "")) | (few & ~short.isin(*NEUTRAL_TITLES)))
-    safe = F.when(plain.isin(*V.ADMONITIONS) | short.isin(*V.ADMONITIONS), "safety")
+    look = ~plain.isin(*NEUTRAL_TITLES) & (plain.rlike(NUMBER) | starts | plain.isin(*V.ADMONITIONS) | ((plain != short) & (short != "")) | (few & ~short.isin(*NEUTRAL_TITLES)))
+    safe = plain.isin(*V.ADMONITIONS) | short.isin(*V.ADMONITIONS)
     above = S.classifier_text(F.col("parents")) if "parents" in df.columns else F.lit("")
-    by_kind = F.when(~plain.isin("overview", "notes", "instructions"), F.try_element_at(usual, kind))
-    opened = prepared.withColumn("_context", context).withColumn("_found", F.coalesce(safe, tried("_titles")))
-    # A text that needn't be looked at is null.
-    opened = opened.withColumn("_above", F.when(F.col("_found").isNull() & (above != ""), above))
-    opened = opened.withColumn("_found", F.coalesce("_found", tried("_above"), by_kind))
-    opened = opened.withColumn("_inside", F.when(F.col("_found").isNull() & look, S.classifier_text(F.substring("content", 1, 500))))
-    by_form = F.when(S.strip(F.col("title")).rlike("(?i)" + number) | starts, "workflow")
-    found = F.coalesce("_found", tried("_inside"), by_form, F.lit("other"))
-    return opened.select(*df.columns, settled(found).alias("section_type"))
-
-
-def settled(column: Column) -> Column:
-    """The column, computed where it stands: the optimizer doesn't copy what isn't deterministic into conditions on it."""
-    return F.when(F.spark_partition_id() >= 0, column)
+    inside = F.when(~safe & by_kind.isNull() & look, S.classifier_text(F.substring("content", 1, 500)))
+    told = keywords.section_type(context, F.when(~safe, F.concat_ws("\n", plain, short)), F.when(~safe, above), F.when(~safe, by_kind), inside)
+    by_form = F.when(S.strip(F.col("title")).rlike("(?i)" + NUMBER) | starts, "workflow")
+    return prepared.withColumn("section_type", F.coalesce(F.when(safe, "safety"), told, by_form, F.lit("other"))).select(*df.columns, "section_type")
 
 
 def reviewability(title: Column) -> Column:
-    """The reasons not to trust a section's title, sorted; empty if there are none."""
+    """The reasons not to trust a section's title, sorted; empty if there are none. Patterns and bounds are fixed values."""
     t = S.collapse(F.coalesce(title, F.lit("")))
     refs = F.size(F.regexp_extract_all(t, F.lit(r"(?i)((?:\b[A-Z]-\d+\b|\b\d+-\d+\b|\b\d+\b))")))
     words = F.size(F.split(t, " "))

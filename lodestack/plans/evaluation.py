@@ -46,7 +46,14 @@ def _eval_tables(spark, sf_dir):
     )
 
 
-@query()
+@query("""WITH RECURSIVE shaped AS (SELECT doc_id // 40 AS fixture, doc_id % 2 = 0 AS wanted, doc_id AS ordinal, doc_id // 2 % 3 AS rows, list_distinct(string_split(text, ' ')) AS words, string_split(text, ' ')[1:1] AS opening FROM documents WHERE text IS NOT NULL),
+  wants AS (SELECT fixture, ordinal, rows, CASE WHEN ordinal % 6 = 0 THEN opening ELSE words END AS cells, row_number() OVER (PARTITION BY fixture ORDER BY ordinal) AS place FROM shaped WHERE wanted),
+  lists AS (SELECT w.fixture, w.place, coalesce(list(a.ordinal ORDER BY a.ordinal) FILTER (WHERE a.ordinal IS NOT NULL), []) AS fits FROM wants w
+    LEFT JOIN shaped a ON NOT a.wanted AND a.fixture = w.fixture AND a.rows = w.rows AND list_has_all(CASE WHEN a.ordinal % 6 = 0 THEN a.opening ELSE a.words END, w.cells) GROUP BY w.fixture, w.place),
+  greedy AS (SELECT DISTINCT fixture, 0::BIGINT AS place, []::BIGINT[] AS used FROM shaped
+    UNION ALL SELECT g.fixture, l.place, CASE WHEN l.free[1] IS NULL THEN g.used ELSE list_append(g.used, l.free[1]) END FROM greedy g JOIN LATERAL (SELECT place, list_filter(fits, lambda x: NOT list_contains(g.used, x)) AS free FROM lists WHERE lists.fixture = g.fixture AND lists.place = g.place + 1) l ON true),
+  done AS (SELECT fixture, max(place) AS expected, max(len(used)) AS matched FROM greedy GROUP BY fixture)
+  SELECT fixture, expected, matched::BIGINT AS matched FROM done""")
 def eval_parser(spark, sf_dir):
     return O.match_tables(_eval_tables(spark, sf_dir))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestack.functions import json_rules
 from lodestack.functions import vocabulary as V
 from lodestack.operators import extraction as O
 from lodestack.operators import records as R
@@ -240,12 +241,5 @@ _SCHEMA = {"type": "object", "required": ["k", "more"], "properties": {"k": {"ty
 
 @query("""SELECT event_id, concat_ws('; ', CASE WHEN (props->>'k')::BIGINT < 40 THEN '$.k: is less than 40' END, '$: lacks more') AS errors FROM events""")
 def json_validate(spark, sf_dir):
-    """Batches of JSON against a schema, in Python: rules may nest."""
-    import json
-
-    def judge(batches):
-        for batch in batches:
-            found = ["; ".join(O.json_errors(json.loads(x), _SCHEMA)) for x in batch["props"]]
-            yield batch[["event_id"]].assign(errors=found)
-
-    return table(spark, sf_dir, "events").select("event_id", "props").mapInPandas(judge, "event_id long, errors string")
+    errors = json_rules.json_errors(F.col("props"), _SCHEMA)
+    return table(spark, sf_dir, "events").select("event_id", F.array_join(errors, "; ").alias("errors"))

@@ -10,7 +10,7 @@ from lodestack.functions import vocabulary as V
 from lodestack.operators import intake as O
 from lodestack.plans.registry import query
 from lodestack.plans.views import MANIFESTS, manifests, table
-from lodestack.sources import packs
+from lodestack.sources import packs, store
 
 _KEY = " || '-' || ".join(duck.slug(c) for c in ("manufacturer", "family", "document_type", "revision"))
 
@@ -28,9 +28,11 @@ def checksum_dedup(spark, sf_dir):
     return O.first_by_checksum(manifests(spark, sf_dir), "doc_id").select("doc_id", "first_seen", "copies", "is_first")
 
 
-@query(f"""WITH {MANIFESTS} SELECT checksum, max(doc_id) AS owner, count(*) AS copies FROM manifests GROUP BY checksum""")
+@query(f"""WITH {MANIFESTS} SELECT checksum, arg_max(doc_id, 'manifests/d' || doc_id || '.json') AS owner FROM manifests GROUP BY checksum""")
 def checksum_index(spark, sf_dir):
-    return manifests(spark, sf_dir).groupBy("checksum").agg(F.max("doc_id").alias("owner"), F.count(F.lit(1)).alias("copies"))
+    """Of equal checksums the manifest with the last path counts."""
+    path = F.concat(F.lit("manifests/d"), F.col("doc_id").cast("string"), F.lit(".json"))
+    return store.checksum_index(manifests(spark, sf_dir).select("checksum", "doc_id", path.alias("path"))).withColumnRenamed("doc_id", "owner")
 
 
 _KNOWN = ", ".join(f"'{v.lower()}'" for v in V.DOCUMENT_TYPES + V.LEGACY_DOCUMENT_TYPES)

@@ -275,9 +275,10 @@ def utc_stamps(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", O.utc_stamp(F.col("ts")).alias("stamp"))
 
 
-@query("""SELECT event_id, sha256('{"a_type":"' || event_type || '","m":' || event_id || ',"user":' || user_id || ',"z":null}') AS digest FROM events""")
+@query("""SELECT event_id, sha256('{"a_type":"' || event_type || '","m":' || event_id || ',"user":{"id":' || user_id || ',"in":[{"a":1.5,"b":null}]},"z":null}') AS digest FROM events""")
 def canonical_json(spark, sf_dir):
-    own = {"user": F.col("user_id"), "a_type": F.col("event_type"), "z": F.lit(None).cast("string"), "m": F.col("event_id")}
+    inner = F.struct(F.lit(None).cast("string").alias("b"), F.lit("1.5").cast("decimal(2,1)").alias("a"))
+    own = {"user": F.struct(F.array(inner).alias("in"), F.col("user_id").alias("id")), "a_type": F.col("event_type"), "z": F.lit(None).cast("string"), "m": F.col("event_id")}
     return table(spark, sf_dir, "events").select("event_id", F.sha2(O.canonical_json(own), 256).alias("digest"))
 
 

@@ -34,9 +34,10 @@ def heading_tree(spark, sf_dir):
     return paths_of(spark, sf_dir).select("doc_id", "idx", "level", "parent_idx", F.array_join("path", " > ").alias("heading_path"))
 
 
-@query(f"WITH {ITEMS} SELECT doc_id, idx, CASE label WHEN 'title' THEN 1 WHEN 'section_header' THEN 2 WHEN 'subtitle' THEN 2 WHEN 'page_header' THEN 3 END AS label_level FROM items WHERE label <> 'text'")
+@query(f"WITH {ITEMS} SELECT doc_id, idx, CASE label WHEN 'title' THEN 1 WHEN 'section_header' THEN 2 WHEN 'subtitle' THEN 2 WHEN 'page_header' THEN 3 END AS label_level FROM items WHERE label <> 'text' AND trim(text) <> ''")
 def label_levels(spark, sf_dir):
-    return items(spark, sf_dir).select("doc_id", "idx", A.label_level(F.col("label")).alias("label_level")).where("label_level IS NOT NULL")
+    odd = items(spark, sf_dir).withColumn("label", F.when(F.col("idx") % 8 == 4, F.upper("label")).otherwise(F.col("label")))  # labels in any case
+    return A.labelled_headings(odd).select("doc_id", "idx", F.col("level").alias("label_level"))
 
 
 _PAGED = f"""{ITEMS}, paged AS (SELECT doc_id, idx, label, text, level, coalesce(
@@ -226,34 +227,37 @@ def ocr_decision(spark, sf_dir):
     return known.select("doc_id", "page", decision.alias("decision"), O.ocr_confidence(F.col("density"), 20.0).alias("confidence"))
 
 
-@query(f"""WITH {_PAGED}, counts AS (SELECT doc_id, count(level) AS headings, count(*) FILTER (WHERE label = 'section_header') + doc_id % 3 AS candidates,
-    count(*) FILTER (WHERE idx % 8 = 3) AS tables, count(*) FILTER (WHERE idx % 8 = 3 AND idx % 5 <> 0) AS good_tables,
-    sum(length(regexp_replace(text, '\\s', '', 'g'))) AS markdown_chars, sum(length(text)) AS text_chars, least(max(level), 2) AS depth, min(level) AS min_level, max(level) AS max_level,
-    count(DISTINCT page) AS mapped_pages, max(page) + doc_id % 2 AS page_count FROM paged GROUP BY doc_id),
+@query(f"""WITH {_PAGED}, {_PATHS}, depths AS (SELECT doc_id, max(len(titles)) + 1 AS deep FROM paths GROUP BY doc_id), {TABLES}, good AS (SELECT doc_id, count(*) AS tables, count(*) FILTER (WHERE page IS NOT NULL AND markdown <> '') AS good_tables FROM tables GROUP BY doc_id),
+  counts AS (SELECT doc_id, count(level) AS headings, count(*) FILTER (WHERE label = 'section_header') + doc_id % 3 AS candidates,
+    coalesce(any_value(g.tables), 0) AS tables, coalesce(any_value(g.good_tables), 0) AS good_tables,
+    sum(length(regexp_replace(text, '\\s', '', 'g'))) AS markdown_chars, sum(length(text)) AS text_chars, any_value(deep) AS depth, min(level) AS min_level, max(level) AS max_level,
+    count(DISTINCT page) AS mapped_pages, max(page) + doc_id % 2 AS page_count FROM paged LEFT JOIN depths USING (doc_id) LEFT JOIN good g USING (doc_id) GROUP BY doc_id),
   scored AS (SELECT doc_id, CASE WHEN candidates = 0 THEN CASE WHEN headings = 0 THEN 100.0 ELSE 0.0 END ELSE least(headings / candidates, 1.0) * 100 END AS h,
     CASE WHEN tables = 0 THEN 100.0 ELSE good_tables / tables * 100 END AS t, CASE WHEN text_chars = 0 THEN 0.0 ELSE least(markdown_chars / text_chars, 1.0) * 100 END AS x,
     (least(depth / 3, 1.0) * 0.6::DOUBLE + least((max_level - min_level + 1) / 3, 1.0) * 0.4::DOUBLE) * 100 AS d, least(mapped_pages / page_count, 1.0) * 100 AS p FROM counts)
   SELECT doc_id, round(h::DOUBLE, 6) AS heading_coverage, round(t::DOUBLE, 6) AS table_rate, round(x::DOUBLE, 6) AS text_completeness, round(d::DOUBLE, 6) AS structure_depth, round(p::DOUBLE, 6) AS page_coverage,
     round(h::DOUBLE * 0.25::DOUBLE + t::DOUBLE * 0.2::DOUBLE + x::DOUBLE * 0.25::DOUBLE + d::DOUBLE * 0.15::DOUBLE + p::DOUBLE * 0.15::DOUBLE, 2) AS overall FROM scored""")
 def parse_quality(spark, sf_dir):
-    i = F.col("idx")
+    paged = _paged(spark, sf_dir)
+    good = F.col("page").isNotNull() & (F.size("data") > 0)
+    found = tables(paged).groupBy("doc_id").agg(F.count(F.lit(1)).alias("tables"), F.count(F.when(good, 1)).alias("good_tables"))
+    depths = A.heading_depths(paths_of(spark, sf_dir))
     chars = F.length(F.regexp_replace("text", r"(?U)\s", ""))
     counts = (
-        _paged(spark, sf_dir)
-        .groupBy("doc_id")
+        paged.groupBy("doc_id")
         .agg(
             F.count("level").alias("headings"),
             (F.count(F.when(F.col("label") == "section_header", 1)) + F.col("doc_id") % 3).alias("candidates"),
-            F.count(F.when(i % 8 == 3, 1)).alias("tables"),
-            F.count(F.when((i % 8 == 3) & (i % 5 != 0), 1)).alias("good_tables"),
             F.sum(chars).alias("markdown_chars"),
             F.sum(F.length("text")).alias("text_chars"),
-            F.least(F.max("level"), F.lit(2)).alias("depth"),
             F.min("level").alias("min_level"),
             F.max("level").alias("max_level"),
             F.count_distinct("page").alias("mapped_pages"),
             (F.max("page") + F.col("doc_id") % 2).alias("page_count"),
         )
+        .join(depths, "doc_id", "left")
+        .join(found, "doc_id", "left")
+        .fillna(0, ["tables", "good_tables"])
     )
     scores = ["heading_coverage", "table_rate", "text_completeness", "structure_depth", "page_coverage"]
     return O.quality(counts).select("doc_id", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in scores], F.col("overall").cast("double").alias("overall"))

@@ -97,12 +97,12 @@ def tables(paged: DataFrame) -> DataFrame:
     """Tables of paged items: every eighth, some without a page, of two rows, one row or none."""
     i = F.col("idx")
     row = lambda *cells: F.array(*cells)
-    data = F.when(i % 3 == 0, F.array(row(F.lit("Part"), F.lit("Value")), row(i.cast("string"), F.col("page").cast("string")))).when(i % 3 == 1, F.array(row(F.lit("Only")))).otherwise(F.array().cast("array<array<string>>"))
+    data = F.when(i % 3 == 0, F.array(row(F.lit("Part"), F.lit("Value")), row(F.concat(F.lit(" "), i.cast("string"), F.lit("\t")), F.when(i % 5 != 2, F.col("page").cast("string"))))).when(i % 3 == 1, F.array(row(F.lit("Only")))).otherwise(F.array().cast("array<array<string>>"))
     return paged.where(i % 8 == 3).select("doc_id", i.alias("table_no"), F.when(i % 5 != 0, F.col("page") + i % 2).alias("page"), data.alias("data"))
 
 
 TABLES = """tables AS (SELECT doc_id, idx AS table_no, CASE WHEN idx % 5 <> 0 THEN page + idx % 2 END AS page,
-  CASE idx % 3 WHEN 0 THEN '| Part | Value |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || idx || ' | ' || page || ' |' WHEN 1 THEN '| Only |' || chr(10) || '| --- |' || chr(10) || '|  |' ELSE '' END AS markdown
+  CASE idx % 3 WHEN 0 THEN '| Part | Value |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || idx || ' | ' || CASE WHEN idx % 5 = 2 THEN 'None' ELSE page::VARCHAR END || ' |' WHEN 1 THEN '| Only |' || chr(10) || '| --- |' || chr(10) || '|  |' ELSE '' END AS markdown
   FROM paged WHERE idx % 8 = 3)"""
 
 

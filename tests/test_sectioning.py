@@ -75,3 +75,37 @@ def test_paths_like_a_stack(spark):
                 stack.append((i, level, text))
     got = A.heading_paths(spark.createDataFrame(rows, "doc_id long, idx long, level long, text string"))
     assert {(r.doc_id, r.idx): (r.parent_idx, r.path) for r in got.collect()} == want
+
+
+def test_headings_of_forty_levels(spark):
+    """Paths and depths against a stack; labels in any case, blank titles are none."""
+    import random
+
+    from lodestack.operators import sectioning
+
+    rng = random.Random(8)
+    rows = [(d, i, rng.randint(1, 40) if d else i + 1, f"h{i}") for d in range(3) for i in range(40)]
+    got = {(r.doc_id, r.idx): (r.parent_idx, list(r.path)) for r in sectioning.heading_paths(spark.createDataFrame(rows, "doc_id long, idx long, level long, text string")).collect()}
+    deepest = {}
+    for d in range(3):
+        stack = []
+        for _, i, level, text in (r for r in rows if r[0] == d):
+            while stack and stack[-1][1] >= level:
+                stack.pop()
+            assert got[d, i] == (stack[-1][0] if stack else None, [t for _, _, t in stack] + [text])
+            stack.append((i, level, text))
+            deepest[d] = max(deepest.get(d, 0), len(stack))
+    assert deepest[0] == 40
+    paths = sectioning.heading_paths(spark.createDataFrame(rows, "doc_id long, idx long, level long, text string"))
+    assert {r.doc_id: r.depth for r in sectioning.heading_depths(paths).collect()} == deepest
+    items = spark.createDataFrame([(1, 0, "TITLE", " T "), (1, 1, "Section_Header", " "), (1, 2, "text", "x"), (1, 3, "subtitle", "S")], "doc_id long, idx long, label string, text string")
+    assert [tuple(r) for r in sectioning.labelled_headings(items).sort("idx").collect()] == [(1, 0, 1, "T"), (1, 3, 2, "S")]
+
+
+def test_cells_of_tables_are_stripped_and_kept(spark):
+    from pyspark.sql import functions as F
+
+    from lodestack.operators.publishing import table_markdown
+
+    df = spark.createDataFrame([([[" a ", "b\t"], ["1"], [None, " 2"]],)], "data array<array<string>>")
+    assert df.select(table_markdown(F.col("data"))).first()[0] == "| a | b |\n| --- | --- |\n| 1 |  |\n| None | 2 |"
