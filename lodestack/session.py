@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,6 +94,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def bucketed(df: DataFrame, key: str, name: str) -> Iterator[DataFrame]:
+    """``df`` written in the shared folder in buckets by ``key``, so that joins and groups by it needn't shuffle it; deleted at the end."""
+    spark = df.sparkSession
+    own = f"{name}_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{own}"
+    keep_until_end(spark, path)
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(own)
+    try:
+        yield spark.table(own)
+    finally:
+        spark.sql(f"DROP TABLE {own}")
+        _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     remove(spark, path)
     _WRITTEN.discard(path)
