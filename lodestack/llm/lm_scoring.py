@@ -6,7 +6,7 @@ P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)). It sums to one over the known words a
 of grams that were seen are kept as 16-bit codes of their logarithm (1/4096 of a power of ten); so are those of the
 order below where they are mixed in.
 
-1. Documents become blocks of some 2^19 tokens, written once: distinct words' hashes, and each token as a place among them.
+1. Documents become blocks of some 2^21 tokens, written once: distinct words' hashes, and each token as a place among them.
 2. The words of all blocks are counted in slices of the hashes. A block gets back each word's id and count.
 3. For each order, a block sends its distinct grams to slices by their context: the context's id, the successor, how
    often training documents have it, and the code of the order below. A slice adds up, builds the trie's level of its
@@ -46,10 +46,10 @@ from lodestack.llm import worker
 from lodestack.llm.blocks import cuts, opened, pressed, slice_count
 from lodestack.llm.ngram_trie import Level, coded, decoded
 from lodestack.llm.words import hashed_words, mix
-from lodestack.session import discard, materialize
+from lodestack.session import bucketed, discard, materialize
 
 #: Tokens of a block, about.
-BLOCK = 1 << 19
+BLOCK = 1 << 21
 #: Grams of a slice, about, counted in each block that has them.
 SLICE = 1 << 20
 #: A context's count from which on its successors are dealt to several slices.
@@ -67,7 +67,7 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 _TOKENS, _WORDS = (np.uint32,), (np.uint64, np.uint32)
 _DOCS = (np.int64, np.uint8, np.uint8, np.uint32)  # doc_id, whether there is one, held out, tokens
-_KNOWN = (np.uint64, np.uint64)  # id and count of a word
+_KNOWN = (np.uint64, np.uint64, np.uint8)  # id and count of a word, and whether no other block has it
 _CONTEXTS = (np.uint64, np.uint64, np.uint32)  # id, count, grams
 _GRAMS = (np.uint64, np.uint32, np.uint16, np.uint32)  # successor, count in training, code below, occurrences
 _INFO = (np.int64, np.uint8, np.uint8, np.uint32, np.uint32, np.float64, np.float64)
@@ -135,10 +135,12 @@ def _counted_words(sent: DataFrame, n: int) -> DataFrame:
         words, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         total = np.bincount(place, np.concatenate([p[1] for p in parts]).astype(np.float64), len(words)).astype(np.uint64)
         known = total > 0
-        ids = (np.cumsum(known).astype(np.uint64) - _U(1)) * _U(n) + _U(k)
+        ids = np.zeros(len(words), np.uint64)
+        ids[np.argsort(-total.astype(np.int64), kind="stable")] = np.arange(len(words), dtype=np.uint64) * _U(n) + _U(k)  # frequent ones are small
         ids[~known] = 0
+        alone = (np.bincount(place, minlength=len(words)) == 1).astype(np.uint8)
         ends = np.cumsum([len(p[0]) for p in parts])[:-1]
-        told = [pressed((ids[p], total[p])) for p in np.split(place, ends)]
+        told = [pressed((ids[p], total[p], alone[p])) for p in np.split(place, ends)]
         stats = [(int(total.sum()), int(known.sum()))] + [(0, 0)] * (len(told) - 1)
         return pa.table({"block": table.column("block"), "slice": table.column("slice"), "told": pa.array(told, pa.binary()), "n": [s[0] for s in stats], "v": [s[1] for s in stats]})
 
@@ -155,6 +157,7 @@ class Chain:
     rel: np.ndarray
     count: np.ndarray
     code: np.ndarray
+    alone: np.ndarray  # whether no other block has it
 
     def firsts(self) -> np.ndarray:
         """Whether a position is the first of its document."""
@@ -166,29 +169,44 @@ class Chain:
 class Sent:
     """A block's distinct grams of the next order, by slice.
 
-    Slices are asked for those only whose context and whose gram of the order below training documents have; the others
-    have no count, and their probability follows from the order below alone.
+    Slices are asked for those only that training documents may have and that other blocks may have as well. A gram
+    whose context, or whose gram of the order below, is in this block alone, is counted here: the block has a level of the
+    trie for its own. What no training document can have follows from the order below.
     """
 
     def __init__(self, chain: Chain, learns: np.ndarray, n: int, strength: float, frequent: int) -> None:
-        first = chain.firsts()
-        later = np.flatnonzero(~first)
+        later = np.flatnonzero(~chain.firsts())
         a, b = chain.gram[later - 1], chain.gram[later]
         self.doc = chain.doc[later]
         keys, self.gram = np.unique(a * max(len(chain.id), 1) + b, return_inverse=True)
         self.a, self.b = np.divmod(keys, max(len(chain.id), 1))
         self.low = chain.code[self.b]
-        many = chain.count[self.a].astype(np.float64)
-        self.alone = decoded(self.low) + np.where(many > 0, math.log10(strength) - np.log10(many + strength), 0)
-        self.asked = (many > 0) & (chain.count[self.b] > 0)
         self.train = np.bincount(self.gram[learns[self.doc]], minlength=len(keys))
+        many = chain.count[self.a].astype(np.float64)
+        possible = (many > 0) & (chain.count[self.b] > 0)
+        self.own = possible & ((chain.alone[self.a] | chain.alone[self.b]) > 0)
+        self.asked = possible & ~self.own
+        self.logs = decoded(self.low) + np.where(many > 0, math.log10(strength) - np.log10(many + strength), 0)
+        mine = np.flatnonzero(self.own & (self.train > 0))
+        exact = np.log10((self.train[mine] + strength * 10 ** decoded(self.low[mine])) / (many[mine] + strength))
+        context, sizes = np.unique(self.a[mine], return_counts=True)
+        _, level = _mapped(Level.build(context, sizes, self.b[mine], coded(exact)))
+        found, _, _ = level.find(context, sizes, self.b[mine])
+        self.logs[mine] = decoded(level.codes[found]) if len(mine) else 0
         self.parts = np.clip(-(-chain.count[self.a].astype(np.int64) // frequent), 1, min(n, 2**24))
         own = chain.id[self.a] * _U(2**24) + np.where(self.parts > 1, mix(chain.rel[self.b]) % self.parts.astype(np.uint64), _U(0))
         self.part = own & _U(2**24 - 1)
         self.slice = (mix(own) % _U(n)).astype(np.int64)
-        self.chain = chain
-        order = np.lexsort((chain.rel[self.b], chain.id[self.a], self.slice))
-        self.order = order[self.asked[order]]
+        self.chain, self.slices = chain, n
+        order = np.flatnonzero(self.asked)
+        self.order = order[np.lexsort((chain.rel[self.b[order]], chain.id[self.a[order]], self.slice[order]))]
+
+    def heads(self) -> np.ndarray:
+        """Where in ``order`` a context, or a slice, begins."""
+        ids, at = self.chain.id[self.a[self.order]], self.slice[self.order]
+        out = np.ones(len(ids), bool)
+        out[1:] = (ids[1:] != ids[:-1]) | (at[1:] != at[:-1])
+        return out
 
     def rows(self, with_docs: bool) -> Iterator[tuple[int, bytes]]:
         """(slice, its grams)."""
@@ -198,12 +216,9 @@ class Sent:
             many = np.bincount(self.gram, minlength=len(self.a))
             begin = np.cumsum(many) - many
         bounds = np.flatnonzero(np.diff(self.slice[order])) + 1
-        for own in np.split(order, bounds) if len(order) else ():
-            ids = chain.id[self.a[own]]
-            head = np.ones(len(own), bool)
-            head[1:] = ids[1:] != ids[:-1]
+        for own, head in zip(np.split(order, bounds), np.split(self.heads(), bounds), strict=True) if len(order) else ():
             at = np.flatnonzero(head)
-            contexts = ids[at], chain.count[self.a[own[at]]].astype(np.uint64), np.diff(np.append(at, len(own))).astype(np.uint32)
+            contexts = chain.id[self.a[own[at]]], chain.count[self.a[own[at]]].astype(np.uint64), np.diff(np.append(at, len(own))).astype(np.uint32)
             docs, times = np.zeros(0, np.uint32), np.zeros(len(own), np.int64)
             if with_docs:
                 times = many[own]
@@ -214,15 +229,21 @@ class Sent:
     def next(self, told: list[bytes]) -> Chain:
         """The grams as a chain, with what the slices have told, in order of slices."""
         size = len(self.a)
-        ids, rel, count, code = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.uint64), coded(self.alone)
-        parts = [opened(x, _ANSWER)[0] for x in told]
+        ids, rel, code, alone = np.zeros(size, np.uint64), np.zeros(size, np.uint64), coded(self.logs), np.ones(size, np.uint8)
+        count = np.where(self.own, self.train, 0).astype(np.uint64)
+        parts = [opened(x, _BEGINS, _ANSWER) for x in told]
         if parts:
-            ids[self.order], place, count[self.order], code[self.order] = (np.concatenate([p[k] for p in parts]) for k in range(4))
+            begins = np.concatenate([p[0][0] for p in parts])
+            place, many, code[self.order], alone[self.order] = (np.concatenate([p[1][k] for p in parts]) for k in range(4))
+            at = (begins[np.cumsum(self.heads()) - 1] + place) * _U(self.slices) + self.slice[self.order].astype(np.uint64)
+            count[self.order] = many
+            ids[self.order] = np.where(many > 0, at, _U(0))
             rel[self.order] = place * self.parts[self.order].astype(np.uint64) + self.part[self.order]
-        return Chain(self.doc, self.gram, ids, rel, count, code)
+        return Chain(self.doc, self.gram, ids, rel, count, code, alone)
 
 
-_ANSWER = (np.uint64, np.uint64, np.uint64, np.uint16)  # id, place among the context's own, count, code
+_BEGINS = (np.uint64,)  # where a context's successors begin in its slice
+_ANSWER = (np.uint64, np.uint64, np.uint16, np.uint8)  # place among the context's own, count, code, whether no other block has it
 
 
 class Grams:
@@ -237,6 +258,7 @@ class Grams:
         rel, train, low, self.times = (np.concatenate([p[1][k] for p in parts]) for k in range(4))
         self.contexts, first, dense = np.unique(ids, return_index=True, return_inverse=True)
         self.counts = counts[first]
+        self.sent = np.split(dense, np.cumsum([len(p[0][0]) for p in parts])[:-1])
         key = (np.repeat(dense, many).astype(np.uint64) << _U(40)) | rel
         keys, first, self.place = np.unique(key, return_index=True, return_inverse=True)
         self.context = (keys >> _U(40)).astype(np.int64)
@@ -256,8 +278,8 @@ class Grams:
         own, sizes = np.unique(context, return_counts=True)
         return Level.build(self.contexts[own], sizes, self.rel[seen], coded(logs[seen]), self.seen[seen] if counts else None)
 
-    def looked_up(self, level: Level) -> tuple[np.ndarray, np.ndarray]:
-        """Each gram's place in the level, or -1, and its place among its context's successors."""
+    def looked_up(self, level: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each gram's place in the level, or -1, its place among its context's successors, and where each context's begin."""
         return level.find(self.contexts, np.bincount(self.context, minlength=len(self.contexts)), self.rel)
 
     def split(self, values: np.ndarray) -> list[np.ndarray]:
@@ -277,17 +299,17 @@ def _answers(sent: DataFrame, n: int, strength: float) -> DataFrame:
     """What blocks have asked of an order that isn't the highest."""
 
     def answered(table: pa.Table) -> pa.Table:
-        k, grams = table.column("slice")[0].as_py(), Grams([x.as_py() for x in table.column("grams")])
+        grams = Grams([x.as_py() for x in table.column("grams")])
         logs = grams.mixed(strength)
         _, level = _mapped(grams.level(logs, counts=True))
-        found, beside = grams.looked_up(level)
+        found, beside, begins = grams.looked_up(level)
         seen = found >= 0
         at = np.where(seen, found, 0)
-        ids = np.where(seen, at * n + k, 0).astype(np.uint64)
         count = np.where(seen, level.counts[at] if len(level.counts) else 0, 0).astype(np.uint64)
         code = np.where(seen, level.codes[at] if len(level.codes) else 0, coded(logs)).astype(np.uint16)
-        columns = [grams.split(c) for c in (ids, np.where(seen, beside, 0).astype(np.uint64), count, code)]
-        told = [pressed(own) for own in zip(*columns, strict=True)]
+        alone = (np.bincount(grams.place, minlength=len(seen)) == 1).astype(np.uint8)
+        columns = [grams.split(c) for c in (np.where(seen, beside, 0).astype(np.uint64), count, code, alone)]
+        told = [pressed((begins[context].astype(np.uint64),), own) for context, own in zip(grams.sent, zip(*columns, strict=True), strict=True)]
         return pa.table({"block": table.column("block"), "slice": table.column("slice"), "told": pa.array(told, pa.binary())})
 
     return sent.where("grams IS NOT NULL").groupBy("slice").applyInArrow(answered, "block string, slice int, told binary")
@@ -304,7 +326,7 @@ def _sums(sent: DataFrame, strength: float) -> DataFrame:
             grams = Grams([raw[k] for k in there])
             logs = grams.mixed(strength)
             _, level = _mapped(grams.level(logs, counts=False))
-            found, _ = grams.looked_up(level)
+            found, _, _ = grams.looked_up(level)
             if len(level.codes):
                 logs = np.where(found >= 0, decoded(level.codes[np.maximum(found, 0)]), logs)
             for k, own, times, docs in zip(there, grams.split(logs), np.split(grams.times, np.cumsum(grams.sizes)[:-1]), grams.docs, strict=True):
@@ -334,74 +356,69 @@ def _first(row: dict, told: list[bytes], tokens: int, distinct: int) -> tuple[Ch
     ((place,),) = opened(row["tokens"], _TOKENS)
     ((doc, there, held, size),) = opened(row["docs"], _DOCS)
     parts = [opened(x, _KNOWN)[0] for x in told]
-    ids, count = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    ids, count, alone = (np.concatenate([p[k] for p in parts]) for k in range(3))
     logs = np.log10((count + 0.1) / (tokens + 0.1 * (distinct + 1)))
     place, of = place.astype(np.int64), np.repeat(np.arange(len(doc)), size)
     base = np.bincount(of, logs[place], len(doc))
     known = np.bincount(of, count[place] > 0, len(doc)).astype(np.uint32)
-    return Chain(of, place, ids, ids, count, coded(logs)), held == 0, [doc, there, held, size, known, base]
+    return Chain(of, place, ids, ids, count, coded(logs), alone), held == 0, [doc, there, held, size, known, base]
 
 
-def _settled(chain: Chain, sent: Sent | None, docs: int) -> np.ndarray:
-    """Sums by document of what no higher order asks for: first positions, and grams that no training document can have."""
+def _settled(chain: Chain, docs: int) -> np.ndarray:
+    """Sums by document of what no higher order asks for: the first positions."""
     first = chain.firsts()
-    out = np.bincount(chain.doc[first], decoded(chain.code[chain.gram[first]]), docs)
-    if sent is not None:
-        idle = ~sent.asked[sent.gram]
-        out += np.bincount(sent.doc[idle], sent.alone[sent.gram[idle]], docs)
-    return out
+    return np.bincount(chain.doc[first], decoded(chain.code[chain.gram[first]]), docs)
 
 
-def _told(answers: pa.Table) -> list[bytes]:
-    """What slices have told a block, in their order."""
-    return [x for _, x in sorted(zip(answers.column("slice").to_pylist(), answers.column("told").to_pylist(), strict=True))]
+def _told(answers: pa.Table, order: int) -> list[bytes]:
+    """What slices have told a block of an order, in their order."""
+    rows = zip(answers.column("of").to_pylist(), answers.column("slice").to_pylist(), answers.column("told").to_pylist(), strict=True)
+    return [x for of, _, x in sorted(rows, key=lambda r: r[:2]) if of == order]
 
 
-_SENT = "block string, slice int, grams binary, info binary, state binary"
+_SENT = "block string, slice int, grams binary, info binary"
 
 
 def score(docs: DataFrame, order: int = 3, strength: float = STRENGTH) -> DataFrame:
     """Columns SCORES for each row of ``docs`` (doc_id, text), by a model of grams of up to ``order`` tokens, two at least."""
-    blocks = materialize(blocks_of(docs), "lm-blocks")
-    size = blocks.agg(F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens")).first()
-    n1, n = slice_count(blocks, size.words or 0, SLICE), slice_count(blocks, size.tokens or 0, SLICE)
-    words = materialize(_counted_words(_word_slices(blocks, n1), n1), "lm-words")
-    found = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
-    tokens, distinct, frequent = found.n or 0, found.v or 0, FREQUENT
-
-    def step(top: bool, settle: np.ndarray, chain: Chain, learns: np.ndarray, info: list[np.ndarray], block: str) -> pa.Table:
-        """A block's rows for the next order; one of them has what goes on with the block."""
-        sent = Sent(chain, learns, n, strength, frequent)
-        settle = settle + _settled(chain, sent if top else None, len(learns))
-        rows = list(sent.rows(with_docs=top))
-        at = int(block[:8], 16) % n
-        held = pressed((*info, settle))
-        state = None if top else pressed((*info, settle), (chain.doc.astype(np.uint32), chain.gram.astype(np.uint32)), (chain.id, chain.rel, chain.count, chain.code))
-        own = [(block, k, grams, None, None) for k, grams in rows] + [(block, at, None, held if top else None, state)]
-        kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.table([pa.array([r[k] for r in own], kind) for k, kind in enumerate(kinds)], names=["block", "slice", "grams", "info", "state"])
-
-    def started(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = {c: left.column(c)[0].as_py() for c in ("block", "tokens", "docs")}
-        chain, learns, info = _first(row, _told(right), tokens, distinct)
-        return step(order == 2, np.zeros(len(learns)), chain, learns, info, row["block"])
-
-    def goes_on(top: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
-        def went_on(left: pa.Table, right: pa.Table) -> pa.Table:
-            (*info, settle), (doc, gram), (ids, rel, count, code) = opened(left.column("state")[0].as_py(), _INFO, (np.uint32, np.uint32), (np.uint64, np.uint64, np.uint64, np.uint16))
-            chain, learns = Chain(doc.astype(np.int64), gram.astype(np.int64), ids, rel, count, code), info[2] == 0
-            return step(top, settle, Sent(chain, learns, n, strength, frequent).next(_told(right)), learns, info, left.column("block")[0].as_py())
-
-        return went_on
-
-    sent = blocks.select("block", "tokens", "docs").groupBy("block").cogroup(words.select("block", "slice", "told").groupBy("block")).applyInArrow(started, _SENT)
-    written = [blocks, words]
-    for k in range(3, order + 1):
-        table = materialize(sent, "lm-grams")
-        told = _answers(table.select("block", "slice", "grams"), n, strength)
-        states = table.where("state IS NOT NULL").select("block", "state")
-        sent = states.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(goes_on(k == order), _SENT)
-        written.append(table)
-    out = materialize(_finished(_sums(sent.select("block", "slice", "grams", "info"), strength), tokens), "lm-scores")
-    discard(*written)
+    with bucketed(blocks_of(docs), "block", "lm_blocks") as blocks:
+        size = blocks.agg(F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens")).first()
+        n1, n = slice_count(blocks, size.words or 0, SLICE), slice_count(blocks, size.tokens or 0, SLICE)
+        words = materialize(_counted_words(_word_slices(blocks, n1), n1), "lm-words")
+        found = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+        tokens, distinct, frequent = found.n or 0, found.v or 0, FREQUENT
+
+        def sends(upto: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+            """Makes of a block, and of what it was told of the orders below ``upto``, its rows for that order; the highest has one that says what is known of its documents."""
+
+            def sent_of(left: pa.Table, right: pa.Table) -> pa.Table:
+                row = {c: left.column(c)[0].as_py() for c in ("block", "tokens", "docs")}
+                chain, learns, info = _first(row, _told(right, 1), tokens, distinct)
+                settled = _settled(chain, len(learns))
+                for k in range(2, upto):
+                    chain = Sent(chain, learns, n, strength, frequent).next(_told(right, k))
+                    settled += _settled(chain, len(learns))
+                sent = Sent(chain, learns, n, strength, frequent)
+                own = [(row["block"], k, grams, None) for k, grams in sent.rows(with_docs=upto == order)]
+                if upto == order:
+                    idle = ~sent.asked[sent.gram]
+                    settled += np.bincount(sent.doc[idle], sent.logs[sent.gram[idle]], len(learns))
+                    own.append((row["block"], int(row["block"][:8], 16) % n, None, pressed((*info, settled))))
+                kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary()]
+                return pa.table([pa.array([r[k] for r in own], kind) for k, kind in enumerate(kinds)], names=["block", "slice", "grams", "info"])
+
+            return sent_of
+
+        told = words.select("block", F.lit(1).alias("of"), "slice", "told")
+        written = [words]
+        for k in range(2, order + 1):
+            sent = blocks.select("block", "tokens", "docs").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(sends(k), _SENT)
+            if k < order:
+                answers = _answers(sent, n, strength)
+                if k < order - 1:  # the next order and those above ask for it
+                    answers = materialize(answers, "lm-answers")
+                    written.append(answers)
+                told = told.unionByName(answers.select("block", F.lit(k).alias("of"), "slice", "told"))
+        out = materialize(_finished(_sums(sent, strength), tokens), "lm-scores")
+        discard(*written)
     return out

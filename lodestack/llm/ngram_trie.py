@@ -137,16 +137,17 @@ class Level:
         raw += bytes(-len(raw) % 4)
         return raw if counts is None else raw + np.minimum(counts, 2**32 - 1).astype("<u4").tobytes()
 
-    def find(self, contexts: np.ndarray, sizes: np.ndarray, followers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For grams given as contexts, the number of successors asked of each, and these: the place in the level, or -1; and the place among the context's own."""
-        where, known = self.contexts.successors(contexts)
-        where = np.minimum(where, max(self.contexts.size - 1, 0))
+    def find(self, contexts: np.ndarray, sizes: np.ndarray, followers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For grams given as contexts, the number of successors asked of each, and these: the place in the level, or -1, and the
+        place among the context's own; and where each context's successors begin (0 if the level hasn't the context)."""
         if not self.contexts.size:
-            return np.full(len(followers), -1), np.zeros(len(followers), np.int64)
+            return np.full(len(followers), -1), np.zeros(len(followers), np.int64), np.zeros(len(contexts), np.int64)
+        where, known = self.contexts.successors(contexts)
+        where = np.minimum(where, self.contexts.size - 1)
         begin, end = self.pointers.at(where), self.pointers.at(where + 1)
         shift = np.zeros(len(where), np.int64)
         shift[begin > 0] = self.followers.at(begin[begin > 0] - 1) + 1
         own = np.repeat(np.arange(len(contexts)), sizes)
         found, same = self.followers.successors(followers.astype(np.int64) + shift[own])
         same &= known[own] & (found >= begin[own]) & (found < end[own])
-        return np.where(same, found, -1), found - begin[own]
+        return np.where(same, found, -1), found - begin[own], np.where(known, begin, 0)

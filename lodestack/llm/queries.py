@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestack.llm import ann, html_extract, jaccard_join, langid, line_dedup, lm_scoring, media, mixing, packing, sale_assembly, substring, token_files, vector_codes
 from lodestack.llm.tokens import vocabulary
-from lodestack.session import materialize, scratch_dir, share_code
+from lodestack.session import keep_until_end, materialize, scratch_dir, share_code
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
     path = f"{scratch_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    keep_until_end(spark, path)
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path, vocabulary())
     return token_files.with_checksums(token_files.read_tokens(spark, path))
 

@@ -9,7 +9,8 @@ stays open too long is closed by the watermark, and a sentinel closes the rest a
    last batch has an event time after all others.
 2. ``assemble``: the batches move one by one into a folder that a streaming query reads. The query is started
    anew for each on the same checkpoint, and runs one micro-batch, whose watermark is the largest day of the
-   batches before it. A last start with nothing but a sentinel lets the timers of all that is open fire.
+   batches before it. The last start goes on, once its sentinel has moved the watermark beyond all days, with a
+   micro-batch without data, in which the timers of all that is open fire.
 3. ``parts``: within the stream a task sums its rows by sale_id and day, and sends a row for each group.
 4. ``Assemblies``, a stateful processor on RocksDB: a ValueState holds the open assemblies of a group, one record
    for each sale_id. Records join them day by day. A timer is registered when an assembly opens, for the day on which
@@ -93,7 +94,7 @@ def heads(sales: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def cut(sales: DataFrame, lines: DataFrame, path: str, batches: int, sales_per_group: int) -> None:
-    """Write the feed's batches under ``path``, as folders batch=0 to batch=``batches``; the last is the flush."""
+    """Write the feed's batches under ``path``, as folders batch=0 to batch=``batches`` - 1."""
     spark = sales.sparkSession
     if sales_per_group == 1:
         group = F.col("sale_id")
@@ -113,8 +114,8 @@ def cut(sales: DataFrame, lines: DataFrame, path: str, batches: int, sales_per_g
     add(arrived_lines(lines), False)
     came = spark.read.schema("sale_id long, day int, head boolean, cents long").parquet(f"{path}/cut")
     add(heads(sales, came.where("NOT head")), True)
-    last = F.when(F.col("id") >= batches - 1, _LATEST + _SHIFT + 1).otherwise(0).cast("long")
-    sentinels = spark.range(0, batches + 1, 1, 1).select(none.alias("sale_id"), none.cast("int").alias("day"), F.lit(False).alias("head"), none.alias("cents"), none.alias("due"), F.lit(-1).cast("long").alias("group"), F.timestamp_seconds(last * 86_400).alias("at"), F.col("id").cast("int").alias("batch"))
+    last = F.when(F.col("id") == batches - 1, _LATEST + _SHIFT + 1).otherwise(0).cast("long")
+    sentinels = spark.range(0, batches, 1, 1).select(none.alias("sale_id"), none.cast("int").alias("day"), F.lit(False).alias("head"), none.alias("cents"), none.alias("due"), F.lit(-1).cast("long").alias("group"), F.timestamp_seconds(last * 86_400).alias("at"), F.col("id").cast("int").alias("batch"))
     sentinels.write.mode("append").partitionBy("batch").parquet(f"{path}/cut")
 
 
@@ -191,25 +192,42 @@ def restored(raw: bytes) -> np.ndarray:
     return out
 
 
-def joined(held: np.ndarray, came: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(still open, complete) after a day's records have joined the open assemblies; both by sale_id."""
-    place = np.searchsorted(held["sale"], came["sale"])
-    inside = place < len(held)
-    known = inside.copy()
-    known[inside] = held["sale"][place[inside]] == came["sale"][inside]
-    old, more = place[known], came[known]
-    held["last"][old] = more["last"]
-    held["lines"][old] += more["lines"]
-    held["cents"][old] += more["cents"]
-    held["due"][old] = np.maximum(held["due"][old], more["due"])
-    held["head"][old] |= more["head"]
-    touched = np.zeros(len(held), bool)
-    touched[old] = True
-    every, now = np.concatenate([held, came[~known]]), np.concatenate([touched, np.ones((~known).sum(), bool)])
-    order = np.argsort(every["sale"], kind="stable")
-    every, now = every[order], now[order]
-    done = now & (every["head"] > 0) & (every["lines"] > 0) & (every["cents"] == every["due"])
-    return every[~done], every[done]
+def advanced(held: np.ndarray, came: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(still open, complete) after records of some days have joined the open assemblies.
+
+    Each sale_id's records join in the order of their days, all sale_ids' first ones together, then the second ones, and so
+    on; so the work is that of the records, however many assemblies are open.
+    """
+    came = came[np.lexsort((came["first"], came["sale"]))]
+    fresh = np.ones(len(came), bool)
+    fresh[1:] = came["sale"][1:] != came["sale"][:-1]
+    begin = np.flatnonzero(fresh)
+    many = np.diff(np.append(begin, len(came)))
+    now = np.zeros(len(begin), HELD)
+    now["sale"], now["due"] = came["sale"][begin], _NO_DUE
+    at = np.searchsorted(now["sale"], held["sale"])
+    known = now["sale"][np.minimum(at, len(now) - 1)] == held["sale"]
+    now[at[known]] = held[known]
+    is_open = np.zeros(len(now), bool)
+    is_open[at[known]] = True
+    complete = []
+    for k in range(int(many.max(initial=0))):
+        own = np.flatnonzero(many > k)
+        more, was = came[begin[own] + k], now[own]
+        was["first"] = np.where(is_open[own], was["first"], more["first"])
+        was["last"] = more["first"]
+        was["lines"] += more["lines"]
+        was["cents"] += more["cents"]
+        was["due"] = np.maximum(was["due"], more["due"])
+        was["head"] |= more["head"]
+        done = (was["head"] > 0) & (was["lines"] > 0) & (was["cents"] == was["due"])
+        complete.append(was[done])
+        for name, value in (("lines", 0), ("cents", 0), ("due", _NO_DUE), ("head", 0)):
+            was[name][done] = value
+        now[own] = was
+        is_open[own] = ~done
+    left = np.concatenate([held[~known], now[is_open]])
+    return left[np.argsort(left["sale"])], np.concatenate(complete)
 
 
 class Assemblies(StatefulProcessor):
@@ -236,10 +254,9 @@ class Assemblies(StatefulProcessor):
         came = summed(np.concatenate(sent))
         held = self._held()
         before = set(held["first"].tolist())
-        for own in np.split(came, np.flatnonzero(np.diff(came["first"])) + 1):
-            held, done = joined(held, own)
-            if len(done):
-                yield _closings(done, "complete")
+        held, done = advanced(held, came)
+        if len(done):
+            yield _closings(done, "complete")
         self._hold(held)
         after = set(held["first"].tolist())
         for day in after - before:
@@ -249,8 +266,9 @@ class Assemblies(StatefulProcessor):
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         held = self._held()
-        fired = expiredTimerInfo.getExpiryTimeInMs()
-        over = np.array([_due_at(d) <= fired for d in held["first"].tolist()], bool)
+        upto = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)  # at once for all timers that fire now
+        due = {d: _due_at(d) <= upto for d in set(held["first"].tolist())}
+        over = np.array([due[d] for d in held["first"].tolist()], bool)
         if over.any():
             self._hold(held[~over])
             yield _unfinished(held[over])
@@ -272,12 +290,13 @@ def assemble(sales: DataFrame, lines: DataFrame, batches: int = 12, sales_per_gr
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a query has one micro-batch, and its stores' own folders would stay for a minute
-        "spark.sql.streaming.noDataMicroBatches.enabled": "false",  # such a batch would fire timers by the days of its own data
     }.items():
         own.conf.set(name, value)
-    for k in range(batches + 1):
+    for k in range(batches):
+        # A micro-batch without data fires timers by the days of the batch before it: wanted for the last one's sentinel alone.
+        own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(k == batches - 1).lower())
         move(spark, f"{path}/cut/batch={k}", f"{path}/feed/{k}")
-        run(own, path, min(k, batches - 1))
+        run(own, path, k)
     for name in ("cut", "feed", "checkpoint"):
         remove(spark, f"{path}/{name}")
     return spark.read.schema(f"{CLOSED}, closing_batch int").parquet(f"{path}/closed")

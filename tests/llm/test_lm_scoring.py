@@ -40,9 +40,10 @@ def test_a_level_finds_its_grams():
     codes = rng.integers(0, 65536, len(kept))
     level = T.Level(memoryview(T.Level.build(np.array(sorted(sizes)), np.array([sizes[a] for a in sorted(sizes)]), np.array([b for _, b in kept]), codes, np.arange(len(kept)))))
     asked = Counter(a for a, _ in grams)
-    found, beside = level.find(np.array(sorted(asked)), np.array([asked[a] for a in sorted(asked)]), np.array([b for _, b in grams]))
+    found, beside, begins = level.find(np.array(sorted(asked)), np.array([asked[a] for a in sorted(asked)]), np.array([b for _, b in grams]))
     place = {g: k for k, g in enumerate(kept)}
     assert found.tolist() == [place.get(g, -1) for g in grams]
+    assert all(b == min(k for k, g in enumerate(kept) if g[0] == a) for a, b in list(zip(sorted(asked), begins.tolist(), strict=True))[:300] if a in sizes)
     assert (level.codes == codes).all() and (level.counts == np.arange(len(kept))).all()
     assert all(kept[f - b][0] == kept[f][0] and (f == b or kept[f - b - 1][0] != kept[f][0]) for f, b in zip(found.tolist(), beside.tolist(), strict=True) if f >= 0)
 
