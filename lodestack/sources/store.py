@@ -1,17 +1,20 @@
 """Stores that are written unit by unit: sections of a document, records of a section, review flags, states of items.
 
-A store is a folder of versions. A version holds all rows of the units it writes, and a bare row for units
-that have none left; a unit's rows are those of its last version. Writing a version twice leaves the same
-files, so a repeated run is harmless, and nothing that others read is rewritten in place.
+A store is a folder of versions, each in buckets by a hash of the unit. A version holds all rows of the units it writes; a
+unit's rows are those of its last version. An index, in the same buckets, has a row for each unit of each version and
+says whether the unit has any rows left; it is written after the rows, so a version counts when it is whole.
+So the last versions are found without reading rows, and one unit's rows by opening one bucket. Writing a version
+twice leaves the same files, so a repeated run is harmless, and nothing that others read is rewritten in place.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,31 +23,60 @@ SECTIONS = ("doc_id",)
 RECORDS = ("doc_id", "section_id", "record_type")
 REVIEWS = ("doc_id", "section_id", "record_type")
 ITEMS = ("run_id", "item_id")
+#: Buckets of a version, and the folder of the index.
+BUCKETS, INDEX = 64, "_index"
 # The artifacts that a parser leaves for a document.
 ARTIFACTS = ("content", "structure", "headings", "tables", "page_map", "quality", "meta")
 
 
+def _bucket(unit: tuple[str, ...]) -> Column:
+    return F.pmod(F.hash(*[F.col(c).cast("string") for c in unit]), F.lit(BUCKETS)).alias("bucket")
+
+
 def write_units(rows: DataFrame, path: str, unit: tuple[str, ...], version: int, units: DataFrame | None = None) -> None:
     """All rows of the units that they are in; ``units`` lists further ones, whose rows are all gone now."""
-    whole = rows.withColumn("held", F.lit(True))
+    rows.withColumn("bucket", _bucket(unit)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={version}")
+    listed = rows.select(*unit, F.lit(True).alias("held"))
     if units is not None:
-        bare = units.select(*unit).distinct().join(rows.select(*unit).distinct(), list(unit), "left_anti").withColumn("held", F.lit(False))
-        whole = whole.unionByName(bare, allowMissingColumns=True)
-    whole.write.mode("overwrite").parquet(f"{path}/version={version}")
+        listed = listed.unionByName(units.select(*unit, F.lit(False).alias("held")))
+    index = listed.groupBy(*unit).agg(F.max("held").alias("held"))
+    index.withColumn("bucket", _bucket(unit)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/{INDEX}/version={version}")
 
 
-def read_units(spark: SparkSession, path: str, unit: tuple[str, ...], upto: int | None = None) -> DataFrame:
-    """The rows of each unit's last version, or of the last one up to a given version."""
-    every = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(path)
+def _rows(spark: SparkSession, path: str, schema: str | None) -> DataFrame:
+    """All versions; with a schema (the rows' own columns) no file is opened to find it out."""
+    read = spark.read.option("basePath", path)
+    return read.schema(f"{schema}, bucket int, version long").parquet(path) if schema else read.option("mergeSchema", "true").parquet(path)
+
+
+def last_versions(spark: SparkSession, path: str, unit: tuple[str, ...], upto: int | None = None) -> DataFrame:
+    """Each unit's last version, or its last one up to a given version, if it has rows left: unit, bucket and version."""
+    index = spark.read.parquet(f"{path}/{INDEX}")
     if upto is not None:
-        every = every.where(F.col("version") <= upto)
-    last = every.groupBy(*unit).agg(F.max("version").alias("version"))
-    return every.join(last, [*unit, "version"], "left_semi").where("held").drop("held", "version")
+        index = index.where(F.col("version") <= upto)
+    last = index.groupBy("bucket", *unit).agg(F.max_by("held", "version").alias("held"), F.max("version").alias("version"))
+    return last.where("held").drop("held")
+
+
+def read_units(spark: SparkSession, path: str, unit: tuple[str, ...], upto: int | None = None, schema: str | None = None) -> DataFrame:
+    """The rows of each unit's last version, or of the last one up to a given version."""
+    last = last_versions(spark, path, unit, upto)
+    return _rows(spark, path, schema).join(last, [*unit, "bucket", "version"], "left_semi").drop("bucket", "version")
+
+
+def read_unit(spark: SparkSession, path: str, unit: dict[str, object], schema: str | None = None) -> DataFrame:
+    """The rows of one unit's last version. Of the index and of that version one bucket is opened."""
+    names = tuple(unit)
+    own = reduce(lambda a, b: a & b, [F.col(c) == v for c, v in unit.items()])
+    bucket = spark.range(1).select(*[F.lit(v).alias(c) for c, v in unit.items()]).select(_bucket(names)).first()[0]
+    last = spark.read.parquet(f"{path}/{INDEX}").where(own & (F.col("bucket") == bucket)).agg(F.max(F.struct("version", "held")).alias("last")).first()["last"]
+    version = last["version"] if last and last["held"] else -1
+    return _rows(spark, path, schema).where((F.col("version") == version) & (F.col("bucket") == bucket) & own).drop("bucket", "version")
 
 
 def compact(spark: SparkSession, path: str, unit: tuple[str, ...], into: str) -> None:
     """The last versions alone, as version 0 of a new store."""
-    read_units(spark, path, unit).withColumn("held", F.lit(True)).write.mode("overwrite").parquet(f"{into}/version=0")
+    write_units(read_units(spark, path, unit), into, unit, 0)
 
 
 def latest_states(events: DataFrame, key: tuple[str, ...] = ITEMS, order: str = "at") -> DataFrame:
@@ -68,6 +100,11 @@ def read_artifact(spark: SparkSession, path: str, name: str, schema: str) -> Dat
     return spark.read.schema(f"doc_id string, {schema}").json(f"{path}/{name}")
 
 
+def read_artifacts(spark: SparkSession, path: str, schemas: dict[str, str]) -> dict[str, DataFrame]:
+    """Several artifacts of all documents; an error that names the first that is missing, in the order of ARTIFACTS, before any is read."""
+    return {name: read_artifact(spark, path, name, schemas[name]) for name in sorted(schemas, key=ARTIFACTS.index)}
+
+
 def yaml_texts(rows: DataFrame, key: str, left_out: tuple[str, ...] = ()) -> DataFrame:
     """key and text: each row as a YAML mapping in the order of its columns, without computed ones and nulls."""
     kept = [c for c in rows.columns if c not in left_out]

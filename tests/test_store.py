@@ -201,3 +201,33 @@ def test_truncations(spark):
     df = spark.createDataFrame([(["a"] * 7, "x" * 300), (["a"] * 5, "y")], "t array<string>, m string")
     got = df.select(records.first_suppressed(F.col("t")).alias("t"), F.length(records.error_snippet(F.col("m"))).alias("n")).collect()
     assert [(r.t, r.n) for r in got] == [(["a"] * 5 + ["and 2 more"], 200), (["a"] * 5, 1)]
+
+
+def files_read(df):
+    """Files that the scans of a plan have opened, once it has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(int(leaves.apply(k).metrics().apply("numFiles").value()) for k in range(leaves.size()))
+
+
+def test_one_unit_is_read_from_one_bucket(spark, tmp_path):
+    schema = "doc_id string, section_id string, record_type string, record_id string"
+    rows = lambda n, v: spark.createDataFrame([(f"d{k}", "s", "spec", f"{v}-{k}-{j}") for k in range(n) for j in range(2)], schema)
+    path = str(tmp_path / "records")
+    store.write_units(rows(300, 1), path, store.RECORDS, 1)
+    store.write_units(rows(40, 2), path, store.RECORDS, 2, units=spark.createDataFrame([("d299", "s", "spec")], "doc_id string, section_id string, record_type string"))
+    unit = lambda d: {"doc_id": d, "section_id": "s", "record_type": "spec"}
+    got = {d: sorted(r.record_id for r in store.read_unit(spark, path, unit(d), schema).collect()) for d in ("d7", "d200", "d299", "none")}
+    assert got == {"d7": ["2-7-0", "2-7-1"], "d200": ["1-200-0", "1-200-1"], "d299": [], "none": []}
+    assert files_read(store.read_unit(spark, path, unit("d7"), schema)) == 1
+    assert store.read_units(spark, path, store.RECORDS, schema=schema).count() == 2 * 299
+    assert store.read_units(spark, path, store.RECORDS, upto=1, schema=schema).count() == 600
+
+
+def test_the_first_missing_artifact_is_named(spark, tmp_path):
+    path = str(tmp_path)
+    store.write_artifact(spark.createDataFrame([("d", 1.0)], "doc_id string, overall double"), path, "quality")
+    with pytest.raises(FileNotFoundError, match="headings"):
+        store.read_artifacts(spark, path, {"quality": "overall double", "tables": "x string", "headings": "x string"})
+    assert store.read_artifacts(spark, path, {"quality": "overall double"})["quality"].count() == 1
