@@ -93,6 +93,12 @@ def heads(sales: DataFrame, lines: DataFrame) -> DataFrame:
     return own.join(sums, F.col("sale_id") == F.col("of_sale"), "left").select("sale_id", "day", F.coalesce(due, F.lit(0)).alias("due"))
 
 
+def writers(spark: SparkSession) -> int:
+    """Tasks that write files: an eighth of the shuffle partitions, since each writes one for every batch, but two for each core."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(partitions, max(partitions // 8, 2 * spark.sparkContext.defaultParallelism))
+
+
 def cut(sales: DataFrame, lines: DataFrame, path: str, batches: int, sales_per_group: int) -> None:
     """Write the feed's batches under ``path``, as folders batch=0 to batch=``batches`` - 1."""
     spark = sales.sparkSession
@@ -109,7 +115,7 @@ def cut(sales: DataFrame, lines: DataFrame, path: str, batches: int, sales_per_g
     def add(rows: DataFrame, is_head: bool) -> None:
         cents, due = (F.lit(0).cast("long"), F.col("due")) if is_head else (F.col("cents"), none)
         fed = rows.select("sale_id", "day", F.lit(is_head).alias("head"), cents.alias("cents"), due.alias("due"), group.alias("group"), F.timestamp_seconds(at * 86_400).alias("at"), batch.alias("batch"))
-        fed.write.mode("append").partitionBy("batch").parquet(f"{path}/cut")
+        fed.coalesce(writers(spark)).write.mode("append").partitionBy("batch").parquet(f"{path}/cut")
 
     add(arrived_lines(lines), False)
     came = spark.read.schema("sale_id long, day int, head boolean, cents long").parquet(f"{path}/cut")
@@ -308,4 +314,6 @@ def run(spark: SparkSession, path: str, batch: int) -> None:
     sums = feed.mapInArrow(worker.task("sales")(parts), PARTS)
     closed = sums.withWatermark("at", "0 seconds").groupBy("group").transformWithStateInPandas(Assemblies(), CLOSED, "Append", "EventTime")
     stamped = closed.withColumn("closing_batch", F.lit(batch))
+    if (files := writers(spark)) < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        stamped = stamped.repartition(files)
     stamped.writeStream.format("parquet").outputMode("append").option("path", f"{path}/closed").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
