@@ -24,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-MODULES = ("intake", "structure", "extraction", "records", "claims", "publishing", "evaluation", "streams")
+MODULES = ("intake", "structure", "extraction", "records", "claims", "publishing", "evaluation", "streams", "stores")
 
 
 def _load() -> None:
