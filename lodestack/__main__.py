@@ -28,6 +28,8 @@ NAMED = {
     ("extract", "items"): "work_items", ("extract", "offline"): "extract_offline", ("run", "status"): "run_metrics", ("run", "batches"): "batch_chunks", ("run", "budget"): "rolling_budget",
     ("claims", "contradictions"): "contradictions_spec", ("claims", "supersessions"): "supersession", ("compile", "topics"): "topic_classify", ("compile", "notes"): "note_entries",
     ("publish", "diff"): "publish_diff", ("publish", "validate"): "publish_validate", ("eval", "parser"): "eval_parser", ("eval", "extraction"): "eval_extraction", ("inference", "cost"): "cost_rollup",
+    ("intake", "bucket"): "bucket_assign", ("intake", "status"): "status_current", ("analyze", "review"): "review_merge", ("analyze", "bucket"): "contradiction_order", ("publish", "log"): "publish_files",
+    ("inference", "batch-status"): "batch_stats", ("inference", "batch-ingest"): "batch_results", ("inference", "log"): "log_usage_stream", ("extract", "records"): "record_store", ("extract", "retry-failed"): "batch_retries",
 }
 
 

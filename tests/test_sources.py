@@ -59,3 +59,20 @@ def test_provenance_overwrites_nested(spark):
     own = df.select(F.transform("s", lambda x: F.struct(x.alias("text"), F.lit("old").alias("provenance"))).alias("steps"), F.transform("w", lambda x: F.struct(x.alias("text"))).alias("warnings"))
     r = structure.with_provenance(own, F.struct(F.lit("d1").alias("doc"), F.lit(3).alias("page"))).first()
     assert r.provenance.doc == "d1" and r.steps[0].provenance.page == 3 and r.warnings[0].provenance.doc == "d1"
+
+
+def test_table_functions_give_what_the_frames_give(spark):
+    from pyspark.sql import functions as F
+
+    from lodestack.operators import structure
+    from lodestack.sources import files, table_functions
+
+    texts = [None, "", " \n\n", "# A\n\nb\n \t\n## C d\n\n#e\n\n  #  f \n\n\n\ng\r\n\r\nh", "---\na: 1\n---\nBody\n\n# X", "---\r\nb: 2\r\n---\r\nrest", "---\nno end", "x\n\n####### y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table_functions.register(spark)
+    key = lambda rows: sorted(map(tuple, rows), key=repr)
+    items = spark.sql("SELECT d.doc_id, i.idx, i.label, i.text, i.level FROM {docs} d, LATERAL markdown_items(d.text) i", docs=df).collect()
+    assert key(items) == key(structure.markdown_items(df).collect()) and len(items) > 9
+    head, body = files.frontmatter(F.col("text"))
+    parts = spark.sql("SELECT d.doc_id, p.head, p.body FROM {docs} d, LATERAL page_parts(d.text) p", docs=df).collect()
+    assert key(parts) == key(df.where("text IS NOT NULL").select("doc_id", head, body).collect())
