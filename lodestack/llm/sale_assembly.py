@@ -9,7 +9,7 @@ stays open too long is closed by the watermark, and a sentinel closes the rest a
    last batch has an event time after all others.
 2. ``assemble``: the batches move one by one into a folder that a streaming query reads. The query is started
    anew for each on the same checkpoint, and runs one micro-batch, whose watermark is the largest day of the
-   batches before it. The last start goes on, once its sentinel has moved the watermark beyond all days, with a
+   batches before it. A start without any sale makes the state's first snapshot. The last start goes on, once its sentinel has moved the watermark beyond all days, with a
    micro-batch without data, in which the timers of all that is open fire.
 3. ``parts``: within the stream a task sums its rows by sale_id and day, and sends a row for each group.
 4. ``Assemblies``, a stateful processor on RocksDB: a ValueState holds the open assemblies of a group, one record
@@ -100,7 +100,7 @@ def writers(spark: SparkSession) -> int:
 
 
 def cut(sales: DataFrame, lines: DataFrame, path: str, batches: int, sales_per_group: int) -> None:
-    """Write the feed's batches under ``path``, as folders batch=0 to batch=``batches`` - 1."""
+    """Write the feed's batches under ``path``, as folders batch=0 to batch=``batches`` - 1, and batch=-1 with a sentinel alone."""
     spark = sales.sparkSession
     if sales_per_group == 1:
         group = F.col("sale_id")
@@ -121,7 +121,7 @@ def cut(sales: DataFrame, lines: DataFrame, path: str, batches: int, sales_per_g
     came = spark.read.schema("sale_id long, day int, head boolean, cents long").parquet(f"{path}/cut")
     add(heads(sales, came.where("NOT head")), True)
     last = F.when(F.col("id") == batches - 1, _LATEST + _SHIFT + 1).otherwise(0).cast("long")
-    sentinels = spark.range(0, batches, 1, 1).select(none.alias("sale_id"), none.cast("int").alias("day"), F.lit(False).alias("head"), none.alias("cents"), none.alias("due"), F.lit(-1).cast("long").alias("group"), F.timestamp_seconds(last * 86_400).alias("at"), F.col("id").cast("int").alias("batch"))
+    sentinels = spark.range(-1, batches, 1, 1).select(none.alias("sale_id"), none.cast("int").alias("day"), F.lit(False).alias("head"), none.alias("cents"), none.alias("due"), F.lit(-1).cast("long").alias("group"), F.timestamp_seconds(last * 86_400).alias("at"), F.col("id").cast("int").alias("batch"))
     sentinels.write.mode("append").partitionBy("batch").parquet(f"{path}/cut")
 
 
@@ -298,11 +298,12 @@ def assemble(sales: DataFrame, lines: DataFrame, batches: int = 12, sales_per_gr
         "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a query has one micro-batch, and its stores' own folders would stay for a minute
     }.items():
         own.conf.set(name, value)
-    for k in range(batches):
+    for k in range(-1, batches):
+        # The first start has no sale: the store's first version is a snapshot, which every later start has to fetch.
         # A micro-batch without data fires timers by the days of the batch before it: wanted for the last one's sentinel alone.
         own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(k == batches - 1).lower())
         move(spark, f"{path}/cut/batch={k}", f"{path}/feed/{k}")
-        run(own, path, k)
+        run(own, path, max(k, 0))
     for name in ("cut", "feed", "checkpoint"):
         remove(spark, f"{path}/{name}")
     return spark.read.schema(f"{CLOSED}, closing_batch int").parquet(f"{path}/closed")
