@@ -6,18 +6,21 @@ P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)). It sums to one over the known words a
 of grams that were seen are kept as 16-bit codes of their logarithm (1/4096 of a power of ten); so are those of the
 order below where they are mixed in.
 
-1. Documents become blocks of some 2^21 tokens, written once: distinct words' hashes, and each token as a place among them.
+1. Documents become blocks of some 1.3 million tokens, written once: distinct words' hashes, and each token as a place among them.
 2. The words of all blocks are counted in slices of the hashes. A block gets back each word's id and count.
 3. For each order, a block sends its distinct grams to slices by their context: the context's id, the successor, how
    often training documents have it, and the code of the order below. A slice adds up, builds the trie's level of its
    contexts, maps it into memory and looks all grams up in it.
-4. Below the highest order, a block gets back for each gram its place in the level, which is the context's id for the
-   next order, and its place among the context's successors. That is what the next order knows the successor
-   by: a small number, relative to the context of the order below, instead of the word's id.
+4. Below the highest order, a block gets back for each gram that other blocks have as well its count and its place among
+   the context's successors, and for each context where these begin: the place in the level is the context's id for the
+   next order. The place among the context's successors is what the next order knows
+   the gram by: a small number, relative to the context of the order below, instead of the word's id.
    At the highest order the slices give back sums by document.
 
-Scale: each order shuffles each block's distinct grams once, and blocks once below the highest order, all as compressed
-byte planes. A context that is so frequent that its successors would fill much of a slice is split by successor, which
+Grams that one block alone can have are counted there, in a level of the trie that is the block's own.
+
+Scale: each order shuffles each block's distinct grams once, and what the block is told of them, as compressed byte planes.
+Blocks lie in buckets and aren't shuffled. A context that is so frequent that its successors would fill much of a slice is split by successor, which
 its count tells. Nothing of the corpus is broadcast or collected but N, V and the number of tokens. A block has
 a row for each slice it has grams of. Slices hold about SLICE grams, in one task at a time.
 
@@ -49,7 +52,7 @@ from lodestack.llm.words import hashed_words, mix
 from lodestack.session import bucketed, discard, materialize
 
 #: Tokens of a block, about.
-BLOCK = 1 << 21
+BLOCK = 5 << 18
 #: Grams of a slice, about, counted in each block that has them.
 SLICE = 1 << 20
 #: A context's count from which on its successors are dealt to several slices.
@@ -147,6 +150,11 @@ def _counted_words(sent: DataFrame, n: int) -> DataFrame:
     return sent.groupBy("slice").applyInArrow(counted, "block string, slice int, told binary, n long, v long")
 
 
+def mixture(count: np.ndarray, low: np.ndarray, context: np.ndarray, strength: float) -> np.ndarray:
+    """The logarithms of probabilities, from a gram's count, the code of the order below and the context's count."""
+    return np.log10((count.astype(np.float64) + strength * 10 ** decoded(low)) / (context.astype(np.float64) + strength))
+
+
 @dataclass
 class Chain:
     """A block's grams of one order, at each position that has one."""
@@ -188,7 +196,7 @@ class Sent:
         self.asked = possible & ~self.own
         self.logs = decoded(self.low) + np.where(many > 0, math.log10(strength) - np.log10(many + strength), 0)
         mine = np.flatnonzero(self.own & (self.train > 0))
-        exact = np.log10((self.train[mine] + strength * 10 ** decoded(self.low[mine])) / (many[mine] + strength))
+        exact = mixture(self.train[mine], self.low[mine], many[mine], strength)
         context, sizes = np.unique(self.a[mine], return_counts=True)
         _, level = _mapped(Level.build(context, sizes, self.b[mine], coded(exact)))
         found, _, _ = level.find(context, sizes, self.b[mine])
@@ -197,7 +205,7 @@ class Sent:
         own = chain.id[self.a] * _U(2**24) + np.where(self.parts > 1, mix(chain.rel[self.b]) % self.parts.astype(np.uint64), _U(0))
         self.part = own & _U(2**24 - 1)
         self.slice = (mix(own) % _U(n)).astype(np.int64)
-        self.chain, self.slices = chain, n
+        self.chain, self.slices, self.strength = chain, n, strength
         order = np.flatnonzero(self.asked)
         self.order = order[np.lexsort((chain.rel[self.b[order]], chain.id[self.a[order]], self.slice[order]))]
 
@@ -229,21 +237,28 @@ class Sent:
     def next(self, told: list[bytes]) -> Chain:
         """The grams as a chain, with what the slices have told, in order of slices."""
         size = len(self.a)
-        ids, rel, code, alone = np.zeros(size, np.uint64), np.zeros(size, np.uint64), coded(self.logs), np.ones(size, np.uint8)
+        ids, rel, alone = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.ones(size, np.uint8)
         count = np.where(self.own, self.train, 0).astype(np.uint64)
-        parts = [opened(x, _BEGINS, _ANSWER) for x in told]
+        parts = [opened(x, _BEGINS, _ALONE, _ANSWER) for x in told]
         if parts:
             begins = np.concatenate([p[0][0] for p in parts])
-            place, many, code[self.order], alone[self.order] = (np.concatenate([p[1][k] for p in parts]) for k in range(4))
-            at = (begins[np.cumsum(self.heads()) - 1] + place) * _U(self.slices) + self.slice[self.order].astype(np.uint64)
-            count[self.order] = many
-            ids[self.order] = np.where(many > 0, at, _U(0))
-            rel[self.order] = place * self.parts[self.order].astype(np.uint64) + self.part[self.order]
-        return Chain(self.doc, self.gram, ids, rel, count, code, alone)
+            alone[self.order] = np.concatenate([p[1][0] for p in parts])
+            count[self.order] = self.train[self.order]
+            shared = alone[self.order] == 0
+            own = self.order[shared]
+            place, many = (np.concatenate([p[2][k] for p in parts]) for k in (0, 1))
+            at = (begins[(np.cumsum(self.heads()) - 1)[shared]] + place) * _U(self.slices) + self.slice[own].astype(np.uint64)
+            count[own] = many
+            ids[own] = np.where(many > 0, at, _U(0))
+            rel[own] = place * self.parts[own].astype(np.uint64) + self.part[own]
+            told_of = self.order
+            self.logs[told_of] = mixture(count[told_of], self.low[told_of], self.chain.count[self.a[told_of]], self.strength)
+        return Chain(self.doc, self.gram, ids, rel, count, coded(self.logs), alone)
 
 
 _BEGINS = (np.uint64,)  # where a context's successors begin in its slice
-_ANSWER = (np.uint64, np.uint64, np.uint16, np.uint8)  # place among the context's own, count, code, whether no other block has it
+_ALONE = (np.uint8,)  # whether no other block has the gram; then its count is the block's own
+_ANSWER = (np.uint64, np.uint64)  # of the others: place among the context's own, count
 
 
 class Grams:
@@ -268,8 +283,7 @@ class Grams:
 
     def mixed(self, strength: float) -> np.ndarray:
         """The logarithms of the grams' probabilities."""
-        total = self.counts[self.context].astype(np.float64) + strength
-        return np.log10((self.seen + strength * 10 ** decoded(self.low)) / total)
+        return mixture(self.seen, self.low, self.counts[self.context], strength)
 
     def level(self, logs: np.ndarray, counts: bool) -> bytes:
         """The trie's level of what training documents have."""
@@ -304,12 +318,10 @@ def _answers(sent: DataFrame, n: int, strength: float) -> DataFrame:
         _, level = _mapped(grams.level(logs, counts=True))
         found, beside, begins = grams.looked_up(level)
         seen = found >= 0
-        at = np.where(seen, found, 0)
-        count = np.where(seen, level.counts[at] if len(level.counts) else 0, 0).astype(np.uint64)
-        code = np.where(seen, level.codes[at] if len(level.codes) else 0, coded(logs)).astype(np.uint16)
+        count = np.where(seen, level.counts[np.maximum(found, 0)] if len(level.counts) else 0, 0).astype(np.uint64)
         alone = (np.bincount(grams.place, minlength=len(seen)) == 1).astype(np.uint8)
-        columns = [grams.split(c) for c in (np.where(seen, beside, 0).astype(np.uint64), count, code, alone)]
-        told = [pressed((begins[context].astype(np.uint64),), own) for context, own in zip(grams.sent, zip(*columns, strict=True), strict=True)]
+        columns = [grams.split(c) for c in (alone, np.where(seen, beside, 0).astype(np.uint64), count)]
+        told = [pressed((begins[context].astype(np.uint64),), (a,), (p[a == 0], c[a == 0])) for context, a, p, c in zip(grams.sent, *columns, strict=True)]
         return pa.table({"block": table.column("block"), "slice": table.column("slice"), "told": pa.array(told, pa.binary())})
 
     return sent.where("grams IS NOT NULL").groupBy("slice").applyInArrow(answered, "block string, slice int, told binary")
