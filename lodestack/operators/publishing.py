@@ -82,7 +82,34 @@ def diff(staged: DataFrame, target: DataFrame, listed: DataFrame) -> DataFrame:
     return both.withColumn("change", change).where(F.col("change").isNotNull()).select("path", "change")
 
 
-CITATION = "[Source:"
+# The sections of a page's body, in order, and the folders that files may be published in.
+BODY_SECTIONS = ("## Summary", "## Field Guidance", "## Source Citations", "## Related Pages")
+FOLDERS = ("controllers", "fault-codes", "symptoms", "workflow-guidance", "contradictions", "supersessions", "source-index", "_manifests", "_sources", "_publish-log")
+
+
+def body_errors(body: Column) -> Column:
+    """What a page's body lacks of BODY_SECTIONS, each a line of its own, and whether all are there but not in order."""
+    own = F.concat(F.lit("\n"), body)  # a heading may be the first line
+    places = [F.locate(f"\n{name}\n", own) for name in BODY_SECTIONS]
+    lacking = F.array_compact(F.array(*[F.when(at == 0, F.lit(f"missing:{name}")) for name, at in zip(BODY_SECTIONS, places, strict=True)]))
+    ordered = F.array(*places) == F.array_sort(F.array(*places))
+    return F.when(F.size(lacking) > 0, lacking).when(~ordered, F.array(F.lit("order"))).otherwise(lacking)
+
+
+def manifest_errors(listed: DataFrame, before: DataFrame) -> DataFrame:
+    """Errors of published manifests (manifest, change, path): paths that are absolute, that climb, or that lead to no known folder, and removals of what was never published (before: path)."""
+    parts = F.split("path", "/")
+    wrong = (
+        F.when(F.startswith("path", F.lit("/")), "absolute")
+        .when(F.array_contains(parts, ".."), "climbs")
+        .when(~F.get(F.filter(parts, lambda x: (x != "") & (x != ".")), F.lit(0)).isin(*FOLDERS), "folder")
+    )
+    odd = listed.select("manifest", "path", wrong.alias("error")).where("error IS NOT NULL")
+    orphans = listed.where("change = 'removed'").join(before.select("path").distinct(), "path", "left_anti").select("manifest", "path", F.lit("orphan").alias("error"))
+    return odd.unionByName(orphans)
+
+
+CITATION = "[Source:"  # a fixed value
 
 
 def cited_lines(texts: DataFrame) -> DataFrame:

@@ -108,6 +108,11 @@ def records_with_sections(records: DataFrame, sections: DataFrame) -> DataFrame:
     return records.withColumn("section_id", section_of_record(F.col("record_id"))).join(sections, "section_id")
 
 
+def missing_sections(requested: DataFrame, sections: DataFrame) -> DataFrame:
+    """The sections (doc_id, section_id) that a run is asked for and that there aren't: it doesn't start with any."""
+    return requested.select("doc_id", "section_id").distinct().join(sections.select("doc_id", "section_id"), ["doc_id", "section_id"], "left_anti")
+
+
 def counts_by_section(records: DataFrame, sections: DataFrame) -> DataFrame:
     """Records of each section, 0 for sections without; and of sections that only records know."""
     held = records.groupBy(section_of_record(F.col("record_id")).alias("section_id")).agg(F.count(F.lit(1)).alias("n"))

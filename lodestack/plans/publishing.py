@@ -173,3 +173,31 @@ def source_documents(spark, sf_dir):
 @query("SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 20")
 def latest_runs(spark, sf_dir):
     return table(spark, sf_dir, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(20).select("event_id", "user_id", "event_type")
+
+
+_BODY = "CASE WHEN doc_id % 7 = 0 THEN '## Field Guidance' || chr(10) ELSE '' END || '## Summary' || chr(10) || coalesce(text, '') || CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 5 = 0 THEN chr(10) || '## Field Guidances' || chr(10) ELSE chr(10) || '## Field Guidance' || chr(10) END || chr(10) || '## Source Citations' || chr(10) || CASE WHEN doc_id % 11 <> 3 THEN '## Related Pages' || chr(10) ELSE '' END"
+
+
+@query(f"""WITH bodies AS (SELECT doc_id, chr(10) || {_BODY} AS body FROM documents), found AS (SELECT doc_id, [strpos(body, chr(10) || h || chr(10)) for h in ['## Summary', '## Field Guidance', '## Source Citations', '## Related Pages']] AS places FROM bodies),
+  named AS (SELECT doc_id, places, list_filter([CASE WHEN places[k] = 0 THEN 'missing:' || ['## Summary', '## Field Guidance', '## Source Citations', '## Related Pages'][k] END for k in [1, 2, 3, 4]], lambda e: e IS NOT NULL) AS lacking FROM found)
+  SELECT doc_id, CASE WHEN len(lacking) > 0 THEN array_to_string(lacking, ';') WHEN places <> list_sort(places) THEN 'order' ELSE '' END AS errors FROM named""")
+def page_sections(spark, sf_dir):
+    """Bodies with all sections, without some, and in another order."""
+    d, line = F.col("doc_id"), lambda x: F.lit(f"{x}\n")
+    body = F.concat(
+        F.when(d % 7 == 0, line("## Field Guidance")).otherwise(""), line("## Summary"), F.coalesce("text", F.lit("")),
+        F.when(d % 7 == 0, "").when(d % 5 == 0, line("\n## Field Guidances")).otherwise(line("\n## Field Guidance")), line("\n## Source Citations"), F.when(d % 11 != 3, line("## Related Pages")).otherwise(""),
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(O.body_errors(body), ";").alias("errors"))
+
+
+@query("""WITH listed AS (SELECT 'm' || (doc_id % 50) AS manifest, ['written', 'updated', 'removed'][doc_id % 3 + 1] AS change, ['controllers/', 'symptoms/', '/abs/', 'controllers/../', 'drafts/', '_sources/'][doc_id % 6 + 1] || doc_id || '.md' AS path, doc_id % 6 AS k, doc_id FROM documents)
+  SELECT manifest, path, CASE k WHEN 2 THEN 'absolute' WHEN 3 THEN 'climbs' ELSE 'folder' END AS error FROM listed WHERE k IN (2, 3, 4)
+  UNION ALL SELECT manifest, path, 'orphan' FROM listed WHERE change = 'removed' AND doc_id % 4 <> 0""")
+def manifest_errors(spark, sf_dir):
+    """Files listed by manifests, some badly; every fourth was published before."""
+    d = F.col("doc_id")
+    folder = F.element_at(F.array(*map(F.lit, ("controllers/", "symptoms/", "/abs/", "controllers/../", "drafts/", "_sources/"))), (d % 6 + 1).cast("int"))
+    change = F.element_at(F.array(*map(F.lit, ("written", "updated", "removed"))), (d % 3 + 1).cast("int"))
+    listed = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("m"), (d % 50).cast("string")).alias("manifest"), change.alias("change"), F.concat(folder, d.cast("string"), F.lit(".md")).alias("path"))
+    return O.manifest_errors(listed.drop("doc_id"), listed.where("doc_id % 4 = 0"))

@@ -179,6 +179,14 @@ def record_sections(spark, sf_dir):
     return O.records_with_sections(_record_ids(spark, sf_dir), _section_ids(spark, sf_dir)).select("record_id", "section_id")
 
 
+@query("""SELECT DISTINCT 'd' || doc_id AS doc_id, 'd' || doc_id || '--part-' || (doc_id % 3) AS section_id FROM documents WHERE doc_id % 3 = 2""")
+def missing_sections(spark, sf_dir):
+    doc = F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id")
+    asked = table(spark, sf_dir, "documents").select(doc, F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("--part-"), (F.col("doc_id") % 3).cast("string")).alias("section_id"))
+    there = _section_ids(spark, sf_dir).withColumn("doc_id", F.substring_index("section_id", "--", 1))
+    return O.missing_sections(asked, there)
+
+
 @query("""WITH sections AS (SELECT 'd' || doc_id || '--part-' || unnest([0, 1]) AS section_id FROM documents), held AS (SELECT 'd' || doc_id || '--part-' || (doc_id % 3) AS section_id, count(*) AS n FROM documents GROUP BY ALL)
   SELECT coalesce(s.section_id, h.section_id) AS section_id, coalesce(n, 0)::BIGINT AS records FROM (SELECT DISTINCT section_id FROM sections) s FULL JOIN held h ON s.section_id = h.section_id""")
 def record_section_counts(spark, sf_dir):
