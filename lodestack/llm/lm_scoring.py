@@ -353,6 +353,7 @@ def _finished(sums: DataFrame, tokens: int) -> DataFrame:
     def finished(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table.column("slice").to_pylist(), table.column("info").to_pylist(), table.column("sums").to_pylist(), strict=True), key=lambda r: r[0])
         ((doc, there, held, size, known, base, score),) = opened(next(r[1] for r in rows if r[1] is not None), _INFO)
+        score = score.copy()  # one document's is a part of what was read
         for _, _, raw in rows:
             if raw is not None:
                 ((own, more),) = opened(raw, (np.uint32, np.float64))
