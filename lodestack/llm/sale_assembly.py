@@ -16,8 +16,8 @@ stays open too long is closed by the watermark, and a sentinel closes the rest a
    for each sale_id. Records join them day by day. A timer is registered when an assembly opens, for the day on which
    it closes at the latest, and deleted when the last assembly with that day is complete. Timers fire after the data.
 
-A group is a sale_id with ``sales_per_group`` = 1. A call of a Python processor and its exchanges with the
-state store take about a millisecond, so the query makes groups of about SALES sale_ids by hash and steps
+A group is a sale_id with ``sales_per_group`` = 1. A call of a Python processor, with a frame and its exchanges with
+the state store, costs by estimate up to a millisecond, so the query makes groups of about SALES sale_ids by hash and steps
 through a group's days with numpy. The state of a group is bounded by that; groups grow in number with the input.
 
 Scale: a sale with very many lines is a record for each day in each task that reads some. Sums are made before each
