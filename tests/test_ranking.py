@@ -84,3 +84,21 @@ def test_claims_that_agree_are_compared_once(spark):
     assert classes.count() == 22 and members.count() == 20_000
     assert claims.class_pairs(classes, ("bucket",)).count() < 22 * 21 / 2
     assert sum(r.claims for r in classes.select("claims").collect()) == 20_000
+
+
+def test_texts_of_a_hot_subject_meet_in_blocks(spark, monkeypatch):
+    """Warnings of one subject are dealt to several pairs of blocks, and no task compares them all."""
+    monkeypatch.setattr(claims, "BLOCK", 16)
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(12)] + ["never"]
+    rows = []
+    for k in range(120):
+        text = " ".join(rng.sample(words, rng.randint(0, 6)))
+        rows.append(("x", f"c{k:03d}", "warning", "s", "m", "f", rng.choice([[], ["m1"], ["m2", "m1"], ["m3", "m2"]]), rng.choice([None, "a", "b"]), text, text))
+    classes, members = claims.claim_classes(spark.createDataFrame(rows, CLAIMS), ("bucket",))
+    listed = classes.where("size(models) > 0").selectExpr("*", "explode(models) AS model")
+    left, right = claims._blocks(listed, listed, ["subject", "model"], "class_id")
+    assert max(r["count"] for r in left.groupBy("model", "a_block", "b_block").count().collect()) < 40
+    assert left.select("model", "a_block", "b_block").distinct().count() > 10
+    got = Counter((r.a_claim_id, r.b_claim_id) for r in claims.expanded(claims.class_pairs(classes, ("bucket",)), members).collect())
+    assert got == Counter((a[1], b[1]) for a, b in combinations(rows, 2) if contradicts(a, b))
