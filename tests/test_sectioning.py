@@ -109,3 +109,10 @@ def test_cells_of_tables_are_stripped_and_kept(spark):
 
     df = spark.createDataFrame([([[" a ", "b\t"], ["1"], [None, " 2"]],)], "data array<array<string>>")
     assert df.select(table_markdown(F.col("data"))).first()[0] == "| a | b |\n| --- | --- |\n| 1 |  |\n| None | 2 |"
+
+
+def test_long_numbers_are_step_numbers(spark):
+    """As far as 64 bits go; greater ones count on from the step before."""
+    lines = [("section_header", "Standard Operating Procedure", 1), ("text", "4086284905736939 Switch off.\n99999999999999999999 Wait.", 1)]
+    _, steps, _ = through(spark, lines, kind="SOP", doc_class="operational")
+    assert [(s.step_no, s.body) for s in steps] == [(4086284905736939, "Switch off."), (4086284905736940, "Wait.")]
