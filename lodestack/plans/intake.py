@@ -28,9 +28,9 @@ def checksum_dedup(spark, sf_dir):
     return O.first_by_checksum(manifests(spark, sf_dir), "doc_id").select("doc_id", "first_seen", "copies", "is_first")
 
 
-@query(f"""WITH {MANIFESTS} SELECT checksum, arg_max(doc_id, 'manifests/d' || doc_id || '.json') AS owner FROM manifests GROUP BY checksum""")
+@query(f"""WITH {MANIFESTS} SELECT checksum, arg_max(doc_id, 'manifests/d' || doc_id || '.json') AS owner, count(*) AS copies FROM manifests GROUP BY checksum""")
 def checksum_index(spark, sf_dir):
-    """Of equal checksums the manifest with the last path counts."""
+    """Of equal checksums the manifest with the last path counts; copies says how many manifests have the checksum."""
     path = F.concat(F.lit("manifests/d"), F.col("doc_id").cast("string"), F.lit(".json"))
     return store.checksum_index(manifests(spark, sf_dir).select("checksum", "doc_id", path.alias("path"))).withColumnRenamed("doc_id", "owner")
 

@@ -151,8 +151,8 @@ def publish(staged: DataFrame, sources: DataFrame, path: str, version: str) -> N
 
 
 def checksum_index(manifests: DataFrame) -> DataFrame:
-    """checksum and doc_id of manifests (checksum, doc_id, path); of equal checksums the last path counts."""
-    return manifests.groupBy("checksum").agg(F.max_by("doc_id", "path").alias("doc_id"))
+    """checksum, doc_id and number of copies of manifests (checksum, doc_id, path); of equal checksums the last path counts."""
+    return manifests.groupBy("checksum").agg(F.max_by("doc_id", "path").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
 
 
 def save_checksum_index(index: DataFrame, path: str) -> None:

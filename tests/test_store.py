@@ -197,6 +197,11 @@ def test_checksum_index(spark, tmp_path):
     assert sorted(map(tuple, store.load_checksum_index(spark, path).collect())) == [("c1", "d2"), ("c2", "d3")]
 
 
+def test_checksum_index_counts_copies(spark):
+    manifests = spark.createDataFrame([("c1", "d1", "a"), ("c1", "d2", "b"), ("c2", "d3", "c")], "checksum string, doc_id string, path string")
+    assert sorted((r.checksum, r.doc_id, r.copies) for r in store.checksum_index(manifests).collect()) == [("c1", "d2", 2), ("c2", "d3", 1)]
+
+
 def test_truncations(spark):
     df = spark.createDataFrame([(["a"] * 7, "x" * 300), (["a"] * 5, "y")], "t array<string>, m string")
     got = df.select(records.first_suppressed(F.col("t")).alias("t"), F.length(records.error_snippet(F.col("m"))).alias("n")).collect()
