@@ -6,9 +6,7 @@ out-of-place distance: the sum of differences of rank, and the greatest differen
 that the language's profile lacks. The nearest language wins; ties go to the first by code point.
 The score is 1 minus the distance's part of the greatest distance possible.
 
-Training counts the whole texts of a bounded sample: of each language's labelled documents, those
-whose hash falls under SAMPLE / (their number), so about SAMPLE of them, or all if there are fewer.
-The model has PROFILE n-grams for each language, so its size depends on the languages alone.
+Training counts the whole texts of all labelled documents that are not held out. The model has PROFILE n-grams for each language, so its size depends on the languages alone.
 Prediction is one map over the documents.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every text if
@@ -19,6 +17,7 @@ rows. Extra columns are left out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,13 +28,15 @@ from pyspark.sql.window import Window
 
 from lodestack.llm import worker
 
-#: Labelled documents of each language that training counts, about.
-SAMPLE = 400
 #: n-grams of a profile.
 PROFILE = 300
 UNKNOWN = "und"
 #: A text whose score is under this part of what nearly all labelled documents reach is in none of their languages.
 FOREIGN = 0.5
+#: Codes that training sorts at once, and different ones that a task keeps before it sends them.
+_AT_ONCE = 1 << 19
+#: Steps of the scores' distribution.
+_STEPS = 1 << 16
 _BITS = np.uint64(21)
 
 
@@ -94,32 +95,59 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _drawn(docs: DataFrame, sample: int) -> DataFrame | None:
-    """lang and text of the sample: about ``sample`` labelled documents of each language that are not held out."""
-    labelled = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return None
-    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, sample / n)]), F.col("lang"))
-    return labelled.where((F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)) < share).select("lang", "text")
+def _labelled(docs: DataFrame) -> DataFrame:
+    """lang and text of all documents with a label that are not held out."""
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text")
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, size: int = PROFILE) -> Model:
-    """Profiles from documents with a label that are not held out."""
-    drawn = _drawn(docs, sample)
-    if drawn is None:
-        return Model({}, size)
+class _Counts:
+    """Counts of a task's codes by language; what is held is bounded."""
 
+    def __init__(self) -> None:
+        self.fresh: dict[str, list[np.ndarray]] = {}
+        self.size = 0
+        self.counts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def add(self, lang: str, codes: np.ndarray) -> None:
+        self.fresh.setdefault(lang, []).append(codes)
+        self.size += len(codes)
+        if self.size > _AT_ONCE:
+            self.fold()
+
+    def fold(self) -> None:
+        for lang, codes in self.fresh.items():
+            values, n = np.unique(np.concatenate(codes), return_counts=True)
+            if lang in self.counts:
+                own, many = self.counts[lang]
+                both, at = np.unique(np.concatenate([own, values]), return_inverse=True)
+                values, n = both, np.bincount(at, np.concatenate([many, n])).astype(np.int64)
+            self.counts[lang] = values, n
+        self.fresh, self.size = {}, 0
+
+    def full(self) -> bool:
+        return sum(len(values) for values, _ in self.counts.values()) > _AT_ONCE
+
+    def sent(self) -> Iterator[pa.RecordBatch]:
+        self.fold()
+        for lang, (values, n) in self.counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "code", "n"])
+        self.counts = {}
+
+
+def train(docs: DataFrame, size: int = PROFILE) -> Model:
+    """Profiles from all documents with a label that are not held out."""
+
+    @worker.task("langid")
     def count(batches):
+        counts = _Counts()
         for batch in batches:
-            held: dict[str, list] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.setdefault(lang, []).append(ngram_codes(text.as_py()))
-            for lang, codes in held.items():
-                values, n = np.unique(np.concatenate(codes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "code", "n"])
-
-    grams = drawn.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                counts.add(lang.as_py(), ngram_codes(text.as_py()))
+                if counts.full():
+                    yield from counts.sent()
+        yield from counts.sent()
+
+    grams = _labelled(docs).mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = grams.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
     profiles: dict[str, list[int]] = {}
@@ -140,13 +168,19 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, "doc_id long, lang_pred string, score double")
 
 
-def least_score(docs: DataFrame, model: Model, sample: int = SAMPLE) -> float:
-    """The score under which a text is in none of the model's languages: FOREIGN times that of the sample's lowest hundredth."""
-    drawn = _drawn(docs, sample)
-    if drawn is None:
-        return 0.0
-    scores = predict(drawn.select(F.lit(None).cast("long").alias("doc_id"), "text"), model).where(F.col("lang_pred") != UNKNOWN)
-    return FOREIGN * (scores.agg(F.percentile_approx("score", 0.01, 100_000)).first()[0] or 0.0)
+def least_score(docs: DataFrame, model: Model) -> float:
+    """The score under which a text is in none of the model's languages: FOREIGN times that which 99 % of all labelled documents that are not held out reach.
+
+    Scores are counted in _STEPS steps; the one in which the lowest hundredth ends counts from its lower end.
+    """
+    scores = predict(_labelled(docs).select(F.lit(None).cast("long").alias("doc_id"), "text"), model).where(F.col("lang_pred") != UNKNOWN)
+    steps = sorted(map(tuple, scores.groupBy(F.floor(F.col("score") * _STEPS).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()))
+    most, before = 0.01 * sum(n for _, n in steps), 0
+    for step, n in steps:
+        before += n
+        if before >= most:
+            return FOREIGN * step / _STEPS
+    return 0.0
 
 
 def keep_languages(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:

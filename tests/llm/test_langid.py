@@ -76,3 +76,19 @@ def test_out_of_place_distance():
     assert langid.ranked(codes, 1)[0] == ord("a") + 2
     assert model.predict("…")[0] == "und"
     assert langid.Model({}, 3).predict("abc") == ("und", 0.0)
+
+
+def test_all_labelled_documents_are_learned_from(spark, monkeypatch):
+    """Profiles are those of a plain count of all of them, however often a task sends what it holds; so is the least score."""
+    import numpy as np
+
+    monkeypatch.setattr(langid, "_AT_ONCE", 500)
+    rows = [(k, f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)} und {'abc' * (k % 5)}", "de") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = langid.train(docs)
+    taught = [t for d, t, _ in rows if zlib.crc32(str(d).encode()) % 4 != 2]
+    profile = langid.ranked(np.concatenate([langid.ngram_codes(t) for t in taught]), langid.PROFILE)
+    plain = langid.Model({"de": [int(c) for c in profile]}, langid.PROFILE)
+    assert (model.codes == plain.codes).all() and (model.ranks == plain.ranks).all()
+    lowest = sorted(plain.predict(t)[1] for t in taught)[-(-len(taught) // 100) - 1]
+    assert 0 <= langid.FOREIGN * lowest - langid.least_score(docs, model) < 1 / langid._STEPS
