@@ -44,15 +44,24 @@ def zip_sorted(expected: DataFrame, actual: DataFrame, key: str, order: str) ->
 def table_fits(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """kind, turn, fits: the actual tables that a kind of expected ones would take, numbered in order.
 
-    expected: kind, fixture, rows, columns, cells (what is needed), one row for each kind. An actual table is found by
-    its cells, through a list of the tables by cell, and fits if it has as many of those needed as there are.
+    expected: kind, fixture, rows, columns, cells (what is needed), one row for each kind; cells are distinct on both sides. An actual table that fits has
+    the longest of these cells too, so it is found by that one, through a list of the tables by cell; whether it has the
+    others is asked of those found. The list has only cells whose 16-bit code is that of a cell asked for in their place.
     """
     place = ["fixture", "rows", "columns"]
-    needed = expected.select("kind", *place, F.size("cells").alias("n"), F.explode("cells").alias("cell"))
-    listed = actual.select(*place, F.col("ordinal").alias("fits"), F.explode(F.array_distinct("cells")).alias("cell"))
-    found = needed.join(listed, [*place, "cell"]).groupBy("kind", "fits").agg(F.count(F.lit(1)).alias("had"), F.first("n").alias("n")).where("had = n").select("kind", "fits")
+    code = lambda c: F.xxhash64(c).bitwiseAND(0xFFFF).cast("int")
+    longest = F.array_max(F.transform("cells", lambda c: F.struct(F.length(c).alias("n"), c.alias("cell"))))["cell"]
+    asked = expected.where(F.size("cells") > 0).select("kind", *place, F.size("cells").alias("n"), longest.alias("cell"))
+    codes = asked.groupBy(*place).agg(F.collect_set(code("cell")).alias("codes"))
+    some = actual.join(codes, place).withColumn("codes", F.array_intersect(F.transform("cells", code), "codes")).where(F.size("codes") > 0)
+    listed = some.select(*place, F.col("ordinal").alias("fits"), F.explode(F.filter("cells", lambda c: F.array_contains("codes", code(c)))).alias("cell"))
+    met = materialize(asked.join(listed, [*place, "cell"]).select("kind", "n", "fixture", "fits"), "table-met")
+    tables = actual.select("fixture", F.col("ordinal").alias("fits"), F.col("cells").alias("had"))
+    whole = ~F.exists("cells", F.isnull) & (F.size(F.array_except("cells", "had")) == 0)
+    rest = met.where("n > 1").join(tables, ["fixture", "fits"]).join(expected.select("kind", "cells"), "kind").where(whole)
     anything = expected.where(F.size("cells") == 0).join(actual.select(*place, F.col("ordinal").alias("fits")), place).select("kind", "fits")
-    return placed(found.unionByName(anything), ["kind"], ["fits"], "turn")
+    found = met.where("n = 1").select("kind", "fits").unionByName(rest.select("kind", "fits")).unionByName(anything)
+    return placed(materialize(found, "table-found"), ["kind"], ["fits"], "turn")
 
 
 def match_tables(df: DataFrame) -> DataFrame:
@@ -63,11 +72,16 @@ def match_tables(df: DataFrame) -> DataFrame:
     lead to it as well: everyone bids for the first table that has not turned it down; the earliest bidder holds it, until an
     earlier one comes. Expected tables of one size and need have the same list, so the n-th of them begins at its n-th table.
     """
-    expected = df.where("role = 'expected'").withColumn("cells", F.array_sort(F.array_distinct("cells")))
-    kinds = expected.withColumn("kind", F.sha2(F.to_json(F.struct("fixture", "rows", "columns", "cells")), 256))
+    own = F.array_distinct("cells")
+    cells = F.when(F.col("role") == "expected", F.sort_array(own)).otherwise(own)
+    df = materialize(df.select("fixture", "role", "ordinal", "rows", "columns", cells.alias("cells")), "tables")
+    expected = df.where("role = 'expected'")
+    digest = F.unhex(F.sha2(F.to_json(F.struct("fixture", "rows", "columns", "cells")), 256))
+    kinds = materialize(expected.select("fixture", "rows", "columns", "cells", "ordinal", digest.alias("kind")), "table-kinds")
     fits = table_fits(kinds.select("kind", "fixture", "rows", "columns", "cells").dropDuplicates(["kind"]), df.where("role = 'actual'"))
     fits = materialize(fits, "table-fits")
     bids = placed(kinds.select("fixture", "kind", "ordinal"), ["kind"], ["ordinal"], "turn")
+    discard(kinds)
     now = None
     while True:
         met = bids.join(fits, ["kind", "turn"], "left")

@@ -41,3 +41,20 @@ def test_like_the_greedy_loop(spark, seed):
 def test_an_earlier_table_displaces_a_later_one(spark):
     rows = [(1, "expected", 1, 1, 1, ["a"]), (1, "expected", 2, 1, 1, ["b"]), (1, "expected", 3, 1, 1, ["c"]), (1, "actual", 4, 1, 1, ["a", "b"]), (1, "actual", 5, 1, 1, ["b", "c"])]
     assert evaluation.match_tables(spark.createDataFrame(rows, TABLES)).first()[1:] == (3, 2)
+
+
+def test_tables_meet_by_the_longest_cell_only(spark, monkeypatch):
+    """Forty tables share twenty short cells, each pair a long one: no row is made for what is merely common."""
+    made, real = {}, evaluation.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(evaluation, "materialize", counted)
+    common = [f"c{k}" for k in range(20)]
+    rows = [(1, role, k, 1, 1, [*common, f"much longer {k // 2}"]) for k in range(80) for role in [("expected", "actual")[k % 2]]]
+    rows += [(1, "expected", 90, 1, 1, [None, "much longer 3"]), (1, "actual", 91, 1, 1, [None, "much longer 3"])]  # a null is no cell that a table could have
+    assert evaluation.match_tables(spark.createDataFrame(rows, TABLES)).first()[1:] == (41, 40)
+    assert made["table-met"] == 43
