@@ -95,15 +95,20 @@ def schedule(items: DataFrame, group: str, order: str, requests: int, budget: in
 def rolling_budget(log: DataFrame, key: str, ts: str, tokens: str, seconds: int) -> DataFrame:
     """log with the requests and tokens of the last ``seconds``, half open: what is exactly as old has expired.
 
-    Time is cut into spans of that length; a row is needed in its own span and, for others to look back at,
-    in the next. So the window's groups are as large as one key's rows of two spans, however long the log is.
+    Time is cut into spans of that length: a row comes in its own span and goes in the next. What is live is what was there when
+    the span began, all rows of the one before, and what has come since less what has gone, which are running sums: no row
+    looks at all that it counts, however dense the log is. Groups are as large as one key's rows of two spans. tokens are whole numbers.
     """
     width = seconds * 1_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    span = F.floor(micros / width)
-    spread = log.withColumns({"_at": micros, "_own": span}).withColumn("_span", F.explode(F.array("_own", F.col("_own") + 1)))
-    w = Window.partitionBy(key, "_span").orderBy("_at").rangeBetween(-width + 1, 0)
-    return spread.withColumns({"requests": F.count(F.lit(1)).over(w), "tokens": F.sum(tokens).over(w)}).where("_span = _own").drop("_at", "_own", "_span")
+    comes, had = F.col("_way") == 1, F.col(tokens).isNotNull().cast("int")
+    own = log.withColumns({"_at": micros, "_span": F.floor(micros / width)}).where("_span IS NOT NULL").withColumn("_way", F.explode(F.array(F.lit(1), F.lit(-1))))
+    moves = own.withColumns({"_at": F.when(comes, F.col("_at")).otherwise(F.col("_at") + width), "_span": F.when(comes, F.col("_span")).otherwise(F.col("_span") + 1)})
+    group = Window.partitionBy(key, "_span")
+    until = group.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    live = lambda n: F.coalesce(F.sum(F.when(~comes, n)).over(group), F.lit(0)) + F.sum(F.col("_way") * n).over(until)
+    known = F.when(live(had) > 0, live(F.coalesce(F.col(tokens), F.lit(0))))
+    return moves.withColumns({"requests": live(F.lit(1)), "tokens": known}).where(comes).drop("_at", "_way", "_span")
 
 
 def failure_class(message: Column, status: Column) -> Column:

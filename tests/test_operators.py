@@ -181,3 +181,20 @@ def test_merged_reviews_do_not_join_all_pairs(spark):
     with contextlib.redirect_stdout(io.StringIO()) as plan:
         merged.explain()
     assert "Join" not in plan.getvalue()
+
+
+def test_rolling_budget_like_a_loop_without_sliding_frames(spark):
+    """A frame that slides is added up anew for each row; running sums aren't."""
+    rng = random.Random(8)
+    rows = [(k, rng.choice(["a", "b", None]), rng.choice([0, 9, 10, 11, 19, 20, rng.randint(-30, 60)]), rng.choice([None, None, 5, 7])) for k in range(150)]
+    log = spark.createDataFrame([*rows, (999, "a", None, 3)], "n long, model string, s long, t long").withColumn("ts", F.timestamp_seconds("s"))
+    out = extraction.rolling_budget(log, "model", "ts", "t", 10)
+    got = {r.n: (r.requests, r.tokens) for r in out.collect()}
+    want = {}
+    for n, model, s, _ in rows:
+        own = [t for _, m, x, t in rows if m == model and s - 10 < x <= s]
+        known = [t for t in own if t is not None]
+        want[n] = len(own), sum(known) if known else None
+    assert got == want
+    frames = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("specifiedwindowframe(")[1:]]
+    assert frames and all("unboundedpreceding" in x.split(")")[0] for x in frames)
