@@ -29,11 +29,11 @@ def cut(n: int, max_len: int) -> list[int]:
     return [max_len] * (n // max_len) + [1 << k for k in range(max_len.bit_length() - 2, -1, -1) if rest >> k & 1]
 
 
-def pack(docs: DataFrame, vocabulary: str, max_len: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, max_len: int = 2048, end_id: int = 1, eager: bool = True) -> DataFrame:
     """Pieces of all documents: their ids (little-endian unsigned 32-bit), place in the document,
     bucket (log2 of the length), sequence and place in the sequence (always 0).
 
-    sequence_id is unique: the number of the partition, then a counter within it.
+    Workers keep the ids of all words, or if not ``eager`` of those that come again. sequence_id is unique: the number of the partition, then a counter within it.
     """
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
@@ -47,7 +47,7 @@ def pack(docs: DataFrame, vocabulary: str, max_len: int = 2048, end_id: int = 1)
             ids_of = batch.column(0)
             out: list[list] = [[] for _ in range(6)]
             size = 0
-            for row, ids in encoded(batch.column(1), vocabulary, end_id):
+            for row, ids in encoded(batch.column(1), vocabulary, end_id, eager=eager):
                 n, start, doc = len(ids) // 4, 0, ids_of[row].as_py()
                 for length in cut(n, max_len):
                     for column, value in zip(out, (doc, start, length, ids[4 * start : 4 * (start + length)], n, sequence), strict=True):
@@ -55,7 +55,7 @@ def pack(docs: DataFrame, vocabulary: str, max_len: int = 2048, end_id: int = 1)
                     start += length
                     sequence += 1
                 size += len(ids)
-                if size > 1 << 23:
+                if size > 1 << 21:
                     yield _piece_batch(out)
                     out, size = [[] for _ in range(6)], 0
             if out[0]:

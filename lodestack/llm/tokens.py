@@ -21,6 +21,8 @@ from lodestack.llm import worker
 
 #: Words kept in a worker's cache, which starts anew when it is full (about 150 bytes each).
 CACHED_WORDS = 1_000_000
+#: Places (a byte each) of the filter that tells which words came before; it starts anew when it is half full.
+FILTER = 1 << 21
 #: Longer words are encoded each time.
 CACHED_BYTES = 48
 _MARKS = b".,;:!?"
@@ -57,9 +59,13 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Encodes texts with the tokenizers library, without special tokens."""
+    """Encodes texts with the tokenizers library, without special tokens.
 
-    def __init__(self, path: str) -> None:
+    Unless ``eager``, words are kept from the second time on that they are asked of the library: most come but once, so this
+    takes less memory and more time.
+    """
+
+    def __init__(self, path: str, eager: bool = True) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,6 +74,21 @@ class WordEncoder:
         self.by_words = by_words(path)
         self.letters = _byte_letters()
         self.cache: dict[bytes, bytes] = {}
+        self.eager, self.before, self.marks = eager, bytearray(0 if eager else FILTER), 0
+
+    def _again(self, words: list[bytes]) -> list[bytes]:
+        """Those of ``words`` that came before, as far as the filter knows."""
+        if self.marks > FILTER // 2:
+            self.before, self.marks = bytearray(FILTER), 0
+        out = []
+        for w in words:
+            place = hash(w) % FILTER
+            if self.before[place]:
+                out.append(w)
+            else:
+                self.before[place] = 1
+                self.marks += 1
+        return out
 
     def _ask(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids by the library: its whole pipeline, or for words of plain letters the model alone."""
@@ -96,8 +117,9 @@ class WordEncoder:
         learned = {w: b"".join([known[p] for p in parts[w]]) if w in parts else known[w] for w in words}
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
-        for held in (known, learned):
-            self.cache.update((p, ids) for p, ids in held.items() if len(p) <= CACHED_BYTES)
+        known |= learned
+        short = [w for w in known if len(w) <= CACHED_BYTES]
+        self.cache.update((w, known[w]) for w in (short if self.eager else self._again(short)))
         return learned
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -121,8 +143,8 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str, eager: bool = True) -> WordEncoder:
+    return WordEncoder(path, eager)
 
 
 def _drop() -> bool:
@@ -134,10 +156,10 @@ def _drop() -> bool:
 worker.keeps("tokens", _drop)
 
 
-def encoded(column: pa.Array, path: str, end_id: int, step: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
+def encoded(column: pa.Array, path: str, end_id: int, step: int = 1 << 20, eager: bool = True) -> Iterator[tuple[int, bytes]]:
     """(row, ids with the end id) for each text of a column; null counts as empty."""
     worker.trim()  # what the batch before left
-    own, end = encoder(path), struct.pack("<I", end_id)
+    own, end = encoder(path, eager), struct.pack("<I", end_id)
     values = column.cast(pa.large_binary())
     row, n = 0, len(values)
     while row < n:

@@ -50,3 +50,33 @@ def test_word_cache_equals_library(library):
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 50))) for _ in range(2000)]
     got = WordEncoder(vocabulary()).encode([t.encode() for t in texts])
     assert [list(np.frombuffer(x, "<u4")) for x in got] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_that_come_once_are_not_kept(library):
+    """A worker's memory goes to words that come again, and ids are right whether or not the filter knows them."""
+    own = WordEncoder(vocabulary(), eager=False)
+    once, again = [f"w{k}x" for k in range(3000)], ["pump", "valve."]
+    for k in range(30):
+        text = " ".join([*again, *once[100 * k : 100 * k + 100]])
+        assert list(np.frombuffer(own.encode([text.encode()])[0], "<u4")) == library.encode(text, add_special_tokens=False).ids
+    assert {b"pump", b"valve.", b"valve"} <= set(own.cache) and len(own.cache) < 100
+
+
+def test_the_pipeline_packs_in_small_batches(spark):
+    import corpus_pipeline
+    from lodestack import session
+    from pyspark.sql import functions as F
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    long = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("text "), 400).alias("text"))
+    try:
+        corpus_pipeline.pack_documents(spark, long, "")
+        got = [r.size for r in long.mapInArrow(sizes, "size long").collect()]
+        assert sum(got) > 12_000_000 and max(got) < session.BATCH_BYTES * 1.1
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
