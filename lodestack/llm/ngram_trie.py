@@ -7,7 +7,7 @@ code for each gram:
 - pointers: where each context's successors begin;
 - the successors' ids. Within a context they increase; each context's begin where those of the one before have
   ended, so that the whole level is monotone;
-- the probability as a 16-bit code of its logarithm, and the count where the grams are contexts of a next level.
+- the probability as a 16-bit code of its logarithm, or the count where whoever asks makes the code from it, or both.
 
 Sequences are Elias-Fano coded in chunks: low bits as they are, high bits in unary. Each chunk's first value is kept
 plain, so a successor search goes to one chunk and decodes that. A level is one run of bytes that can be memory-mapped;
@@ -119,21 +119,23 @@ class Level:
     """The grams of one order (or of one slice of it) over the bytes that ``build`` has made."""
 
     def __init__(self, raw: memoryview) -> None:
-        self.contexts, at = EliasFano.over(raw, 0)
+        has_codes = bool(np.frombuffer(raw, np.int64, 1)[0])
+        self.contexts, at = EliasFano.over(raw, 8)
         self.pointers, at = EliasFano.over(raw, at)
         self.followers, at = EliasFano.over(raw, at)
-        self.codes = np.frombuffer(raw, np.uint16, self.followers.size, at)
-        at += 2 * self.followers.size
+        self.codes = np.frombuffer(raw, np.uint16, self.followers.size * has_codes, at)
+        at += 2 * len(self.codes)
         self.counts = np.frombuffer(raw, np.uint32, (len(raw) - at) // 4, at + -at % 4)
 
     @staticmethod
-    def build(contexts: np.ndarray, sizes: np.ndarray, followers: np.ndarray, codes: np.ndarray, counts: np.ndarray | None = None) -> bytes:
-        """Contexts in order, the number of successors of each (at least one), their successors in order, and codes."""
+    def build(contexts: np.ndarray, sizes: np.ndarray, followers: np.ndarray, codes: np.ndarray | None, counts: np.ndarray | None = None) -> bytes:
+        """Contexts in order, the number of successors of each (at least one), their successors in order, and codes, counts or both."""
         begins = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         last = followers[begins[1:] - 1].astype(np.int64) + 1 if len(contexts) else np.zeros(0, np.int64)
         shift = np.cumsum(last) - last
         monotone = followers.astype(np.int64) + np.repeat(shift, sizes)
-        raw = EliasFano.encode(contexts.astype(np.int64)) + EliasFano.encode(begins) + EliasFano.encode(monotone) + codes.astype("<u2").tobytes()
+        raw = np.array([codes is not None], np.int64).tobytes() + EliasFano.encode(contexts.astype(np.int64)) + EliasFano.encode(begins) + EliasFano.encode(monotone)
+        raw += b"" if codes is None else codes.astype("<u2").tobytes()
         raw += bytes(-len(raw) % 4)
         return raw if counts is None else raw + np.minimum(counts, 2**32 - 1).astype("<u4").tobytes()
 

@@ -106,3 +106,38 @@ def test_long_text_and_no_rows(spark, nothing):
     text = " ".join(f"w{k % 977} x{k % 31}" for k in range(250_000))  # above 1 MiB, so hashed in pieces
     rows = [(1, text), (2, text), (3, "w1 x1 w2")]
     same(L.score(spark.createDataFrame(rows, "doc_id long, text string")).collect(), plain(rows, 3, L.STRENGTH), 3)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 2**63 - 1) | st.integers(0, 50), max_size=300))
+def test_sorting_and_distinct_values(values):
+    x = np.array(values, np.int64)
+    for kind in (np.int64, np.uint64):
+        assert (L._sorting(x.astype(kind)) == np.argsort(x, kind="stable")).all()
+    found, place = L._distinct(x)
+    assert found.tolist() == sorted(set(values)) and (found[place] == x).all()
+
+
+def shuffled(spark, run):
+    """Bytes that the stages of run() have shuffled, with its result."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    stages = lambda: [s.apply(k) for s in (store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None),) for k in range(s.size())]
+    before = max([s.stageId() for s in stages()], default=-1)
+    result = run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return sum(s.shuffleWriteBytes() for s in stages() if s.stageId() > before), result
+
+
+def test_what_is_shuffled_does_not_grow_with_occurrences(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, 200)) for _ in range(20)]
+    sizes = []
+    for copies in (10, 150):
+        rows = [(k, texts[k % len(texts)]) for k in range(len(texts) * copies)]
+        path = str(tmp_path / str(copies))
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(path)
+        frame = spark.read.parquet(path)  # two blocks have each gram
+        size, got = shuffled(spark, lambda frame=frame: L.score(frame).collect())
+        same(got, plain(rows, 3, L.STRENGTH), 3)
+        sizes.append(size)
+    assert sizes[1] < 2 * sizes[0]  # counts have more digits
