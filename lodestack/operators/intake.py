@@ -84,13 +84,17 @@ def with_prior(assignments: DataFrame, prior: DataFrame, now: Column) -> DataFra
 
 def precedence(document_type: Column, document_class: Column, revision: Column) -> Column:
     """Level of authority, 1 the highest."""
-    kind = S.slug(document_type)
-    out = F.when(S.fold(document_class) == "contextual", 8)
-    for level, types in V.PRECEDENCE_LEVELS.items():
+    return level(S.slug(document_type), S.fold(document_class), S.bare(revision))
+
+
+def level(kind: Column, document_class: Column, revision: Column) -> Column:
+    """``precedence`` of the type's slug, the folded class and the bare revision; each is named many times here."""
+    out = F.when(document_class == "contextual", 8)
+    for n, types in V.PRECEDENCE_LEVELS.items():
         hit = kind.isin(*types)
-        if level == 2:
-            out = out.when(hit & S.is_original(revision), 3)
-        if level == 5:
-            hit = hit | (S.fold(document_class) == "operational")
-        out = out.when(hit, level)
+        if n == 2:
+            out = out.when(hit & S.bare_is_original(revision), 3)
+        if n == 5:
+            hit = hit | (document_class == "operational")
+        out = out.when(hit, n)
     return out.otherwise(8).cast("long")
