@@ -76,3 +76,12 @@ def test_order_numbers_claims_not_pairs(spark, data, monkeypatch):
         monkeypatch.setattr(module, "placed", lambda df, *a, real=module.placed, **b: (sorted_.append(df.columns), real(df, *a, **b))[1])
     assert records.contradiction_order(spark, data).count() > 0
     assert sorted_ == [["bucket_id", "class_id", "part", "claim_id", "doc_id"]]
+
+
+def test_notes_number_claims_not_pairs(spark, data, monkeypatch):
+    """note_entries: what is sorted are the claims, before their pairs."""
+    sorted_ = []
+    for module in (claims, O):
+        monkeypatch.setattr(module, "placed", lambda df, *a, real=module.placed, **b: (sorted_.append(df.columns), real(df, *a, **b))[1])
+    assert records.note_entries(spark, data).count() > 0
+    assert sorted_ == [["bucket_id", "class_id", "part", "claim_id", "label"]]
