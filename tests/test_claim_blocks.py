@@ -85,3 +85,19 @@ def test_notes_number_claims_not_pairs(spark, data, monkeypatch):
         monkeypatch.setattr(module, "placed", lambda df, *a, real=module.placed, **b: (sorted_.append(df.columns), real(df, *a, **b))[1])
     assert records.note_entries(spark, data).count() > 0
     assert sorted_ == [["bucket_id", "class_id", "part", "claim_id", "label"]]
+
+
+def test_classes_are_counted_without_pairs(spark, data, small, monkeypatch):
+    """claim_classes: blocks send sums; pairs of classes are made nowhere."""
+    rows = some_claims(5, 150, 2)
+    classes, members = claims.claim_classes(spark.createDataFrame(rows, CLAIMS), ("bucket",))
+    found = claims.opposed_classes(classes, ("bucket",)).collect()
+    of = {r.claim_id: r.class_id for r in members.collect()}
+    for r in found:
+        own = next(x for x in rows if x[1] == r["head"])
+        assert r.opposed == sum(contradicts(own, x) for x in rows)
+        assert r["head"] == min(c for c, k in of.items() if k == r.class_id)
+    assert sum(r.claims for r in found) == len(rows)
+
+    monkeypatch.setattr(claims, "class_pairs", lambda *a: pytest.fail("pairs of classes are made"))
+    assert records.claim_classes(spark, data).count() > 0
