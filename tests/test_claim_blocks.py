@@ -101,3 +101,9 @@ def test_classes_are_counted_without_pairs(spark, data, small, monkeypatch):
 
     monkeypatch.setattr(claims, "class_pairs", lambda *a: pytest.fail("pairs of classes are made"))
     assert records.claim_classes(spark, data).count() > 0
+
+
+def test_pairs_of_claims_are_not_shuffled(spark, data):
+    """bucket_contradictions: pairs are made by the last step, and nothing is dealt out after it."""
+    plan = records.bucket_contradictions(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" in plan and "Exchange" not in plan[: plan.index("InArrow")] and "Join" not in plan[: plan.index("InArrow")]
