@@ -395,25 +395,31 @@ def _across(named: DataFrame, classes: DataFrame, percent: int, forest: bool) ->
 
     As a forest, of the pairs of a block of classes only those that join what nearer pairs don't.
     ``named`` has rows (k1, doc, root). Large groups go on split by their next common signature: linked classes
-    have as many in common as the greater of their promises, so a group is compared after so many rounds.
+    have as many in common as the greater of their promises, so a group is compared after so many rounds. What a round
+    finds is written: one plan of all rounds, which the driver plans anew after each of its stages, grows with their square.
     """
     facts = classes.select("doc", "n", "sketch")
     signs = classes.select("doc", "signs")
-    written = [materialize(_mixed(named.select("k1", F.col("k1").alias("last"), "doc", "root", F.lit(1).alias("promise")), 1), "mixed")]
-    found = [_compared(written[0].where(F.col("held") <= LARGE), facts, percent, forest)]
+
+    def compared(rows: DataFrame) -> DataFrame:
+        return materialize(_compared(rows, facts, percent, forest), "compared")
+
+    held = materialize(_mixed(named.select("k1", F.col("k1").alias("last"), "doc", "root", F.lit(1).alias("promise")), 1), "mixed")
+    found = [compared(held.where(F.col("held") <= LARGE))]
     length, most = 1, LARGE
     while True:
-        large = written[-1].where(F.col("held") > most).drop("held")
+        large = held.where(F.col("held") > most).drop("held")
         if large.isEmpty():
             break
         step = materialize(_split(large, signs, length), "split")
-        found.append(_compared(step.where("weak IS NOT NULL"), facts, percent, forest))
+        found.append(compared(step.where("weak IS NOT NULL")))
         length += 1
-        written += [step, materialize(_mixed(step.where("weak IS NULL").drop("weak").distinct(), length), "mixed")]
+        before, held = held, materialize(_mixed(step.where("weak IS NULL").drop("weak").distinct(), length), "mixed")
+        discard(before, step)
         most = BLOCK
-        found.append(_compared(written[-1].where(F.col("held") <= BLOCK), facts, percent, forest))
-    out = materialize(reduce(DataFrame.unionByName, found).distinct(), "across")
-    discard(*written)
+        found.append(compared(held.where(F.col("held") <= BLOCK)))
+    out = found.pop() if len(found) == 1 else materialize(reduce(DataFrame.unionByName, found).distinct(), "across")
+    discard(held, *found)
     return out
 
 

@@ -135,3 +135,21 @@ def test_one_of_each_group_stays(edge, edge_rows):
 
 def test_empty(nothing):
     assert J.near_duplicates(nothing).count() == 0
+
+
+def test_no_plan_holds_several_comparisons(spark, monkeypatch):
+    """Groups are split in rounds; each comparison is written by itself, so plans don't grow with the rounds."""
+    monkeypatch.setattr(J, "BLOCK", 4)
+    monkeypatch.setattr(J, "LARGE", 6)
+    steps = []
+
+    def counted(df, name, write=J.materialize):
+        if name in ("compared", "across"):
+            steps.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")))
+        return write(df, name)
+
+    monkeypatch.setattr(J, "materialize", counted)
+    df = spark.createDataFrame(templated(random.Random(2), 60, 12), "doc_id long, text string").repartition(3)
+    assert J.near_duplicates(df, 3, 90).count() == 60
+    assert ("compared", 1) in steps and ("across", 0) in steps
+    assert {n for name, n in steps if name == "across"} == {0} and max(n for _, n in steps) == 1
